@@ -72,9 +72,22 @@ def calendar(df: DataFrame, ts: str = "ts") -> DataFrame:
     )
 
 
-def epoch_to_local(epoch: Column, zone: str) -> Column:
-    """Epoch seconds as the wall-clock time of ``zone``."""
-    utc = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
+def from_epoch(epoch: Column) -> Column:
+    """Epoch seconds as a zone-less time that reads like UTC."""
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
         secs=epoch
     )
-    return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
+
+
+def epoch_to_local(epoch: Column, zone: str) -> Column:
+    """Epoch seconds as the wall-clock time of ``zone``."""
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), from_epoch(epoch))
+
+
+def event_time(ts: str) -> Column:
+    """``ts`` to the second as the zoned type that watermarks ask for.
+
+    The zone-less time is read as UTC whatever the session's zone is;
+    ``from_epoch(unix_timestamp(..))`` is the way back.
+    """
+    return F.timestamp_seconds(F.unix_timestamp(ts))

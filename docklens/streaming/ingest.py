@@ -8,8 +8,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from docklens import schemas
+from docklens.functions.timecols import event_time
 
 DELAY = "1 hour"
+EVENT_TIME = "event_time"
 READING_KEY = ["city_key", "id", "timestamp"]
 
 
@@ -29,6 +31,13 @@ def read_stream(
     return reader.parquet(path)
 
 
+def watermarked(stream: DataFrame, delay: str = DELAY) -> DataFrame:
+    """The stream with a watermark; readings later than ``delay`` are left out."""
+    return stream.withColumn(EVENT_TIME, event_time("timestamp")).withWatermark(
+        EVENT_TIME, delay
+    )
+
+
 def without_copies(stream: DataFrame, delay: str = DELAY) -> DataFrame:
     """One reading per station and time: feeds repeat unchanged readings.
 
@@ -36,8 +45,8 @@ def without_copies(stream: DataFrame, delay: str = DELAY) -> DataFrame:
     the watermark has passed it.  Two different rows with one station and time
     are one reading here; the batch queries keep both.
     """
-    return stream.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(
-        READING_KEY
+    return watermarked(stream, delay).dropDuplicatesWithinWatermark(READING_KEY).drop(
+        EVENT_TIME
     )
 
 

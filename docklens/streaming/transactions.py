@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from docklens.functions.timecols import from_epoch
 from docklens.operators.changes import total_changes
-from docklens.streaming.ingest import DELAY
+from docklens.streaming.ingest import DELAY, EVENT_TIME, watermarked
 from docklens.streaming.versions import read_changes, store_changes
 
 KEYS = ["city_key", "id", "date"]
@@ -26,9 +27,8 @@ def changed_buckets(
     """Per station and bucket: inner sum of |difference|, first and last value."""
     reading = F.struct("timestamp", "available_bikes", "available_stands")
     held = (
-        stream.where(F.col("status") == "open")
-        .withWatermark("timestamp", delay)
-        .groupBy("city_key", "id", F.window("timestamp", bucket).alias("span"))
+        watermarked(stream.where(F.col("status") == "open"), delay)
+        .groupBy("city_key", "id", F.window(EVENT_TIME, bucket).alias("span"))
         .agg(F.array_sort(F.collect_set(reading)).alias("rows"))
     )
     bikes = F.col("rows.available_bikes")
@@ -38,11 +38,12 @@ def changed_buckets(
         lambda later, earlier: F.abs(later - earlier),
     )
     known = F.filter(steps, lambda step: step.isNotNull())
+    start = from_epoch(F.unix_timestamp("span.start"))
     return held.select(
         "city_key",
         "id",
-        F.to_date("span.start").alias("date"),
-        F.col("span.start").alias("bucket"),
+        F.to_date(start).alias("date"),
+        start.alias("bucket"),
         F.aggregate(
             known, F.lit(0).cast("bigint"), lambda total, step: total + step
         ).alias("total"),

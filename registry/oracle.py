@@ -530,8 +530,8 @@ _oracle("rebase_readings", "readings", """
   SELECT * REPLACE ("timestamp" + (TIMESTAMP '2024-01-31'
     - (SELECT max("timestamp") FROM readings)) AS "timestamp") FROM readings""")
 _oracle("rebase_daily", "daily", """
-  SELECT * REPLACE (CAST("date" + (DATE '2024-01-31' - (SELECT max("date") FROM daily))
-    AS DATE) AS "date") FROM daily""")
+  SELECT * REPLACE ("date" + CAST(DATE '2024-01-31'
+    - (SELECT max("date") FROM daily) AS INTEGER) AS "date") FROM daily""")
 
 # Sinks -----------------------------------------------------------------------
 
