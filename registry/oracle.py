@@ -130,7 +130,7 @@ _oracle("station_geojson", "station", _feature(
     "station"))
 _oracle("map_extent", "station", """
   SELECT city_key, min(x) AS min_x, min(y) AS min_y, max(x) AS max_x, max(y) AS max_y,
-    round((min(x) + max(x)) / 2, 6) AS center_x, round((min(y) + max(y)) / 2, 6) AS center_y
+    (min(x) + max(x)) / 2 AS center_x, (min(y) + max(y)) / 2 AS center_y
   FROM station GROUP BY city_key""")
 
 # Readings and transactions ---------------------------------------------------
@@ -176,8 +176,8 @@ _oracle("daily_top_nested", "daily station",
 _oracle("lake_api", "daily station",
         _NEST_TOP.format(_top(_BY_VALUE, "2024-01-20", "2024-01-20")))
 _oracle("colour_scale", "daily station", f"""
-  SELECT *, round((value - 0.7::DOUBLE * min(value) OVER w)
-    / nullif(max(value) OVER w - 0.7::DOUBLE * min(value) OVER w, 0), 6) AS scale
+  SELECT *, (value - 0.7::DOUBLE * min(value) OVER w)
+    / nullif(max(value) OVER w - 0.7::DOUBLE * min(value) OVER w, 0) AS scale
   FROM ({_top(_BY_VALUE, "2024-01-20", "2024-01-20")}) WINDOW w AS (PARTITION BY city_key)""")
 
 _SERIES = """
@@ -223,7 +223,7 @@ _oracle("latest_geojson", "readings station", _feature(
         "'\"nb_bikes\":' || nb_bikes", "'\"nb_stands\":' || nb_stands"]),
     f"({_NOW})"))
 _oracle("fill_ratio", "readings station", f"""
-  SELECT *, round(CAST(nb_bikes AS DOUBLE) / nullif(nb_stands, 0), 6) AS ratio
+  SELECT *, CAST(nb_bikes AS DOUBLE) / nullif(nb_stands, 0) AS ratio
   FROM ({_NOW})""")
 _oracle("latest_prediction", "prediction station",
         _LATEST.format("station_id", "nb_bikes", "prediction"))
@@ -235,10 +235,9 @@ _table("open_rows", "readings", """
   FROM readings
   WHERE "timestamp" >= TIMESTAMP '2024-01-01' AND "timestamp" < TIMESTAMP '2024-01-31'
     AND (available_bikes > 0 OR available_stands > 0) AND status = 'open'""")
-_ROUNDED = "* REPLACE (round(probability, 6) AS probability)"
-_oracle("training_readings", "open_rows", f"SELECT {_ROUNDED} FROM open_rows")
-_oracle("latest_in_window", "open_rows", f"""
-  SELECT {_ROUNDED} FROM open_rows
+_oracle("training_readings", "open_rows", "SELECT * FROM open_rows")
+_oracle("latest_in_window", "open_rows", """
+  SELECT * FROM open_rows
   QUALIFY rank() OVER (PARTITION BY city_key, station_id ORDER BY ts DESC) = 1""")
 _oracle("calendar_features", "open_rows", """
   SELECT city_key, station_id, ts, CAST(isodow(ts) - 1 AS INTEGER) AS "day",
@@ -420,7 +419,7 @@ _oracle("cluster_profiles", "labels centroid", f"""
   SELECT city_key, cluster_id, label, strftime("start", '%Y-%m-%d') AS "start",
     strftime("stop", '%Y-%m-%d') AS "stop",
     list_transform(generate_series(0, 23), lambda h: CAST(h AS INTEGER)) AS "hour",
-    [{", ".join(f"round({name}, 6)" for name in _HOURS)}] AS "values"
+    [{", ".join(_HOURS)}] AS "values"
   FROM centroid JOIN labels USING (city_key, "start", "stop", cluster_id)
   QUALIFY rank() OVER (PARTITION BY city_key ORDER BY "stop" DESC) = 1""")
 
@@ -522,7 +521,7 @@ _oracle("legacy_view", "sourced station", """
   FROM sourced AS e LEFT JOIN station AS s ON CAST(s.id AS INTEGER) = e.user_id""")
 _oracle("legacy_centroids", "centroid", f"""
   SELECT city_key, cluster_id, "start", "stop",
-    {", ".join(f"round({name}, 6) AS {name}" for name in _HOURS)} FROM centroid""")
+    {", ".join(_HOURS)} FROM centroid""")
 
 # Rebase ----------------------------------------------------------------------
 
