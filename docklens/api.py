@@ -53,7 +53,7 @@ class BikeShare:
         return stations.station_ids(self.station, city)
 
     def daily_transaction(self, city, ids, day, window=0, backward=True) -> DataFrame:
-        rows = transactions.daily_transaction(
+        rows = transactions.daily_rows(
             self.daily, self.station, ids, day, window, backward, city
         )
         return transactions.nest_daily(rows).orderBy("city_key", "id")

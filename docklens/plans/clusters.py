@@ -51,7 +51,13 @@ def cluster_input(
 def active_bins(rows: DataFrame, step: str = "5T") -> DataFrame:
     """Bin means of the stations that had a bike at least once."""
     bins = bin_means(rows, STATION, ["nb_bikes"], step)
-    most = F.max("nb_bikes").over(Window.partitionBy(*STATION))
+    # ordered like the window of the back-fill, so that one sort serves both
+    station = (
+        Window.partitionBy(*STATION)
+        .orderBy(F.desc("ts"))
+        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    )
+    most = F.max("nb_bikes").over(station)
     # counts are never negative, so a positive mean means a positive reading
     return bins.withColumn("most", most).where(
         F.col("most").isNull() | (F.col("most") > 0)

@@ -8,14 +8,14 @@ from typing import NamedTuple
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docklens.config import as_datetime
 from docklens.functions.timecols import calendar, interval, step_seconds
 from docklens.operators.grid import add_future, resample_mean
-from docklens.plans.timeseries import Time, latest_station_timewindow, open_readings
+from docklens.plans.timeseries import Time, latest_open_rows, open_readings
 from docklens.session import cut_lineage
 
 GRID = "10T"
@@ -26,6 +26,7 @@ RATE = 0.2
 TEST_PERIODS = 2
 FEATURES = ("station_id", "nb_bikes", "nb_stands", "day", "hour", "minute")
 STATION_NUMBER = "station_number"
+ROWS_PER_TASK = 500_000
 
 
 def features(rows: DataFrame, step: str = GRID) -> DataFrame:
@@ -109,17 +110,37 @@ def fit(train: DataFrame, test: DataFrame, seed: int = 0) -> Trained:
     """Boosted trees on the label ``future``, with the error after each round."""
     numeric = _has_numeric_ids(train)
     prepare = _numbered_stations if numeric else (lambda df: df)
+    train = _spread(train)
     model = Pipeline(stages=_stages(numeric, seed)).fit(prepare(train))
     *preparation, trees = model.stages
     vectors = PipelineModel(preparation)
 
-    def progress(df: DataFrame) -> list[float]:
-        ready = vectors.transform(prepare(df))
-        if ready.isEmpty():
-            return []
-        return [math.sqrt(e) for e in trees.evaluateEachIteration(ready, "squared")]
+    errors = [_progress(vectors.transform(prepare(df)), trees) for df in (train, test)]
+    return Trained(model, *errors)
 
-    return Trained(model, progress(train), progress(test))
+
+def _progress(ready: DataFrame, model: GBTRegressionModel) -> list[float]:
+    """Error after each round; empty without rows."""
+    if ready.isEmpty():
+        return []
+    return [math.sqrt(e) for e in model.evaluateEachIteration(ready, "squared")]
+
+
+def _spread(train: DataFrame) -> DataFrame:
+    """Training rows over enough tasks for the many passes of the fit.
+
+    The grid is expanded after its last shuffle, so its partitions follow the
+    size of the bins.  Here every core gets a share and no task more than
+    ``ROWS_PER_TASK`` rows on average.
+    """
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    tasks = max(cores, -(-train.count() // ROWS_PER_TASK))
+    return train.repartition(tasks, "city_key", "station_id", "ts")
+
+
+def _bounded(score: Column) -> Column:
+    """The trees minimise a squared error, so their result is held to [0, 1]."""
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), score))
 
 
 def train_prediction_model(
@@ -152,13 +173,12 @@ def predict_bike_availability(
 ) -> DataFrame:
     """Probability, bikes and stands of each station ``frequency`` later.
 
-    The trees minimise a squared error, so their result is held to [0, 1].
     Bikes and stands are cut to whole numbers.
     """
     ready = features(rows)
     if not any(isinstance(s, StringIndexerModel) for s in model.stages):
         ready = _numbered_stations(ready)
-    p = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("raw_prediction")))
+    p = _bounded(F.col("raw_prediction"))
     return split_docks(model.transform(ready).withColumn("availability", p)).select(
         "city_key",
         (F.col("ts") + interval(step_seconds(frequency))).alias("timestamp"),
@@ -187,5 +207,5 @@ def predict(
     city: str | None = None,
 ) -> DataFrame:
     """Forecast from the newest reading of each station in ``[start, stop)``."""
-    rows = latest_station_timewindow(readings, start, stop, city)
+    rows = latest_open_rows(readings, start, stop, city)
     return predict_bike_availability(rows, model, frequency)

@@ -13,7 +13,7 @@ from docklens.functions.timecols import interval
 from docklens.operators.changes import hourly_changes, join_hours
 from docklens.operators.series import nest
 from docklens.operators.topk import only_ids
-from docklens.plans.transactions import daily_transaction
+from docklens.plans.transactions import daily_rows
 from docklens.sources.tables import time_slice
 
 KEYS = ["city_key", "id"]
@@ -76,7 +76,7 @@ def daily_profile(
 
     Days without a value are left out, they do not count as zero.
     """
-    rows = daily_transaction(daily, station, ids, day, window, True, city)
+    rows = daily_rows(daily, station, ids, day, window, True, city)
     return rows.groupBy(*KEYS, "name", F.weekday("date").alias("day")).agg(
         F.sum("value").alias("sum"), F.avg("value").alias("mean")
     )

@@ -136,10 +136,17 @@ def open_readings(
     return _open_rows(readings, start, stop, city).distinct()
 
 
+def latest_open_rows(
+    readings: DataFrame, start: Time, stop: Time, city: str | None = None
+) -> DataFrame:
+    """The rows of ``latest_station_timewindow``, without an order."""
+    rows = _open_rows(readings, start, stop, city)
+    return newest(rows, ["city_key", "station_id"], "ts").distinct()
+
+
 def latest_station_timewindow(
     readings: DataFrame, start: Time, stop: Time, city: str | None = None
 ) -> DataFrame:
     """Newest open reading with docks per station in ``[start, stop)``."""
-    rows = _open_rows(readings, start, stop, city)
-    latest = newest(rows, ["city_key", "station_id"], "ts").distinct()
-    return latest.orderBy("city_key", "station_id")
+    rows = latest_open_rows(readings, start, stop, city)
+    return rows.orderBy("city_key", "station_id")

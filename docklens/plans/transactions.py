@@ -48,7 +48,7 @@ def _named(rows: DataFrame, station: DataFrame) -> DataFrame:
     return rows.join(station.select("city_key", "id", "name"), ["city_key", "id"], "left")
 
 
-def daily_transaction(
+def daily_rows(
     daily: DataFrame,
     station: DataFrame,
     ids: str | Iterable[object] | None,
@@ -57,18 +57,30 @@ def daily_transaction(
     backward: bool = True,
     city: str | None = None,
 ) -> DataFrame:
-    """Daily values of the given stations around ``day``, one row per day."""
+    """The rows of ``daily_transaction``, without an order."""
     start, stop, _ = time_window(day, window, backward)
     rows = date_range(daily, start, stop, city)
     if ids is not None:
         rows = only_ids(rows, as_ids(ids))
-    return (
-        _named(rows, station)
-        .select("city_key", "id", F.col("number").alias("value"), "date", "name")
-        .orderBy("city_key", "id", "date")
+    return _named(rows, station).select(
+        "city_key", "id", F.col("number").alias("value"), "date", "name"
     )
 
 
+def daily_transaction(
+    daily: DataFrame,
+    station: DataFrame,
+    ids: str | Iterable[object] | None,
+    day: date | str,
+    window: int = 0,
+    backward: bool = True,
+    city: str | None = None,
+) -> DataFrame:
+    """Daily values of the given stations around ``day``, one row per day."""
+    rows = daily_rows(daily, station, ids, day, window, backward, city)
+    return rows.orderBy("city_key", "id", "date")
+
+
 def nest_daily(rows: DataFrame, *extra: str) -> DataFrame:
     """One row per station with its dates and values; at most one entry per day."""
     return nest(

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from docklens import schemas
 from docklens.functions.timecols import step_text
+from docklens.session import cut_lineage
 
 PREDICTION_KEY = ("city_key", "timestamp", "frequency", "station_id")
 
@@ -132,6 +133,7 @@ def write_predictions(prediction: DataFrame, lake: str, frequency: str | None =
     if frequency is not None:
         prediction = prediction.withColumn("frequency", F.lit(step_text(frequency)))
     rows = _canonical(prediction, "prediction").withColumn("date", F.to_date("timestamp"))
+    rows = cut_lineage(rows)  # used four times below
     assert_unique(rows, PREDICTION_KEY)
     path = _target(lake, "prediction")
     old = stored(rows.sparkSession, path, rows.schema)

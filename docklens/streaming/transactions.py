@@ -57,7 +57,8 @@ def run_daily_transactions(
     stream: DataFrame, path: str, checkpoint: str, delay: str = DELAY, bucket: str = BUCKET
 ) -> StreamingQuery:
     """Store the changed buckets of each batch below ``path``."""
-    return store_changes(changed_buckets(stream, delay, bucket), path, checkpoint)
+    buckets = changed_buckets(stream, delay, bucket)
+    return store_changes(buckets, path, checkpoint, ["date"])
 
 
 def read_daily_transactions(spark: SparkSession, path: str) -> DataFrame:

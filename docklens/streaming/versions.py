@@ -14,11 +14,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
-def store_changes(changes: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Write the changed rows of each batch below ``path``; ends when caught up."""
+def store_changes(
+    changes: DataFrame, path: str, checkpoint: str, partition: Sequence[str] = ()
+) -> StreamingQuery:
+    """Write the changed rows of each batch below ``path``; ends when caught up.
+
+    ``partition`` columns become folders, so that readers of a few days open
+    only those.
+    """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        folder = f"{path}/batch_id={batch_id}"
+        batch.write.mode("overwrite").partitionBy(*partition).parquet(folder)
 
     return (
         changes.writeStream.outputMode("update")

@@ -151,7 +151,7 @@ def daily_by_station_forward(spark, folder):
 
 @query
 def daily_by_station_nested(spark, folder):
-    rows = transactions.daily_transaction(
+    rows = transactions.daily_rows(
         _daily(spark, folder), _station(spark, folder), None, LAST, 30
     )
     return export.iso_text(transactions.nest_daily(rows))
