@@ -20,30 +20,32 @@ def with_position(
     ties: Sequence[str] = (),
     bucket: str = BUCKET,
 ) -> DataFrame:
-    """Add ``position``: the 0-based rank of a row in its key's time order.
+    """One row per different row, with ``copies`` and its first ``position``.
 
-    Rows are numbered per key and bucket; the buckets' sizes give each bucket
-    its offset.  No key is sorted in one piece.
+    Positions count from 0 in the time order of each key; a row with copies
+    takes that many places.  Copies are counted before the shuffle, rows are
+    numbered per key and bucket, and the buckets' sizes give each bucket its
+    offset, so neither a hot key nor a hot group of copies meets in one task.
     """
-    cut = df.withColumn("bucket", bin_start(ts, bucket))
-    before = (
-        Window.partitionBy(*keys)
-        .orderBy("bucket")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    columns = [*keys, ts, *ties]
+    cut = (
+        df.groupBy(*columns)
+        .agg(F.count(F.lit(1)).alias("copies"))
+        .withColumn("bucket", bin_start(ts, bucket))
     )
+    earlier = Window.unboundedPreceding, -1
+    inside = Window.partitionBy(*keys, "bucket").orderBy(ts, *ties)
+    before = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(*earlier)
+    count_before = lambda column, window: F.coalesce(F.sum(column).over(window), F.lit(0))
     offsets = (
-        cut.groupBy(*keys, "bucket")
+        df.groupBy(*keys, bin_start(ts, bucket).alias("bucket"))
         .agg(F.count(F.lit(1)).alias("size"))
-        .select(
-            *keys, "bucket", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset")
-        )
+        .select(*keys, "bucket", count_before("size", before).alias("offset"))
     )
-    inside = Window.partitionBy(*keys, "bucket").orderBy(ts, *ties)
     return (
-        cut.withColumn("inside", F.row_number().over(inside))
+        cut.withColumn("inside", count_before("copies", inside.rowsBetween(*earlier)))
         .join(offsets, [*keys, "bucket"])
-        .withColumn("position", F.col("offset") + F.col("inside") - 1)
-        .drop("bucket", "inside", "offset")
+        .select(*columns, "copies", (F.col("offset") + F.col("inside")).alias("position"))
     )
 
 
@@ -77,9 +79,29 @@ def nest_series(
     """Parallel arrays per key, cut into pieces of at most ``piece_rows`` rows.
 
     A series of ordinary length is one row with ``piece`` 0; only longer ones
-    go on in further pieces, so no array grows with the data.
+    go on in further pieces, so no array grows with the data.  A row with copies
+    is spread over the pieces it reaches into and repeated inside them.
     """
-    placed = with_position(df, keys, ts, ties).withColumn(
-        "piece", F.floor(F.col("position") / piece_rows).cast("int")
+    ties = [*ties, *[c for c in columns.values() if c not in (ts, *ties)]]
+    placed = with_position(df, keys, ts, ties)
+    last = F.col("position") + F.col("copies") - 1
+    piece_of = lambda position: F.floor(position / piece_rows).cast("int")
+    spread = placed.withColumn(
+        "piece", F.explode(F.sequence(piece_of(F.col("position")), piece_of(last)))
+    )
+    start = F.col("piece").cast("bigint") * piece_rows
+    first_here = F.greatest(F.col("position"), start)
+    last_here = F.least(last, start + piece_rows - 1)
+    spread = spread.withColumns(
+        {"first_here": first_here, "times": (last_here - first_here + 1).cast("int")}
+    )
+    arrays = {name: name for name in columns}
+    renamed = spread.withColumns({n: F.col(c) for n, c in columns.items() if n != c})
+    nested = nest(
+        renamed, [*keys, "piece"], "first_here", {**arrays, "_times": "times"}
     )
-    return nest(placed, [*keys, "piece"], "position", columns)
+    repeated = {
+        name: F.flatten(F.zip_with(name, "_times", lambda value, n: F.array_repeat(value, n)))
+        for name in arrays
+    }
+    return nested.withColumns(repeated).drop("_times")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -13,6 +14,7 @@ from docklens.config import CityConfig
 from docklens.functions.fill import blank_to_null, recode_status
 
 COUNTS = ("available_stands", "available_bikes")
+_PLACE = ("snapshot", "id", "timestamp", "status", *COUNTS)
 
 
 def read_gml(
@@ -120,38 +122,49 @@ def fill_counts(
     of a station; ``scope="station"`` stays inside the station.  Rows after
     which no count is known go to ``rejects``.
 
-    A snapshot is never ordered in one task.  Ids are cut into groups by their
-    first ``prefix`` characters, which keeps the text order; each group is
-    filled by itself, and a row per group carries the first known count of the
-    later groups back to it.
+    Rows with both counts stay where they are.  The others look their counts up
+    among the snapshot's different rows, which are never ordered in one task:
+    ids are cut into groups by their first ``prefix`` characters, which keeps
+    the text order; each group is filled by itself, and one row per group
+    carries the first known count of the later groups back to it.
     """
     if scope not in ("snapshot", "station"):
         raise ValueError("scope is 'snapshot' or 'station'")
-    group = ["snapshot", "part"]
+    readings = readings.withColumns({c: F.col(c).cast("int") for c in COUNTS})
+    complete = F.col(COUNTS[0]).isNotNull() & F.col(COUNTS[1]).isNotNull()
     part = F.col("id") if scope == "station" else F.substring("id", 1, prefix)
-    cut = readings.withColumn("part", part)
+    rows = readings.select(*_PLACE).distinct().withColumn("part", part)
+    group = ["snapshot", "part"]
     backwards = (
         Window.partitionBy(*group)
         .orderBy(F.desc("id"), F.desc("timestamp"), F.desc("status"),
                  *[F.desc_nulls_last(c) for c in COUNTS])
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    filled = cut.withColumns(
-        {c: F.last(c, ignorenulls=True).over(backwards) for c in COUNTS}
-    )
+    found = rows.withColumns(
+        {f"next_{c}": F.last(c, ignorenulls=True).over(backwards) for c in COUNTS}
+    ).where(~complete)
     if scope == "snapshot":
-        filled = _carry_back(cut, filled, group)
-    filled = filled.drop("part").withColumns(
-        {c: F.col(c).cast("int") for c in COUNTS}
+        found = _carry_back(rows, found, group)
+    found = found.select(*[F.col(c).alias(f"_{c}") for c in _PLACE],
+                         *[f"next_{c}" for c in COUNTS])
+    same_row = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in _PLACE])
+    filled = (
+        readings.where(~complete)
+        .join(found, same_row)
+        .withColumns({c: F.col(f"next_{c}") for c in COUNTS})
+        .select(*readings.columns)
+    )
+    return FilledReadings(
+        readings.where(complete).unionByName(filled.where(complete)),
+        filled.where(~complete),
     )
-    known = F.col(COUNTS[0]).isNotNull() & F.col(COUNTS[1]).isNotNull()
-    return FilledReadings(filled.where(known), filled.where(~known))
 
 
-def _carry_back(cut: DataFrame, filled: DataFrame, group: Sequence[str]) -> DataFrame:
+def _carry_back(rows: DataFrame, found: DataFrame, group: Sequence[str]) -> DataFrame:
     """Fill what is still open from the later groups of the same snapshot."""
     place = F.struct("id", "timestamp", "status", *COUNTS)
-    first_known: list[Column] = [
+    first_known = [
         F.min_by(c, F.when(F.col(c).isNotNull(), place)).alias(c) for c in COUNTS
     ]
     later = (
@@ -159,12 +172,10 @@ def _carry_back(cut: DataFrame, filled: DataFrame, group: Sequence[str]) -> Data
         .orderBy(F.desc("part"))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    carried = cut.groupBy(*group).agg(*first_known).select(
+    carried = rows.groupBy(*group).agg(*first_known).select(
         *group,
         *[F.last(c, ignorenulls=True).over(later).alias(f"later_{c}") for c in COUNTS],
     )
-    return (
-        filled.join(carried, list(group), "left")
-        .withColumns({c: F.coalesce(c, f"later_{c}") for c in COUNTS})
-        .drop(*[f"later_{c}" for c in COUNTS])
+    return found.join(carried, list(group)).withColumns(
+        {f"next_{c}": F.coalesce(f"next_{c}", f"later_{c}") for c in COUNTS}
     )

@@ -79,6 +79,25 @@ def test_geojson_snapshot_is_filled_across_stations(spark, tmp_path):
         feeds.fill_counts(raw, scope="city")
 
 
+def test_copies_are_filled_and_kept(spark):
+    ddl = (
+        "city_key string, snapshot string, id string, timestamp timestamp_ntz, "
+        "available_stands int, available_bikes int, status string"
+    )
+    row = lambda id_, stands, bikes, status=None: (
+        "lyon", "p", id_, datetime(2024, 1, 1), stands, bikes, status
+    )
+    df = spark.createDataFrame(
+        [row("1", None, 4)] * 3 + [row("1", 2, 4, "open"), row("2", 7, None)]
+        + [row("3", 8, 9)] * 2, ddl
+    )
+    found = feeds.fill_counts(df)
+    assert found.readings.columns == df.columns
+    assert rows_of(found.readings, "id", "available_stands", "available_bikes") == [
+        ("1", 2, 4)] * 4 + [("2", 7, 9)] + [("3", 8, 9)] * 2
+    assert found.rejects.count() == 0
+
+
 @pytest.mark.parametrize("prefix", [1, 2, 9])
 def test_fill_equals_pandas_whatever_the_grouping(spark, prefix):
     rng = np.random.default_rng(prefix)

@@ -47,6 +47,23 @@ def test_nested_series_keeps_every_reading_in_order(
     assert found[0].name == "name a" and found[0].nb_stands == 20
 
 
+@pytest.mark.parametrize("piece_rows", [3, 4, 100])
+def test_copies_reach_over_pieces(make_readings, make_station, piece_rows):
+    rows = (
+        [("a", "2024-01-01T00:00:00", 1)]
+        + [("a", "2024-01-01T00:10:00", 2)] * 7
+        + [("a", "2024-01-01T00:10:00", 3), ("a", "2024-01-01T05:00:00", None)]
+    )
+    df = timeseries.timeseries_nested(
+        make_readings(rows), make_station([]), None, "2024-01-01", "2024-02-01",
+        piece_rows=piece_rows,
+    )
+    found = df.collect()
+    assert [len(r.ts) for r in found[:-1]] == [piece_rows] * (len(found) - 1)
+    assert [b for r in found for b in r.available_bikes] == [row[2] for row in rows]
+    assert [s for r in found for s in r.status] == ["open"] * 10
+
+
 def test_latest_keeps_ties_and_drops_old_or_unknown_stations(make_readings, make_station):
     rows = [
         ("a", "2024-01-30T10:00:00", 3),
