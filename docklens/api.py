@@ -67,9 +67,10 @@ class BikeShare:
         return transactions.nest_daily(rows, "rank").orderBy("rank")
 
     def timeseries(self, city, ids, start, stop) -> DataFrame:
-        return timeseries.timeseries_nested(
+        nested = timeseries.timeseries_nested(
             self.readings, self.station, ids, start, stop, city
         )
+        return nested.orderBy("city_key", "id", "piece")
 
     def prediction_timeseries(
         self, city, ids, start, stop, values_num=5, with_current=False, freq="1H",

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docklens.functions.timecols import bin_start
@@ -13,6 +14,15 @@ BUCKET = "1H"
 PIECE_ROWS = 50_000
 
 
+def known(columns: Sequence[str]) -> Column:
+    """True where no column is null.
+
+    Written out before a self-join, because the join would add this filter to
+    its sides one by one, and sides that differ do not share their shuffle.
+    """
+    return reduce(Column.__and__, [F.col(c).isNotNull() for c in columns])
+
+
 def with_position(
     df: DataFrame,
     keys: Sequence[str],
@@ -32,20 +42,25 @@ def with_position(
         df.groupBy(*columns)
         .agg(F.count(F.lit(1)).alias("copies"))
         .withColumn("bucket", bin_start(ts, bucket))
+        .where(known([*keys, "bucket"]))
     )
-    earlier = Window.unboundedPreceding, -1
+    first, until_here, last = Window.unboundedPreceding, -1, Window.unboundedFollowing
     inside = Window.partitionBy(*keys, "bucket").orderBy(ts, *ties)
-    before = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(*earlier)
+    before = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(first, until_here)
     count_before = lambda column, window: F.coalesce(F.sum(column).over(window), F.lit(0))
-    offsets = (
-        df.groupBy(*keys, bin_start(ts, bucket).alias("bucket"))
-        .agg(F.count(F.lit(1)).alias("size"))
-        .select(*keys, "bucket", count_before("size", before).alias("offset"))
+    marked = cut.withColumns(
+        {
+            "inside": count_before("copies", inside.rowsBetween(first, until_here)),
+            "size": F.sum("copies").over(inside.rowsBetween(first, last)),
+            "is_head": F.row_number().over(inside) == 1,
+        }
     )
-    return (
-        cut.withColumn("inside", count_before("copies", inside.rowsBetween(*earlier)))
-        .join(offsets, [*keys, "bucket"])
-        .select(*columns, "copies", (F.col("offset") + F.col("inside")).alias("position"))
+    # both sides of the join start from the same shuffle, which Spark reuses
+    offsets = marked.where("is_head").select(
+        *keys, "bucket", count_before("size", before).alias("offset")
+    )
+    return marked.join(offsets, [*keys, "bucket"]).select(
+        *columns, "copies", (F.col("offset") + F.col("inside")).alias("position")
     )
 
 

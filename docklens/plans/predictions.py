@@ -47,14 +47,15 @@ def prediction_timeseries(
     names = station.select(*KEYS, "name", F.col("nb_stations").alias("nb_stands"))
     wanted = None if ids is None else as_ids(ids)
     rows = only_ids(time_slice(_of_frequency(prediction, freq), start, stop, city), wanted)
+    # the last rows of all stations are among the last rows of each: cut before the join
+    ends = last_rows(
+        rows.select(*KEYS, "timestamp", "nb_bikes"), ["timestamp", "nb_bikes"], values_num, KEYS
+    )
     predicted = (
-        rows.select(*KEYS, "timestamp", "nb_bikes")
-        .join(names, KEYS)
-        .withColumn("at", F.lit(step_text(freq)))
-        .select(*_COLUMNS)
+        ends.join(names, KEYS).withColumn("at", F.lit(step_text(freq))).select(*_COLUMNS)
     )
-    order = ["id", "timestamp", "nb_bikes"]
-    predicted = last_rows(predicted, order, values_num, KEYS if per_station else None)
+    if not per_station:
+        predicted = last_rows(predicted, ["id", "timestamp", "nb_bikes"], values_num)
     if not with_current:
         return predicted.orderBy("id", "timestamp")
     current = (

@@ -68,7 +68,7 @@ def timeseries_nested(
     rows = _selected(readings, ids, start, stop, city)
     ties = ("available_bikes", "available_stands", "status")
     nested = nest_series(rows, KEYS, "timestamp", columns, ties, piece_rows)
-    return nested.join(_names(station), KEYS, "left").orderBy(*KEYS, "piece")
+    return nested.join(_names(station), KEYS, "left")
 
 
 def _on_map(latest: DataFrame, station: DataFrame, limit: int | None) -> DataFrame:

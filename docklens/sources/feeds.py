@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from docklens import schemas
 from docklens.config import CityConfig
 from docklens.functions.fill import blank_to_null, recode_status
+from docklens.operators.series import known
 
 COUNTS = ("available_stands", "available_bikes")
 _PLACE = ("snapshot", "id", "timestamp", "status", *COUNTS)
@@ -131,19 +132,20 @@ def fill_counts(
     if scope not in ("snapshot", "station"):
         raise ValueError("scope is 'snapshot' or 'station'")
     readings = readings.withColumns({c: F.col(c).cast("int") for c in COUNTS})
-    complete = F.col(COUNTS[0]).isNotNull() & F.col(COUNTS[1]).isNotNull()
+    complete = known(COUNTS)
     part = F.col("id") if scope == "station" else F.substring("id", 1, prefix)
-    rows = readings.select(*_PLACE).distinct().withColumn("part", part)
     group = ["snapshot", "part"]
-    backwards = (
-        Window.partitionBy(*group)
-        .orderBy(F.desc("id"), F.desc("timestamp"), F.desc("status"),
-                 *[F.desc_nulls_last(c) for c in COUNTS])
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = readings.select(*_PLACE).distinct().withColumn("part", part).where(known(group))
+    backwards = Window.partitionBy(*group).orderBy(
+        F.desc("id"), F.desc("timestamp"), F.desc("status"),
+        *[F.desc_nulls_last(c) for c in COUNTS],
     )
-    found = rows.withColumns(
-        {f"next_{c}": F.last(c, ignorenulls=True).over(backwards) for c in COUNTS}
-    ).where(~complete)
+    running = backwards.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumns(
+        {f"next_{c}": F.last(c, ignorenulls=True).over(running) for c in COUNTS}
+        | {"is_first": F.lead(F.lit(False), 1, True).over(backwards)}
+    )
+    found = rows.where(~complete)
     if scope == "snapshot":
         found = _carry_back(rows, found, group)
     found = found.select(*[F.col(c).alias(f"_{c}") for c in _PLACE],
@@ -151,7 +153,7 @@ def fill_counts(
     same_row = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in _PLACE])
     filled = (
         readings.where(~complete)
-        .join(found, same_row)
+        .join(found, same_row, "left")
         .withColumns({c: F.col(f"next_{c}") for c in COUNTS})
         .select(*readings.columns)
     )
@@ -162,19 +164,18 @@ def fill_counts(
 
 
 def _carry_back(rows: DataFrame, found: DataFrame, group: Sequence[str]) -> DataFrame:
-    """Fill what is still open from the later groups of the same snapshot."""
-    place = F.struct("id", "timestamp", "status", *COUNTS)
-    first_known = [
-        F.min_by(c, F.when(F.col(c).isNotNull(), place)).alias(c) for c in COUNTS
-    ]
+    """Fill what is still open from the later groups of the same snapshot.
+
+    The first row of a group holds the group's first known counts.
+    """
     later = (
         Window.partitionBy("snapshot")
         .orderBy(F.desc("part"))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    carried = rows.groupBy(*group).agg(*first_known).select(
-        *group,
-        *[F.last(c, ignorenulls=True).over(later).alias(f"later_{c}") for c in COUNTS],
+    next_known = lambda c: F.last(f"next_{c}", ignorenulls=True).over(later)
+    carried = rows.where("is_first").select(
+        *group, *[next_known(c).alias(f"later_{c}") for c in COUNTS]
     )
     return found.join(carried, list(group)).withColumns(
         {f"next_{c}": F.coalesce(f"next_{c}", f"later_{c}") for c in COUNTS}

@@ -39,7 +39,7 @@ def test_nested_series_keeps_every_reading_in_order(
         make_readings(rows[::-1]), make_station(["a"]), None, "2024-01-01", "2024-02-01",
         piece_rows=piece_rows,
     )
-    found = df.collect()
+    found = df.orderBy("piece").collect()
     assert [r.piece for r in found] == list(range(pieces))
     assert all(len(r.ts) <= piece_rows for r in found)
     assert [b for r in found for b in r.available_bikes] == [row[2] for row in rows]
@@ -58,7 +58,7 @@ def test_copies_reach_over_pieces(make_readings, make_station, piece_rows):
         make_readings(rows), make_station([]), None, "2024-01-01", "2024-02-01",
         piece_rows=piece_rows,
     )
-    found = df.collect()
+    found = df.orderBy("piece").collect()
     assert [len(r.ts) for r in found[:-1]] == [piece_rows] * (len(found) - 1)
     assert [b for r in found for b in r.available_bikes] == [row[2] for row in rows]
     assert [s for r in found for s in r.status] == ["open"] * 10
