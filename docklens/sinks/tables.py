@@ -18,6 +18,8 @@ from docklens import schemas
 from docklens.functions.timecols import step_text
 from docklens.session import cut_lineage
 
+# the writer's own format would cut times to milliseconds
+CSV_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 PREDICTION_KEY = ("city_key", "timestamp", "frequency", "station_id")
 
 
@@ -66,9 +68,9 @@ def write_snapshot_csv(readings: DataFrame, path: str) -> None:
         "city_key",
         F.to_date("timestamp").alias("date"),
         *[f.name for f in schemas.SNAPSHOT_CSV],
-    ).write.partitionBy("city_key", "date").option("header", "true").mode(
-        "errorifexists"
-    ).csv(path)
+    ).write.partitionBy("city_key", "date").mode("errorifexists").csv(
+        path, header=True, timestampNTZFormat=CSV_TIME
+    )
 
 
 def append_readings(readings: DataFrame, lake: str) -> None:
@@ -147,9 +149,11 @@ def write_predictions(prediction: DataFrame, lake: str, frequency: str | None =
 
 
 def write_weather(rows: DataFrame, lake: str, kind: str) -> None:
-    """Current or forecast weather by poll day."""
+    """Current or forecast weather by city (column ``city_key``) and poll day."""
     if kind not in ("current", "forecast"):
         raise ValueError("kind is 'current' or 'forecast'")
     polled = "date" if kind == "current" else "forecast_at"
-    dated = _canonical(rows, f"weather_{kind}").withColumn("polled_on", F.to_date(polled))
-    _write(dated, _target(lake, f"weather_{kind}"), ["polled_on"], "append")
+    dated = _canonical(rows, f"weather_{kind}", "city_key").withColumn(
+        "polled_on", F.to_date(polled)
+    )
+    _write(dated, _target(lake, f"weather_{kind}"), ["city_key", "polled_on"], "append")

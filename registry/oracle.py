@@ -523,6 +523,13 @@ _oracle("legacy_centroids", "centroid", f"""
   SELECT city_key, cluster_id, "start", "stop",
     {", ".join(_HOURS)} FROM centroid""")
 
+_oracle("centroid_long", "centroid", """
+  SELECT city_key, cluster_id, "start", "stop", CAST(h AS INTEGER) AS "hour", v AS value
+  FROM (
+    SELECT city_key, cluster_id, "start", "stop", unnest(generate_series(0, 23)) AS h,
+      unnest([""" + ", ".join(_HOURS) + """]) AS v
+    FROM centroid)""")
+
 # Rebase ----------------------------------------------------------------------
 
 _oracle("rebase_readings", "readings", """
@@ -538,6 +545,10 @@ _oracle("daily_store", "daily", "SELECT * FROM daily")
 _oracle("prediction_store", "prediction", """
   SELECT * REPLACE (CASE WHEN nb_bikes < 10 THEN 0.5::DOUBLE ELSE availability END
     AS availability) FROM prediction""")
+_oracle("snapshot_csv", "readings", """
+  SELECT id, "timestamp", available_stands, available_bikes, status, city_key FROM readings""")
+_oracle("cluster_store", "clustering", "SELECT * FROM clustering")
+_oracle("station_store", "station", "SELECT * FROM station")
 _oracle("json_export", "daily", """
   SELECT '{"city_key":"' || city_key || '","id":"' || id || '","number":'
     || CAST(number AS VARCHAR) || ',"date":"' || CAST("date" AS VARCHAR) || '"}' AS json

@@ -705,6 +705,12 @@ def legacy_centroids(spark, folder):
     )
 
 
+@query
+def centroid_long(spark, folder):
+    keys = ["city_key", "cluster_id", "start", "stop"]
+    return clusters.long_profiles(adapters.centroid(spark, folder), keys)
+
+
 # Rebase ----------------------------------------------------------------------
 
 
@@ -751,6 +757,34 @@ def readings_store(spark, folder):
     return timeseries.timeseries(stored, _station(spark, folder), None, FIRST, DAY).drop("date")
 
 
+@query
+def snapshot_csv(spark, folder):
+    """Written as snapshot files by city and day, then read back."""
+    path = scratch_path(spark, "snapshot")
+    sink.write_snapshot_csv(_readings(spark, folder), path)
+    rows = feeds.read_snapshot_csv(spark, path)
+    return feeds.drop_unloadable(rows).drop("snapshot", "date")
+
+
+@query
+def cluster_store(spark, folder):
+    """Labels and centroids of both runs, written twice, the labels read back."""
+    lake = scratch_path(spark, "cluster")
+    for _ in range(2):
+        sink.write_clusters(
+            adapters.clustering(spark, folder), adapters.centroid(spark, folder), lake
+        )
+    return read_table(spark, lake, "clustering")
+
+
+@query
+def station_store(spark, folder):
+    lake = scratch_path(spark, "station")
+    for _ in range(2):
+        sink.write_stations(_station(spark, folder), lake)
+    return read_table(spark, lake, "station")
+
+
 @query
 def json_export(spark, folder):
     rows = _daily(spark, folder).select("city_key", "id", "number", "date")

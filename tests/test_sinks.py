@@ -105,6 +105,7 @@ def test_snapshots_and_weather(spark, make_readings, tmp_path):
         [(datetime(2024, 1, 1, 10), 800, "Clear", 1.0, 0.0, 2.0, 1000.0, 50.0, 3.0, 10)],
         schemas.WEATHER_CURRENT,
     )
+    rows = rows.selectExpr("*", "'lyon' as city_key")
     sink.write_weather(rows, str(tmp_path), "current")
     assert read_table(spark, str(tmp_path), "weather_current").collect()[0].temp == 1.0
     with pytest.raises(ValueError):
