@@ -68,9 +68,9 @@ def write_snapshot_csv(readings: DataFrame, path: str) -> None:
         "city_key",
         F.to_date("timestamp").alias("date"),
         *[f.name for f in schemas.SNAPSHOT_CSV],
-    ).write.partitionBy("city_key", "date").mode("errorifexists").csv(
-        path, header=True, timestampNTZFormat=CSV_TIME
-    )
+    ).write.partitionBy("city_key", "date").mode("errorifexists").option(
+        "timestampNTZFormat", CSV_TIME
+    ).csv(path, header=True)
 
 
 def append_readings(readings: DataFrame, lake: str) -> None:
