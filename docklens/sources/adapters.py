@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from docklens.functions.timecols import interval
 from docklens.plans.transactions import daily_transactions
 from docklens.schemas import HOUR_COLUMNS
-from docklens.streaming.ingest import read_stream
+from docklens.streaming.ingest import SPREAD, read_stream
 
 DOCKS = 40
 RUNS = ((date(2024, 1, 1), date(2024, 1, 15)), (date(2024, 1, 1), date(2024, 1, 31)))
@@ -72,7 +72,7 @@ def with_city(events: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
     return events.join(owner, F.col("user_id") == F.col("c_custkey")).drop("c_custkey")
 
 
-def as_readings(events: DataFrame) -> DataFrame:
+def as_readings(events: DataFrame, *keep: str) -> DataFrame:
     return events.select(
         "city_key",
         F.col("user_id").cast("string").alias("id"),
@@ -80,6 +80,7 @@ def as_readings(events: DataFrame) -> DataFrame:
         (DOCKS - _bikes()).alias("available_stands"),
         _bikes().alias("available_bikes"),
         F.when(F.col("event_type") == "error", "closed").otherwise("open").alias("status"),
+        *keep,
     )
 
 
@@ -93,7 +94,7 @@ def timeseries(spark: SparkSession, folder: str) -> DataFrame:
 
 def timeseries_stream(spark: SparkSession, folder: str) -> DataFrame:
     landed = read_stream(spark, folder, EVENTS, name_filter="events.parquet")
-    return as_readings(with_city(landed, spark, folder))
+    return as_readings(with_city(landed, spark, folder), SPREAD)
 
 
 def daily_transaction(spark: SparkSession, folder: str) -> DataFrame:

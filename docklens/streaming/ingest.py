@@ -12,6 +12,8 @@ from docklens.functions.timecols import event_time
 
 DELAY = "1 hour"
 EVENT_TIME = "event_time"
+SPREAD = "spread"
+SPREADS = 16
 READING_KEY = ["city_key", "id", "timestamp"]
 
 
@@ -22,13 +24,18 @@ def read_stream(
     name_filter: str | None = None,
     files_per_batch: int | None = None,
 ) -> DataFrame:
-    """Parquet files as they land in ``path``."""
+    """Parquet files as they land in ``path``.
+
+    ``spread`` is a small number that follows from the file's name; it tells
+    copies of a reading apart by the file they came in.
+    """
     reader = spark.readStream.schema(schema)
     if name_filter is not None:
         reader = reader.option("pathGlobFilter", name_filter)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+    file = F.xxhash64("_metadata.file_path")
+    return reader.parquet(path).withColumn(SPREAD, F.pmod(file, F.lit(SPREADS)))
 
 
 def watermarked(stream: DataFrame, delay: str = DELAY) -> DataFrame:
@@ -41,13 +48,16 @@ def watermarked(stream: DataFrame, delay: str = DELAY) -> DataFrame:
 def without_copies(stream: DataFrame, delay: str = DELAY) -> DataFrame:
     """One reading per station and time: feeds repeat unchanged readings.
 
-    State is held per reading, spread over every key column, and dropped once
-    the watermark has passed it.  Two different rows with one station and time
-    are one reading here; the batch queries keep both.
+    State is held per reading and dropped once the watermark has passed it.  A
+    station that stands still repeats one reading in every file: with a
+    ``spread`` column its copies are first reduced apart from each other, so
+    they do not all meet in one task.  Two different rows with one station and
+    time are one reading here; the batch queries keep both.
     """
-    return watermarked(stream, delay).dropDuplicatesWithinWatermark(READING_KEY).drop(
-        EVENT_TIME
-    )
+    rows = watermarked(stream, delay)
+    if SPREAD in stream.columns:
+        rows = rows.dropDuplicatesWithinWatermark([*READING_KEY, SPREAD])
+    return rows.dropDuplicatesWithinWatermark(READING_KEY).drop(EVENT_TIME, SPREAD)
 
 
 def ingest(
