@@ -1,8 +1,9 @@
 """The recurring jobs: read stored tables, compute, write one part.
 
 Every job can be run again with the same arguments; it then replaces what it
-wrote before (``load_readings`` appends and is guarded by ``streaming.ingest``
-where feeds are polled continuously).  No job looks at the clock.
+wrote before.  Loading readings and weather appends; where feeds are polled
+continuously, ``poll_readings`` stores each file and each reading once.  No job
+looks at the clock.
 """
 
 from __future__ import annotations
@@ -20,11 +21,11 @@ from docklens.sinks import tables as sink
 from docklens.sources import feeds, weather
 from docklens.sources.stations import coordinates, normalise_stations
 from docklens.sources.tables import read_table
+from docklens.streaming.ingest import ingest
+from docklens.streaming.landing import land_feed, read_landed
 
 PREDICTION_SPAN = timedelta(minutes=10)
 
-_FEEDS = {"bordeaux": feeds.read_gml, "lyon": feeds.read_geojson}
-
 
 def load_stations(raw: DataFrame, city: str, lake: str) -> None:
     """Replace a city's stations by a station extract."""
@@ -33,7 +34,7 @@ def load_stations(raw: DataFrame, city: str, lake: str) -> None:
 
 def read_feed(spark: SparkSession, path: str, city: str) -> feeds.FilledReadings:
     """Canonical readings of a city's landed snapshots, missing counts filled."""
-    raw = _FEEDS[check_city(city)](spark, path)
+    raw = feeds.READERS[check_city(city)](spark, path)
     return feeds.fill_counts(feeds.canonical_readings(raw, CITIES[city]))
 
 
@@ -44,6 +45,15 @@ def load_readings(spark: SparkSession, path: str, city: str, lake: str) -> DataF
     return found.rejects
 
 
+def poll_readings(
+    spark: SparkSession, path: str, city: str, lake: str, checkpoint: str
+) -> None:
+    """Append what is new in ``path`` since the last call, without copies."""
+    landed = f"{lake.rstrip('/')}/landed/{check_city(city)}"
+    land_feed(spark, path, city, landed, f"{checkpoint}/land").awaitTermination()
+    ingest(read_landed(spark, landed), lake, f"{checkpoint}/ingest").awaitTermination()
+
+
 def roll_up_day(spark: SparkSession, lake: str, city: str, day: date | str) -> None:
     """Write the daily transactions of one day."""
     check_city(city)

@@ -76,6 +76,9 @@ def feature_rows(documents: DataFrame) -> DataFrame:
     )
 
 
+READERS = {"bordeaux": read_gml, "lyon": read_geojson}
+
+
 def read_snapshot_csv(spark: SparkSession, path: str) -> DataFrame:
     """Canonical snapshot files; counts stay text for ``drop_unloadable``."""
     return (

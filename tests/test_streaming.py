@@ -1,10 +1,12 @@
 import pytest
 from conftest import rows_of
+from test_sources import GML, MEMBER, feature, geojson
 from test_transactions import E1
 
+from docklens import jobs
 from docklens.plans import transactions
 from docklens.sources.tables import read_table
-from docklens.streaming import ingest, latest, rolling
+from docklens.streaming import ingest, landing, latest, rolling
 from docklens.streaming import transactions as running
 from docklens.streaming.versions import read_changes, store_changes
 
@@ -112,3 +114,36 @@ def test_latest_rows_follow_the_stream(spark, landed, make_readings, tmp_path):
         ("b", "2024-01-02 00:01:00", 9),
         ("c", "2024-01-01 09:00:00", None),
     ]
+
+
+def test_polled_feeds_are_landed_and_stored_once(spark, tmp_path):
+    folder, lake, checkpoint = tmp_path / "feed", str(tmp_path / "lake"), str(tmp_path / "cp")
+    folder.mkdir()
+    geojson(folder, "a.json", feature("1", "", 4), feature("2", 7, 5))
+    poll = lambda: jobs.poll_readings(spark, str(folder), "lyon", lake, checkpoint)
+    stored = lambda: rows_of(
+        read_table(spark, lake, "timeseries"), "id", "available_stands", "available_bikes"
+    )
+    poll()
+    assert stored() == [("1", 7, 4), ("2", 7, 5)]
+    # the next snapshot repeats one reading and brings a new one; the last has no counts
+    geojson(folder, "b.json", feature("2", 7, 5), feature("3", 1, 1), feature("4", "", ""))
+    poll()
+    assert stored() == [("1", 7, 4), ("2", 7, 5), ("3", 1, 1)]
+    poll()
+    assert len(stored()) == 3
+    assert spark.read.parquet(f"{lake}/landed/lyon/rejects").count() == 1
+
+
+def test_gml_feed_as_a_stream(spark, tmp_path):
+    (tmp_path / "feed").mkdir()
+    member = MEMBER.format(gid=1, ident=12, nom="M\u00e9ri", etat="CONNECTEE", places=5,
+                           velos=7, mdate="2024-01-02T10:00:00")
+    (tmp_path / "feed" / "a.xml").write_bytes(GML.format(members=member).encode("ISO-8859-1"))
+    landing.land_feed(
+        spark, str(tmp_path / "feed"), "bordeaux", str(tmp_path / "landed"), str(tmp_path / "cp")
+    ).awaitTermination()
+    found = spark.read.parquet(str(tmp_path / "landed" / "readings"))
+    assert rows_of(found, "city_key", "id", "available_stands", "available_bikes") == [
+        ("bordeaux", "12", 5, 7)
+    ]
