@@ -1,7 +1,7 @@
 """The recurring jobs: read stored tables, compute, write one part.
 
 Every job can be run again with the same arguments; it then replaces what it
-wrote before.  Loading readings and weather appends; where feeds are polled
+wrote before (weather documents are appended).  Where feeds are polled
 continuously, ``poll_readings`` stores each file and each reading once.  No job
 looks at the clock.
 """
@@ -38,10 +38,12 @@ def read_feed(spark: SparkSession, path: str, city: str) -> feeds.FilledReadings
     return feeds.fill_counts(feeds.canonical_readings(raw, CITIES[city]))
 
 
-def load_readings(spark: SparkSession, path: str, city: str, lake: str) -> DataFrame:
-    """Append a city's landed snapshots; returns the rows that were rejected."""
+def load_readings(
+    spark: SparkSession, path: str, city: str, lake: str, load: str
+) -> DataFrame:
+    """Add a city's landed snapshots as ``load``; returns the rows that were rejected."""
     found = read_feed(spark, path, city)
-    sink.append_readings(found.readings, lake)
+    sink.append_readings(found.readings, lake, f"{city}-{load}")
     return found.rejects
 
 
@@ -51,7 +53,9 @@ def poll_readings(
     """Append what is new in ``path`` since the last call, without copies."""
     landed = f"{lake.rstrip('/')}/landed/{check_city(city)}"
     land_feed(spark, path, city, landed, f"{checkpoint}/land").awaitTermination()
-    ingest(read_landed(spark, landed), lake, f"{checkpoint}/ingest").awaitTermination()
+    ingest(
+        read_landed(spark, landed), lake, f"{checkpoint}/ingest", name=f"poll-{city}"
+    ).awaitTermination()
 
 
 def roll_up_day(spark: SparkSession, lake: str, city: str, day: date | str) -> None:

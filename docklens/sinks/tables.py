@@ -20,6 +20,7 @@ from docklens.session import cut_lineage
 
 # the writer's own format would cut times to milliseconds
 CSV_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+LOAD = "load"
 PREDICTION_KEY = ("city_key", "timestamp", "frequency", "station_id")
 
 
@@ -73,11 +74,17 @@ def write_snapshot_csv(readings: DataFrame, path: str) -> None:
     ).csv(path, header=True)
 
 
-def append_readings(readings: DataFrame, lake: str) -> None:
-    rows = _canonical(readings, "timeseries").withColumn("date", F.to_date("timestamp"))
-    _write(
-        rows, _target(lake, "timeseries"), ["city_key", "date"], "append", ["id", "timestamp"]
+def append_readings(readings: DataFrame, lake: str, load: str) -> None:
+    """Add readings under the name ``load``.
+
+    A load owns its partitions: storing it again replaces it, other loads of
+    the same days stay.
+    """
+    rows = _canonical(readings, "timeseries").withColumns(
+        {"date": F.to_date("timestamp"), LOAD: F.lit(load)}
     )
+    partition = ["city_key", "date", LOAD]
+    _write(rows, _target(lake, "timeseries"), partition, "overwrite", ["id", "timestamp"])
 
 
 def write_daily(daily: DataFrame, lake: str) -> None:

@@ -54,11 +54,14 @@ def date_range(
 
 
 def read_table(spark: SparkSession, lake: str, name: str) -> DataFrame:
-    """A stored table with the column types of its canonical schema."""
+    """A stored table with the column types of its canonical schema.
+
+    Partition columns beside the schema (``date``) come last.
+    """
     schema = getattr(schemas, name.upper())
     df = spark.read.parquet(f"{lake.rstrip('/')}/{name}")
     typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]
-    extra = [c for c in df.columns if c not in schema.names]
+    extra = [c for c in df.columns if c not in (*schema.names, "load")]
     return df.select(*typed, *extra)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from docklens import schemas
 from docklens.functions.timecols import event_time
+from docklens.sinks.tables import append_readings
 
 DELAY = "1 hour"
 EVENT_TIME = "event_time"
@@ -61,19 +62,23 @@ def without_copies(stream: DataFrame, delay: str = DELAY) -> DataFrame:
 
 
 def ingest(
-    stream: DataFrame, lake: str, checkpoint: str, delay: str = DELAY
+    stream: DataFrame, lake: str, checkpoint: str, delay: str = DELAY, name: str = "stream"
 ) -> StreamingQuery:
     """Append de-duplicated readings to the stored table; ends when caught up.
 
-    The file sink records each batch in the target's log, so a batch that is
-    repeated after a failure is not stored twice.
+    Each batch is a load of its own, so a batch that is repeated after a failure
+    replaces itself, and batch jobs may write to the same table.  ``name`` tells
+    the streams into one table apart.
     """
-    rows = without_copies(stream, delay).withColumn("date", F.to_date("timestamp"))
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        append_readings(batch, lake, f"{name}-{batch_id}")
+
     return (
-        rows.writeStream.format("parquet")
-        .outputMode("append")
-        .partitionBy("city_key", "date")
+        without_copies(stream, delay)
+        .writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
+        .foreachBatch(store)
         .trigger(availableNow=True)
-        .start(f"{lake.rstrip('/')}/timeseries")
+        .start()
     )
