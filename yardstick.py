@@ -1,0 +1,83 @@
+"""Times five headline results in one pandas process, as a yardstick for bench.py.
+
+    python yardstick.py [folder]
+
+The results are those of the registered queries of the same names; input is read
+from the same files, and reading it is part of the time.
+"""
+
+from __future__ import annotations
+
+import json
+import sys
+import time
+
+import pandas as pd
+
+
+def readings(folder: str) -> pd.DataFrame:
+    events = pd.read_parquet(f"{folder}/events.parquet")
+    bikes = events.value.astype(int) % 41
+    return pd.DataFrame(
+        {
+            "id": events.user_id.astype(str),
+            "ts": events.ts,
+            "bikes": bikes,
+            "stands": 40 - bikes,
+            "open": events.event_type != "error",
+        }
+    ).sort_values(["id", "ts"])
+
+
+def daily_transactions(folder: str) -> int:
+    rows = readings(folder).drop_duplicates().query("open")
+    totals = rows.groupby(["id", rows.ts.dt.date])["bikes"].apply(
+        lambda day: day.diff().abs().sum()
+    )
+    return len(totals)
+
+
+def hourly_profile(folder: str) -> int:
+    count = 0
+    for _, station in readings(folder).groupby("id"):
+        changes = station.set_index("ts")["bikes"].diff().abs().dropna()
+        hours = changes.resample("h").sum()
+        count += len(hours.groupby(hours.index.hour).agg(["sum", "mean"]))
+    return count
+
+
+def backfill_grid(folder: str) -> int:
+    rows = readings(folder).drop_duplicates().query("open")
+    rows["probability"] = rows.bikes / (rows.bikes + rows.stands)
+    values = ["bikes", "stands", "probability"]
+    return len(rows.set_index("ts").groupby("id")[values].resample("10min").mean().bfill())
+
+
+def cluster_matrix(folder: str) -> int:
+    rows = readings(folder)
+    rows = rows[rows.groupby("id")["bikes"].transform("max") > 0]
+    wide = rows.set_index("ts").groupby("id")["bikes"].resample("5min").mean().bfill().unstack(0)
+    wide = wide[wide.index.weekday < 5]
+    means = wide.groupby(wide.index.hour).mean()
+    return (means / means.max()).size
+
+
+def latest_availability(folder: str) -> int:
+    rows = readings(folder)
+    rows = rows[rows.ts >= "2024-01-29"]
+    return int((rows.ts == rows.groupby("id")["ts"].transform("max")).sum())
+
+
+def main(folder: str) -> None:
+    times = {}
+    for job in (
+        daily_transactions, hourly_profile, backfill_grid, cluster_matrix, latest_availability
+    ):
+        started = time.perf_counter()
+        job(folder)
+        times[job.__name__] = round(time.perf_counter() - started, 3)
+    print(json.dumps({"unit": "sec", "queries": times, "folder": folder}))
+
+
+if __name__ == "__main__":
+    main(sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1")
