@@ -136,13 +136,14 @@ def stored(spark: SparkSession, path: str, schema) -> DataFrame | None:
 def write_predictions(prediction: DataFrame, lake: str, frequency: str | None = None) -> None:
     """Insert predictions; a row with the same key replaces the stored one.
 
-    Only the days touched are read and rewritten.
+    Copies are one row; two different rows for one key are refused.  Only the
+    days touched are read and rewritten.
     """
     partition = ["city_key", "frequency", "date"]
     if frequency is not None:
         prediction = prediction.withColumn("frequency", F.lit(step_text(frequency)))
     rows = _canonical(prediction, "prediction").withColumn("date", F.to_date("timestamp"))
-    rows = cut_lineage(rows)  # used four times below
+    rows = cut_lineage(rows.distinct())  # used four times below
     assert_unique(rows, PREDICTION_KEY)
     path = _target(lake, "prediction")
     old = stored(rows.sparkSession, path, rows.schema)

@@ -93,7 +93,8 @@ def timeseries(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def timeseries_stream(spark: SparkSession, folder: str) -> DataFrame:
-    landed = read_stream(spark, folder, EVENTS, name_filter="events.parquet")
+    # a glob matches one file as well as a folder of files
+    landed = read_stream(spark, f"{folder}/events*.parquet", EVENTS)
     return as_readings(with_city(landed, spark, folder), SPREAD)
 
 

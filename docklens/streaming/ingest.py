@@ -22,17 +22,14 @@ def read_stream(
     spark: SparkSession,
     path: str,
     schema: T.StructType = schemas.TIMESERIES,
-    name_filter: str | None = None,
     files_per_batch: int | None = None,
 ) -> DataFrame:
-    """Parquet files as they land in ``path``.
+    """Parquet files as they land in ``path`` (a folder or a glob).
 
     ``spread`` is a small number that follows from the file's name; it tells
     copies of a reading apart by the file they came in.
     """
     reader = spark.readStream.schema(schema)
-    if name_filter is not None:
-        reader = reader.option("pathGlobFilter", name_filter)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     file = F.xxhash64("_metadata.file_path")

@@ -30,11 +30,11 @@ def run_latest(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     def fold(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         columns = schemas.TIMESERIES.names
-        rows = newest(batch.select(*columns).distinct(), KEYS)
+        rows = newest(batch.select(*columns), KEYS).distinct()
         if batch_id > 0:
             before = stored(spark, slot(batch_id - 1), schemas.TIMESERIES)
             if before is not None:
-                rows = newest(before.unionByName(rows).distinct(), KEYS)
+                rows = newest(before.unionByName(rows), KEYS).distinct()
         rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
             slot(batch_id)
         )

@@ -59,7 +59,7 @@ def test_predictions_replace_equal_keys(spark, tmp_path):
     )
     make = lambda *rows: spark.createDataFrame(rows, schemas.PREDICTION)
     sink.write_predictions(make(row("1", 1), row("2", 2), row("1", 3, 11)), lake)
-    sink.write_predictions(make(row("1", 9), row("1", 5, freq="30T")), lake)
+    sink.write_predictions(make(row("1", 9), row("1", 9), row("1", 5, freq="30T")), lake)
     found = read_table(spark, lake, "prediction")
     assert rows_of(found, "station_id", "timestamp", "frequency", "nb_bikes") == [
         ("1", time, "1H", 9), ("1", time, "30T", 5),
