@@ -37,16 +37,24 @@ def hourly_changes(
     ts: str = "timestamp",
     value: str = "available_bikes",
     bucket: str = BUCKET,
+    unique: bool = False,
 ) -> DataFrame:
     """Per ``keys`` and bucket: inner sum of |difference|, first and last value.
 
     Equal times are ordered by the counts.  A copy adds a difference of zero, so
     it only matters for ``changes``, the number of known differences.
+
+    ``bucket`` is the stretch of one station that a task orders; a finer one
+    spreads very dense stations further.  ``unique`` promises that there are no
+    copies (as in a table filled by the ingest stream) and saves their shuffle.
     """
     order = Window.partitionBy(*keys, "bucket").orderBy(ts, *TIES)
+    if unique:
+        rows = readings.withColumn("copies", F.lit(1))
+    else:
+        rows = collapse_copies(readings, keys, ts)
     marked = (
-        collapse_copies(readings, keys, ts)
-        .withColumn("bucket", bin_start(ts, bucket))
+        rows.withColumn("bucket", bin_start(ts, bucket))
         .select(
             *keys,
             "bucket",

@@ -9,24 +9,35 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docklens.config import as_date, as_ids
-from docklens.functions.timecols import interval
-from docklens.operators.changes import hourly_changes, join_hours
+from docklens.functions.timecols import hour_start, interval, step_seconds
+from docklens.operators.changes import BUCKET, hourly_changes, join_hours
 from docklens.operators.series import nest
 from docklens.operators.topk import only_ids
 from docklens.plans.transactions import daily_rows
 from docklens.sources.tables import time_slice
 
 KEYS = ["city_key", "id"]
+HOUR = 3600
 
 
-def hourly_totals(readings: DataFrame) -> DataFrame:
+def hourly_totals(
+    readings: DataFrame, bucket: str = BUCKET, unique: bool = False
+) -> DataFrame:
     """Transactions per station and hour, gaps between known hours as 0.
 
     Differences run across midnight and need no open status.  The hours are the
-    buckets of ``hourly_changes``, so readings are shuffled only there.
+    buckets of ``hourly_changes`` (or made of them, when they are finer), so
+    readings are shuffled only there.
     """
-    hours = join_hours(hourly_changes(readings, KEYS), KEYS).where(F.col("changes") > 0)
-    hour = interval(3600)
+    if HOUR % step_seconds(bucket):
+        raise ValueError(f"{bucket!r} does not divide an hour")
+    buckets = join_hours(hourly_changes(readings, KEYS, bucket=bucket, unique=unique), KEYS)
+    hours = buckets.where(F.col("changes") > 0)
+    if step_seconds(bucket) < HOUR:
+        hours = hours.groupBy(*KEYS, hour_start(F.col("bucket")).alias("bucket")).agg(
+            F.sum("total").alias("total")
+        )
+    hour = interval(HOUR)
     earlier = F.lag("bucket").over(Window.partitionBy(*KEYS).orderBy("bucket"))
     return hours.withColumn("start", F.coalesce(earlier + hour, F.col("bucket"))).select(
         *KEYS,

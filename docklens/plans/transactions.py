@@ -16,23 +16,27 @@ from docklens.config import (
     check_ordering,
     time_window,
 )
-from docklens.operators.changes import hourly_changes, total_changes
+from docklens.operators.changes import BUCKET, hourly_changes, total_changes
 from docklens.operators.series import nest
 from docklens.operators.topk import only_ids, ranked_top
 from docklens.sources.tables import date_range, time_slice
 
 
-def daily_transactions(readings: DataFrame) -> DataFrame:
+def daily_transactions(
+    readings: DataFrame, bucket: str = BUCKET, unique: bool = False
+) -> DataFrame:
     """Bikes taken or returned per station and day, from open readings.
 
     The sum of |difference| over a day's different open readings in time order.
-    Differences never cross midnight; a lone reading gives 0.
+    Differences never cross midnight; a lone reading gives 0.  For ``bucket``
+    and ``unique`` see ``hourly_changes``.
     """
     keys = ["city_key", "id", "date"]
     open_readings = readings.where(F.col("status") == "open").withColumn(
         "date", F.to_date("timestamp")
     )
-    totals = total_changes(hourly_changes(open_readings, keys), keys)
+    buckets = hourly_changes(open_readings, keys, bucket=bucket, unique=unique)
+    totals = total_changes(buckets, keys)
     return totals.select("city_key", "id", "number", "date")
 
 

@@ -102,6 +102,31 @@ def test_daily_totals_equal_pandas(spark, seed):
     assert found == expected.to_dict()
 
 
+@pytest.mark.parametrize("bucket", ["1T", "10T", "1H"])
+def test_results_do_not_depend_on_the_bucket(spark, bucket):
+    readings = to_spark(spark, random_readings(7))
+    by_day = transactions.daily_transactions(readings, bucket)
+    assert rows_of(by_day, "id", "date", "number") == rows_of(
+        transactions.daily_transactions(readings), "id", "date", "number"
+    )
+    by_hour = profiles.hourly_totals(readings, bucket)
+    assert rows_of(by_hour, "id", "ts", "total") == rows_of(
+        profiles.hourly_totals(readings), "id", "ts", "total"
+    )
+
+
+def test_unique_readings_need_one_shuffle_less(spark, capsys):
+    readings = to_spark(spark, random_readings(8).drop_duplicates())
+    found = transactions.daily_transactions(readings, unique=True)
+    assert rows_of(found, "id", "date", "number") == rows_of(
+        transactions.daily_transactions(readings), "id", "date", "number"
+    )
+    found.explain()
+    assert capsys.readouterr().out.count("Exchange hashpartitioning") == 2
+    with pytest.raises(ValueError):
+        profiles.hourly_totals(readings, "7T")
+
+
 @pytest.mark.parametrize("seed", [4, 5, 6])
 def test_hourly_profile_equals_pandas(spark, make_station, seed):
     frame = random_readings(seed)
