@@ -51,44 +51,57 @@ def random_rows(seed, stations=3, count=60, days=4):
     })
 
 
-@pytest.mark.parametrize("seed, step", [(1, "10T"), (2, "5T"), (3, "1H")])
-def test_resample_equals_pandas(spark, seed, step):
+def dense(rows, minutes):
+    """(station, grid point) -> mean of the bin, or of the next one that has readings."""
+    day = pd.Timestamp("2024-01-01")
+    bins = {}
+    for r in rows.itertuples():
+        number = int((r.ts - day).total_seconds()) // (60 * minutes)
+        bins.setdefault(r.station_id, {}).setdefault(number, []).append(r.nb_bikes)
+    grid_points = {}
+    for station, known in bins.items():
+        value = None
+        for number in range(max(known), min(known) - 1, -1):
+            if number in known:
+                value = sum(known[number]) / len(known[number])
+            grid_points[station, day + pd.Timedelta(minutes=number * minutes)] = value
+    return grid_points
+
+
+@pytest.mark.parametrize("seed, step, minutes", [(1, "10T", 10), (2, "5T", 5), (3, "1H", 60)])
+def test_resample_equals_brute_force(spark, seed, step, minutes):
     frame = random_rows(seed)
     rows = [(r.station_id, r.ts.isoformat(), r.nb_bikes) for r in frame.itertuples()]
     found = grid.resample_mean(frame_of(spark, rows), KEY, ["nb_bikes"], step)
-    minutes = {"10T": "10min", "5T": "5min", "1H": "60min"}[step]
-    expected = (
-        frame.set_index("ts").groupby("station_id")["nb_bikes"].resample(minutes).mean().bfill()
-    )
     got = {(r.station_id, pd.Timestamp(r.ts)): r.nb_bikes for r in found.collect()}
-    assert got == pytest.approx(expected.to_dict())
+    assert got == pytest.approx(dense(frame, minutes))
 
 
-def spread_hours(frame, step):
-    """The hour matrix by the long way: dense grid, weekdays, means, maximum."""
-    active = frame.groupby("station_id").filter(lambda g: g.nb_bikes.max() > 0)
-    wide = (
-        active.set_index("ts").groupby("station_id")["nb_bikes"].resample(step).mean().bfill()
-        .unstack(0)
-    )
-    wide = wide[wide.index.weekday < 5]
-    means = wide.groupby(wide.index.hour).mean()
-    return (means / means.max()).stack()
+def hour_matrix(rows):
+    """(hour, station) -> weekday mean of the grid over the station's largest hour."""
+    values = {}
+    for (station, time), value in dense(rows, 5).items():
+        if time.weekday() not in (5, 6):
+            values.setdefault(station, {}).setdefault(time.hour, []).append(value)
+    matrix = {}
+    for station, hours in values.items():
+        means = {hour: sum(v) / len(v) for hour, v in hours.items()}
+        top = max(means.values())
+        matrix |= {(hour, station): mean / top for hour, mean in means.items()}
+    return matrix
 
 
 @pytest.mark.parametrize("seed", [4, 5, 6])
-def test_hour_profiles_equal_pandas(spark, seed):
-    frame = random_rows(seed, days=9)
-    frame = pd.concat([
-        frame,
-        pd.DataFrame({"station_id": "idle", "ts": frame.ts.head(3), "nb_bikes": 0.0}),
-    ])
+def test_hour_profiles_equal_brute_force(spark, seed):
+    active = random_rows(seed, days=9)
+    idle = pd.DataFrame({"station_id": "idle", "ts": active.ts.head(3), "nb_bikes": 0.0})
+    frame = pd.concat([active, idle])
     rows = [(r.station_id, r.ts.isoformat(), r.nb_bikes) for r in frame.itertuples()]
     df = frame_of(spark, rows).withColumn("city_key", F.lit("lyon"))
     got = {
         (r.hour, r.station_id): r.value for r in clusters.hour_profiles(df).collect()
     }
-    assert got == pytest.approx(spread_hours(frame, "5min").to_dict())
+    assert got == pytest.approx(hour_matrix(active))
 
 
 def test_hour_profiles_ignore_the_weekend(make_readings):

@@ -84,22 +84,38 @@ def to_spark(spark, frame):
     return spark.createDataFrame(rows, schemas.TIMESERIES)
 
 
-def in_order(frame):
-    return frame.sort_values(
-        ["id", "timestamp", "available_bikes", "available_stands"], na_position="first"
-    ).assign(available_bikes=lambda f: f.available_bikes.astype("float"))
+def steps_of(rows):
+    """(time, |difference|) of one station's rows, with unknown ones left out."""
+    low = -1  # unknown counts come first among equal times
+    ordered = sorted(rows, key=lambda r: (r[0], low if r[1] is None else r[1], r[2]))
+    steps = []
+    for before, after in zip(ordered, ordered[1:]):
+        if before[1] is not None and after[1] is not None:
+            steps.append((after[0], abs(after[1] - before[1])))
+    return steps
+
+
+def by_station(frame):
+    """id -> [(time, bikes, stands, status)]"""
+    rows = {}
+    for r in frame.itertuples():
+        bikes = None if r.available_bikes is None else int(r.available_bikes)
+        rows.setdefault(r.id, []).append(
+            (r.timestamp.to_pydatetime(), bikes, int(r.available_stands), r.status)
+        )
+    return rows
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_daily_totals_equal_pandas(spark, seed):
+def test_daily_totals_equal_brute_force(spark, seed):
     frame = random_readings(seed)
-    found = totals(to_spark(spark, frame))
-    distinct = in_order(frame.drop_duplicates().query("status == 'open'"))
-    distinct["date"] = distinct.timestamp.dt.date.astype(str)
-    expected = distinct.groupby(["id", "date"])["available_bikes"].apply(
-        lambda s: s.diff().abs().sum()
-    )
-    assert found == expected.to_dict()
+    expected = {}
+    for id_, rows in by_station(frame).items():
+        different = {row for row in rows if row[3] == "open"}
+        for day in {row[0].date() for row in different}:
+            steps = steps_of([row for row in different if row[0].date() == day])
+            expected[(id_, str(day))] = float(sum(step for _, step in steps))
+    assert totals(to_spark(spark, frame)) == expected
 
 
 @pytest.mark.parametrize("bucket", ["1T", "10T", "1H"])
@@ -128,19 +144,26 @@ def test_unique_readings_need_one_shuffle_less(spark, capsys):
 
 
 @pytest.mark.parametrize("seed", [4, 5, 6])
-def test_hourly_profile_equals_pandas(spark, make_station, seed):
+def test_hourly_profile_equals_brute_force(spark, make_station, seed):
     frame = random_readings(seed)
     station = make_station([f"s{i}" for i in range(4)])
     df = profiles.hourly_profile(
         to_spark(spark, frame), station, None, "2024-04-02", window=3, city="lyon"
     )
-    found = {(r.id, r.hour): (r["sum"], round(r["mean"], 9)) for r in df.collect()}
+    found = {(r.id, r.hour): (r["sum"], r["mean"]) for r in df.collect()}
     expected = {}
-    for id_, group in in_order(frame).groupby("id"):
-        changes = group.set_index("timestamp")["available_bikes"].diff().abs().dropna()
-        hours = changes.resample("h").sum()
-        for hour, values in hours.groupby(hours.index.hour):
-            expected[(id_, hour)] = (values.sum(), round(values.mean(), 9))
+    for id_, rows in by_station(frame).items():
+        steps = steps_of(rows)
+        slot = min(time for time, _ in steps).replace(minute=0)
+        slots = {}
+        while slot <= max(time for time, _ in steps):
+            end = slot + timedelta(hours=1)
+            slots.setdefault(slot.hour, []).append(
+                sum(step for time, step in steps if slot <= time < end)
+            )
+            slot = end
+        for hour, sums in slots.items():
+            expected[(id_, hour)] = (sum(sums), pytest.approx(sum(sums) / len(sums)))
     assert found == expected
 
 
