@@ -64,7 +64,7 @@ class BikeShare:
         rows = transactions.daily_transaction_list(
             self.daily, self.station, city, day, limit, order_by, window, backward
         )
-        return transactions.nest_daily(rows, "rank").orderBy("rank")
+        return transactions.nest_daily(rows, "rank").orderBy("city_key", "rank")
 
     def timeseries(self, city, ids, start, stop) -> DataFrame:
         nested = timeseries.timeseries_nested(

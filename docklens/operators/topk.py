@@ -27,12 +27,21 @@ def first_rows(df: DataFrame, order: Sequence[str | Column], limit: int | None)
     return ordered if limit is None else ordered.limit(limit)
 
 
-def ranked_top(df: DataFrame, order: Sequence[str | Column], limit: int) -> DataFrame:
-    """The first ``limit`` rows with their 1-based ``rank``.
+def ranked_top(
+    df: DataFrame,
+    order: Sequence[str | Column],
+    limit: int,
+    keys: Sequence[str] | None = None,
+) -> DataFrame:
+    """The first ``limit`` rows, overall or per ``keys``, with their 1-based ``rank``.
 
-    The limit comes first, so the window without a partition holds ``limit``
-    rows at most.
+    Overall, the limit comes first, so the window without a partition holds
+    ``limit`` rows at most.  Per key, Spark cuts each task's rows to ``limit``
+    before they are shuffled.
     """
+    if keys is not None:
+        number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        return df.withColumn("rank", number).where(F.col("rank") <= limit)
     top = df.orderBy(*order).limit(limit)
     return top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
 
@@ -49,5 +58,6 @@ def last_rows(
     backwards = [F.col(c).desc_nulls_first() for c in order]
     if keys is None:
         return df.orderBy(*backwards).limit(count)
+    # Spark cuts each task's rows to ``count`` before they are shuffled
     numbered = F.row_number().over(Window.partitionBy(*keys).orderBy(*backwards))
     return df.withColumn("rn", numbered).where(F.col("rn") <= count).drop("rn")

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from docklens.config import (
     as_date,
     as_ids,
-    check_city,
     check_count,
     check_ordering,
     time_window,
@@ -95,7 +94,7 @@ def nest_daily(rows: DataFrame, *extra: str) -> DataFrame:
 def daily_transaction_list(
     daily: DataFrame,
     station: DataFrame,
-    city: str,
+    city: str | None,
     day: date | str,
     limit: int = 20,
     order_by: str = "station",
@@ -106,29 +105,30 @@ def daily_transaction_list(
 
     Stations are ranked on the reference date alone, by id or by value (largest
     first, equal values by id), then every day of their window is returned.
+    Without a ``city`` each city has its own ranking.
     """
-    check_city(city)
     check_ordering(order_by)
     check_count("limit", limit)
     start, stop, reference = time_window(day, window, backward)
     order = ["id"] if order_by == "station" else [F.desc_nulls_first("number"), "id"]
-    top = ranked_top(date_range(daily, reference, reference, city), order, limit)
+    keys = ["city_key"] if city is None else None
+    top = ranked_top(date_range(daily, reference, reference, city), order, limit, keys)
     rows = date_range(daily, start, stop, city).join(
         top.select("city_key", "id", "rank"), ["city_key", "id"]
     )
     return (
         _named(rows, station)
         .select("city_key", "id", F.col("number").alias("value"), "date", "name", "rank")
-        .orderBy("rank", "date")
+        .orderBy("city_key", "rank", "date")
     )
 
 
 def colour_scale(top: DataFrame) -> DataFrame:
-    """Position of each top-k value between 0.7 x the lowest and the highest.
+    """Position of each top-k value between 0.7 x its city's lowest and the highest.
 
-    ``top`` is a ranked one-day result, so it holds ``limit`` rows at most.
+    ``top`` is a ranked one-day result, so it holds ``limit`` rows per city.
     """
-    everything = Window.partitionBy()
-    low = 0.7 * F.min("value").over(everything)
-    high = F.max("value").over(everything)
+    shown = Window.partitionBy("city_key")
+    low = 0.7 * F.min("value").over(shown)
+    high = F.max("value").over(shown)
     return top.withColumn("scale", F.try_divide(F.col("value") - low, high - low))

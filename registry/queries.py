@@ -158,11 +158,9 @@ def daily_by_station_nested(spark, folder):
 
 
 def _top(spark, folder, order_by, window=WINDOW, backward=True):
-    daily, station = _daily(spark, folder), _station(spark, folder)
-    return _each_city(
-        lambda city: transactions.daily_transaction_list(
-            daily, station, city, DAY, LIMIT, order_by, window, backward
-        )
+    return transactions.daily_transaction_list(
+        _daily(spark, folder), _station(spark, folder), None, DAY, LIMIT, order_by, window,
+        backward,
     )
 
 
@@ -183,12 +181,7 @@ def daily_top_nested(spark, folder):
 
 @query
 def colour_scale(spark, folder):
-    daily, station = _daily(spark, folder), _station(spark, folder)
-    return _each_city(
-        lambda city: transactions.colour_scale(
-            transactions.daily_transaction_list(daily, station, city, DAY, LIMIT, "value")
-        )
-    )
+    return transactions.colour_scale(_top(spark, folder, "value", window=0))
 
 
 @query
@@ -254,13 +247,9 @@ def training_readings(spark, folder):
 
 
 def _predictions(spark, folder, values, with_current, per_station=False):
-    stored, rows = adapters.prediction(spark, folder), _readings(spark, folder)
-    station = _station(spark, folder)
-    return _each_city(
-        lambda city: predictions.prediction_timeseries(
-            stored, rows, station, city, None, FIRST, "2024-02-01", values, with_current,
-            per_station=per_station,
-        )
+    return predictions.prediction_timeseries(
+        adapters.prediction(spark, folder), _readings(spark, folder), _station(spark, folder),
+        None, None, FIRST, "2024-02-01", values, with_current, per_station=per_station,
     )
 
 

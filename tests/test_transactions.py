@@ -226,6 +226,12 @@ def test_top_is_ranked_on_the_reference_date(daily, make_station):
     assert [(r.id, r.rank, r.date.day) for r in df.collect()] == [
         ("3", 1, 13), ("3", 1, 20), ("1", 2, 19), ("1", 2, 20),
     ]
+    each = transactions.daily_transaction_list(
+        daily, make_station(["1"]), None, "2024-01-20", 1, "value"
+    )
+    assert [(r.city_key, r.id, r.rank) for r in each.collect()] == [
+        ("bordeaux", "1", 1), ("lyon", "3", 1)
+    ]
     by_id = transactions.daily_transaction_list(
         daily, make_station(["1"]), "lyon", "2024-01-20", 20, "station"
     )
