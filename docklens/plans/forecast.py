@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from typing import NamedTuple
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +26,7 @@ RATE = 0.2
 TEST_PERIODS = 2
 FEATURES = ("station_id", "nb_bikes", "nb_stands", "day", "hour", "minute")
 STATION_NUMBER = "station_number"
+STATION_NUMBERS = 2**31
 ROWS_PER_TASK = 500_000
 
 
@@ -69,34 +70,24 @@ def prepare_data_for_training(
 
 
 def _numbered_stations(df: DataFrame) -> DataFrame:
-    return df.withColumn(STATION_NUMBER, F.col("station_id").try_cast("double"))
+    """The station as a number: its id, or a hash of an id that is not a number."""
+    hashed = F.pmod(F.xxhash64("station_id"), F.lit(STATION_NUMBERS)).cast("double")
+    number = F.coalesce(F.col("station_id").try_cast("double"), hashed)
+    return df.withColumn(STATION_NUMBER, number)
 
 
-def _stages(numeric_ids: bool, seed: int) -> list:
+def _pipeline(seed: int) -> Pipeline:
     columns = [STATION_NUMBER if c == "station_id" else c for c in FEATURES]
-    stages = [
-        VectorAssembler(inputCols=columns, outputCol="features"),
-        GBTRegressor(
-            featuresCol="features",
-            labelCol="future",
-            predictionCol="raw_prediction",
-            maxIter=ROUNDS,
-            maxDepth=DEPTH,
-            stepSize=RATE,
-            seed=seed,
-        ),
-    ]
-    if not numeric_ids:
-        indexer = StringIndexer(
-            inputCol="station_id", outputCol=STATION_NUMBER, handleInvalid="keep"
-        )
-        stages.insert(0, indexer)
-    return stages
-
-
-def _has_numeric_ids(df: DataFrame) -> bool:
-    unnumbered = df.where(F.col("station_id").try_cast("double").isNull())
-    return unnumbered.isEmpty()
+    trees = GBTRegressor(
+        featuresCol="features",
+        labelCol="future",
+        predictionCol="raw_prediction",
+        maxIter=ROUNDS,
+        maxDepth=DEPTH,
+        stepSize=RATE,
+        seed=seed,
+    )
+    return Pipeline(stages=[VectorAssembler(inputCols=columns, outputCol="features"), trees])
 
 
 class Trained(NamedTuple):
@@ -108,15 +99,10 @@ class Trained(NamedTuple):
 
 def fit(train: DataFrame, test: DataFrame, seed: int = 0) -> Trained:
     """Boosted trees on the label ``future``, with the error after each round."""
-    numeric = _has_numeric_ids(train)
-    prepare = _numbered_stations if numeric else (lambda df: df)
-    train = _spread(train)
-    model = Pipeline(stages=_stages(numeric, seed)).fit(prepare(train))
-    *preparation, trees = model.stages
-    vectors = PipelineModel(preparation)
-
-    errors = [_progress(vectors.transform(prepare(df)), trees) for df in (train, test)]
-    return Trained(model, *errors)
+    train, test = _spread(_numbered_stations(train)), _numbered_stations(test)
+    model = _pipeline(seed).fit(train)
+    assembler, trees = model.stages
+    return Trained(model, *[_progress(assembler.transform(df), trees) for df in (train, test)])
 
 
 def _progress(ready: DataFrame, model: GBTRegressionModel) -> list[float]:
@@ -175,9 +161,7 @@ def predict_bike_availability(
 
     Bikes and stands are cut to whole numbers.
     """
-    ready = features(rows)
-    if not any(isinstance(s, StringIndexerModel) for s in model.stages):
-        ready = _numbered_stations(ready)
+    ready = _numbered_stations(features(rows))
     p = _bounded(F.col("raw_prediction"))
     return split_docks(model.transform(ready).withColumn("availability", p)).select(
         "city_key",

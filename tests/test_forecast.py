@@ -47,7 +47,7 @@ def test_trees_learn_the_day_and_predict(spark, make_readings, tmp_path):
     assert stored.count() == stored.select(*PREDICTION_KEY).distinct().count() == 2
 
 
-def test_text_ids_are_indexed(make_readings):
+def test_text_ids_become_numbers(make_readings):
     readings = week(make_readings, ("north", "south"))
     trained = forecast.train(readings, START, STOP, CUT, "30T")
     rows = forecast.predict(readings, trained.model, START, STOP).collect()
