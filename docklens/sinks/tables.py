@@ -21,6 +21,7 @@ from docklens.session import cut_lineage
 # the writer's own format would cut times to milliseconds
 CSV_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 LOAD = "load"
+WRITERS = 16
 PREDICTION_KEY = ("city_key", "timestamp", "frequency", "station_id")
 
 
@@ -28,6 +29,17 @@ def _target(lake: str, name: str) -> str:
     return f"{lake.rstrip('/')}/{name}"
 
 
+def _evened(df: DataFrame, partition: Sequence[str]) -> DataFrame:
+    """Rows of one partition in few tasks, a large partition in several.
+
+    The batches of a stream run without adaptive execution, where the hint would
+    send a whole day to one task; there each partition gets ``WRITERS`` tasks.
+    """
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        return df.hint("rebalance", *partition)
+    return df.repartition(*partition, F.pmod(F.xxhash64(*df.columns), F.lit(WRITERS)))
+
+
 def _write(
     df: DataFrame,
     path: str,
@@ -36,7 +48,7 @@ def _write(
     order: Sequence[str] = (),
     file_format: str = "parquet",
 ) -> None:
-    spread = df.hint("rebalance", *partition)
+    spread = _evened(df, partition)
     if order:  # close keys in one row group make its statistics selective
         spread = spread.sortWithinPartitions(*partition, *order)
     writer = spread.write.format(file_format).mode(mode).partitionBy(*partition)
