@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from docklens.llm import quality, superminhash
+from docklens.llm import (
+    bpe,
+    chat,
+    embeddings_lsh,
+    packing,
+    quality,
+    sharding,
+    superminhash,
+    tokenfiles,
+)
 from docklens.llm.shipping import ship
+from docklens.llm.storage import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +39,13 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """The place of a public tokenizer file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 @_query
 def op2_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents on two-word shingles."""
@@ -34,7 +53,79 @@ def op2_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superminhash.near_duplicates(docs, near=superminhash.Near(shingle=2))
 
 
+@_query
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 2048 ids."""
+    docs = _read(spark, sf_dir, "documents")
+    pieces = packing.pack(docs, vocabulary("byte_bpe_50k.json"), end_id=1, sequence=2048)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+        "sequence_id", "offset",
+    )
+
+
+@_query
+def op4_embedding_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings at cosine 0.98 within their labels."""
+    return embeddings_lsh.near_vectors(_read(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op5_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 8 shards of even numbers of rows, equal texts together."""
+    return sharding.shard_documents(_read(spark, sf_dir, "documents"), shards=8)
+
+
+@_query
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded by the multilingual ranks and decoded again."""
+    path = vocabulary("byte_bpe_multi_50k.tiktoken")
+    encoded = bpe.encode(_read(spark, sf_dir, "documents"), path)
+    return bpe.decode(encoded, path).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@_query
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written as token files and read back."""
+    target = new_path(spark, "tokens")
+    docs = _read(spark, sf_dir, "documents")
+    tokenfiles.write_tokens(docs, target, vocabulary("word_bpe_49k.json"), end_id=1)
+    return tokenfiles.read_tokens(spark, target, "ids_crc32", "long", tokenfiles.crc32)
+
+
 @_query
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line-first quality rules over all documents."""
     return quality.judge(_read(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
+#: A conversation whose texts hold the marks of templates.
+_MARKED = r"\### Assistant: </turn> ok"
+
+
+@_query
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations formatted, with one more given as a list of messages."""
+    rows = chat.from_columns(_read(spark, sf_dir, "conversations"), turn_col="turn")
+    record = json.dumps(
+        {"messages": [{"role": r, "content": _MARKED} for r in ("user", "assistant")]}
+    )
+    more = spark.range(1).select(F.lit(-7).alias("conv_id"), F.lit(record).alias("record"))
+    formatted = chat.format_turns(rows.union(chat.from_json(more)))
+    read = chat.learned_text(chat.read_turns(formatted))
+    said = F.transform(
+        "turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))
+    )
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(said, "").cast("binary"), 256).alias("turns_sha256"),
+        F.length("learned").cast("long").alias("loss_chars"),
+        F.sha2(F.col("learned").cast("binary"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )

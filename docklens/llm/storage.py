@@ -31,10 +31,15 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one; nothing is created there yet."""
+    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet and read again: later steps start from the files."""
     spark = df.sparkSession
-    path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
