@@ -108,13 +108,29 @@ def lines(values: np.ndarray, offsets: np.ndarray) -> Spans:
 
 
 def hashes(values: np.ndarray, runs: Spans, heads: tuple[int, ...] = ()) -> list[np.ndarray]:
-    """A hash of each run, then of its first h bytes (all, if shorter) for h in ``heads``."""
-    length = runs.end - runs.start
-    if not len(length):
-        return [np.zeros(0, np.uint64)] * (1 + len(heads))
-    edge = np.concatenate([[0], np.cumsum(length)])
+    """A hash of each run, then of its first h bytes (all, if shorter) for h in ``heads``.
+
+    Runs are taken in parts of about SLICE_BYTES, so a very long text needs no more.
+    """
+    edge = np.concatenate([[0], np.cumsum(runs.end - runs.start)])
+    parts, first = [], 0
+    while first < len(runs.start):
+        last = int(np.searchsorted(edge, edge[first] + SLICE_BYTES, "right")) - 1
+        last = min(max(last, first + 1), len(runs.start))
+        parts.append(_hashes(values, runs.start[first:last], edge[first : last + 1] - edge[first], heads))
+        first = last
+    if len(parts) == 1:
+        return parts[0]
+    none = [np.zeros(0, np.uint64)]
+    return [np.concatenate([p[k] for p in parts] or none) for k in range(1 + len(heads))]
+
+
+def _hashes(
+    values: np.ndarray, start: np.ndarray, edge: np.ndarray, heads: tuple[int, ...]
+) -> list[np.ndarray]:
+    length = np.diff(edge)
     place = np.arange(edge[-1], dtype=np.int64) - np.repeat(edge[:-1], length)
-    each = values[place + np.repeat(runs.start, length)].astype(np.uint64) + np.uint64(1)
+    each = values[place + np.repeat(start, length)].astype(np.uint64) + np.uint64(1)
     each *= _FACTORS[place & (_PLACES - 1)]
     if edge[-1] and length.max() > _PLACES:
         each *= (place >> 12).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C16) + np.uint64(1)
