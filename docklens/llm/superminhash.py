@@ -7,10 +7,18 @@ different, which gives less variance than independent hashes, and no later step
 a place once all hold ranks below that step: most texts stop after one or two steps.
 
 Texts with equal shingle sets are one class. Classes that share a band of their signatures
-are compared on their full sets, first with a few pivots of each band's bucket; classes
-then joined need no further comparison. What is left in a bucket (classes not yet in one
-component) is compared in blocks: sizes and signatures pick the pairs, full sets decide.
-So the rows that move grow with the texts and their links, not with all pairs of a group.
+are compared on their full sets in three turns, each only between classes that are not yet
+in one component:
+
+1. with a few pivots of each band's bucket;
+2. along the best forest of a bucket: of the pairs that sizes and signatures leave, the
+   likeliest that join its components (copies of one text are far closer to that text than
+   to each other, and it is rarely a pivot);
+3. all pairs of a family (classes that such pairs connect) that is still in parts, counted
+   exactly in blocks inside tasks.
+
+A block returns a forest of what it found. So the rows that move grow with the texts, not
+with the pairs of a group.
 
 Cases:
 
@@ -35,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docklens.llm import words
-from docklens.llm.components import connected
+from docklens.llm.components import connected, forest
 from docklens.llm.storage import dropped, stored
 from docklens.llm.words import LOWER, WHITE, mix, spans
 
@@ -56,6 +64,7 @@ class Near:
     slack: float = 0.18
     pivots: int = 4
     block: int = 1024
+    block_shingles: int = 500_000
 
     @property
     def places(self) -> int:
@@ -248,34 +257,84 @@ def confirmed(pairs: DataFrame, texts: DataFrame, near: Near) -> DataFrame:
     return out
 
 
-def _blocks(near: Near):
-    """Pairs of a bucket's blocks that sizes and signatures leave over."""
-    least = int((near.percent / 100 - near.slack) * near.places)
+def _whole_groups(keys: list[str], compare):
+    """Hand the rows of each task, sorted by ``keys``, on in whole groups."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
             rows = batch if held is None else pa.concat_batches([held, batch])
-            key = _group_of(rows)
-            last = int(key[-1]) if len(key) else 0
-            done = int(np.searchsorted(key, last))
-            yield from compare(rows.slice(0, done), key[:done])
+            group = _group_of(rows, keys)
+            done = int(np.searchsorted(group, group[-1])) if len(group) else 0
+            if done:
+                yield from compare(rows.slice(0, done), group[:done])
             held = rows.slice(done)
         if held is not None and held.num_rows:
-            yield from compare(held, _group_of(held))
+            yield from compare(held, _group_of(held, keys))
+
+    return run
+
+
+def _portions(key: np.ndarray, most: int = 4_000_000) -> Iterator[tuple[int, int]]:
+    """Row ranges of whole groups with at most so many pairs, or of one group."""
+    edge = np.append(np.flatnonzero(np.diff(key, prepend=-1)), len(key))
+    total = np.concatenate([[0], np.cumsum(np.diff(edge) ** 2)])
+    first = 0
+    while first < len(edge) - 1:
+        last = int(np.searchsorted(total, total[first] + most, "right")) - 1
+        last = min(max(last, first + 1), len(edge) - 1)
+        yield int(edge[first]), int(edge[last])
+        first = last
+
+
+_BUCKET = ["band", "key", "lo", "hi"]
+_FAMILY = ["family", "lo", "hi"]
+
+
+def _numbers(rows: pa.RecordBatch, *columns: str) -> list[np.ndarray]:
+    return [rows.column(c).to_numpy(zero_copy_only=False) for c in columns]
+
+
+def _best_forest(i: np.ndarray, j: np.ndarray, weight: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Edges of a spanning forest of the largest weights between the labels."""
+    taken = []
+    order = np.argsort(-weight, kind="stable")
+    i, j, at = i[order], j[order], order
+    while True:
+        open_ = label[i] != label[j]
+        i, j, at = i[open_], j[open_], at[open_]
+        if not len(i):
+            return np.concatenate(taken) if taken else np.zeros(0, np.int64)
+        # the first edge of each label is its best
+        both = np.concatenate([label[i], label[j]])
+        spot = np.concatenate([np.arange(len(i))] * 2)
+        first = np.full(int(label.max()) + 1, len(i))
+        np.minimum.at(first, both, spot)
+        best = np.unique(first[first < len(i)])
+        names, root = forest(label[i[best]], label[j[best]])
+        # of edges in a cycle of equal weights one is too many; it does no harm
+        taken.append(at[best])
+        to = np.arange(int(label.max()) + 1)
+        to[names] = root
+        label = to[label]
+
+
+def _blocks(near: Near):
+    """(kind, a, b): pairs to compare (0), and the family of each class in a pair (1)."""
+    least = int((near.percent / 100 - near.slack) * near.places)
 
     def compare(rows: pa.RecordBatch, key: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if not rows.num_rows:
-            return
-        ids, of, size, side = (
-            rows.column(c).to_numpy(zero_copy_only=False)
-            for c in ("doc_id", "component_id", "n_shingles", "side")
-        )
-        own = rows.column("lo").to_numpy(zero_copy_only=False) == rows.column("hi").to_numpy(
-            zero_copy_only=False
+        for a, b in _portions(key):
+            yield from pairs(rows.slice(a, b - a), key[a:b] - key[a])
+
+    def pairs(rows: pa.RecordBatch, key: np.ndarray) -> Iterator[pa.RecordBatch]:
+        ids, of, size, side, lo, hi = _numbers(
+            rows, "doc_id", "component_id", "n_shingles", "side", "lo", "hi"
         )
+        own = lo == hi
         brief = np.frombuffer(b"".join(rows.column("brief").to_pylist()), np.uint16)
         brief = brief.reshape(len(ids), near.places)
+        first, second, alike = [], [], []
         for apart in range(1, int(np.bincount(key).max())):
             i = np.flatnonzero(key[:-apart] == key[apart:])
             j = i + apart
@@ -284,24 +343,116 @@ def _blocks(near: Near):
             i, j = i[keep], j[keep]
             for part in range(0, len(i), 65536):
                 p, q = i[part : part + 65536], j[part : part + 65536]
-                alike = (brief[p] == brief[q]).sum(axis=1) >= least
-                if alike.any():
-                    p, q = ids[p[alike]], ids[q[alike]]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.maximum(p, q)), pa.array(np.minimum(p, q))], ["a", "b"]
-                    )
+                same = (brief[p] == brief[q]).sum(axis=1)
+                yes = same >= least
+                first.append(p[yes])
+                second.append(q[yes])
+                alike.append(same[yes])
+        if not first:
+            return
+        i, j, weight = (np.concatenate(x) for x in (first, second, alike))
+        if not len(i):
+            return
+        # one label for each component of a bucket
+        _, label = np.unique(np.stack([key, of]), axis=1, return_inverse=True)
+        best = _best_forest(i, j, weight, label.reshape(-1))
+        a, b = ids[i[best]], ids[j[best]]
+        names, root = forest(ids[i], ids[j])
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.repeat(np.array([0, 1], np.int32), [len(a), len(names)])),
+                pa.array(np.concatenate([np.maximum(a, b), names])),
+                pa.array(np.concatenate([np.minimum(a, b), root])),
+            ],
+            ["kind", "a", "b"],
+        )
+
+    return _whole_groups(_BUCKET, compare)
+
+
+def _shared(sets: list[np.ndarray], dense: int = 32) -> np.ndarray:
+    """Sizes of the intersections of all pairs of sets."""
+    n = len(sets)
+    x = np.concatenate(sets)
+    of = np.repeat(np.arange(n), [len(s) for s in sets])
+    _, at, count = np.unique(x, return_inverse=True, return_counts=True)
+    out = np.zeros((n, n))
+    many = np.flatnonzero(count >= dense)
+    spot = np.full(len(count), -1)
+    spot[many] = np.arange(len(many))
+    own = spot[at]
+    order = np.argsort(own, kind="stable")
+    sorted_own, sorted_of = own[order], of[order]
+    for first in range(0, len(many), 4096):
+        a, b = np.searchsorted(sorted_own, [first, first + 4096])
+        part = np.zeros((n, min(4096, len(many) - first)), np.float32)
+        part[sorted_of[a:b], sorted_own[a:b] - first] = 1
+        out += part @ part.T
+    few = np.flatnonzero((count >= 2) & (count < dense))
+    spot[:] = -1
+    spot[few] = np.arange(len(few))
+    own = spot[at]
+    keep = np.flatnonzero(own >= 0)
+    keep = keep[np.argsort(own[keep], kind="stable")]
+    group, member = own[keep], of[keep]
+    for apart in range(1, dense):
+        if apart >= len(group):
+            break
+        i = np.flatnonzero(group[:-apart] == group[apart:])
+        if not len(i):
+            break
+        np.add.at(out, (member[i], member[i + apart]), 1)
+        np.add.at(out, (member[i + apart], member[i]), 1)
+    return np.rint(out).astype(np.int64)
 
-    return run
 
+def _families(near: Near):
+    """(a, b): a forest of the links between classes of each block of a family."""
 
-def _group_of(rows: pa.RecordBatch) -> np.ndarray:
+    def compare(rows: pa.RecordBatch, key: np.ndarray) -> Iterator[pa.RecordBatch]:
+        ids = _numbers(rows, "doc_id")[0]
+        edge = np.searchsorted(key, np.arange(int(key[-1]) + 2))
+        sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in rows.column("shingles")]
+        size = np.array([len(s) for s in sets])
+        for first, last in zip(edge[:-1].tolist(), edge[1:].tolist()):
+            if last - first < 2:
+                continue
+            both = _shared(sets[first:last])
+            n = size[first:last]
+            i, j = np.nonzero(np.triu(both, 1))
+            near_ = 100 * both[i, j] >= near.percent * (n[i] + n[j] - both[i, j])
+            names, root = forest(ids[first:last][i[near_]], ids[first:last][j[near_]])
+            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(root)], ["a", "b"])
+
+    return _whole_groups(_FAMILY, compare)
+
+
+def _group_of(rows: pa.RecordBatch, keys: list[str]) -> np.ndarray:
     new = np.zeros(rows.num_rows, bool)
-    for c in ("band", "key", "lo", "hi"):
-        x = rows.column(c).to_numpy(zero_copy_only=False)
+    for x in _numbers(rows, *keys):
         new[1:] |= x[1:] != x[:-1]
     return np.cumsum(new)
 
 
+def _dealt(rows: DataFrame, chunks: str = "chunks") -> DataFrame:
+    """Rows of a group in every pair of its chunks that holds theirs: lo, hi and side."""
+    side = F.pmod(F.xxhash64("doc_id"), F.col(chunks)).cast("int")
+    return (
+        rows.withColumn("side", side)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col(chunks) - 1)))
+        .withColumn("lo", F.least("side", "other"))
+        .withColumn("hi", F.greatest("side", "other"))
+        .drop("other", chunks)
+    )
+
+
+def _placed(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """``rows`` with the component of each class so far: itself, if not linked."""
+    return rows.join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn(
+        "component_id", F.coalesce("component_id", "doc_id")
+    )
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", near: Near = Near()
 ) -> DataFrame:
@@ -338,13 +489,11 @@ def near_duplicates(
         .distinct(),
         "pairs",
     )
-    links = confirmed(first, texts, near).where("near")
+    links = confirmed(first, texts, near).where("near").select("a", "b")
     parts = stored(connected(links), "parts")
 
     # buckets that still hold several components, except those of two compared classes
-    placed = members.join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn(
-        "component_id", F.coalesce("component_id", "doc_id")
-    )
+    placed = _placed(members, parts)
     mixed = (
         placed.groupBy("band", "key")
         .agg(
@@ -355,29 +504,53 @@ def near_duplicates(
         .where("n > 2 and low < high")
         .select("band", "key", F.ceil(F.col("n") / near.block).cast("int").alias("chunks"))
     )
-    rows = placed.join(mixed, ["band", "key"]).join(
+    rows = _dealt(placed.join(mixed, ["band", "key"])).join(
         reps.select("doc_id", "n_shingles", "brief"), "doc_id"
     )
-    side = F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int")
-    rows = (
-        rows.withColumn("side", side)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    likely = stored(
+        rows.repartition(*_BUCKET)
+        .sortWithinPartitions(*_BUCKET)
+        .mapInArrow(_blocks(near), "kind int, a long, b long")
+        .distinct(),
+        "likely",
+    )
+    second = likely.where("kind = 0").select("a", "b").join(first, ["a", "b"], "left_anti")
+    second = stored(second, "more-pairs")
+    links = links.union(confirmed(second, texts, near).where("near").select("a", "b"))
+    parts = stored(connected(links), "parts")
+
+    # families that are still in parts
+    family = stored(connected(likely.where("kind = 1")), "families")
+    family = _placed(
+        family.select(F.col("id").alias("doc_id"), F.col("component_id").alias("family")), parts
+    ).join(reps.select("doc_id", "n_shingles"), "doc_id")
+    apart = (
+        family.groupBy("family")
+        .agg(
+            F.count("*").alias("n"),
+            F.sum("n_shingles").alias("size"),
+            F.min("component_id").alias("low"),
+            F.max("component_id").alias("high"),
+        )
+        .where("low < high")
         .select(
-            "band", "key",
-            F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"),
-            "side", "doc_id", "component_id", "n_shingles", "brief",
+            "family",
+            F.greatest(F.ceil(F.col("n") / near.block), F.ceil(F.col("size") / near.block_shingles))
+            .cast("int").alias("chunks"),
         )
     )
-    second = (
-        rows.repartition("band", "key", "lo", "hi")
-        .sortWithinPartitions("band", "key", "lo", "hi")
-        .mapInArrow(_blocks(near), "a long, b long")
-        .distinct()
-        .join(first, ["a", "b"], "left_anti")
+    family = stored(family.join(apart, "family").select("doc_id", "family", "chunks"), "family")
+    sets = stored(_sets(texts.join(family.select("doc_id"), "doc_id", "left_semi"), near.shingle), "sets")
+    third = (
+        _dealt(family)
+        .join(sets.dropDuplicates(["doc_id"]), "doc_id")
+        .repartition(*_FAMILY)
+        .sortWithinPartitions(*_FAMILY)
+        .mapInArrow(_families(near), "a long, b long")
     )
-    second = stored(second, "more-pairs")
-    more = confirmed(second, texts, near).where("near")
-    parts = stored(connected(links.union(more)), "parts")
+    third = stored(third, "family-links")
+    dropped(sets)
+    parts = stored(connected(links.union(third)), "parts")
 
     of_class = (
         classes.join(parts.withColumnRenamed("id", "rep"), "rep", "left")
