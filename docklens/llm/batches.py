@@ -53,6 +53,13 @@ def _array(values: np.ndarray | pa.Array) -> pa.Array:
     return values.combine_chunks() if isinstance(values, pa.ChunkedArray) else values
 
 
+def set_aside(docs: DataFrame, schema: str) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with columns named like one of ``schema`` renamed, and their new names."""
+    new = {f.name.lower() for f in T.StructType.fromDDL(schema)}
+    names = {c: f"_own_{c}" for c in docs.columns if c.lower() in new}
+    return docs.withColumnsRenamed(names), {c: names.get(c, c) for c in docs.columns}
+
+
 def by_slice(
     texts: pa.Array, compute: Callable[[np.ndarray, np.ndarray], Result], empty: Result
 ) -> Result:

@@ -2,4 +2,177 @@
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+from docklens.llm.quality import BOILERPLATE, Rules
+
+_WORD = r"[^\x20\x09-\x0D]+"
+
+
+def _components(vertices: str, edges: str) -> str:
+    """CTEs: ``component`` (id, component_id) of the tables vertices(id), edges(a, b)."""
+    return f"""
+    sides AS (SELECT a, b FROM {edges} UNION ALL SELECT b, a FROM {edges}),
+    reach AS (
+        SELECT id, id AS to_id FROM {vertices}
+        UNION
+        SELECT r.id, e.b FROM reach r JOIN sides e ON e.a = r.to_id
+    ),
+    component AS (SELECT id, min(to_id) AS component_id FROM reach GROUP BY id)"""
+
+
+_LOWER = (
+    "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+)
+
+NEAR = rf"""
+WITH RECURSIVE
+    words AS (
+        SELECT doc_id, regexp_extract_all({_LOWER}, '{_WORD}') AS w FROM documents
+    ),
+    shingles AS (
+        SELECT DISTINCT doc_id, CASE WHEN len(w) = 1 THEN [w[1]] ELSE [w[i], w[i + 1]] END AS s
+        FROM words, unnest(range(1, greatest(len(w), 2))) AS t(i)
+        WHERE len(w) > 0
+    ),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    shared AS (
+        SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+        FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id
+        GROUP BY x.doc_id, y.doc_id
+    ),
+    edges AS (
+        SELECT a, b FROM shared s
+        JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+        WHERE 100 * s.n >= 80 * (p.n + q.n - s.n)
+    ),
+    vertices AS (SELECT DISTINCT doc_id AS id FROM documents),
+    {_components("vertices", "edges")}
+SELECT id AS doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id,
+       component_id = id AS kept
+FROM component LEFT JOIN sizes ON doc_id = id
+"""
+
+VECTORS = f"""
+WITH RECURSIVE
+    able AS (
+        SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ),
+    edges AS (
+        SELECT x.vec_id AS a, y.vec_id AS b FROM able x JOIN able y
+        ON x.label = y.label AND x.vec_id < y.vec_id AND len(x.v) = len(y.v)
+        WHERE list_cosine_similarity(x.v, y.v) >= 0.98
+    ),
+    vertices AS (SELECT vec_id AS id FROM embeddings),
+    {_components("vertices", "edges")},
+    degrees AS (SELECT a AS id, count(*) AS n FROM sides GROUP BY a)
+SELECT c.id AS vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, component_id = c.id AS kept
+FROM component c LEFT JOIN degrees d ON d.id = c.id
+"""
+
+
+def _quality(rules: Rules = Rules()) -> str:
+    phrases = " OR ".join(f"contains(low, '{p}')" for p in BOILERPLATE)
+    return rf"""
+WITH
+    docs AS (
+        SELECT doc_id, coalesce(text, '') AS t,
+               regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents
+    ),
+    windows AS (
+        SELECT doc_id, i, list_slice(w, i, i + 7) AS s
+        FROM docs, unnest(range(1, greatest(len(w) - 6, 1))) AS u(i) WHERE len(w) >= 8
+    ),
+    again AS (SELECT doc_id, s FROM windows GROUP BY doc_id, s HAVING count(*) > 1),
+    covered AS (
+        SELECT doc_id, count(DISTINCT i + k) AS n_repeat
+        FROM windows JOIN again USING (doc_id, s), unnest(range(0, 8)) AS u(k) GROUP BY doc_id
+    ),
+    lines AS (
+        SELECT doc_id, k, l, regexp_extract_all(l, '{_WORD}') AS w FROM (
+            SELECT doc_id, unnest(string_split(t, chr(10))) AS l,
+                   generate_subscripts(string_split(t, chr(10)), 1) AS k FROM docs
+        )
+    ),
+    facts AS (
+        SELECT doc_id, k, len(w) AS n, l,
+               row_number() OVER (PARTITION BY doc_id, l ORDER BY k) > 1 AS copy,
+               length(regexp_replace(l, '[^#*$%&|<>]', '', 'g')) AS symbols,
+               length(regexp_replace(l, '[^|>]', '', 'g')) AS menu,
+               length(regexp_replace(l, '[^A-Z]', '', 'g')) AS capitals,
+               length(regexp_replace(l, '[^A-Za-z]', '', 'g')) AS letters,
+               len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS stutter,
+               regexp_matches(l, '[.!?;:"。！？।؟]') AS marked,
+               translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low
+        FROM lines WHERE len(w) > 0
+    ),
+    verdicts AS (
+        SELECT doc_id, n, copy, (
+            copy
+            OR n >= {rules.min_sentence_words} AND NOT marked
+            OR symbols > {rules.max_symbols} * n
+            OR menu >= {rules.min_separators} AND menu > {rules.max_separators} * n
+            OR letters >= {rules.min_letters} AND capitals > {rules.max_capitals} * letters
+            OR n >= {rules.min_stutter_words} AND stutter > {rules.max_stutter} * n
+            OR n <= {rules.max_boilerplate_words} AND ({phrases})
+        ) AS bad FROM facts
+    ),
+    sums AS (
+        SELECT doc_id, count(*) FILTER (copy) AS n_dup_lines, count(*) FILTER (bad) AS removed,
+               coalesce(sum(n) FILTER (bad), 0) AS lost
+        FROM verdicts GROUP BY doc_id
+    ),
+    joined AS (
+        SELECT d.doc_id, len(w)::BIGINT AS n_words,
+               length(array_to_string(w, ''))::BIGINT AS word_chars,
+               length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+               coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
+               coalesce(n_repeat, 0)::BIGINT AS n_repeat_words,
+               coalesce(removed, 0)::BIGINT AS n_lines_removed,
+               coalesce(lost, 0)::BIGINT AS words_removed
+        FROM docs d LEFT JOIN sums s ON s.doc_id = d.doc_id
+        LEFT JOIN covered c ON c.doc_id = d.doc_id
+    )
+SELECT *, n_words < {rules.min_words}
+              OR 100 * n_repeat_words > {rules.max_repeat_percent} * n_words AS base_failed,
+       NOT (n_words < {rules.min_words}
+            OR 100 * n_repeat_words > {rules.max_repeat_percent} * n_words)
+           AND words_removed <= {rules.max_lost} * n_words AS kept
+FROM joined
+"""
+
+
+CHAT = r"""
+WITH
+    turns AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+        FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+        UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+    ),
+    marked AS (
+        SELECT *, regexp_replace(replace(text, '\', '\b'), '<(/?turn)', '\\l\1', 'g') AS body,
+               replace(regexp_replace(replace(role, '\', '\b'), '<(/?turn)', '\\l\1', 'g'),
+                       chr(10), '\n') AS head
+        FROM turns
+    ),
+    joined AS (
+        SELECT conv_id, count(*)::BIGINT AS n_turns,
+               string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+               coalesce(string_agg(text, '' ORDER BY turn, role, text)
+                            FILTER (role = 'assistant'), '') AS learned,
+               sum(length(head) + length(body) + 15)::BIGINT AS formatted_chars
+        FROM marked GROUP BY conv_id
+    )
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(learned)::BIGINT AS loss_chars,
+       sha256(learned) AS loss_sha256, formatted_chars
+FROM joined
+"""
+
+SQL: dict[str, str] = {
+    "op2_superminhash": NEAR,
+    "op4_embedding_lsh": VECTORS,
+    "op8_quality": _quality(),
+    "op10_chat": CHAT,
+}

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docklens.llm.batches import Result, add_columns
+from docklens.llm.batches import Result, add_columns, set_aside
 
 KINDS = ("email", "ip", "card", "phone", "key")
 TAGS = ("plain", *KINDS)
@@ -540,11 +540,15 @@ def find(
 def redact(docs: DataFrame, text_col: str = "text", model: Field | None = None) -> DataFrame:
     """``docs`` with personal data masked, in the same columns.
 
-    A column ``n_chars`` is counted again.
+    A column ``n_chars`` is counted again; all others stay as they are.
     """
-    found = find(docs, text_col, model=model, mask=True)
-    out = {c: found[c] for c in docs.columns}
-    out[text_col] = found["masked"]
-    if "n_chars" in out:
-        out["n_chars"] = F.length("masked").cast(docs.schema["n_chars"].dataType)
-    return found.select(*(column.alias(c) for c, column in out.items()))
+    aside, own = set_aside(docs, SCHEMA + ", masked string")
+    found = find(aside, own[text_col], model=model, mask=True)
+    return found.select(
+        *(
+            found["masked" if c == text_col else own[c]].alias(c)
+            if c != "n_chars"
+            else F.length("masked").cast(docs.schema[c].dataType).alias(c)
+            for c in docs.columns
+        )
+    )

@@ -25,9 +25,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from docklens.llm import words
-from docklens.llm.batches import Result, add_columns, by_slice, strings
+from docklens.llm.batches import Result, add_columns, by_slice, set_aside, strings
 from docklens.llm.words import LOWER, NOT_ALNUM, WHITE, Spans, mix, per_text, repeated, spans
 
 WINDOW = 8
@@ -239,13 +240,15 @@ def judge(
 def clean(docs: DataFrame, text_col: str = "text", rules: Rules = Rules()) -> DataFrame:
     """The kept documents with their cleaned texts, in the columns of ``docs``.
 
-    A column ``n_chars`` is counted again.
+    A column ``n_chars`` is counted again; all others stay as they are.
     """
-    from pyspark.sql import functions as F
-
-    judged = judge(docs, text_col, rules, cleaned=True).where("kept")
-    out = {c: judged[c] for c in docs.columns}
-    out[text_col] = judged["cleaned"]
-    if "n_chars" in out:
-        out["n_chars"] = F.length("cleaned").cast(docs.schema["n_chars"].dataType)
-    return judged.select(*(column.alias(c) for c, column in out.items()))
+    aside, own = set_aside(docs, SCHEMA + ", cleaned string")
+    judged = judge(aside, own[text_col], rules, cleaned=True).where("kept")
+    return judged.select(
+        *(
+            judged["cleaned" if c == text_col else own[c]].alias(c)
+            if c != "n_chars"
+            else F.length("cleaned").cast(docs.schema[c].dataType).alias(c)
+            for c in docs.columns
+        )
+    )

@@ -8,18 +8,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from docklens.llm import (
     bpe,
     chat,
     embeddings_lsh,
     packing,
+    pii,
     quality,
     sharding,
     superminhash,
     tokenfiles,
+    toxicity,
 )
 from docklens.llm.shipping import ship
 from docklens.llm.storage import new_path
+from docklens.llm.vocab import public
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,11 +43,15 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def vocabulary(name: str) -> str:
-    """The place of a public tokenizer file."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
+@_query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents, learned from the labels that are not held out."""
+    docs = _read(spark, sf_dir, "documents")
+    labels = _read(spark, sf_dir, "labels")
+    model = toxicity.fit_documents(docs, labels, ~toxicity.held_out("id"))
+    return toxicity.score(docs, model, keep=["doc_id"]).select(
+        "doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted"
+    )
 
 
 @_query
@@ -57,7 +65,7 @@ def op2_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 2048 ids."""
     docs = _read(spark, sf_dir, "documents")
-    pieces = packing.pack(docs, vocabulary("byte_bpe_50k.json"), end_id=1, sequence=2048)
+    pieces = packing.pack(docs, public("byte_bpe_50k.json"), end_id=1, sequence=2048)
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
         "sequence_id", "offset",
@@ -79,7 +87,7 @@ def op5_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded by the multilingual ranks and decoded again."""
-    path = vocabulary("byte_bpe_multi_50k.tiktoken")
+    path = public("byte_bpe_multi_50k.tiktoken")
     encoded = bpe.encode(_read(spark, sf_dir, "documents"), path)
     return bpe.decode(encoded, path).select(
         "doc_id",
@@ -94,7 +102,7 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written as token files and read back."""
     target = new_path(spark, "tokens")
     docs = _read(spark, sf_dir, "documents")
-    tokenfiles.write_tokens(docs, target, vocabulary("word_bpe_49k.json"), end_id=1)
+    tokenfiles.write_tokens(docs, target, public("word_bpe_49k.json"), end_id=1)
     return tokenfiles.read_tokens(spark, target, "ids_crc32", "long", tokenfiles.crc32)
 
 
@@ -104,6 +112,16 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_read(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
+@_query
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents."""
+    found = pii.find(_read(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone",
+        F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"), "spans",
+    )
+
+
 #: A conversation whose texts hold the marks of templates.
 _MARKED = r"\### Assistant: </turn> ok"
 
@@ -129,3 +147,9 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("learned").cast("binary"), 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+@_query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages of ``corpus_pipeline`` over all documents."""
+    return corpus_pipeline.run(spark, sf_dir)

@@ -568,3 +568,19 @@ def near_duplicates(
         )
         .withColumn("kept", F.col("component_id") == F.col("doc_id"))
     )
+
+
+def deduplicate(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", near: Near = Near()
+) -> DataFrame:
+    """One document of each component, in the columns of ``docs``.
+
+    Of rows that repeat an id one stays; rows with a null id stay all.
+    """
+    kept = near_duplicates(docs, id_col, text_col, near).where("kept")
+    named = docs.join(kept.select(F.col("doc_id").alias(id_col)), id_col, "left_semi")
+    return (
+        named.dropDuplicates([id_col])
+        .select(docs.columns)
+        .union(docs.where(F.col(id_col).isNull()))
+    )

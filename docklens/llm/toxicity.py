@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docklens.llm import words
-from docklens.llm.batches import Result, add_columns
+from docklens.llm.batches import Result, add_columns, set_aside
 from docklens.llm.words import LOWER, NOT_ALNUM, mix
 
 HEADS = (4, 5)
@@ -55,6 +55,7 @@ class Fit:
     size: int = 8
     filters: int = 8
     epochs: int = 4
+    least_steps: int = 300
     batch: int = 64
     rate: float = 0.01
     calibration: float = 0.25
@@ -106,12 +107,11 @@ def _scan(values: np.ndarray, offsets: np.ndarray, buckets: int):
     return features, run.of, language
 
 
-def _responses(model: Model, features: np.ndarray, of: np.ndarray, step: int = 1 << 16):
-    """Largest response of each filter in each text, with its word (for training)."""
+def _responses(model: Model, features: np.ndarray, of: np.ndarray, step: int = 1 << 16) -> np.ndarray:
+    """Largest response of each filter in each text, 0 at least; in runs of ``step`` words."""
     n = len(of) - 1
     width = sum(f.shape[1] for f in model.filters)
     best = np.zeros((n, width), np.float32)
-    where = np.full((n, width), -1, np.int64)
     row = np.repeat(np.arange(n), np.diff(of))
     for first in range(0, len(features), step):
         last = min(first + step, len(features))
@@ -134,18 +134,14 @@ def _responses(model: Model, features: np.ndarray, of: np.ndarray, step: int = 1
                 edges = np.flatnonzero(np.concatenate([[True], of_part[1:m] != of_part[: m - 1]]))
                 top = np.maximum.reduceat(response, edges, axis=0)
                 texts = of_part[edges]
-                for c in range(filters.shape[1]):
-                    better = top[:, c] > best[texts, column + c]
-                    if better.any():
-                        t = texts[better]
-                        best[t, column + c] = top[better, c]
-                        where[t, column + c] = -2 - first  # the place is found where it is needed
+                own = best[texts, column : column + filters.shape[1]]
+                best[texts, column : column + filters.shape[1]] = np.maximum(own, top)
             column += filters.shape[1]
-    return best, where
+    return best
 
 
 def _logits(model: Model, features: np.ndarray, of: np.ndarray) -> np.ndarray:
-    return _responses(model, features, of)[0] @ model.dense + model.offset
+    return _responses(model, features, of) @ model.dense + model.offset
 
 
 def fit(texts: pa.Array, toxic: np.ndarray, options: Fit = Fit()) -> Model:
@@ -235,7 +231,8 @@ def _train(model: Model, features, of, y, learn, options: Fit, random) -> Model:
         v += 0.001 * (g * g - v)
         return options.rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
 
-    for _ in range(options.epochs):
+    epochs = max(options.epochs, -(-options.least_steps * options.batch // len(learn)))
+    for _ in range(epochs):
         order = random.permutation(learn)
         for first in range(0, len(order), options.batch):
             step += 1
@@ -365,6 +362,13 @@ def score(
     return add_columns(docs, [text_col], SCHEMA, compute, keep)
 
 
+def clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The documents that are not toxic, in the columns of ``docs``."""
+    aside, own = set_aside(docs, SCHEMA)
+    scored = score(aside, model, own[text_col]).where("predicted = 0")
+    return scored.select(*(scored[own[c]].alias(c) for c in docs.columns))
+
+
 def held_out(id_col: str | Column) -> Column:
     """Whether labels of a document are kept from training: a fifth, by the id's crc32."""
     column = F.col(id_col) if isinstance(id_col, str) else id_col

@@ -20,6 +20,13 @@ from docklens.llm import words
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
+def public(name: str) -> str:
+    """The place of a file of the ``public_tokenizers`` package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def byte_letters() -> dict[str, int]:
     """The characters that stand for bytes in byte-level vocabularies.
 
