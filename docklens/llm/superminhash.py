@@ -25,9 +25,8 @@ Cases:
 * a null, empty or blank text has no shingles: size 0, linked with nothing;
 * fewer words than a shingle: the whole word sequence is its one shingle;
 * equal texts are linked with each other; the smallest id names the component;
-* rows that repeat an id count as copies of one document only if the caller makes ids
-  unique: results are per row of the distinct ids, a repeated id keeps its first text by
-  hash order; rows with a null id are left out, as a link cannot name them;
+* rows that repeat an id count once, with one of their texts; rows with a null id are left
+  out, as a link cannot name them;
 * an empty table gives an empty result; other columns are not read.
 """
 
@@ -234,27 +233,21 @@ def _confirm(percent: int):
     return run
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, near: Near) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
     """(a, b, near) for the pairs, by the full shingle sets of both texts.
 
-    ``pairs`` is a stored table. Sets are made only for the texts that occur in it. In
-    each pair ``b`` is the pivot, which may be in very many pairs: its set is joined first,
-    to pair rows that are still short, and Spark splits such a pivot's pairs.
+    In each pair ``b`` is the pivot, which may be in very many pairs: its set is joined
+    first, to pair rows that are still short, and Spark splits such a pivot's pairs.
     """
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = _sets(texts.join(ids, "doc_id", "left_semi"), near.shingle)
-    sets = stored(sets, "sets")
     joined = pairs.join(
         sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b")), "b"
     ).join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")), "a")
-    out = stored(
+    return stored(
         joined.select("a", "b", "set_a", "set_b").mapInArrow(
             _confirm(near.percent), "a long, b long, near boolean"
         ),
         "confirmed",
     )
-    dropped(sets)
-    return out
 
 
 def _whole_groups(keys: list[str], compare):
@@ -477,23 +470,24 @@ def near_duplicates(
     )
     members = reps.select("doc_id", F.posexplode("bands").alias("band", "key"))
 
-    # some pivots of each bucket: the smallest ids in several fixed random orders
+    # buckets of several classes, each with a pivot: the smallest id in one of several fixed
+    # random orders. All that follows needs only their members, and those members' sets
     order = F.xxhash64("doc_id", F.pmod("band", F.lit(near.pivots)))
-    pivots = members.groupBy("band", "key").agg(
+    buckets = members.groupBy("band", "key").agg(
         F.min(F.struct(order.alias("o"), "doc_id")).alias("p"), F.count("*").alias("n")
-    ).where("n > 1").select("band", "key", F.col("p.doc_id").alias("b"))
+    ).where("n > 1").select("band", "key", "n", F.col("p.doc_id").alias("b"))
+    members = stored(members.join(buckets, ["band", "key"]), "members")
+    some = members.select("doc_id").distinct()
+    once = texts.join(some, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    sets = stored(_sets(once, near.shingle), "sets")
     first = stored(
-        members.join(pivots, ["band", "key"])
-        .where("doc_id != b")
-        .select(F.col("doc_id").alias("a"), "b")
-        .distinct(),
-        "pairs",
+        members.where("doc_id != b").select(F.col("doc_id").alias("a"), "b").distinct(), "pairs"
     )
-    links = confirmed(first, texts, near).where("near").select("a", "b")
+    links = confirmed(first, sets, near).where("near").select("a", "b")
     parts = stored(connected(links), "parts")
 
     # buckets that still hold several components, except those of two compared classes
-    placed = _placed(members, parts)
+    placed = _placed(members.where("n > 2").drop("b", "n"), parts)
     mixed = (
         placed.groupBy("band", "key")
         .agg(
@@ -501,7 +495,7 @@ def near_duplicates(
             F.min("component_id").alias("low"),
             F.max("component_id").alias("high"),
         )
-        .where("n > 2 and low < high")
+        .where("low < high")
         .select("band", "key", F.ceil(F.col("n") / near.block).cast("int").alias("chunks"))
     )
     rows = _dealt(placed.join(mixed, ["band", "key"])).join(
@@ -516,7 +510,7 @@ def near_duplicates(
     )
     second = likely.where("kind = 0").select("a", "b").join(first, ["a", "b"], "left_anti")
     second = stored(second, "more-pairs")
-    links = links.union(confirmed(second, texts, near).where("near").select("a", "b"))
+    links = links.union(confirmed(second, sets, near).where("near").select("a", "b"))
     parts = stored(connected(links), "parts")
 
     # families that are still in parts
@@ -540,10 +534,9 @@ def near_duplicates(
         )
     )
     family = stored(family.join(apart, "family").select("doc_id", "family", "chunks"), "family")
-    sets = stored(_sets(texts.join(family.select("doc_id"), "doc_id", "left_semi"), near.shingle), "sets")
     third = (
         _dealt(family)
-        .join(sets.dropDuplicates(["doc_id"]), "doc_id")
+        .join(sets, "doc_id")
         .repartition(*_FAMILY)
         .sortWithinPartitions(*_FAMILY)
         .mapInArrow(_families(near), "a long, b long")
