@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from docklens.operators.latest import latest_date
+from docklens.operators.series import STRETCH
 from docklens.plans import clusters, predictions, profiles, stations, timeseries, transactions
 from docklens.sources import adapters
 from docklens.sources.tables import read_table
@@ -25,7 +26,7 @@ class BikeShare:
 
     @classmethod
     def from_lake(cls, spark: SparkSession, lake: str) -> BikeShare:
-        """Tables written by ``docklens.sinks.tables``."""
+        """Tables written by ``docklens.sinks.tables``; one not written yet is empty."""
         names = (
             "station", "timeseries", "daily_transaction", "prediction", "clustering", "centroid",
         )
@@ -66,9 +67,9 @@ class BikeShare:
         )
         return transactions.nest_daily(rows, "rank").orderBy("city_key", "rank")
 
-    def timeseries(self, city, ids, start, stop) -> DataFrame:
+    def timeseries(self, city, ids, start, stop, stretch=STRETCH) -> DataFrame:
         nested = timeseries.timeseries_nested(
-            self.readings, self.station, ids, start, stop, city
+            self.readings, self.station, ids, start, stop, city, stretch
         )
         return nested.orderBy("city_key", "id", "piece")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,6 +56,14 @@ def interval(seconds: int) -> Column:
     return F.expr(f"INTERVAL '{seconds}' SECOND")
 
 
+def seconds_since(ts: str, start: datetime) -> Column:
+    """Whole seconds from ``start`` to ``ts``, both without a zone."""
+    days = F.datediff(ts, F.lit(start.date()))
+    of_day = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+    before = start.hour * 3600 + start.minute * 60 + start.second
+    return days.cast("bigint") * DAY_SECONDS + of_day - before
+
+
 def bin_start(ts: str, step: str) -> Column:
     """Start of the left-closed bin of ``step`` that holds ``ts``."""
     return F.window(ts, f"{grid_seconds(step)} seconds").start

@@ -1,17 +1,18 @@
-"""Positions inside long series, and nesting of series into arrays."""
+"""Nesting of series into arrays."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docklens.functions.timecols import bin_start
+from docklens.functions.timecols import seconds_since, step_seconds
 
-BUCKET = "1H"
-PIECE_ROWS = 50_000
+# The time that one row of a nested series covers, unless the caller names another.
+STRETCH = "31D"
 
 
 def known(columns: Sequence[str]) -> Column:
@@ -23,47 +24,6 @@ def known(columns: Sequence[str]) -> Column:
     return reduce(Column.__and__, [F.col(c).isNotNull() for c in columns])
 
 
-def with_position(
-    df: DataFrame,
-    keys: Sequence[str],
-    ts: str,
-    ties: Sequence[str] = (),
-    bucket: str = BUCKET,
-) -> DataFrame:
-    """One row per different row, with ``copies`` and its first ``position``.
-
-    Positions count from 0 in the time order of each key; a row with copies
-    takes that many places.  Copies are counted before the shuffle, rows are
-    numbered per key and bucket, and the buckets' sizes give each bucket its
-    offset, so neither a hot key nor a hot group of copies meets in one task.
-    """
-    columns = [*keys, ts, *ties]
-    cut = (
-        df.groupBy(*columns)
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .withColumn("bucket", bin_start(ts, bucket))
-        .where(known([*keys, "bucket"]))
-    )
-    first, until_here, last = Window.unboundedPreceding, -1, Window.unboundedFollowing
-    inside = Window.partitionBy(*keys, "bucket").orderBy(ts, *ties)
-    before = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(first, until_here)
-    count_before = lambda column, window: F.coalesce(F.sum(column).over(window), F.lit(0))
-    marked = cut.withColumns(
-        {
-            "inside": count_before("copies", inside.rowsBetween(first, until_here)),
-            "size": F.sum("copies").over(inside.rowsBetween(first, last)),
-            "is_head": F.row_number().over(inside) == 1,
-        }
-    )
-    # both sides of the join start from the same shuffle, which Spark reuses
-    offsets = marked.where("is_head").select(
-        *keys, "bucket", count_before("size", before).alias("offset")
-    )
-    return marked.join(offsets, [*keys, "bucket"]).select(
-        *columns, "copies", (F.col("offset") + F.col("inside")).alias("position")
-    )
-
-
 def nest(
     df: DataFrame, keys: Sequence[str], order: str, columns: dict[str, str]
 ) -> DataFrame:
@@ -83,40 +43,38 @@ def nest(
     )
 
 
+def _repeat(column: str):
+    return lambda row: F.array_repeat(row[column], row["_times"])
+
+
 def nest_series(
     df: DataFrame,
     keys: Sequence[str],
     ts: str,
     columns: dict[str, str],
+    start: datetime,
+    stretch: str = STRETCH,
     ties: Sequence[str] = (),
-    piece_rows: int = PIECE_ROWS,
 ) -> DataFrame:
-    """Parallel arrays per key, cut into pieces of at most ``piece_rows`` rows.
+    """Parallel arrays per key and ``piece``: the stretches of time from ``start`` on.
 
-    A series of ordinary length is one row with ``piece`` 0; only longer ones
-    go on in further pieces, so no array grows with the data.  A row with copies
-    is spread over the pieces it reaches into and repeated inside them.
+    A series that ends within one stretch is one row with ``piece`` 0; a longer
+    one goes on in the next pieces, whatever the number of its rows.  Copies are
+    counted before the shuffle, travel as one row and are repeated in the arrays.
     """
     ties = [*ties, *[c for c in columns.values() if c not in (ts, *ties)]]
-    placed = with_position(df, keys, ts, ties)
-    last = F.col("position") + F.col("copies") - 1
-    piece_of = lambda position: F.floor(position / piece_rows).cast("int")
-    spread = placed.withColumn(
-        "piece", F.explode(F.sequence(piece_of(F.col("position")), piece_of(last)))
-    )
-    start = F.col("piece").cast("bigint") * piece_rows
-    first_here = F.greatest(F.col("position"), start)
-    last_here = F.least(last, start + piece_rows - 1)
-    spread = spread.withColumns(
-        {"first_here": first_here, "times": (last_here - first_here + 1).cast("int")}
-    )
-    arrays = {name: name for name in columns}
-    renamed = spread.withColumns({n: F.col(c) for n, c in columns.items() if n != c})
-    nested = nest(
-        renamed, [*keys, "piece"], "first_here", {**arrays, "_times": "times"}
+    seconds = seconds_since(ts, start)
+    placed = (
+        df.groupBy(*keys, ts, *ties)
+        .agg(F.count(F.lit(1)).alias("_times"))
+        .where(known([*keys, ts]))
+        .withColumn("piece", F.floor(seconds / step_seconds(stretch)).cast("int"))
     )
-    repeated = {
-        name: F.flatten(F.zip_with(name, "_times", lambda value, n: F.array_repeat(value, n)))
-        for name in arrays
-    }
-    return nested.withColumns(repeated).drop("_times")
+    times = F.col("_times").cast("int").alias("_times")
+    rows = F.array_sort(F.collect_list(F.struct(ts, *ties, times)))
+    nested = placed.groupBy(*keys, "piece").agg(rows.alias("_rows"))
+    repeated = [
+        F.flatten(F.transform("_rows", _repeat(column))).alias(name)
+        for name, column in columns.items()
+    ]
+    return nested.select(*keys, "piece", *repeated)

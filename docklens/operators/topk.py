@@ -18,7 +18,8 @@ def only_ids(df: DataFrame, ids: Sequence[str] | None, key: str = "id") -> DataF
     if len(ids) <= LITERAL_IDS:
         return df.where(F.col(key).isin(list(ids)))
     wanted = df.sparkSession.createDataFrame([(i,) for i in ids], f"{key} string")
-    return df.join(wanted, key, "left_semi")
+    # a join by name puts the key first
+    return df.join(wanted, key, "left_semi").select(*df.columns)
 
 
 def first_rows(df: DataFrame, order: Sequence[str | Column], limit: int | None) -> DataFrame:

@@ -12,7 +12,7 @@ from docklens.config import as_datetime, as_ids, check_count
 from docklens.functions.fill import fill_probability, has_docks
 from docklens.functions.geo import LATEST_PROPERTIES, point_features
 from docklens.operators.latest import newest
-from docklens.operators.series import PIECE_ROWS, nest_series
+from docklens.operators.series import STRETCH, nest_series
 from docklens.operators.topk import first_rows, only_ids
 from docklens.sources.tables import time_slice
 
@@ -56,9 +56,12 @@ def timeseries_nested(
     start: Time,
     stop: Time,
     city: str | None = None,
-    piece_rows: int = PIECE_ROWS,
+    stretch: str = STRETCH,
 ) -> DataFrame:
-    """One row per station with parallel arrays (see ``nest_series`` for pieces)."""
+    """Parallel arrays per station and stretch of time from ``start`` on.
+
+    A range of one stretch at most gives one row per station.
+    """
     columns = {
         "ts": "timestamp",
         "status": "status",
@@ -67,7 +70,8 @@ def timeseries_nested(
     }
     rows = _selected(readings, ids, start, stop, city)
     ties = ("available_bikes", "available_stands", "status")
-    nested = nest_series(rows, KEYS, "timestamp", columns, ties, piece_rows)
+    since = as_datetime(start)
+    nested = nest_series(rows, KEYS, "timestamp", columns, since, stretch, ties)
     return nested.join(_names(station), KEYS, "left")
 
 

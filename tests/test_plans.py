@@ -4,14 +4,13 @@ import os
 
 import pytest
 
-import __spark_entry__ as registered
 from docklens import schemas
-from docklens.operators.series import with_position
 from docklens.plans import profiles, timeseries, transactions
+from registry import queries
 
 FOLDER = os.environ.get("DOCKLENS_TESTDATA", "/root/testdata/sf0.001")
 ACTIONS = ("stream_", "kmeans_", "forecast_", "_store")
-LAZY = [n for n in registered.queries() if not any(a in n for a in ACTIONS)]
+LAZY = [n for n in queries.QUERIES if not any(a in n for a in ACTIONS)]
 
 
 def plan_of(df, capsys):
@@ -31,7 +30,7 @@ def exchanges(plan):
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 @pytest.mark.parametrize("name", LAZY)
 def test_no_cross_join_and_no_python_in_the_plan(spark, capsys, name):
-    plan = plan_of(registered.queries()[name](spark, FOLDER), capsys)
+    plan = plan_of(queries.QUERIES[name](spark, FOLDER), capsys)
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "InPandas"):
         assert operator not in plan
 
@@ -65,15 +64,13 @@ def test_only_needed_columns_and_rows_are_read(stored, capsys):
     assert schema.startswith("struct<id:string>")
 
 
-def test_positions_share_one_shuffle_of_the_readings(stored, capsys, spark):
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        ties = ["available_bikes", "available_stands", "status"]
-        df = with_position(stored, ["city_key", "id"], "timestamp", ties)
-        plan = plan_of(df, capsys)
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert "ReusedExchange" in plan
+def test_nesting_moves_the_readings_twice(stored, make_station, capsys):
+    df = timeseries.timeseries_nested(
+        stored, make_station([]), None, "2024-01-01", "2024-01-02"
+    )
+    copies, pieces, *rest = exchanges(plan_of(df, capsys))
+    assert "timestamp" in copies and "piece" in pieces  # copies collapse first
+    assert len(rest) <= 2  # and the join of the names
 
 
 def test_small_tops_are_taken_without_a_sort_of_all_rows(stored, capsys, spark):

@@ -26,9 +26,9 @@ def test_range_is_half_open(make_readings, make_station):
     ]
 
 
-@pytest.mark.parametrize("piece_rows, pieces", [(50_000, 1), (7, 15), (100, 1)])
+@pytest.mark.parametrize("stretch, pieces", [("31D", 1), ("1D", 3), ("12H", 5)])
 def test_nested_series_keeps_every_reading_in_order(
-    make_readings, make_station, piece_rows, pieces
+    make_readings, make_station, stretch, pieces
 ):
     rows = [
         ("a", f"2024-01-{1 + i // 24:02d}T{i % 24:02d}:{m:02d}:00", i)
@@ -37,31 +37,29 @@ def test_nested_series_keeps_every_reading_in_order(
     ]
     df = timeseries.timeseries_nested(
         make_readings(rows[::-1]), make_station(["a"]), None, "2024-01-01", "2024-02-01",
-        piece_rows=piece_rows,
+        stretch=stretch,
     )
     found = df.orderBy("piece").collect()
     assert [r.piece for r in found] == list(range(pieces))
-    assert all(len(r.ts) <= piece_rows for r in found)
     assert [b for r in found for b in r.available_bikes] == [row[2] for row in rows]
     assert [t for r in found for t in r.ts] == [at(row[1]) for row in rows]
     assert found[0].name == "name a" and found[0].nb_stands == 20
 
 
-@pytest.mark.parametrize("piece_rows", [3, 4, 100])
-def test_copies_reach_over_pieces(make_readings, make_station, piece_rows):
+@pytest.mark.parametrize("n", [1, 7, 1000])
+def test_pieces_do_not_depend_on_the_number_of_rows(make_readings, make_station, n):
     rows = (
         [("a", "2024-01-01T00:00:00", 1)]
-        + [("a", "2024-01-01T00:10:00", 2)] * 7
+        + [("a", "2024-01-01T00:10:00", 2)] * n
         + [("a", "2024-01-01T00:10:00", 3), ("a", "2024-01-01T05:00:00", None)]
     )
     df = timeseries.timeseries_nested(
-        make_readings(rows), make_station([]), None, "2024-01-01", "2024-02-01",
-        piece_rows=piece_rows,
+        make_readings(rows), make_station([]), None, "2024-01-01", "2024-02-01"
     )
-    found = df.orderBy("piece").collect()
-    assert [len(r.ts) for r in found[:-1]] == [piece_rows] * (len(found) - 1)
-    assert [b for r in found for b in r.available_bikes] == [row[2] for row in rows]
-    assert [s for r in found for s in r.status] == ["open"] * 10
+    found = df.collect()
+    assert [r.piece for r in found] == [0]
+    assert found[0].available_bikes == [row[2] for row in rows]
+    assert found[0].status == ["open"] * (n + 3)
 
 
 def test_latest_keeps_ties_and_drops_old_or_unknown_stations(make_readings, make_station):
@@ -188,7 +186,8 @@ def test_station_queries(make_station):
 def test_many_ids_become_a_join(make_station):
     station = make_station(["a", "b"])
     many = [f"x{i}" for i in range(LITERAL_IDS)] + ["b"]
-    assert rows_of(only_ids(station, many), "id") == [("b",)]
+    joined = only_ids(station, many)
+    assert rows_of(joined, "id") == [("b",)] and joined.columns == station.columns
 
 
 def test_rebase(make_readings, spark):
