@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -19,9 +19,25 @@ def newest(df: DataFrame, keys: Sequence[str], ts: str = "timestamp") -> DataFra
     return df.join(last, [*keys, ts], "left_semi")
 
 
+def newest_once(df: DataFrame, keys: Sequence[str], ts: str = "timestamp") -> DataFrame:
+    """The different rows of ``newest``, reading ``df`` only once.
+
+    Copies collapse first (partially, inside each task); what is left of a key
+    are its different rows, of which the window keeps those of the newest time,
+    and Spark cuts each task's rows to them before it shuffles.
+    """
+    rank = F.rank().over(Window.partitionBy(*keys).orderBy(F.desc(ts)))
+    return df.distinct().withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+
+
 def newest_run(df: DataFrame, keys: Sequence[str] = ("city_key",)) -> DataFrame:
-    """Rows of the training run with the latest ``stop`` per city."""
-    return newest(df, keys, "stop")
+    """Rows of the training run with the latest ``stop`` per city, read only once.
+
+    Spark cuts each task's rows to those of its newest run before the shuffle; a
+    city's newest run holds one row for each of its stations or clusters.
+    """
+    rank = F.rank().over(Window.partitionBy(*keys).orderBy(F.desc("stop")))
+    return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
 def latest_date(df: DataFrame, ts: str = "timestamp") -> DataFrame:

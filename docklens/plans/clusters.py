@@ -32,8 +32,16 @@ EVENING_HOUR = 21
 NIGHT_HOUR = 4
 DAWN_HOUR = 6
 
-# One task of the clustering input holds this many stations at most (on average).
-STATIONS_PER_TASK = 20_000
+# Starts of a fit, of which the one with the least cost is kept, and how far each goes:
+# until no centre moves, so that centres are the means of their members.
+STARTS = 4
+INIT_STEPS = 5
+ROUNDS = 300
+TOLERANCE = 1e-12
+
+# Hash partitions of the clustering input. The seeding of Spark's k-means depends on them,
+# so their number is part of the method and the same for any cluster and any input.
+PLACES = 16
 
 
 def cluster_input(
@@ -88,30 +96,40 @@ def long_profiles(wide: DataFrame, keys: Sequence[str]) -> DataFrame:
 class Clusters(NamedTuple):
     labels: DataFrame
     centroids: DataFrame
+    # stations that cannot be placed: hours or coordinates are not known
+    rejects: DataFrame
 
 
 def _fit(
-    features: DataFrame, columns: Sequence[str], k: int, seed: int
+    features: DataFrame, columns: Sequence[str], k: int, seed: int, places: int
 ) -> tuple[KMeansModel, DataFrame]:
     """A fitted model and the vectors it was fitted on.
 
     The seeding of Spark's k-means depends on how rows are partitioned, so the
-    rows are placed by a hash of the station into a number of partitions that
-    follows from the data alone, and sorted inside them.
+    rows are placed by a hash of the station into ``places`` partitions and
+    sorted inside them.
     """
     vectors = VectorAssembler(inputCols=list(columns), outputCol="features").transform(
         features
     )
     vectors = cut_lineage(vectors.select(*STATION, "features"))
-    tasks = -(-vectors.count() // STATIONS_PER_TASK)
-    placed = vectors.repartition(max(tasks, 1), *STATION).sortWithinPartitions(*STATION)
-    model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="label").fit(placed)
-    return model, vectors
+    placed = vectors.repartition(places, *STATION).sortWithinPartitions(*STATION)
+    fits = [
+        KMeans(
+            k=k, seed=seed + start, initSteps=INIT_STEPS, maxIter=ROUNDS, tol=TOLERANCE,
+            featuresCol="features", predictionCol="label",
+        ).fit(placed)
+        for start in range(STARTS)
+    ]
+    return min(fits, key=lambda fit: fit.summary.trainingCost), vectors
 
 
 def _numbered(model: KMeansModel) -> dict[int, int]:
-    """Cluster numbers in the order of the centres (k of them, k is 4 or 12)."""
-    centres = [tuple(c) for c in model.clusterCenters()]
+    """Cluster numbers in the order of the centres (k of them, k is 4 or 12).
+
+    Centres are compared to nine places: the last bits depend on the order of a sum.
+    """
+    centres = [tuple(round(float(v), 9) for v in c) for c in model.clusterCenters()]
     order = sorted(range(len(centres)), key=lambda i: centres[i])
     return {old: new for new, old in enumerate(order)}
 
@@ -147,12 +165,16 @@ def compute_clusters(
     stop: date | str,
     k: int = PATTERN_CLUSTERS,
     seed: int = SEED,
+    places: int = PLACES,
 ) -> Clusters:
-    """k-means on the 24-hour profiles of one city: labels and centroids of a run."""
+    """k-means on the 24-hour profiles of one city: labels and centroids of a run.
+
+    Stations without all 24 weekday hours have no profile; they are ``rejects``.
+    """
     start, stop = as_date(start), as_date(stop)
     rows = cluster_input(readings, start, stop, city)
-    wide, _ = complete_profiles(wide_profiles(hour_profiles(rows)))
-    model, vectors = _fit(wide, HOUR_COLUMNS, k, seed)
+    wide, rest = complete_profiles(cut_lineage(wide_profiles(hour_profiles(rows))))
+    model, vectors = _fit(wide, HOUR_COLUMNS, k, seed, places)
     run = {"start": F.lit(start), "stop": F.lit(stop)}
     text_id = F.col("cluster_id").cast("string").alias("cluster_id")
     labels = _apply(model, vectors).withColumns(run)
@@ -162,59 +184,74 @@ def compute_clusters(
         centres.select(
             F.lit(city).alias("city_key"), text_id, "start", "stop", *HOUR_COLUMNS
         ),
+        rest.withColumns(run).select("city_key", "station_id", "start", "stop"),
     )
 
 
 def compute_geo_clusters(
-    points: DataFrame, city: str, k: int = PLACE_CLUSTERS, seed: int = SEED
+    points: DataFrame,
+    city: str,
+    k: int = PLACE_CLUSTERS,
+    seed: int = SEED,
+    places: int = PLACES,
 ) -> Clusters:
-    """k-means on (lat, lon) of one city's stations, labels by station id."""
+    """k-means on (lat, lon) of one city's stations, labels by station id.
+
+    Stations without coordinates are ``rejects``.
+    """
     rows = points.where(F.col("city_key").isin(city_list(city)))
-    rows = rows.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
-    model, vectors = _fit(rows, ["lat", "lon"], k, seed)
+    known = F.col("lat").isNotNull() & F.col("lon").isNotNull()
+    model, vectors = _fit(rows.where(known), ["lat", "lon"], k, seed, places)
     centres = _centres(points.sparkSession, model, ["lat", "lon"])
     return Clusters(
         _apply(model, vectors).orderBy("station_id"),
         centres.select(F.lit(city).alias("city_key"), "cluster_id", "lat", "lon"),
+        rows.where(~known).select("city_key", "station_id"),
     )
 
 
-def find_cluster(centroid: DataFrame, keys: Sequence[str] = RUN) -> DataFrame:
-    """Name the four patterns of each run: high, evening, noon, morning.
+def _labelled(centroid: DataFrame, run: Sequence[str]) -> DataFrame:
+    """Centroid rows with their ``label``, in one shuffle by run.
 
-    The flattest profile is ``high``; of the rest the one gaining most from
-    night to evening is ``evening``; then the lowest at dawn is ``noon`` and the
-    last one ``morning``.  Every window below holds the four rows of a run.
+    Every window holds the four rows of a run.
     """
-    run = list(keys)
-    shape = (
-        long_profiles(centroid, [*run, "cluster_id"])
-        .groupBy(*run, "cluster_id")
-        .agg(
-            F.stddev_samp("value").alias("spread"),
-            F.max(F.when(F.col("hour") == EVENING_HOUR, F.col("value"))).alias("evening"),
-            F.max(F.when(F.col("hour") == NIGHT_HOUR, F.col("value"))).alias("night"),
-            F.max(F.when(F.col("hour") == DAWN_HOUR, F.col("value"))).alias("dawn"),
-        )
-    )
+    hours = [F.col(h) for h in HOUR_COLUMNS]
+    at = lambda hour: F.col(HOUR_COLUMNS[hour])
+    known = F.filter(F.array(*hours), lambda v: v.isNotNull())
+    total = lambda values: F.aggregate(values, F.lit(0.0), lambda a, v: a + v)
+    mean = total(known) / F.size(known)
+    apart = total(F.transform(known, lambda v: (v - F.col("_mean")) * (v - F.col("_mean"))))
     group = Window.partitionBy(*run) if run else Window.partitionBy(F.lit(0))
     first = lambda *order: F.row_number().over(group.orderBy(*order, "cluster_id")) == 1
-    gain = F.col("evening") - F.col("night")
+    gain = at(EVENING_HOUR) - at(NIGHT_HOUR)
     named = (
-        shape.withColumn("four", F.count(F.lit(1)).over(group) == PATTERN_CLUSTERS)
-        .withColumn("is_high", first("spread"))
-        .withColumn("is_evening", first("is_high", gain.desc()))
-        .withColumn("taken", F.col("is_high") | F.col("is_evening"))
-        .withColumn("is_noon", first("taken", "dawn"))
+        centroid.withColumn("_mean", mean)
+        .withColumn("_spread", F.sqrt(F.try_divide(apart, F.size(known) - 1)))
+        .withColumn("_gain", gain)
+        .withColumn("_four", F.count(F.lit(1)).over(group) == PATTERN_CLUSTERS)
+        .withColumn("_high", first("_spread"))
+        .withColumn("_evening", first("_high", F.desc("_gain")))
+        .withColumn("_taken", F.col("_high") | F.col("_evening"))
+        .withColumn("_noon", first("_taken", HOUR_COLUMNS[DAWN_HOUR]))
     )
     label = (
-        F.when(~F.col("four"), F.raise_error(F.lit("a run must have four clusters")))
-        .when(F.col("is_high"), "high")
-        .when(F.col("is_evening"), "evening")
-        .when(F.col("is_noon"), "noon")
+        F.when(~F.col("_four"), F.raise_error(F.lit("a run must have four clusters")))
+        .when(F.col("_high"), "high")
+        .when(F.col("_evening"), "evening")
+        .when(F.col("_noon"), "noon")
         .otherwise("morning")
     )
-    return named.select(*run, "cluster_id", label.alias("label"))
+    return named.select(*centroid.columns, label.alias("label"))
+
+
+def find_cluster(centroid: DataFrame, keys: Sequence[str] = RUN) -> DataFrame:
+    """Name the four patterns of each run: high, evening, noon, morning.
+
+    The flattest profile is ``high``; of the rest the one gaining most from
+    night to evening is ``evening``; then the lowest at dawn is ``noon`` and the
+    last one ``morning``.
+    """
+    return _labelled(centroid, list(keys)).select(*keys, "cluster_id", "label")
 
 
 def _of_run(
@@ -254,9 +291,8 @@ def cluster_profiles(
     stop: date | str | None = None,
 ) -> DataFrame:
     """Named centroids of the newest run (or of the given one) as 24-value arrays."""
-    rows = newest_run(_of_run(centroid, city, start, stop))
-    labels = find_cluster(rows)
-    return rows.join(labels, [*RUN, "cluster_id"]).select(
+    rows = _labelled(newest_run(_of_run(centroid, city, start, stop)), RUN)
+    return rows.select(
         "city_key",
         "cluster_id",
         "label",

@@ -27,7 +27,7 @@ TEST_PERIODS = 2
 FEATURES = ("station_id", "nb_bikes", "nb_stands", "day", "hour", "minute")
 STATION_NUMBER = "station_number"
 STATION_NUMBERS = 2**31
-ROWS_PER_TASK = 500_000
+ROWS_PER_PLACE = 100_000
 
 
 def features(rows: DataFrame, step: str = GRID) -> DataFrame:
@@ -49,24 +49,45 @@ def _time(value: datetime) -> Column:
     return F.lit(value.isoformat()).cast("timestamp_ntz")
 
 
-def prepare_data_for_training(
+PART = "part"
+
+
+def with_part(
     df: DataFrame,
     cut: Time,
     frequency: str = "1H",
     start: Time | None = None,
     periods: int = 1,
-) -> Split:
-    """Training rows up to ``cut - frequency`` and test rows from ``cut`` on.
+) -> DataFrame:
+    """Rows of either part of a split, told apart by ``part``, in one pass.
 
-    All bounds are closed; ``probability`` is dropped and ``future`` is the label.
+    ``train`` ends at ``cut - frequency`` and ``test`` begins at ``cut``; all bounds
+    are closed.  ``probability`` is dropped and ``future`` is the label.
     """
     cut = as_datetime(cut)
     span = timedelta(seconds=step_seconds(frequency))
+    ts = F.col("ts")
+    train = ts <= _time(cut - span)
     if start is not None:
-        df = df.where(F.col("ts") >= _time(as_datetime(start)))
-    train = df.where(F.col("ts") <= _time(cut - span))
-    test = df.where(F.col("ts").between(_time(cut), _time(cut + periods * span)))
-    return Split(train.drop("probability"), test.drop("probability"))
+        train = train & (ts >= _time(as_datetime(start)))
+    test = ts.between(_time(cut), _time(cut + periods * span))
+    if start is not None:
+        test = test & (ts >= _time(as_datetime(start)))
+    part = F.when(train, "train").when(test, "test")
+    return df.where(train | test).withColumn(PART, part).drop("probability")
+
+
+def prepare_data_for_training(
+    df: DataFrame,
+    cut: Time,
+    frequency: str = "1H",
+    start: Time | None = None,
+    periods: int = 1,
+) -> Split:
+    """Training rows up to ``cut - frequency`` and test rows from ``cut`` on."""
+    both = with_part(df, cut, frequency, start, periods)
+    of = lambda name: both.where(F.col(PART) == name).drop(PART)
+    return Split(of("train"), of("test"))
 
 
 def _numbered_stations(df: DataFrame) -> DataFrame:
@@ -97,9 +118,11 @@ class Trained(NamedTuple):
     test_error: list[float]
 
 
-def fit(train: DataFrame, test: DataFrame, seed: int = 0) -> Trained:
+def fit(
+    train: DataFrame, test: DataFrame, seed: int = 0, places: int | None = None
+) -> Trained:
     """Boosted trees on the label ``future``, with the error after each round."""
-    train, test = _spread(_numbered_stations(train)), _numbered_stations(test)
+    train, test = _placed(_numbered_stations(train), places), _numbered_stations(test)
     model = _pipeline(seed).fit(train)
     assembler, trees = model.stages
     return Trained(model, *[_progress(assembler.transform(df), trees) for df in (train, test)])
@@ -112,16 +135,17 @@ def _progress(ready: DataFrame, model: GBTRegressionModel) -> list[float]:
     return [math.sqrt(e) for e in model.evaluateEachIteration(ready, "squared")]
 
 
-def _spread(train: DataFrame) -> DataFrame:
-    """Training rows over enough tasks for the many passes of the fit.
+def _placed(train: DataFrame, places: int | None) -> DataFrame:
+    """Training rows placed by their hash, sorted inside their partitions.
 
-    The grid is expanded after its last shuffle, so its partitions follow the
-    size of the bins.  Here every core gets a share and no task more than
-    ``ROWS_PER_TASK`` rows on average.
+    The trees' split candidates are sampled in each partition, so the number of
+    partitions is ``places`` or follows from the number of rows, never from the
+    cluster: the same rows give the same model on any number of cores.
     """
-    cores = train.sparkSession.sparkContext.defaultParallelism
-    tasks = max(cores, -(-train.count() // ROWS_PER_TASK))
-    return train.repartition(tasks, "city_key", "station_id", "ts")
+    if places is None:
+        places = max(1, -(-train.count() // ROWS_PER_PLACE))
+    key = ["city_key", "station_id", "ts"]
+    return train.repartition(places, *key).sortWithinPartitions(*key)
 
 
 def _bounded(score: Column) -> Column:
@@ -130,14 +154,18 @@ def _bounded(score: Column) -> Column:
 
 
 def train_prediction_model(
-    rows: DataFrame, validation: Time, frequency: str = "30T", seed: int = 0
+    rows: DataFrame,
+    validation: Time,
+    frequency: str = "30T",
+    seed: int = 0,
+    places: int | None = None,
 ) -> Trained:
     """Resample, add calendar and label, split at ``validation`` and fit."""
     table = cut_lineage(labelled(rows, frequency))
     if table.isEmpty():
         raise ValueError("no readings to train on, check the dates")
     split = prepare_data_for_training(table, validation, frequency, periods=TEST_PERIODS)
-    return fit(*split, seed=seed)
+    return fit(*split, seed=seed, places=places)
 
 
 def train(

@@ -23,6 +23,7 @@ def table(columns: str) -> T.StructType:
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
+# The names and types of the canonical tables.
 STATION = table(
     "city_key string, id string, name string, address string, city string, "
     "nb_stations int, x double, y double"
@@ -40,6 +41,9 @@ CENTROID = table(
     + ", ".join(f"{name} double" for name in HOUR_COLUMNS)
 )
 GEO_CLUSTERING = table("city_key string, station_id string, cluster_id int")
+# Ours: stations that a run could not place.
+CLUSTERING_REJECT = table("city_key string, station_id string, start date, stop date")
+GEO_CLUSTERING_REJECT = table("city_key string, station_id string")
 GEO_CENTROID = table("city_key string, cluster_id int, lat double, lon double")
 PREDICTION = table(
     "city_key string, timestamp timestamp_ntz, frequency string, station_id string, "
@@ -56,8 +60,20 @@ WEATHER_FORECAST = table(
     "pressure double, humidity double, wind_speed double, cloudiness int"
 )
 
+# Columns of the stored tables' folders, beside those of the table itself. ``load`` and
+# ``polled`` tell the writes apart and are not part of what a reader gets.
+PARTITIONS = {
+    "timeseries": table("date date, load string"),
+    "snapshot": table("date date, load string"),
+    "prediction": table("date date"),
+    "weather_current": table("city_key string, polled string"),
+    "weather_forecast": table("city_key string, polled string"),
+}
+WRITE_NAMES = ("load", "polled")
+
 # Raw feeds -------------------------------------------------------------------
 
+# The names that the feeds publish.
 # Nested ones stay DDL text, which the readers take as it is.
 GML_MEMBER = (
     "CI_VCUB_P struct<GID: int, IDENT: int, TYPE: string, NOM: string, ETAT: string, "

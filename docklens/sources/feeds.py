@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from docklens import schemas
 from docklens.config import CityConfig
 from docklens.functions.fill import blank_to_null, recode_status
+from docklens.functions.timecols import bin_start
 from docklens.operators.series import known
 
 COUNTS = ("available_stands", "available_bikes")
@@ -118,7 +119,7 @@ class FilledReadings(NamedTuple):
 
 
 def fill_counts(
-    readings: DataFrame, scope: str = "snapshot", prefix: int = 5
+    readings: DataFrame, scope: str = "snapshot", prefix: int = 5, bucket: str = "1H"
 ) -> FilledReadings:
     """Give a missing count the next known one in (id, timestamp) order.
 
@@ -127,32 +128,56 @@ def fill_counts(
     which no count is known go to ``rejects``.
 
     Rows with both counts stay where they are.  The others look their counts up
-    among the snapshot's different rows, which are never ordered in one task:
-    ids are cut into groups by their first ``prefix`` characters, which keeps
-    the text order; each group is filled by itself, and one row per group
-    carries the first known count of the later groups back to it.
+    among the snapshot's different rows, which are never ordered in one task.
+    Each station's hour (``bucket``) is filled by itself and leaves one row, its
+    first known counts; those rows carry counts back inside a station, or among
+    the ids with the same first ``prefix`` characters, and one row of each such
+    group carries them through the snapshot.  Neither length changes the result.
     """
     if scope not in ("snapshot", "station"):
         raise ValueError("scope is 'snapshot' or 'station'")
     readings = readings.withColumns({c: F.col(c).cast("int") for c in COUNTS})
     complete = known(COUNTS)
-    part = F.col("id") if scope == "station" else F.substring("id", 1, prefix)
-    group = ["snapshot", "part"]
-    rows = readings.select(*_PLACE).distinct().withColumn("part", part).where(known(group))
-    backwards = Window.partitionBy(*group).orderBy(
-        F.desc("id"), F.desc("timestamp"), F.desc("status"),
-        *[F.desc_nulls_last(c) for c in COUNTS],
+    rows = (
+        readings.select(*_PLACE)
+        .distinct()
+        .where(known(["snapshot", "id"]))
+        .withColumns(
+            {
+                "part": F.col("id") if scope == "station" else F.substring("id", 1, prefix),
+                # a reading without a time comes before all others of its station
+                "bucket": F.coalesce(
+                    bin_start("timestamp", bucket),
+                    F.lit("0001-01-01 00:00:00").cast("timestamp_ntz"),
+                ),
+            }
+        )
     )
+    cell = ["snapshot", "part", "id", "bucket"]
+    order = [F.desc("timestamp"), F.desc("status"), *[F.desc_nulls_last(c) for c in COUNTS]]
+    backwards = Window.partitionBy(*cell).orderBy(*order)
     running = backwards.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumns(
         {f"next_{c}": F.last(c, ignorenulls=True).over(running) for c in COUNTS}
         | {"is_first": F.lead(F.lit(False), 1, True).over(backwards)}
     )
-    found = rows.where(~complete)
+    heads = rows.where("is_first").select(*cell, *[f"next_{c}" for c in COUNTS])
+    heads = _carried(heads, ["snapshot", "part"], [F.desc("id"), F.desc("bucket")])
     if scope == "snapshot":
-        found = _carry_back(rows, found, group)
-    found = found.select(*[F.col(c).alias(f"_{c}") for c in _PLACE],
-                         *[f"next_{c}" for c in COUNTS])
+        parts = heads.where("is_first").select("snapshot", "part", *_first_known())
+        parts = _carried(parts, ["snapshot"], [F.desc("part")])
+        beyond = parts.select(
+            "snapshot", "part", *[F.col(f"later_{c}").alias(f"beyond_{c}") for c in COUNTS]
+        )
+        heads = heads.join(beyond, ["snapshot", "part"]).withColumns(
+            {f"later_{c}": F.coalesce(f"later_{c}", f"beyond_{c}") for c in COUNTS}
+        )
+    carried = heads.select(*cell, *[f"later_{c}" for c in COUNTS])
+    found = (
+        rows.where(~complete)
+        .join(carried, cell)
+        .select(*[F.col(c).alias(f"_{c}") for c in _PLACE], *_first_known())
+    )
     same_row = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in _PLACE])
     filled = (
         readings.where(~complete)
@@ -166,20 +191,19 @@ def fill_counts(
     )
 
 
-def _carry_back(rows: DataFrame, found: DataFrame, group: Sequence[str]) -> DataFrame:
-    """Fill what is still open from the later groups of the same snapshot.
+def _first_known() -> list[Column]:
+    """The counts of a row's own group, else those carried back to it."""
+    return [F.coalesce(f"next_{c}", f"later_{c}").alias(f"next_{c}") for c in COUNTS]
+
+
+def _carried(heads: DataFrame, group: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """One row per group of readings, with the first known counts of the groups after it.
 
-    The first row of a group holds the group's first known counts.
+    ``order`` runs backwards; ``is_first`` marks the first row of each ``group``.
     """
-    later = (
-        Window.partitionBy("snapshot")
-        .orderBy(F.desc("part"))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    next_known = lambda c: F.last(f"next_{c}", ignorenulls=True).over(later)
-    carried = rows.where("is_first").select(
-        *group, *[next_known(c).alias(f"later_{c}") for c in COUNTS]
-    )
-    return found.join(carried, list(group)).withColumns(
-        {f"next_{c}": F.coalesce(f"next_{c}", f"later_{c}") for c in COUNTS}
+    backwards = Window.partitionBy(*group).orderBy(*order)
+    later = backwards.rowsBetween(Window.unboundedPreceding, -1)
+    return heads.withColumns(
+        {f"later_{c}": F.last(f"next_{c}", ignorenulls=True).over(later) for c in COUNTS}
+        | {"is_first": F.lead(F.lit(False), 1, True).over(backwards)}
     )

@@ -103,6 +103,7 @@ def test_kmeans_finds_the_shapes_and_repeats(make_readings):
     # another layout of the same rows gives the same clusters
     again = clusters.compute_clusters(readings.repartition(7), *run)
     assert {r.station_id: r.cluster_id for r in again.labels.collect()} == labels
+    assert found.rejects.count() == 0
     # the shapes are told apart by name
     named = {r.cluster_id: r.label for r in clusters.find_cluster(found.centroids).collect()}
     assert named[next(iter(by_shape["flat"]))] == "high"
@@ -117,11 +118,20 @@ def test_stations_with_a_missing_hour_are_set_aside(make_readings):
         clusters.wide_profiles(clusters.hour_profiles(rows))
     )
     assert known.count() == 0 and rows_of(rest, "station_id") == [("a",)]
+    some = shaped_readings(make_readings).unionByName(
+        make_readings([("x", "2024-01-01T10:00:00", 3)])
+    )
+    found = clusters.compute_clusters(some, "lyon", "2024-01-01", "2024-01-08")
+    assert rows_of(found.rejects, "station_id") == [("x",)]
+    assert found.labels.where("station_id = 'x'").isEmpty()
 
 
 def test_geo_clusters(make_station):
     station = make_station([f"s{i:02d}" for i in range(30)])
-    found = clusters.compute_geo_clusters(coordinates(station), "lyon")
+    points = coordinates(station)
+    lost = points.limit(1).selectExpr("city_key", "'gone' as station_id", "lat", "null as lon")
+    found = clusters.compute_geo_clusters(points.unionByName(lost), "lyon")
+    assert rows_of(found.rejects, "station_id") == [("gone",)]
     labels = found.labels.collect()
     assert [r.station_id for r in labels] == [f"s{i:02d}" for i in range(30)]
     assert {r.cluster_id for r in labels} == set(range(12))

@@ -68,3 +68,22 @@ def test_whole_bikes_and_stands(spark, bikes, stands, p, expected):
     )
     row = forecast.split_docks(df).collect()[0]
     assert (row.pred_bikes, row.pred_stands) == expected
+
+
+def test_the_model_does_not_depend_on_the_cluster(spark, make_readings):
+    readings = make_readings(
+        [(f"s{i}", f"2024-01-{d:02d}T{h:02d}:00:00", (i * h + d) % 9)
+         for i in range(4) for d in range(1, 5) for h in range(24)]
+    )
+    errors = []
+    for tasks in ("2", "7"):
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", tasks)
+        try:
+            trained = forecast.train(
+                readings.repartition(int(tasks)), "2024-01-01", "2024-01-05", "2024-01-04"
+            )
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+        errors.append((trained.train_error, trained.test_error))
+    assert errors[0] == errors[1]

@@ -1,5 +1,5 @@
 import json
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import numpy as np
 import pandas as pd
@@ -98,36 +98,40 @@ def test_copies_are_filled_and_kept(spark):
     assert found.rejects.count() == 0
 
 
-@pytest.mark.parametrize("prefix", [1, 2, 9])
-def test_fill_equals_brute_force_whatever_the_grouping(spark, prefix):
+@pytest.mark.parametrize("prefix, bucket", [(1, "1H"), (2, "10T"), (9, "1D"), (3, "2H")])
+@pytest.mark.parametrize("scope", ["snapshot", "station"])
+def test_fill_equals_brute_force_whatever_the_grouping(spark, prefix, bucket, scope):
     rng = np.random.default_rng(prefix)
     count = 300
     frame = pd.DataFrame({
         "snapshot": rng.choice(["p", "q"], count),
-        "id": [f"{i:03d}" for i in rng.permutation(count)],
+        "id": [f"{i % 40:03d}" for i in range(count)],
+        "minute": rng.permutation(count),
         "available_stands": [None if rng.random() < 0.6 else int(v) for v in rng.integers(0, 9, count)],
         "available_bikes": [None if rng.random() < 0.9 else int(v) for v in rng.integers(0, 9, count)],
     })
     rows = [
-        (r.snapshot, r.id, datetime(2024, 1, 1), _int(r.available_stands),
-         _int(r.available_bikes), "open")
+        (r.snapshot, r.id, datetime(2024, 1, 1) + timedelta(minutes=r.minute * 7),
+         _int(r.available_stands), _int(r.available_bikes), "open")
         for r in frame.itertuples()
     ]
     df = spark.createDataFrame(
         rows, "snapshot string, id string, timestamp timestamp_ntz, available_stands int, "
         "available_bikes int, status string"
     )
-    found = feeds.fill_counts(df, prefix=prefix)
-    got = rows_of(found.readings, "snapshot", "id", "available_stands", "available_bikes")
+    found = feeds.fill_counts(df, scope, prefix, bucket)
+    key = ("snapshot", "id", "timestamp")
+    got = rows_of(found.readings, *key, "available_stands", "available_bikes")
     expected, after = [], {}
-    for snapshot, id_, _, stands, bikes, _ in sorted(rows, key=lambda r: r[:2], reverse=True):
-        later = after.get(snapshot, (None, None))
+    for snapshot, id_, time, stands, bikes, _ in sorted(rows, key=lambda r: r[:3], reverse=True):
+        place = snapshot if scope == "snapshot" else (snapshot, id_)
+        later = after.get(place, (None, None))
         known = tuple(
             new if new is not None else old for new, old in zip((stands, bikes), later)
         )
-        after[snapshot] = known
+        after[place] = known
         if None not in known:
-            expected.append((snapshot, id_, *known))
+            expected.append((snapshot, id_, time, *known))
     assert got == sorted(expected)
     assert found.rejects.count() == count - len(expected)
 
