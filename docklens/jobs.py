@@ -1,9 +1,9 @@
 """The recurring jobs: read stored tables, compute, write one part.
 
 Every job can be run again with the same arguments; it then replaces what it
-wrote before (weather documents are appended).  Where feeds are polled
-continuously, ``poll_readings`` stores each file and each reading once.  No job
-looks at the clock.
+wrote before.  Where feeds are polled continuously, ``poll_readings`` stores each
+file and each reading once, and ``compact_readings`` joins the loads of a day that
+is over.  No job looks at the clock.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docklens.config import CITIES, as_datetime, check_city
+from docklens.config import CITIES, as_date, as_datetime, check_city
 from docklens.plans import clusters, forecast, transactions
 from docklens.plans.timeseries import Time, latest_open_rows
 from docklens.sinks import models
@@ -58,6 +58,13 @@ def poll_readings(
     ).awaitTermination()
 
 
+def compact_readings(
+    spark: SparkSession, lake: str, city: str, start: date | str, stop: date | str
+) -> None:
+    """Join the loads of each day into one without copies, once the polls are over."""
+    sink.compact_readings(spark, lake, check_city(city), start, stop)
+
+
 def roll_up_day(spark: SparkSession, lake: str, city: str, day: date | str) -> None:
     """Write the daily transactions of one day."""
     check_city(city)
@@ -68,17 +75,28 @@ def roll_up_day(spark: SparkSession, lake: str, city: str, day: date | str) -> N
 def cluster_patterns(
     spark: SparkSession, lake: str, city: str, start: date | str, stop: date | str
 ) -> None:
-    """Fit the daily patterns of ``[start, stop)`` and write labels and centroids."""
+    """Fit the daily patterns of ``[start, stop)`` and write labels and centroids.
+
+    Stations without a full profile go to the table ``clustering_reject``.
+    """
     check_city(city)
     readings = read_table(spark, lake, "timeseries")
-    sink.write_clusters(*clusters.compute_clusters(readings, city, start, stop), lake)
+    found = clusters.compute_clusters(readings, city, start, stop)
+    sink.write_clusters(found.labels, found.centroids, lake)
+    run = {"city_key": city, "start": as_date(start), "stop": as_date(stop)}
+    sink.write_rejects(found.rejects, lake, "clustering_reject", **run)
 
 
 def cluster_places(spark: SparkSession, lake: str, city: str) -> None:
-    """Fit the geographic clusters and write labels and centroids."""
+    """Fit the geographic clusters and write labels and centroids.
+
+    Stations without coordinates go to the table ``geo_clustering_reject``.
+    """
     check_city(city)
     points = coordinates(read_table(spark, lake, "station"))
-    sink.write_geo_clusters(*clusters.compute_geo_clusters(points, city), lake)
+    found = clusters.compute_geo_clusters(points, city)
+    sink.write_geo_clusters(found.labels, found.centroids, lake)
+    sink.write_rejects(found.rejects, lake, "geo_clustering_reject", city_key=city)
 
 
 def train_forecast(
@@ -124,7 +142,10 @@ def predict(
 def load_weather(
     spark: SparkSession, path: str, kind: str, polled_at: datetime, city: str, lake: str
 ) -> None:
-    """Append landed weather documents of a city, ``current`` or ``forecast``."""
+    """Store landed weather documents of a city, ``current`` or ``forecast``.
+
+    The documents of one poll replace what was stored of that poll.
+    """
     reader = {"current": weather.read_current, "forecast": weather.read_forecast}[kind]
     rows = reader(spark, path, polled_at).withColumn("city_key", F.lit(check_city(city)))
     sink.write_weather(rows, lake, kind)

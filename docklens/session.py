@@ -2,19 +2,31 @@
 
 from __future__ import annotations
 
-import os
+import atexit
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cpus: int | str = "*", **settings: str) -> SparkSession:
-    """A single-machine session for tests and the benchmark."""
+def local_session(
+    cpus: int | str = "*", shared: str | None = None, **settings: str
+) -> SparkSession:
+    """A single-machine session for tests and the benchmark.
+
+    ``shared`` is the folder for intermediate data; without it a temporary one is
+    made and set as ``spark.checkpoint.dir``, and removed when Python ends.
+    """
+    if shared is None:
+        made = tempfile.TemporaryDirectory(prefix="docklens-")
+        atexit.register(made.cleanup)
+        shared = made.name
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("docklens")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", shared)
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
@@ -26,23 +38,50 @@ def local_session(cpus: int | str = "*", **settings: str) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
+    """The folder every executor can reach, as the session names it.
 
-    Only a local session without that setting gets a folder of this machine.
+    A local session that names none (one that others have made) gets a temporary
+    folder, which is set as its ``spark.checkpoint.dir`` and removed when Python
+    ends; a cluster must name one.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if spark.sparkContext.master.startswith("local"):
-        folder = os.path.join(tempfile.gettempdir(), "docklens-shared")
-        os.makedirs(folder, exist_ok=True)
-        return folder
-    raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
+    if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
+        made = tempfile.TemporaryDirectory(prefix="docklens-")
+        atexit.register(made.cleanup)
+        folder = made.name
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
+_SCRATCH: dict[str, SparkSession] = {}
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder; nothing is created there yet."""
-    return f"{shared_folder(spark).rstrip('/')}/docklens/{name}-{uuid.uuid4().hex}"
+    """A new path below the shared folder; nothing is created there yet.
+
+    What is written there is removed when the Python process of the driver ends.
+    """
+    root = f"{shared_folder(spark).rstrip('/')}/docklens-{spark.sparkContext.applicationId}"
+    if not _SCRATCH:
+        atexit.register(_remove_scratch)
+    _SCRATCH[root] = spark
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder of any file system that Spark knows."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _remove_scratch() -> None:
+    for root, spark in _SCRATCH.items():
+        try:
+            delete_folder(spark, root)
+        except Exception:  # the session has ended; a local folder of ours goes with Python
+            pass
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docklens import schemas
 from docklens.config import as_date, as_datetime, city_list
@@ -56,13 +58,26 @@ def date_range(
 def read_table(spark: SparkSession, lake: str, name: str) -> DataFrame:
     """A stored table with the column types of its canonical schema.
 
-    Partition columns beside the schema (``date``) come last.
+    Partition columns beside the schema (``date``) come last.  A table that was
+    not written yet is empty.
     """
-    schema = getattr(schemas, name.upper())
-    df = spark.read.parquet(f"{lake.rstrip('/')}/{name}")
-    typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]
-    extra = [c for c in df.columns if c not in (*schema.names, "load")]
-    return df.select(*typed, *extra)
+    own = getattr(schemas, name.upper())
+    beside = schemas.PARTITIONS.get(name, T.StructType())
+    whole = T.StructType(own.fields + beside.fields)
+    df = stored(spark, f"{lake.rstrip('/')}/{name}", whole)
+    if df is None:
+        df = spark.createDataFrame([], whole)
+    return df.select(*own.names, *[c for c in beside.names if c not in schemas.WRITE_NAMES])
+
+
+def stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """The table at ``path``, or ``None`` when nothing was written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def read_transactions_csv(spark: SparkSession, path: str, day: date | str) -> DataFrame:

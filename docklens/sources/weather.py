@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from docklens import schemas
 from docklens.functions.timecols import epoch_to_local
 
+# The names in the weather documents (also in ``_measures`` and below).
 _MAIN = ("temp", "temp_min", "temp_max", "pressure", "humidity")
 
 

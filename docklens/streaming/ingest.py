@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from docklens import schemas
 from docklens.functions.timecols import event_time
-from docklens.sinks.tables import append_readings
+from docklens.sinks.tables import LOAD, WRITERS, append_readings, stored_readings
 
 DELAY = "1 hour"
 EVENT_TIME = "event_time"
-SPREAD = "spread"
-SPREADS = 16
-READING_KEY = ["city_key", "id", "timestamp"]
 
 
 def read_stream(
@@ -24,56 +23,75 @@ def read_stream(
     schema: T.StructType = schemas.TIMESERIES,
     files_per_batch: int | None = None,
 ) -> DataFrame:
-    """Parquet files as they land in ``path`` (a folder or a glob).
-
-    ``spread`` is a small number that follows from the file's name; it tells
-    copies of a reading apart by the file they came in.
-    """
+    """Parquet files as they land in ``path`` (a folder or a glob)."""
     reader = spark.readStream.schema(schema)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    file = F.xxhash64("_metadata.file_path")
-    return reader.parquet(path).withColumn(SPREAD, F.pmod(file, F.lit(SPREADS)))
+    return reader.parquet(path)
 
 
 def watermarked(stream: DataFrame, delay: str = DELAY) -> DataFrame:
-    """The stream with a watermark; readings later than ``delay`` are left out."""
+    """The stream with a watermark; readings later than ``delay`` are left out.
+
+    For running figures, whose state must end.  Storing readings needs no
+    watermark (see ``ingest``).
+    """
     return stream.withColumn(EVENT_TIME, event_time("timestamp")).withWatermark(
         EVENT_TIME, delay
     )
 
 
-def without_copies(stream: DataFrame, delay: str = DELAY) -> DataFrame:
-    """One reading per station and time: feeds repeat unchanged readings.
+def new_rows(batch: DataFrame, lake: str, load: str) -> DataFrame:
+    """The different readings of ``batch`` that no other load holds.
 
-    State is held per reading and dropped once the watermark has passed it.  A
-    station that stands still repeats one reading in every file: with a
-    ``spread`` column its copies are first reduced apart from each other, so
-    they do not all meet in one task.  Two different rows with one station and
-    time are one reading here; the batch queries keep both.
+    Rows are compared whole, nulls included, so two different readings of a
+    station at one time both stay.  Only the days of the batch are looked up.
     """
-    rows = watermarked(stream, delay)
-    if SPREAD in stream.columns:
-        rows = rows.dropDuplicatesWithinWatermark([*READING_KEY, SPREAD])
-    return rows.dropDuplicatesWithinWatermark(READING_KEY).drop(EVENT_TIME, SPREAD)
+    columns = schemas.TIMESERIES.names
+    rows = batch.select(*columns).distinct()
+    first, last = batch.agg(
+        F.min(F.to_date("timestamp")), F.max(F.to_date("timestamp"))
+    ).first()
+    held = stored_readings(batch.sparkSession, lake)
+    if held is None:
+        return rows
+    day = F.col("date")
+    of_batch = day.isNull() if first is None else day.between(first, last) | day.isNull()
+    held = held.where(of_batch & (F.col(LOAD) != load)).select(
+        *[F.col(c).alias(f"_{c}") for c in columns]
+    ).distinct()
+    same: Column = reduce(
+        Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns]
+    )
+    return rows.join(held, same, "left_anti")
 
 
 def ingest(
-    stream: DataFrame, lake: str, checkpoint: str, delay: str = DELAY, name: str = "stream"
+    stream: DataFrame,
+    lake: str,
+    checkpoint: str,
+    name: str = "stream",
+    writers: int = WRITERS,
 ) -> StreamingQuery:
-    """Append de-duplicated readings to the stored table; ends when caught up.
+    """Append every new reading to the stored table; ends when caught up.
 
-    Each batch is a load of its own, so a batch that is repeated after a failure
-    replaces itself, and batch jobs may write to the same table.  ``name`` tells
-    the streams into one table apart.
+    A reading is stored once, however often the feed repeats it and however late
+    it comes.  Each batch is a load of its own: a batch that is repeated after a
+    failure replaces itself, and batch jobs may write to the same table.
+    ``name`` tells the streams into one table apart; ``writers`` is the number
+    of tasks for each city and day of a batch.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        append_readings(batch, lake, f"{name}-{batch_id}")
+        load = f"{name}-{batch_id}"
+        batch.persist()
+        try:
+            append_readings(new_rows(batch, lake, load), lake, load, writers)
+        finally:
+            batch.unpersist()
 
     return (
-        without_copies(stream, delay)
-        .writeStream.outputMode("append")
+        stream.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(store)
         .trigger(availableNow=True)

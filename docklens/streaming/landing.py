@@ -9,6 +9,8 @@ from docklens.config import CITIES, check_city
 from docklens.schemas import TIMESERIES
 from docklens.sources import feeds
 from docklens.streaming.ingest import read_stream
+
+
 def land_feed(
     spark: SparkSession, path: str, city: str, landed: str, checkpoint: str
 ) -> StreamingQuery:
@@ -22,9 +24,13 @@ def land_feed(
     readings = feeds.canonical_readings(raw, CITIES[city])
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        for name, rows in feeds.fill_counts(batch)._asdict().items():
-            folder = f"{landed}/{name}/batch_id={batch_id}"
-            rows.select(*TIMESERIES.names).write.mode("overwrite").parquet(folder)
+        batch.persist()  # both outputs start from the parsed documents
+        try:
+            for name, rows in feeds.fill_counts(batch)._asdict().items():
+                folder = f"{landed}/{name}/batch_id={batch_id}"
+                rows.select(*TIMESERIES.names).write.mode("overwrite").parquet(folder)
+        finally:
+            batch.unpersist()
 
     return (
         readings.writeStream.option("checkpointLocation", checkpoint)

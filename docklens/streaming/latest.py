@@ -8,8 +8,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from docklens import schemas
-from docklens.operators.latest import newest
-from docklens.sinks.tables import stored
+from docklens.operators.latest import newest_once
+from docklens.sources.tables import stored
 
 KEYS = ["city_key", "id"]
 SLOTS = 2
@@ -29,15 +29,14 @@ def run_latest(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 
     def fold(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        columns = schemas.TIMESERIES.names
-        rows = newest(batch.select(*columns), KEYS).distinct()
+        rows = batch.select(*schemas.TIMESERIES.names)
         if batch_id > 0:
             before = stored(spark, slot(batch_id - 1), schemas.TIMESERIES)
             if before is not None:
-                rows = newest(before.unionByName(rows), KEYS).distinct()
-        rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
-            slot(batch_id)
-        )
+                rows = before.unionByName(rows)
+        newest_once(rows, KEYS).withColumn("batch_id", F.lit(batch_id)).write.mode(
+            "overwrite"
+        ).parquet(slot(batch_id))
 
     return (
         stream.writeStream.option("checkpointLocation", checkpoint)

@@ -36,6 +36,47 @@ def test_readings_are_appended_and_pruned(spark, make_readings, tmp_path, capsys
     assert "timestamp" in plan.split("PushedFilters: ")[1]
 
 
+def test_loads_become_one(spark, make_readings, tmp_path):
+    lake = str(tmp_path)
+    for load in ("one", "two"):
+        sink.append_readings(make_readings(READINGS), lake, load)
+    sink.append_readings(make_readings(READINGS, "bordeaux"), lake, "one")
+    day = tmp_path / "timeseries" / "city_key=lyon" / "date=2024-01-01"
+    for _ in range(2):
+        sink.compact_readings(spark, lake, "lyon", "2024-01-01", "2024-01-01")
+        assert [p.name for p in day.iterdir()] == ["load=compacted"]
+        assert read_table(spark, lake, "timeseries").count() == 2 + 2 * 2 + 4
+    sink.append_readings(make_readings(READINGS[:1]), lake, "three")
+    sink.compact_readings(spark, lake, "lyon", "2024-01-01", "2024-01-31")
+    assert read_table(spark, lake, "timeseries").where("city_key = 'lyon'").count() == 4
+    sink.compact_readings(spark, str(tmp_path / "none"), "lyon", "2024-01-01", "2024-01-31")
+
+
+def test_predictions_read_only_the_days_they_touch(spark, tmp_path, capsys):
+    lake = str(tmp_path)
+    row = lambda day, station: (
+        "lyon", datetime(2024, 1, day, 10), "1H", station, 0.5, 1, 10
+    )
+    make = lambda *rows: spark.createDataFrame(rows, schemas.PREDICTION)
+    sink.write_predictions(make(row(1, "a"), row(2, "a"), row(9, "a")), lake)
+    old = sink.stored(spark, f"{lake}/prediction", read_table(spark, lake, "prediction").schema)
+    rows = make(row(2, "b")).selectExpr("*", "to_date(timestamp) as date")
+    capsys.readouterr()
+    sink.kept_predictions(old, rows).explain("formatted")
+    filters = capsys.readouterr().out.split("PartitionFilters: ")[1].splitlines()[0]
+    assert "(date#" in filters and "2024-01-02" in filters and "lyon" in filters
+    assert rows_of(sink.kept_predictions(old, rows), "station_id", "date") == [
+        ("a", date(2024, 1, 2))
+    ]
+
+
+def test_a_lake_may_lack_tables(spark, make_readings, tmp_path):
+    sink.append_readings(make_readings(READINGS), str(tmp_path), "one")
+    share = BikeShare.from_lake(spark, str(tmp_path))
+    assert share.aggregate_transactions("lyon", "2024-01-01").count() == 1
+    assert share.latest_predictions("lyon", "2024-01-03").count() == 0
+
+
 def test_daily_rows_replace_their_days(spark, make_readings, tmp_path):
     lake = str(tmp_path)
     readings = make_readings(READINGS)
@@ -100,15 +141,19 @@ def test_snapshot_csv_round_trip(spark, make_readings, tmp_path):
 
 
 def test_snapshots_and_weather(spark, make_readings, tmp_path):
-    sink.write_snapshots(make_readings(READINGS), str(tmp_path))
+    for _ in range(2):  # a poll that is stored again replaces itself
+        sink.write_snapshots(make_readings(READINGS), str(tmp_path), "10H00")
     assert spark.read.parquet(str(tmp_path / "snapshot")).count() == 4
     rows = spark.createDataFrame(
         [(datetime(2024, 1, 1, 10), 800, "Clear", 1.0, 0.0, 2.0, 1000.0, 50.0, 3.0, 10)],
         schemas.WEATHER_CURRENT,
     )
     rows = rows.selectExpr("*", "'lyon' as city_key")
-    sink.write_weather(rows, str(tmp_path), "current")
-    assert read_table(spark, str(tmp_path), "weather_current").collect()[0].temp == 1.0
+    for _ in range(2):
+        sink.write_weather(rows, str(tmp_path), "current")
+    found = read_table(spark, str(tmp_path), "weather_current")
+    assert [r.temp for r in found.collect()] == [1.0]
+    assert found.columns == [*schemas.WEATHER_CURRENT.names, "city_key"]
     with pytest.raises(ValueError):
         sink.write_weather(rows, str(tmp_path), "past")
 

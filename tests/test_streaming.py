@@ -5,10 +5,11 @@ from test_transactions import E1
 
 from docklens import jobs
 from docklens.plans import transactions
+from docklens.sinks.tables import append_readings
 from docklens.sources.tables import read_table
 from docklens.streaming import ingest, landing, latest, rolling
 from docklens.streaming import transactions as running
-from docklens.streaming.versions import read_changes, store_changes
+from docklens.streaming.versions import compact_changes, read_changes, store_changes
 
 # Arrival by file: out of order inside the hour, with a copy across files.
 FILES = [
@@ -66,15 +67,58 @@ def test_running_totals_go_on_after_a_restart(spark, landed, make_readings, tmp_
         assert rows_of(found, *columns) == rows_of(batch, *columns)
 
 
-def test_copies_are_stored_once(spark, landed, make_readings, tmp_path):
+def test_different_readings_are_stored_once(spark, landed, make_readings, tmp_path):
+    lake, checkpoint = str(tmp_path / "lake"), str(tmp_path / "checkpoint")
+    for _ in range(2):
+        ingest.ingest(stream(spark, landed), lake, checkpoint).awaitTermination()
+    found = read_table(spark, lake, "timeseries").drop("date")
+    want = all_rows(make_readings).distinct()
+    assert found.exceptAll(want).isEmpty() and want.exceptAll(found).isEmpty()
+
+
+def files(make_readings, folder, parts):
+    for n, rows in enumerate(parts):
+        make_readings(rows).coalesce(1).write.parquet(str(folder / f"n={n}"))
+
+
+def test_no_reading_is_too_late_or_too_much(spark, make_readings, tmp_path):
+    ordinary = [("c", f"2024-01-01T10:{m:02d}:00", m) for m in range(5)]
+    parts = [
+        # two readings at one time, and a station whose clock is two days ahead
+        [("a", "2024-01-01T10:00:00", 1), ("a", "2024-01-01T10:00:00", 2),
+         ("a", "2024-01-01T10:00:00", 2), ("b", "2024-01-01T10:00:00", None)],
+        [("a", "2024-01-03T10:00:00", 5), ("b", "2024-01-01T10:00:00", None)],
+        ordinary + [("a", "2024-01-01T10:00:00", 1)],
+    ]
+    files(make_readings, tmp_path / "landed", parts)
+    source = ingest.read_stream(spark, str(tmp_path / "landed" / "n=*"), files_per_batch=1)
     lake = str(tmp_path / "lake")
-    ingest.ingest(
-        stream(spark, landed), lake, str(tmp_path / "checkpoint"), DELAY
-    ).awaitTermination()
+    ingest.ingest(source, lake, str(tmp_path / "checkpoint")).awaitTermination()
     found = read_table(spark, lake, "timeseries")
-    key = ["id", "timestamp"]
-    assert found.count() == all_rows(make_readings).dropDuplicates(key).count()
-    assert found.count() == found.select(*key).distinct().count()
+    assert found.count() == 9
+    assert rows_of(found.where("id = 'a'"), "available_bikes") == [(1,), (2,), (5,)]
+
+
+def test_a_repeated_batch_replaces_itself(spark, make_readings, tmp_path):
+    lake = str(tmp_path / "lake")
+    batch = make_readings([("a", "2024-01-01T10:00:00", 1), ("a", "2024-01-02T10:00:00", 2)])
+    for _ in range(2):
+        append_readings(ingest.new_rows(batch, lake, "s-0"), lake, "s-0")
+    append_readings(ingest.new_rows(batch, lake, "s-1"), lake, "s-1")
+    assert rows_of(read_table(spark, lake, "timeseries"), "available_bikes") == [(1,), (2,)]
+
+
+def test_folded_batches_give_the_same_rows(spark, landed, make_readings, tmp_path):
+    path = str(tmp_path / "out")
+    running.run_daily_transactions(
+        stream(spark, landed), path, str(tmp_path / "checkpoint"), DELAY
+    ).awaitTermination()
+    before = rows_of(running.read_daily_transactions(spark, path), "id", "number", "date")
+    for _ in range(2):
+        compact_changes(spark, path, [*running.KEYS, "bucket"])
+        found = running.read_daily_transactions(spark, path)
+        assert rows_of(found, "id", "number", "date") == before
+    assert not (tmp_path / "out" / "batch_id=0").exists()
 
 
 def test_readings_later_than_the_watermark_are_left_out(spark, make_readings, tmp_path):
