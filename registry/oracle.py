@@ -188,22 +188,23 @@ _oracle("timeseries_rows", "readings station", _SERIES.format("2024-01-31"))
 _oracle("readings_store", "readings station", _SERIES.format("2024-01-20"))
 
 
-def _nested(piece_rows: int) -> str:
+def _nested(days: int, where: str = "TRUE") -> str:
     return f"""
   SELECT city_key, id, piece, list(strftime("timestamp", '%Y-%m-%dT%H:%M:%S') ORDER BY n) AS ts,
     list(status ORDER BY n) AS status, list(available_bikes ORDER BY n) AS available_bikes,
     list(available_stands ORDER BY n) AS available_stands, name, nb_stands
   FROM (
-    SELECT *, CAST((n - 1) // {piece_rows} AS INTEGER) AS piece
-    FROM (
-      SELECT *, row_number() OVER (PARTITION BY city_key, id
+    SELECT *, CAST(floor(date_diff('second', TIMESTAMP '2024-01-01', "timestamp")
+        / ({days} * 86400)) AS INTEGER) AS piece,
+      row_number() OVER (PARTITION BY city_key, id
         ORDER BY "timestamp", available_bikes, available_stands, status) AS n
-      FROM ({_SERIES.format("2024-01-31")})))
+    FROM ({_SERIES.format("2024-01-31")}))
+  WHERE {where}
   GROUP BY city_key, id, piece, name, nb_stands"""
 
 
-_oracle("timeseries_nested", "readings station", _nested(50_000))
-_oracle("timeseries_pieces", "readings station", _nested(20))
+_oracle("timeseries_nested", "readings station", _nested(31))
+_oracle("timeseries_pieces", "readings station", _nested(10))
 
 _LATEST = """
   SELECT city_key, id, "timestamp", nb_bikes, name, nb_stations AS nb_stands, x, y
@@ -216,12 +217,11 @@ _NOW = _LATEST.format("id", "available_bikes", "readings")
 _oracle("latest_availability", "readings station", _NOW)
 _oracle("latest_availability_date", "readings station",
         f"""SELECT max("timestamp") AS "date" FROM ({_NOW})""")
-_oracle("latest_geojson", "readings station", _feature(
-    " || ',' || ".join([
-        _text("id"), _text("name"),
-        _text("timestamp", "strftime(\"timestamp\", '%Y-%m-%dT%H:%M:%S')"),
-        "'\"nb_bikes\":' || nb_bikes", "'\"nb_stands\":' || nb_stands"]),
-    f"({_NOW})"))
+_LATEST_PROPERTIES = " || ',' || ".join([
+    _text("id"), _text("name"),
+    _text("timestamp", "strftime(\"timestamp\", '%Y-%m-%dT%H:%M:%S')"),
+    "'\"nb_bikes\":' || nb_bikes", "'\"nb_stands\":' || nb_stands"])
+_oracle("latest_geojson", "readings station", _feature(_LATEST_PROPERTIES, f"({_NOW})"))
 _oracle("fill_ratio", "readings station", f"""
   SELECT *, CAST(nb_bikes AS DOUBLE) / nullif(nb_stands, 0) AS ratio
   FROM ({_NOW})""")
@@ -306,6 +306,33 @@ _oracle("daily_profile", "weekdays", "SELECT * FROM weekdays")
 _oracle("daily_profile_nested", "weekdays",
         _NEST_PROFILE.format("day", "SELECT * FROM weekdays"))
 
+# Chosen stations and limits --------------------------------------------------
+
+_CHOSEN = "id IN ('1', '2', '3', '5', '8')"
+_oracle("ids_many", "station", f"SELECT {_INFO} FROM station")
+_oracle("daily_of_ids", "daily station",
+        _DAILY_ROWS.format("2024-01-01", "2024-01-31") + f" AND {_CHOSEN}")
+_oracle("timeseries_of_ids", "readings station", _nested(31, _CHOSEN))
+_oracle("hourly_profile_of_ids", "hourly", f"SELECT * FROM ({_HOURLY}) WHERE {_CHOSEN}")
+_oracle("daily_profile_of_ids", "weekdays", f"SELECT * FROM weekdays WHERE {_CHOSEN}")
+_FIRST = "SELECT * FROM ({}) QUALIFY row_number() OVER (PARTITION BY city_key ORDER BY id) <= 20"
+_oracle("latest_first", "readings station", _FIRST.format(_NOW))
+_oracle("latest_first_geojson", "readings station", _feature(
+    _LATEST_PROPERTIES, f"({_FIRST.format(_NOW)})"))
+_oracle("latest_prediction_first", "prediction station",
+        _FIRST.format(_LATEST.format("station_id", "nb_bikes", "prediction")))
+_TAIL_OF = """
+  SELECT * FROM (SELECT * FROM predicted WHERE {}) QUALIFY row_number() OVER (
+    PARTITION BY {} ORDER BY id DESC, "timestamp" DESC, nb_bikes DESC) <= 5"""
+_oracle("prediction_tail_of_each_id", "predicted", _TAIL_OF.format(_CHOSEN, "city_key, id"))
+_oracle("prediction_tail_of_ids", "predicted readings station", f"""
+  SELECT DISTINCT r.city_key, r.id, r."timestamp", r.available_bikes AS nb_bikes,
+    s.nb_stations AS nb_stands, s.name, '0' AS "at"
+  FROM readings AS r LEFT JOIN station AS s USING (city_key, id)
+  WHERE "timestamp" >= TIMESTAMP '2024-01-01' AND "timestamp" < TIMESTAMP '2024-02-01'
+    AND r.{_CHOSEN}
+  UNION ALL SELECT * FROM ({_TAIL_OF.format(_CHOSEN, "city_key")})""")
+
 # Grids -----------------------------------------------------------------------
 
 _table("bins", "open_rows", """
@@ -338,8 +365,13 @@ _oracle("future_label_join", "bins", f"""
 _LABELLED = f"""
   SELECT *, CAST(isodow(ts) - 1 AS INTEGER) AS "day", CAST(hour(ts) AS INTEGER) AS "hour",
     CAST(minute(ts) AS INTEGER) AS "minute" FROM ({_future("dense")})"""
+# on a dense grid the partner is three steps ahead
 _oracle("future_label", "dense", f"""
-  SELECT {_GRID}, round(future, 6) AS future FROM ({_future("dense")})""")
+  SELECT {_GRID}, round(future, 6) AS future
+  FROM (
+    SELECT *, lead(probability, 3) OVER w AS future, lead(ts, 3) OVER w AS partner
+    FROM dense WINDOW w AS (PARTITION BY city_key, station_id ORDER BY ts))
+  WHERE partner IS NOT NULL""")
 _oracle("train_split", "dense", f"""
   SELECT part, city_key, station_id, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts,
     round(sum(nb_bikes), 6) AS bikes, round(sum(future), 6) AS future,
@@ -390,6 +422,8 @@ _LATEST_CLUSTERS = """
   FROM clustering AS c JOIN station AS s ON s.city_key = c.city_key AND s.id = c.station_id
   QUALIFY rank() OVER (PARTITION BY c.city_key ORDER BY c."stop" DESC) = 1"""
 _oracle("latest_clusters", "clustering", _LATEST_CLUSTERS)
+_oracle("clusters_of_ids", "clustering", f"""
+  SELECT * FROM ({_LATEST_CLUSTERS}) WHERE {_CHOSEN}""")
 _oracle("cluster_geojson", "clustering", _feature(
     " || ',' || ".join([
         _text("id"), _text("cluster_id"), _text("name"),
@@ -530,6 +564,83 @@ _oracle("centroid_long", "centroid", """
       unnest([""" + ", ".join(_HOURS) + """]) AS v
     FROM centroid)""")
 
+_oracle("legacy_upgrade_bordeaux", "sourced", """
+  SELECT id, ts AS "timestamp", stands AS available_stands, bikes AS available_bikes,
+    CASE event_type WHEN 'error' THEN 'closed' WHEN 'signup' THEN 'MAINT' ELSE 'open' END
+      AS status
+  FROM sourced""")
+_oracle("legacy_view_bordeaux", "sourced", """
+  SELECT DISTINCT CAST(user_id AS INTEGER) AS id, event_type AS name,
+    stands AS available_stand, bikes AS available_bike, ts
+  FROM sourced""")
+
+# Files -----------------------------------------------------------------------
+
+_oracle("gml_files", "sourced", """
+  SELECT 'bordeaux' AS city_key, id, ts AS "timestamp", stands AS available_stands,
+    bikes AS available_bikes,
+    CASE WHEN event_type = 'error' THEN 'closed' ELSE 'open' END AS status,
+    'Méri ' || event_type AS nom
+  FROM sourced""")
+_oracle("geojson_files", "sourced", """
+  SELECT 'lyon' AS city_key, id, ts AS "timestamp",
+    CASE WHEN event_type <> 'view' THEN stands END AS available_stands,
+    CASE WHEN event_type <> 'click' THEN bikes END AS available_bikes,
+    CASE WHEN event_type = 'error' THEN 'closed' ELSE 'open' END AS status
+  FROM sourced""")
+_oracle("weather_files", "sourced", f"""
+  SELECT TIMESTAMP '2024-01-31' AS "date", {_WEATHER}, 'lyon' AS city_key FROM sourced""")
+_oracle("weather_forecast_files", "sourced", f"""
+  SELECT TIMESTAMP '2024-01-31' AS forecast_at,
+    date_trunc('second', ts) + INTERVAL 1 HOUR AS ts, {_WEATHER},
+    CAST(NULL AS DOUBLE) AS rain_3h, CAST(NULL AS DOUBLE) AS snow_3h, 'lyon' AS city_key
+  FROM sourced""")
+_oracle("roll_up_csv", "daily", """
+  SELECT id, number, "date" FROM daily WHERE "date" = DATE '2024-01-20'""")
+_oracle("predictions_csv", "prediction", """
+  SELECT "timestamp", '1H' AS frequency, station_id, availability, nb_bikes, nb_stands
+  FROM prediction""")
+
+# Fits ------------------------------------------------------------------------
+
+# Shape s is full (1.0) in its hours and 0.1 in the others; centres are numbered in the
+# order of their hours: 2 and 3 start low, and of them 3 stays low longer.
+_oracle("kmeans_shapes", "station", """
+  SELECT city_key, id AS station_id, DATE '2024-01-01' AS "start", DATE '2024-01-31' AS "stop",
+    CASE CAST(id AS INTEGER) % 4 WHEN 3 THEN '0' WHEN 2 THEN '1' WHEN 1 THEN '2' ELSE '3' END
+      AS cluster_id,
+    CASE CAST(id AS INTEGER) % 4 WHEN 3 THEN 'evening' WHEN 2 THEN 'noon' WHEN 1 THEN 'morning'
+      ELSE 'high' END AS label
+  FROM station""")
+_table("places", "station", """
+  SELECT city_key, station_id, lat, lon,
+    CAST(dense_rank() OVER (PARTITION BY city_key ORDER BY CAST(floor(lat) AS INTEGER)) - 1
+      AS INTEGER) AS cluster_id
+  FROM (
+    SELECT city_key, id AS station_id,
+      CAST(id AS INTEGER) % 12 * 7 % 12
+        + 0.0001::DOUBLE * (CAST(id AS INTEGER) // 12 % 10) AS lat,
+      CAST(CAST(id AS INTEGER) % 12 * 5 % 12 + 40 AS DOUBLE) AS lon
+    FROM station)""")
+_oracle("geo_store", "places", "SELECT city_key, station_id, cluster_id FROM places")
+_oracle("geo_centroid_store", "places", """
+  SELECT city_key, cluster_id, round(avg(lat), 6) AS lat, round(avg(lon), 6) AS lon
+  FROM places GROUP BY city_key, cluster_id""")
+_oracle("kmeans_geo_check", "station", """
+  SELECT city_key, count(*) AS n, 0::BIGINT AS misplaced, 12::BIGINT AS centres,
+    0::BIGINT AS off_centre
+  FROM station GROUP BY city_key""")
+_oracle("kmeans_profiles_check", "matrix", """
+  SELECT city_key, count(*) AS n, 0::BIGINT AS misplaced, 4::BIGINT AS centres,
+    0::BIGINT AS off_centre
+  FROM (
+    SELECT city_key, station_id FROM matrix WHERE value IS NOT NULL
+    GROUP BY city_key, station_id HAVING count(DISTINCT "hour") = 24)
+  GROUP BY city_key""")
+_oracle("forecast_check", "open_rows", """
+  SELECT city_key, count(DISTINCT station_id) AS stations, 0::BIGINT AS bad, TRUE AS beaten
+  FROM open_rows GROUP BY city_key""")
+
 # Rebase ----------------------------------------------------------------------
 
 _oracle("rebase_readings", "readings", """
@@ -547,6 +658,7 @@ _oracle("prediction_store", "prediction", """
     AS availability) FROM prediction""")
 _oracle("snapshot_csv", "readings", """
   SELECT id, "timestamp", available_stands, available_bikes, status, city_key FROM readings""")
+_oracle("centroid_store", "centroid", "SELECT * FROM centroid")
 _oracle("cluster_store", "clustering", "SELECT * FROM clustering")
 _oracle("station_store", "station", "SELECT * FROM station")
 _oracle("json_export", "daily", """
@@ -566,3 +678,9 @@ _oracle("stream_window_means", "readings", """
 _oracle("stream_latest", "readings", """
   SELECT * FROM readings
   QUALIFY rank() OVER (PARTITION BY city_key, id ORDER BY "timestamp" DESC) = 1""")
+_oracle("stream_ingest_batches", "readings", """
+  SELECT * FROM readings
+  UNION SELECT * REPLACE (available_bikes + 1 AS available_bikes) FROM readings
+  UNION SELECT * REPLACE ("timestamp" + INTERVAL 3 DAY AS "timestamp") FROM readings
+  UNION SELECT * REPLACE ("timestamp" - INTERVAL 3 DAY AS "timestamp") FROM readings""")
+_oracle("readings_compacted", "readings", "SELECT DISTINCT * FROM readings")

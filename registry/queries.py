@@ -9,6 +9,7 @@ print the same value.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,7 +36,7 @@ from docklens.session import scratch_path
 from docklens.sinks import export, models, tables as sink
 from docklens.sources import adapters, feeds, legacy, weather
 from docklens.sources.stations import coordinates, normalise_stations
-from docklens.sources.tables import read_table
+from docklens.sources.tables import read_predictions_csv, read_table, read_transactions_csv
 from docklens.streaming import ingest, latest as live, rolling
 from docklens.streaming import transactions as running
 from docklens.streaming.versions import read_changes, store_changes
@@ -201,9 +202,9 @@ def timeseries_nested(spark, folder):
 
 @query
 def timeseries_pieces(spark, folder):
-    """The same with short pieces, so that every station has several."""
+    """The same in pieces of ten days, so that stations have several."""
     nested = timeseries.timeseries_nested(
-        _readings(spark, folder), _station(spark, folder), None, FIRST, LAST, piece_rows=20
+        _readings(spark, folder), _station(spark, folder), None, FIRST, LAST, stretch="10D"
     )
     return export.iso_text(nested)
 
@@ -243,16 +244,96 @@ def training_readings(spark, folder):
     return timeseries.open_readings(_readings(spark, folder), FIRST, LAST)
 
 
+# Chosen stations and limits --------------------------------------------------
+
+
+@query
+def ids_many(spark, folder):
+    """Every station, asked for by a list that holds all ids."""
+    station = _station(spark, folder)
+    ids = [row.id for row in station.select("id").collect()]
+    return stations.specific_stations(station, ids)
+
+
+@query
+def daily_of_ids(spark, folder):
+    return transactions.daily_transaction(
+        _daily(spark, folder), _station(spark, folder), IDS, LAST, 30
+    )
+
+
+@query
+def timeseries_of_ids(spark, folder):
+    nested = timeseries.timeseries_nested(
+        _readings(spark, folder), _station(spark, folder), IDS, FIRST, LAST
+    )
+    return export.iso_text(nested)
+
+
+@query
+def hourly_profile_of_ids(spark, folder):
+    rows = profiles.hourly_profile(
+        _readings(spark, folder), _station(spark, folder), IDS, LAST, 30
+    )
+    return _round(rows, "mean")
+
+
+@query
+def daily_profile_of_ids(spark, folder):
+    rows = profiles.daily_profile(
+        _daily(spark, folder), _station(spark, folder), IDS, LAST, 30
+    )
+    return _round(rows, "mean")
+
+
+@query
+def clusters_of_ids(spark, folder):
+    return clusters.station_clusters(
+        adapters.clustering(spark, folder), _station(spark, folder), ids=IDS
+    )
+
+
+@query
+def latest_first(spark, folder):
+    rows = (_readings(spark, folder), _station(spark, folder))
+    return _each_city(lambda city: timeseries.latest_availability(*rows, AS_OF, city, LIMIT))
+
+
+@query
+def latest_first_geojson(spark, folder):
+    rows = (_readings(spark, folder), _station(spark, folder))
+    features = _each_city(
+        lambda city: timeseries.latest_availability(*rows, AS_OF, city, LIMIT, geojson=True)
+    )
+    return export.feature_lines(features)
+
+
+@query
+def latest_prediction_first(spark, folder):
+    rows = (adapters.prediction(spark, folder), _station(spark, folder))
+    return _each_city(lambda city: predictions.latest_predictions(*rows, AS_OF, city, LIMIT))
+
+
 # Predictions -----------------------------------------------------------------
 
 
-def _predictions(spark, folder, values, with_current, per_station=False):
+def _predictions(spark, folder, values, with_current, per_station=False, ids=None):
     return predictions.prediction_timeseries(
         adapters.prediction(spark, folder), _readings(spark, folder), _station(spark, folder),
-        None, None, FIRST, "2024-02-01", values, with_current, per_station=per_station,
+        None, ids, FIRST, "2024-02-01", values, with_current, per_station=per_station,
     )
 
 
+@query
+def prediction_tail_of_ids(spark, folder):
+    return _predictions(spark, folder, VALUES, True, ids=IDS)
+
+
+@query
+def prediction_tail_of_each_id(spark, folder):
+    return _predictions(spark, folder, VALUES, False, per_station=True, ids=IDS)
+
+
 @query
 def prediction_tail(spark, folder):
     return _predictions(spark, folder, VALUES, True)
@@ -353,10 +434,7 @@ def future_label_join(spark, folder):
 @query
 def train_split(spark, folder):
     table = forecast.labelled(_open(spark, folder), HORIZON)
-    split = forecast.prepare_data_for_training(table, CUT, HORIZON, FIRST, periods=2)
-    both = split.train.withColumn("part", F.lit("train")).unionByName(
-        split.test.withColumn("part", F.lit("test"))
-    )
+    both = forecast.with_part(table, CUT, HORIZON, FIRST, periods=2)
     summary = both.groupBy("part", *STATION).agg(
         F.count(F.lit(1)).alias("n"),
         F.min("ts").alias("first_ts"),
@@ -431,6 +509,101 @@ def kmeans_centroids(spark, folder):
     return clusters.cluster_profiles(found)
 
 
+def _shaped_readings(spark, folder):
+    """Hourly readings of two weekdays, in four shapes that are clearly apart."""
+    hour = F.col("hour")
+    full = lambda low, high: F.when((hour >= low) & (hour < high), 40)
+    shape = (
+        F.when(F.col("shape") == 0, F.coalesce(full(0, 24), F.lit(4)))
+        .when(F.col("shape") == 1, F.coalesce(full(0, 8), F.lit(4)))
+        .when(F.col("shape") == 2, F.coalesce(full(8, 16), F.lit(4)))
+        .otherwise(F.coalesce(full(16, 24), F.lit(4)))
+    )
+    slots = F.explode(F.sequence(F.lit(0), F.lit(47))).alias("slot")
+    first = F.lit(FIRST).cast("timestamp_ntz")
+    return (
+        _station(spark, folder)
+        .select("city_key", "id", (F.col("id").cast("int") % 4).alias("shape"), slots)
+        .withColumn("hour", F.col("slot") % 24)
+        .select(
+            "city_key",
+            "id",
+            (first + F.make_dt_interval(hours="slot")).alias("timestamp"),
+            F.lit(0).alias("available_stands"),
+            shape.cast("int").alias("available_bikes"),
+            F.lit("open").alias("status"),
+        )
+    )
+
+
+@query
+def kmeans_shapes(spark, folder):
+    """Daily patterns that are clearly apart: the label and its name per station."""
+    readings = _shaped_readings(spark, folder)
+
+    def of_city(city):
+        found = clusters.compute_clusters(readings, city, FIRST, LAST)
+        names = clusters.find_cluster(found.centroids).select("city_key", "cluster_id", "label")
+        return found.labels.join(names, ["city_key", "cluster_id"])
+
+    return _each_city(of_city)
+
+
+def _off(labels, points, centroids, columns, keys):
+    """Of a fit: rows, rows not with their nearest centre, centres off their members' mean."""
+    near = points.join(centroids.select("city_key", "cluster_id", *columns), "city_key")
+    apart = reduce(
+        lambda a, b: a + b, [F.pow(points[c] - centroids[c], F.lit(2)) for c in columns]
+    )
+    best = near.groupBy(*[points[k] for k in keys]).agg(
+        F.min(apart).alias("least"),
+        F.min_by(centroids["cluster_id"], apart).alias("nearest"),
+    )
+    rows = labels.select(*keys, "cluster_id").join(best, keys)
+    wrong = rows.groupBy("city_key").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count(F.when(F.col("cluster_id") != F.col("nearest"), 1)).alias("misplaced"),
+    )
+    means = points.join(labels.select(*keys, "cluster_id"), keys).groupBy(
+        "city_key", "cluster_id"
+    ).agg(*[F.avg(c).alias(f"m_{c}") for c in columns])
+    drift = reduce(F.greatest, [F.abs(F.col(c) - F.col(f"m_{c}")) for c in columns]) if len(
+        columns
+    ) > 1 else F.abs(F.col(columns[0]) - F.col(f"m_{columns[0]}"))
+    off = centroids.join(means, ["city_key", "cluster_id"]).groupBy("city_key").agg(
+        F.count(F.lit(1)).alias("centres"),
+        F.count(F.when(drift > 1e-6, 1)).alias("off_centre"),
+    )
+    return wrong.join(off, "city_key")
+
+
+@query
+def kmeans_profiles_check(spark, folder):
+    """The fit of the daily patterns: every station with its nearest centre, every centre a mean."""
+    readings = _readings(spark, folder)
+
+    def of_city(city):
+        rows = clusters.cluster_input(readings, FIRST, LAST, city)
+        points, _ = clusters.complete_profiles(
+            clusters.wide_profiles(clusters.hour_profiles(rows))
+        )
+        found = clusters.compute_clusters(readings, city, FIRST, LAST)
+        return _off(found.labels, points, found.centroids, schemas.HOUR_COLUMNS, STATION)
+
+    return _each_city(of_city)
+
+
+@query
+def kmeans_geo_check(spark, folder):
+    points = coordinates(_station(spark, folder))
+
+    def of_city(city):
+        found = clusters.compute_geo_clusters(points, city)
+        return _off(found.labels, points, found.centroids, ["lat", "lon"], STATION)
+
+    return _each_city(of_city)
+
+
 @query
 def kmeans_geo(spark, folder):
     points = coordinates(_station(spark, folder))
@@ -455,6 +628,41 @@ def forecast_availability(spark, folder):
     return forecast.predict(readings, models.load_model(path), FIRST, LAST, HORIZON)
 
 
+@query
+def forecast_check(spark, folder):
+    """Per city: stations forecast, forecasts out of bounds, and whether the mean is beaten.
+
+    The model of each city is trained, saved and loaded on its own.  (Few of the test
+    stations' readings change within the horizon, so "no change" is nearly exact.)
+    """
+    readings = _readings(spark, folder)
+
+    def of_city(city):
+        trained = forecast.train(readings, FIRST, LAST, CUT, HORIZON, city)
+        path = models.model_path(
+            scratch_path(spark, "forecast"), city, FIRST, LAST, CUT, HORIZON
+        )
+        models.save_model(trained.model, path)
+        rows = forecast.predict(readings, models.load_model(path), FIRST, LAST, HORIZON, city)
+        table = forecast.labelled(timeseries.open_readings(readings, FIRST, LAST, city), HORIZON)
+        parts = forecast.with_part(table, CUT, HORIZON, periods=2)
+        mean = parts.where("part = 'train'").agg(F.avg("future")).scalar()
+        error = F.sqrt(F.avg(F.pow(F.col("future") - mean, F.lit(2))))
+        constant = parts.where("part = 'test'").agg(error).scalar()
+        beaten = F.lit(trained.test_error[-1]) < constant
+        bad = (
+            ~F.col("availability").between(0, 1)
+            | (F.col("nb_bikes") + F.col("nb_stands") != 40)
+            | (F.col("nb_bikes") < 0)
+        )
+        return rows.groupBy("city_key").agg(
+            F.countDistinct("station_id").alias("stations"),
+            F.count(F.when(bad, 1)).alias("bad"),
+        ).withColumn("beaten", beaten)
+
+    return _each_city(of_city)
+
+
 @query
 def dock_rounding(spark, folder):
     """Whole bikes and stands from a probability (here: a third of the fill)."""
@@ -714,6 +922,139 @@ def rebase_daily(spark, folder):
     return rebase.rebase_dates(_daily(spark, folder), AS_OF)
 
 
+@query
+def legacy_upgrade_bordeaux(spark, folder):
+    return legacy.upgrade_readings(_legacy_bordeaux(spark, folder), "bordeaux")
+
+
+@query
+def legacy_view_bordeaux(spark, folder):
+    return legacy.normalised_view(_legacy_bordeaux(spark, folder), "bordeaux")
+
+
+def _legacy_bordeaux(spark, folder):
+    return _feed_events(spark, folder).select(
+        F.col("event_id").cast("int").alias("gid"),
+        F.col("user_id").cast("int").alias("ident"),
+        F.lit("VLS").alias("type"),
+        F.col("event_type").alias("name"),
+        F.col("ts"),
+        F.col("stands").alias("available_stand"),
+        F.col("bikes").alias("available_bike"),
+        F.when(F.col("event_type") == "error", "DECONNECTEE")
+        .when(F.col("event_type") == "signup", "MAINT")
+        .otherwise("CONNECTEE")
+        .alias("state"),
+    )
+
+
+# Files -----------------------------------------------------------------------
+
+# Namespaces of the GML feed.
+_GML_ROOT = (
+    "wfs:FeatureCollection xmlns:wfs='http://www.opengis.net/wfs/2.0' "
+    "xmlns:bm='http://data.bordeaux-metropole.fr/wfs'"
+)
+
+
+def _documents(rows: DataFrame, item: Column, path: str) -> None:
+    """A JSON document for each day: the list of the day's items."""
+    day = F.to_date("ts").alias("day")
+    rows.groupBy(day).agg(F.to_json(F.collect_list(item)).alias("value")).write.partitionBy(
+        "day"
+    ).text(path)
+
+
+@query
+def gml_files(spark, folder):
+    """Events written as GML files with namespaces in Latin-1, and read as the feed."""
+    path = scratch_path(spark, "gml")
+    fields = {
+        "GID": F.col("event_id").cast("int"),
+        "IDENT": F.col("user_id").cast("int"),
+        "TYPE": F.lit("VLS"),
+        "NOM": F.concat(F.lit("Méri "), F.col("event_type")),
+        "ETAT": F.when(F.col("event_type") == "error", "DECONNECTEE").otherwise("CONNECTEE"),
+        "NBPLACES": F.col("stands"),
+        "NBVELOS": F.col("bikes"),
+        "MDATE": _iso("ts"),
+    }
+    member = F.struct(*[c.alias(f"bm:{name}") for name, c in fields.items()])
+    _feed_events(spark, folder).select(member.alias("bm:CI_VCUB_P")).write.format("xml").options(
+        rootTag=_GML_ROOT, rowTag="wfs:member", encoding="ISO-8859-1", validateName="false",
+        declaration="version='1.0' encoding='ISO-8859-1'",
+    ).save(path)
+    rows = feeds.canonical_readings(feeds.read_gml(spark, path), BORDEAUX, ["nom"])
+    return rows
+
+
+@query
+def geojson_files(spark, folder):
+    """Events written as GeoJSON documents, one a day, and read as the feed."""
+    path = scratch_path(spark, "geojson")
+    blank = lambda kind, name: F.when(F.col("event_type") == kind, "").otherwise(
+        F.col(name).cast("string")
+    )
+    properties = F.struct(
+        F.col("user_id").cast("string").alias("number"),
+        _iso("ts").alias("last_update"),
+        blank("view", "stands").alias("available_bike_stands"),
+        blank("click", "bikes").alias("available_bikes"),
+        F.when(F.col("event_type") == "error", "CLOSED").otherwise("OPEN").alias("status"),
+    )
+    feature = F.struct(F.lit("Feature").alias("type"), properties.alias("properties"))
+    rows = _feed_events(spark, folder).groupBy(F.to_date("ts").alias("day"))
+    rows.agg(
+        F.to_json(F.struct(F.collect_list(feature).alias("features"))).alias("value")
+    ).write.partitionBy("day").text(path)
+    found = feeds.canonical_readings(feeds.read_geojson(spark, f"{path}/*"), LYON, [])
+    return found.withColumns({c: F.col(c).cast("int") for c in feeds.COUNTS})
+
+
+@query
+def weather_files(spark, folder):
+    """Events written as current-weather documents, read and stored twice."""
+    path = scratch_path(spark, "weather")
+    _documents(adapters.events(spark, folder), F.struct(*_weather_parts()), f"{path}/files")
+    polled = datetime.fromisoformat(AS_OF)
+    for _ in range(2):
+        rows = weather.read_current(spark, f"{path}/files/*", polled)
+        sink.write_weather(rows.withColumn("city_key", F.lit("lyon")), path, "current")
+    return _round(read_table(spark, path, "weather_current"), *_WEATHER_DOUBLES)
+
+
+@query
+def weather_forecast_files(spark, folder):
+    path = scratch_path(spark, "forecast")
+    step = F.struct(*_weather_parts(), F.unix_timestamp("ts").alias("dt"))
+    document = F.struct(F.array(step).alias("list"))
+    _documents(adapters.events(spark, folder), document, f"{path}/files")
+    polled = datetime.fromisoformat(AS_OF)
+    for _ in range(2):
+        rows = weather.read_forecast(spark, f"{path}/files/*", polled)
+        sink.write_weather(rows.withColumn("city_key", F.lit("lyon")), path, "forecast")
+    return _round(read_table(spark, path, "weather_forecast"), *_WEATHER_DOUBLES)
+
+
+@query
+def roll_up_csv(spark, folder):
+    """The day's roll-up written as a file and read back."""
+    path = scratch_path(spark, "roll-up")
+    day = transactions.aggregate_transactions(_readings(spark, folder), DAY)
+    day.select("id", F.col("number").alias("transactions")).write.csv(path, header=True)
+    return read_transactions_csv(spark, path, DAY)
+
+
+@query
+def predictions_csv(spark, folder):
+    path = scratch_path(spark, "predictions")
+    adapters.prediction(spark, folder).select(
+        F.col("timestamp").alias("ts"), "station_id", F.col("availability").alias("pred_probability"),
+        F.col("nb_bikes").alias("pred_nb_bikes"), F.col("nb_stands").alias("pred_nb_stands"),
+    ).write.option("timestampNTZFormat", sink.CSV_TIME).csv(path, header=True)
+    return read_predictions_csv(spark, path, "1H")
+
+
 # Sinks -----------------------------------------------------------------------
 
 
@@ -767,6 +1108,51 @@ def cluster_store(spark, folder):
     return read_table(spark, lake, "clustering")
 
 
+@query
+def centroid_store(spark, folder):
+    lake = scratch_path(spark, "centroid")
+    for _ in range(2):
+        sink.write_clusters(
+            adapters.clustering(spark, folder), adapters.centroid(spark, folder), lake
+        )
+    return read_table(spark, lake, "centroid")
+
+
+def _geo_groups(spark, folder):
+    """Stations in twelve places far apart, some degrees beside each other."""
+    number = F.col("id").cast("int")
+    place = number % 12
+    return _station(spark, folder).select(
+        "city_key",
+        F.col("id").alias("station_id"),
+        (place * 7 % 12 + 0.0001 * (F.floor(number / 12) % 10)).alias("lat"),
+        (place * 5 % 12 + 40.0).alias("lon"),
+        place.alias("place"),
+    )
+
+
+@query
+def geo_store(spark, folder):
+    """Places that are clearly apart: fitted, written twice and read back."""
+    lake = scratch_path(spark, "geo")
+    points = _geo_groups(spark, folder)
+    for city in CITIES:
+        found = clusters.compute_geo_clusters(points, city)
+        for _ in range(2):
+            sink.write_geo_clusters(found.labels, found.centroids, lake)
+    return read_table(spark, lake, "geo_clustering")
+
+
+@query
+def geo_centroid_store(spark, folder):
+    lake = scratch_path(spark, "geo")
+    points = _geo_groups(spark, folder)
+    for city in CITIES:
+        found = clusters.compute_geo_clusters(points, city)
+        sink.write_geo_clusters(found.labels, found.centroids, lake)
+    return _round(read_table(spark, lake, "geo_centroid"), "lat", "lon")
+
+
 @query
 def station_store(spark, folder):
     lake = scratch_path(spark, "station")
@@ -825,3 +1211,38 @@ def stream_latest(spark, folder):
     stream = adapters.timeseries_stream(spark, folder)
     live.run_latest(stream, f"{path}/rows", f"{path}/checkpoint").awaitTermination()
     return live.read_latest(spark, f"{path}/rows")
+
+
+def _landed(spark, folder, path):
+    """Readings in five files: copies and changed ones in all, an early and a late file."""
+    rows = _readings(spark, folder)
+    shifted = lambda days: rows.withColumn(
+        "timestamp", F.col("timestamp") + F.expr(f"INTERVAL {days} DAY")
+    )
+    changed = rows.withColumn("available_bikes", F.col("available_bikes") + 1)
+    for part in (rows, changed.unionByName(rows), shifted(3), shifted(-3), rows):
+        part.select(*schemas.TIMESERIES.names).coalesce(1).write.mode("append").parquet(path)
+    return ingest.read_stream(spark, path, files_per_batch=1)
+
+
+@query
+def stream_ingest_batches(spark, folder):
+    """A batch for each file: every different reading is stored, once, in any order."""
+    path = scratch_path(spark, "stream-batches")
+    stream = _landed(spark, folder, f"{path}/landed")
+    for _ in range(2):  # the second call finds nothing new
+        ingest.ingest(stream, f"{path}/lake", f"{path}/checkpoint").awaitTermination()
+    return read_table(spark, f"{path}/lake", "timeseries").drop("date")
+
+
+@query
+def readings_compacted(spark, folder):
+    """Three loads of the same days, joined day by day."""
+    lake = scratch_path(spark, "compacted")
+    rows = _readings(spark, folder)
+    for load in ("one", "two", "three"):
+        sink.append_readings(rows, lake, load)
+    for _ in range(2):
+        for city in CITIES:
+            sink.compact_readings(spark, lake, city, FIRST, LAST)
+    return read_table(spark, lake, "timeseries").drop("date")
