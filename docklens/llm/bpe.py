@@ -5,8 +5,8 @@ a few megabytes of text: a block holds its distinct words and, for each text, th
 of its words in that list. The words of all blocks meet by their hash, and each distinct
 word is encoded once. The ids go back to their blocks, where the texts are put together
 by position. Words and positions travel packed, many in one compressed value, because one
-row for each pre-token takes several times the input in shuffles. The blocks are written
-once to the shared folder, so that both shuffles start from the same files.
+row for each pre-token takes several times the input in shuffles. The texts of a task are
+sorted before they are cut into blocks, so a task that is run again makes the same blocks.
 
 Decoding joins the ids with the table of token bytes (as many rows as the vocabulary has,
 read by each task).
@@ -32,9 +32,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docklens.llm import vocab
-from docklens.llm.storage import stored
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 KEPT_WORDS = 1_000_000
 
 _ZSTD = pa.Codec("zstd", 3)
@@ -72,6 +71,9 @@ def _unpack(data: bytes) -> list:
     return out
 
 
+_COLUMNS = ["key", "block", "kind", "part", "data"]
+_SCHEMA = "key long, block long, kind int, part int, data binary"
+
 #: A space beside other white space: such texts are split by the pattern as a whole.
 _WIDE = re.compile(r" \s|\s ")
 
@@ -111,8 +113,11 @@ class _Block:
         self._places.append(places)
         self.bytes += len(text)
 
-    def rows(self, name: int, parts: int) -> Iterator[tuple[int, int, int, bytes]]:
-        """(block, kind, part, data): the words by the part of their hash, then the texts."""
+    def rows(self, name: int, parts: int) -> Iterator[tuple[int, int, int, int, bytes]]:
+        """(key, block, kind, part, data): the words by the part of their hash, then the texts.
+
+        Rows of one ``key`` are to meet in one task: those of a part of the words.
+        """
         texts = list(self._words)
         places = np.concatenate(self._places) if self._places else np.zeros(0, np.uint32)
         counts = np.bincount(places, minlength=len(texts))
@@ -128,11 +133,12 @@ class _Block:
                 number[own] = p + parts * np.arange(len(own), dtype=np.uint32)
                 mine = [coded[k] for k in own.tolist()]
                 sizes = np.array([len(w) for w in mine], np.uint32)
-                yield name, 0, p, _pack(sizes, b"".join(mine))
+                yield p, name, 0, p, _pack(sizes, b"".join(mine))
         ids = np.array([-1 if i is None else i for i in self.ids], np.int64)
         null = np.array([i is None for i in self.ids], np.uint32)
         sizes = np.array(self.sizes, np.uint32)
-        yield name, 1, 0, _pack(null, ids.tobytes(), sizes, number[places] if len(places) else places)
+        places = number[places] if len(places) else places
+        yield name, name, 1, 0, _pack(null, ids.tobytes(), sizes, places)
 
 
 def _blocks(parts: int, most: int):
@@ -144,15 +150,10 @@ def _blocks(parts: int, most: int):
         block = _Block(pattern)
 
         def close() -> pa.RecordBatch:
-            rows = list(block.rows(first, parts))
+            columns = list(zip(*block.rows(first, parts)))
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
             return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([r[0] for r in rows], pa.int64()),
-                    pa.array([r[1] for r in rows], pa.int32()),
-                    pa.array([r[2] for r in rows], pa.int32()),
-                    pa.array([r[3] for r in rows], pa.binary()),
-                ],
-                ["block", "kind", "part", "data"],
+                [pa.array(c, kind) for c, kind in zip(columns, kinds)], _COLUMNS
             )
 
         for batch in batches:
@@ -169,7 +170,7 @@ def _blocks(parts: int, most: int):
 
 
 def _encode_words(path: str):
-    """Ids of the words of each row; a word of a part is encoded once."""
+    """Ids of the words of each row, a word of a part encoded once; texts pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = vocab.byte_encoder(path)
@@ -177,7 +178,12 @@ def _encode_words(path: str):
         part = None
         for batch in batches:
             out = []
-            for p, data in zip(batch.column("part").to_pylist(), batch.column("data")):
+            for kind, p, data in zip(
+                batch.column("kind").to_pylist(), batch.column("part").to_pylist(), batch.column("data")
+            ):
+                if kind:
+                    out.append(data.as_py())
+                    continue
                 if p != part or len(known) > KEPT_WORDS:
                     part, known = p, {}
                 sizes, text = _unpack(data.as_py())
@@ -194,10 +200,8 @@ def _encode_words(path: str):
                     ids.append(one)
                 counts = np.array([len(i) // 4 for i in ids], np.uint32)
                 out.append(_pack(counts, np.frombuffer(b"".join(ids), np.uint32)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("block"), batch.column("kind"), batch.column("part"), pa.array(out, pa.binary())],
-                ["block", "kind", "part", "data"],
-            )
+            kept = [batch.column(c) for c in _COLUMNS[:-1]]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(out, pa.binary())], _COLUMNS)
 
     return run
 
@@ -247,19 +251,15 @@ def encode(
     read = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
     )
-    schema = "block long, kind int, part int, data binary"
-    blocks = stored(read.mapInArrow(_blocks(parts, block_bytes), schema), "bpe-blocks")
-    words = (
-        blocks.where("kind = 0")
-        .repartition(parts, "part")
-        .sortWithinPartitions("part")
-        .mapInArrow(_encode_words(path), schema)
+    blocks = read.sortWithinPartitions("doc_id", "text").mapInArrow(
+        _blocks(parts, block_bytes), _SCHEMA
     )
-    return (
-        words.union(blocks.where("kind = 1"))
-        .groupBy("block")
-        .applyInPandas(_assemble(parts), "doc_id long, ids binary")
+    coded = (
+        blocks.repartition(parts, "key")
+        .sortWithinPartitions("kind", "part")
+        .mapInArrow(_encode_words(path), _SCHEMA)
     )
+    return coded.groupBy("block").applyInPandas(_assemble(parts), "doc_id long, ids binary")
 
 
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
