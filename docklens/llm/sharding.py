@@ -4,10 +4,12 @@ linked with, under quotas that keep every shard's number of rows even.
 Links are hubs: documents with the same hub are linked, without a row for each pair. Each
 round joins the documents' shards to their hubs, counts them for each hub and shard, joins
 the counts back and lets each document prefer the shard that holds most of its neighbours,
-less a penalty for fuller shards. Moves into a shard are let through, whole hubs together,
-while its quota lasts. A hub with more rows than a shard can take is first divided into
-as few parts as shards allow, each a hub of its own. Documents without links wait: they
-fill the shards at the end, so that row counts differ by one at most.
+less a penalty for fuller shards. Moves into a shard are let through, whole hubs together
+and large ones first, while its quota lasts. A hub with more rows than a shard can take is
+first divided into as few parts as shards allow, each a hub of its own. What is left over
+(documents without links, hubs that found no room, the smallest hubs of shards that are
+too full) then fills the shards hub by hub, so that row counts differ by one at most and
+only a hub at the edge of a shard is cut.
 
 Only DataFrame functions are used. Positions are numbers within small hash buckets plus
 the counts of the buckets before, so no task holds a shard.
@@ -86,11 +88,12 @@ def propagate(members: DataFrame, rows: int, shards: int, rounds: int = ROUNDS)
     part = F.floor(_share("row", F.lit(7)) * F.coalesce("parts", F.lit(1))).cast("int")
     members = stored(parted.select("row", "hub", part.alias("part")), "members")
     hub = ["hub", "part"]
+    sizes = members.groupBy(*hub).agg(F.floor(F.log2(F.count("*"))).cast("int").alias("class"))
+    main = members.groupBy("row").agg(F.min(F.struct(*hub)).alias("main"))
+    shard = F.floor(_share("row") * shards).cast("int").alias("shard")
     state = stored(
-        members.groupBy("row").agg(F.min(F.struct("hub", "part")).alias("main"))
-        .select("row", "main", F.floor(_share("row") * shards).cast("int").alias("shard")),
-        "shards",
-    )
+        main.select("row", "main", "main.*", shard).join(sizes, hub).drop(*hub), "shards"
+    )
     load = _counts(state, shards)
     for turn in range(rounds):
         votes = (
@@ -119,38 +122,49 @@ def propagate(members: DataFrame, rows: int, shards: int, rounds: int = ROUNDS)
             )
         )
         wanted = stored(
-            state.join(wishes, "row").select("row", "main", "shard", score.getField("k").alias("to")),
+            state.join(wishes, "row").select(
+                "row", "main", "class", "shard", score.getField("k").alias("to")
+            ),
             "wishes",
         )
-        flow = {(r["shard"], r["to"]): r["n"] for r in wanted.groupBy("shard", "to").agg(F.count("*").alias("n")).collect()}
-        moves = sum(n for (a, b), n in flow.items() if a != b)
-        if not moves:
+        # at most shards * shards * 64 small rows
+        flow = wanted.groupBy("shard", "to", "class").agg(F.count("*").alias("n")).collect()
+        if all(r["shard"] == r["to"] for r in flow):
             dropped(wanted)
             break
-        stay = [flow.get((k, k), 0) for k in range(shards)]
-        inflow = [sum(n for (a, b), n in flow.items() if b == k != a) for k in range(shards)]
-        # rows that leave may be held back elsewhere: only what stays for certain is counted
-        out = [sum(n for (a, b), n in flow.items() if a == k != b) for k in range(shards)]
-        quota = [max(0, room - stay[k] - out[k] // 2) for k in range(shards)]
-        allow = F.array(
-            *(F.lit(float(min(1.0, quota[k] / inflow[k]) if inflow[k] else 1.0)) for k in range(shards))
+        least, part = zip(*(_quota(flow, k, room) for k in range(shards)))
+        of = lambda values: F.element_at(F.array(*map(F.lit, values)), F.col("to") + 1)
+        passes = (F.col("class") > of(least)) | (
+            (F.col("class") == of(least)) & (_share("main", F.lit(1000 + turn)) < of(part))
         )
-        passes = _share("main", F.lit(1000 + turn)) < F.element_at(allow, F.col("to") + 1)
         after = stored(
             wanted.select(
-                "row", "main", F.when(passes, F.col("to")).otherwise(F.col("shard")).alias("shard")
+                "row", "main", "class",
+                F.when(passes, F.col("to")).otherwise(F.col("shard")).alias("shard"),
             ),
             "shards",
         )
         dropped(wanted)
         dropped(state)
-        state, before = after, load
+        state = after
         load = _counts(state, shards)
-        if load == before and turn > 2:
-            break
     return state
 
 
+def _quota(flow: list, shard: int, room: int) -> tuple[int, float]:
+    """(size class, share of its hubs) down to which moves into a shard are let through."""
+    left = room - sum(r["n"] for r in flow if r["shard"] == r["to"] == shard)
+    by_class: dict[int, int] = {}
+    for r in flow:
+        if r["to"] == shard != r["shard"]:
+            by_class[r["class"]] = by_class.get(r["class"], 0) + r["n"]
+    for size in sorted(by_class, reverse=True):
+        if by_class[size] > left:
+            return size, max(0.0, left / by_class[size])
+        left -= by_class[size]
+    return -1, 0.0
+
+
 def shard_documents(
     docs: DataFrame,
     shards: int = 8,
@@ -181,16 +195,29 @@ def shard_documents(
 
     most = [n // shards + (k < n % shards) for k in range(shards)]
     buckets = _buckets(n)
-    # beside each other in the order of hubs; a crowded hub's rows are spread in it
-    near = F.floor(_share("main", F.lit(3)) * buckets) * 32 + F.pmod(F.xxhash64("row"), F.lit(32))
+    whole = state.groupBy("main").agg(F.min("shard").alias("low"), F.max("shard").alias("high"))
+    state = state.join(whole.where("low = high").select("main"), "main")
+    # large hubs first, a hub's rows beside each other; those of a bucket are spread in it
+    near = (
+        (63 - F.col("class")) * buckets + F.floor(_share("main", F.lit(3)) * buckets)
+    ) * 32 + F.pmod(F.xxhash64("row"), F.lit(32))
     placed = numbered(
         state, ["shard"], near, [F.xxhash64("main"), F.xxhash64("row"), F.col("row")], "slot"
     )
-    held = stored(placed.where(F.col("slot") < _case(most, F.col("shard"))).select("row", "shard", "slot"), "held")
+    held = stored(
+        placed.where(F.col("slot") < _case(most, F.col("shard"))).select("row", "shard", "slot"), "held"
+    )
     stay = _counts(held, shards)
-    rest = rows.select("row").join(held.select("row"), "row", "left_anti")
+    rest = rows.join(linked.withColumn("linked", F.lit(True)), "hub", "left").select(
+        "row", F.when(F.col("linked"), F.xxhash64("hub")).otherwise(F.xxhash64("row")).alias("key")
+    )
+    rest = rest.join(held.select("row"), "row", "left_anti")
     rest = numbered(
-        rest, [], F.pmod(F.xxhash64("row"), F.lit(buckets)), [F.xxhash64("row"), F.col("row")], "place"
+        rest,
+        [],
+        F.floor(_share("key") * buckets) * 32 + F.pmod(F.xxhash64("row"), F.lit(32)),
+        [F.col("key"), F.xxhash64("row"), F.col("row")],
+        "place",
     )
     first = [sum(most[i] - stay[i] for i in range(k)) for k in range(shards)]
     to = reduce(
