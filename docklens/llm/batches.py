@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docklens.llm import words
@@ -29,22 +30,21 @@ def add_columns(
     added = T.StructType.fromDDL(schema)
     new = {f.name.lower() for f in added}
     kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in new]
-    read = docs.select(*dict.fromkeys([*kept, *inputs]))
-    out = T.StructType([f for f in read.schema if f.name in kept] + added.fields)
-    names = [f.name for f in out]
+    # Python functions do not take every column name
+    plain = {c: f"_{n}" for n, c in enumerate(dict.fromkeys([*kept, *inputs]))}
+    read = docs.select(*(F.col(f"`{c}`").alias(name) for c, name in plain.items()))
+    passed = [plain[c] for c in kept]
+    out = T.StructType([read.schema[name] for name in passed] + added.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = compute(*(batch.column(c) for c in inputs))
+            made = compute(*(batch.column(plain[c]) for c in inputs))
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(n) if n in kept else _array(made[n])
-                    for n in names
-                ],
-                names=names,
+                [batch.column(n) for n in passed] + [_array(made[f.name]) for f in added],
+                names=out.names,
             )
 
-    return read.mapInArrow(run, out)
+    return read.mapInArrow(run, out).toDF(*kept, *added.names)
 
 
 def _array(values: np.ndarray | pa.Array) -> pa.Array:

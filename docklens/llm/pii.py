@@ -546,7 +546,7 @@ def redact(docs: DataFrame, text_col: str = "text", model: Field | None = None)
     found = find(aside, own[text_col], model=model, mask=True)
     return found.select(
         *(
-            found["masked" if c == text_col else own[c]].alias(c)
+            F.col("masked" if c == text_col else f"`{own[c]}`").alias(c)
             if c != "n_chars"
             else F.length("masked").cast(docs.schema[c].dataType).alias(c)
             for c in docs.columns

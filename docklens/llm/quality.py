@@ -246,7 +246,7 @@ def clean(docs: DataFrame, text_col: str = "text", rules: Rules = Rules()) -> Da
     judged = judge(aside, own[text_col], rules, cleaned=True).where("kept")
     return judged.select(
         *(
-            judged["cleaned" if c == text_col else own[c]].alias(c)
+            F.col("cleaned" if c == text_col else f"`{own[c]}`").alias(c)
             if c != "n_chars"
             else F.length("cleaned").cast(docs.schema[c].dataType).alias(c)
             for c in docs.columns

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import tempfile
 import uuid
 
@@ -20,7 +21,7 @@ def shared_root(spark: SparkSession) -> str:
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local["):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         folder = os.path.join(tempfile.gettempdir(), "docklens-llm")
     root = f"{folder.rstrip('/')}/llm-{spark.sparkContext.applicationId}"

@@ -574,6 +574,6 @@ def deduplicate(
     named = docs.join(kept.select(F.col("doc_id").alias(id_col)), id_col, "left_semi")
     return (
         named.dropDuplicates([id_col])
-        .select(docs.columns)
+        .select(*(f"`{c}`" for c in docs.columns))
         .union(docs.where(F.col(id_col).isNull()))
     )

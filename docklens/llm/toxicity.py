@@ -366,7 +366,7 @@ def clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The documents that are not toxic, in the columns of ``docs``."""
     aside, own = set_aside(docs, SCHEMA)
     scored = score(aside, model, own[text_col]).where("predicted = 0")
-    return scored.select(*(scored[own[c]].alias(c) for c in docs.columns))
+    return scored.select(*(F.col(f"`{own[c]}`").alias(c) for c in docs.columns))
 
 
 def held_out(id_col: str | Column) -> Column:

@@ -41,9 +41,11 @@ TEXTS = [
 @pytest.fixture(scope="session")
 def odd_docs(spark):
     """The cases above, with columns that are named like results."""
-    rows = [(i, t, "x", 1.5, "y", 3) for i, t in TEXTS]
+    rows = [(i, t, "x", 1.5, "y", 3, "z", None) for i, t in TEXTS]
     return spark.createDataFrame(
-        rows, "doc_id long, text string, kept string, score double, component_id string, shard int"
+        rows,
+        "doc_id long, text string, kept string, score double, component_id string, shard int, "
+        "`a.b c` string, cleaned long",
     )
 
 

@@ -90,6 +90,12 @@ def test_documents_that_lose_their_lines_go(spark):
     assert not rows[1].kept and not rows[1].base_failed and rows[2].kept
 
 
+def test_other_columns_stay(odd_docs):
+    for df in (quality.clean(odd_docs), pii.redact(odd_docs)):
+        assert df.schema == odd_docs.schema
+        assert all(r["a.b c"] == "z" and r.kept == "x" and r.score == 1.5 for r in df.collect())
+
+
 def test_empty_tables(spark, no_docs):
     assert quality.judge(no_docs).count() == 0
     assert quality.clean(no_docs).columns == ["doc_id", "text"]
