@@ -5,7 +5,8 @@ import os
 import pytest
 
 from docklens import schemas
-from docklens.plans import profiles, timeseries, transactions
+from docklens.operators.latest import newest_once
+from docklens.plans import clusters, forecast, profiles, timeseries, transactions
 from registry import queries
 
 FOLDER = os.environ.get("DOCKLENS_TESTDATA", "/root/testdata/sf0.001")
@@ -78,3 +79,25 @@ def test_small_tops_are_taken_without_a_sort_of_all_rows(stored, capsys, spark):
     station = spark.createDataFrame([], schemas.STATION)
     top = transactions.daily_transaction_list(daily, station, "lyon", "2024-01-01", 5, "value")
     assert "TakeOrderedAndProject" in plan_of(top, capsys)
+
+
+def test_named_centroids_need_two_shuffles(spark, capsys, tmp_path):
+    path = str(tmp_path / "centroid")
+    spark.createDataFrame([], schemas.CENTROID).write.parquet(path)
+    rows = clusters.cluster_profiles(spark.read.schema(schemas.CENTROID).parquet(path))
+    plan = plan_of(rows, capsys)
+    assert len(exchanges(plan)) <= 2 and "Join" not in plan and "Expand" not in plan
+
+
+def test_both_parts_of_a_split_come_from_one_grid(stored, capsys):
+    rows = timeseries.open_readings(stored, "2024-01-01", "2024-01-31")
+    table = forecast.labelled(rows, "30T")
+    both = forecast.with_part(table, "2024-01-25", "30T", "2024-01-01", periods=2)
+    plan = plan_of(both.groupBy("part", "station_id").count(), capsys)
+    assert plan.count("Scan parquet") == 2  # once in the tree, once in the details
+    assert len(exchanges(plan)) <= 4
+
+
+def test_latest_rows_of_a_batch_are_read_once(stored, capsys):
+    plan = plan_of(newest_once(stored, ["city_key", "id"]), capsys)
+    assert plan.count("Scan parquet") == 2 and "WindowGroupLimit" in plan
