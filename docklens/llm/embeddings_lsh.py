@@ -108,7 +108,8 @@ def _groups(rows: pa.RecordBatch) -> np.ndarray:
     new = np.zeros(rows.num_rows, bool)
     for c in _KEYS:
         x = rows.column(c)
-        x = np.array(x.to_pylist(), object) if pa.types.is_string(x.type) else x.to_numpy(zero_copy_only=False)
+        text = pa.types.is_string(x.type)
+        x = np.array(x.to_pylist(), object) if text else x.to_numpy(zero_copy_only=False)
         new[1:] |= x[1:] != x[:-1]
     return np.cumsum(new)
 

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from docklens.llm import words
 from docklens.llm.batches import Result, add_columns, by_slice, set_aside, strings
-from docklens.llm.words import LOWER, NOT_ALNUM, WHITE, Spans, mix, per_text, repeated, spans
+from docklens.llm.words import LOWER, WHITE, Spans, mix, per_text, repeated, spans
 
 WINDOW = 8
 
@@ -163,8 +163,9 @@ def _judge(values: np.ndarray, offsets: np.ndarray, rules: Rules, text: bool) ->
         same[1:] = keys[1:] == keys[:-1]
     total = np.concatenate([[0], np.cumsum(same)])
     # the first word of a line does not count
-    stutter = total[first_word + line_words] - total[np.minimum(first_word + 1, first_word + line_words)]
-    bad = copy
+    after = first_word + line_words
+    stutter = total[after] - total[np.minimum(first_word + 1, after)]
+    bad = copy.copy()
     bad |= with_word & (line_words >= rules.min_sentence_words) & (_within(marks, line) == 0)
     bad |= with_word & (_within(symbols, line) > rules.max_symbols * line_words)
     bad |= with_word & (menu >= rules.min_separators) & (menu > rules.max_separators * line_words)
@@ -179,7 +180,7 @@ def _judge(values: np.ndarray, offsets: np.ndarray, rules: Rules, text: bool) ->
         "n_words": n_words,
         "word_chars": per_text(~WHITE[values] & ~_CONTINUED[values], offsets),
         "n_symbols": per_text(symbols, offsets),
-        "n_dup_lines": per_text(with_word, line.of) - _distinct(line_key, with_word, line),
+        "n_dup_lines": per_text(copy, line.of),
         "n_repeat_words": n_repeat,
         "base_failed": base_failed,
         "n_lines_removed": per_text(bad, line.of),
@@ -191,14 +192,6 @@ def _judge(values: np.ndarray, offsets: np.ndarray, rules: Rules, text: bool) ->
     return out
 
 
-def _distinct(keys: np.ndarray, with_word: np.ndarray, line: Spans) -> np.ndarray:
-    at = np.flatnonzero(with_word)
-    _, firsts = np.unique(keys[at], return_index=True)
-    first = np.zeros(len(keys), bool)
-    first[at[firsts]] = True
-    return per_text(first, line.of)
-
-
 def _without(values: np.ndarray, offsets: np.ndarray, line: Spans, bad: np.ndarray) -> pa.Array:
     """The texts without their bad lines; a line feed stands between the lines left."""
     good = np.flatnonzero(~bad)

@@ -225,8 +225,9 @@ def shard_documents(
         ((F.col("place") >= first[k]).cast("int") for k in range(1, shards)),
         F.lit(0),
     )
+    gap = [stay[k] - first[k] for k in range(shards)]
     rest = rest.withColumn("shard", to).select(
-        "row", "shard", (F.col("place") - _case(first, F.col("shard")) + _case(stay, F.col("shard"))).alias("slot")
+        "row", "shard", (F.col("place") + _case(gap, F.col("shard"))).alias("slot")
     )
     return (
         rows.join(held.select("row", "shard", "slot").union(rest), "row")

@@ -3,9 +3,8 @@
 import re
 
 import numpy as np
-import pyarrow as pa
 import pytest
-from llm_cases import by_id, no_docs, odd_docs, shipped  # noqa: F401
+from llm_cases import no_docs, odd_docs, shipped  # noqa: F401
 
 from docklens.llm import embeddings_lsh, sharding, superminhash
 from docklens.llm.components import connected
