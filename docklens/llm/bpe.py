@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -87,7 +86,7 @@ class _Block:
         self.sizes: list[int] = []
         self.bytes = 0
         self._words: dict[str, int] = {}
-        self._units: dict[str, tuple[int, ...]] = {}
+        self._units: dict[str, int | tuple[int, ...]] = {}
         self._places: list[np.ndarray] = []
 
     def _split(self, text: str) -> tuple[int, ...]:
@@ -105,8 +104,12 @@ class _Block:
             for part in parts:
                 known = units.get(part)
                 if known is None:
-                    known = units[part] = self._split(" " + part)
-                flat.extend(known)
+                    known = self._split(" " + part)
+                    units[part] = known = known[0] if len(known) == 1 else known
+                if type(known) is int:
+                    flat.append(known)
+                else:
+                    flat.extend(known)
             places = np.array(flat, np.uint32)
         self.ids.append(id_)
         self.sizes.append(len(places))
@@ -268,7 +271,8 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = vocab.token_bytes(path)
-        for batch in batches:
+        small = (b.slice(k, 512) for b in batches for k in range(0, b.num_rows, 512))
+        for batch in small:
             out = []
             for one in batch.column(ids_col):
                 if not one.is_valid:
