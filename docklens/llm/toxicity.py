@@ -95,8 +95,9 @@ def _scan(values: np.ndarray, offsets: np.ndarray, buckets: int):
     lower = LOWER[values]
     run = words.spans(lower, offsets, NOT_ALNUM)
     found = words.hashes(lower, run, HEADS)
+    kind = np.uint16 if buckets <= 1 << 16 else np.int32
     features = np.stack(
-        [(mix(h + np.uint64(k)) % np.uint64(buckets)).astype(np.int32) for k, h in enumerate(found)],
+        [(mix(h + np.uint64(k)) % np.uint64(buckets)).astype(kind) for k, h in enumerate(found)],
         axis=1,
     )
     keys, bits = _function_keys()
@@ -161,6 +162,7 @@ def fit(texts: pa.Array, toxic: np.ndarray, options: Fit = Fit()) -> Model:
     features = np.concatenate([f for f, _, _ in scans])
     counts = np.concatenate([np.diff(o) for _, o, _ in scans])
     language = np.concatenate([g for _, _, g in scans])
+    del scans
     of = np.concatenate([[0], np.cumsum(counts)])
     y = toxic.astype(np.float32)
     random = np.random.default_rng(options.seed)
@@ -203,13 +205,15 @@ def _rows(features: np.ndarray, of: np.ndarray, rows: np.ndarray):
 
 def _log_odds(feature, of, y, learn, buckets: int) -> np.ndarray:
     """How much likelier a text with the bucket is toxic, drawn to 0 for rare buckets."""
-    own, edge = _rows(feature, of, learn)
-    row = np.repeat(np.arange(len(learn)), np.diff(edge))
-    seen = np.unique(row.astype(np.int64) * buckets + own)
-    toxic = y[learn][seen // buckets] > 0
-    bucket = seen % buckets
-    yes = np.bincount(bucket[toxic], minlength=buckets)
-    no = np.bincount(bucket[~toxic], minlength=buckets)
+    yes, no = np.zeros(buckets), np.zeros(buckets)
+    for first in range(0, len(learn), 500):  # in parts: the driver's memory is small
+        part = learn[first : first + 500]
+        own, edge = _rows(feature, of, part)
+        row = np.repeat(np.arange(len(part)), np.diff(edge))
+        seen = np.unique(row * buckets + own)
+        toxic = y[part][seen // buckets] > 0
+        yes += np.bincount(seen[toxic] % buckets, minlength=buckets)
+        no += np.bincount(seen[~toxic] % buckets, minlength=buckets)
     n_yes = max(1.0, float(y[learn].sum()))
     n_no = max(1.0, len(learn) - n_yes)
     odds = np.log((yes + 0.5) / (n_yes + 1)) - np.log((no + 0.5) / (n_no + 1))
@@ -287,6 +291,7 @@ def _train(model: Model, features, of, y, learn, options: Fit, random) -> Model:
                 p -= adam(p, gr, m1, v1)
             for k in range(len(model.embedding)):
                 bucket, inverse = np.unique(own[at, k], return_inverse=True)
+                bucket = bucket.astype(np.int64)
                 total = np.zeros((len(bucket), size), np.float32)
                 np.add.at(total, inverse, g)
                 m1, v1 = deep[0][k][bucket], deep[1][k][bucket]
@@ -341,8 +346,12 @@ def fit_documents(
     sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
         F.broadcast(given), "id"
     )
-    rows = sample.select("id", "text", "y").toArrow().sort_by([("id", "ascending"), ("text", "ascending")])
-    return fit(rows.column("text"), rows.column("y").to_numpy() > 0, options)
+    rows = sample.select("id", "text", "y").toArrow()
+    rows = rows.sort_by([("id", "ascending"), ("text", "ascending")])
+    model = fit(rows.column("text"), rows.column("y").to_numpy() > 0, options)
+    del rows
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def score(
