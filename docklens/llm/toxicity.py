@@ -7,9 +7,10 @@ text decides through one dense layer. Embeddings start from the log-odds of thei
 the training texts and are trained with the filters by Adam.
 
 The model is fitted on the driver from a bounded sample of labelled texts (``Fit.rows``).
-A part of the sample calibrates a threshold for each language. The language is read off
-the text by its function words, so neither a language column nor any other column is an
-input of a score: ``score`` is 0.5 at the threshold of the text's language.
+All labelled texts outside the sample calibrate a threshold for each language: Spark counts
+them by language and binned logit. The language is read off the text by its function words,
+so neither a language column nor any other column is an input of a score: ``score`` is 0.5
+at the threshold of the text's language.
 
 Scoring is row by row and needs no shuffle; texts are scored whole, in runs of words.
 
@@ -21,7 +22,7 @@ other columns pass through, and one named like a result is replaced.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +49,12 @@ LANGUAGES = (*FUNCTION_WORDS, "other")
 
 @dataclass(frozen=True)
 class Fit:
-    """Size of the model and its training. ``rows`` bounds the labelled sample."""
+    """Size of the model and its training. ``rows`` bounds the labelled sample.
+
+    ``calibration`` is the least share of the labelled texts that is kept from the fit for
+    the thresholds. A language's own threshold weighs as many texts as its smaller class
+    has, the common threshold ``pull`` texts.
+    """
 
     rows: int = 8000
     buckets: int = 1 << 16
@@ -59,7 +65,7 @@ class Fit:
     batch: int = 64
     rate: float = 0.01
     calibration: float = 0.25
-    least_calibration: int = 20
+    pull: float = 20.0
     seed: int = 5
 
 
@@ -188,11 +194,11 @@ def fit(texts: pa.Array, toxic: np.ndarray, options: Fit = Fit()) -> Model:
     )
     model = _train(model, features, of, y, learn, options, random)
     check = np.flatnonzero(held) if held.any() else learn
-    logits = _logits(model, *_rows(features, of, check))
-    return Model(
-        model.embedding, model.filters, model.bias, model.dense, model.offset,
-        _thresholds(logits, y[check], language[check], options.least_calibration),
-    )
+    bins = _bins(_logits(model, *_rows(features, of, check)))
+    hit = y[check] > 0
+    return replace(
+        model, thresholds=_thresholds(bins, language[check], hit, ~hit, options.pull)
+    )
 
 
 def _rows(features: np.ndarray, of: np.ndarray, rows: np.ndarray):
@@ -300,27 +306,76 @@ def _train(model: Model, features, of, y, learn, options: Fit, random) -> Model:
     return Model(model.embedding, model.filters, bias, dense, float(offset[0]), model.thresholds)
 
 
-def _threshold(logits: np.ndarray, y: np.ndarray) -> float:
-    """The cut of the best F1, in the middle of the gap where it lies."""
-    order = np.argsort(-logits, kind="stable")
-    values, hits = logits[order], np.cumsum(y[order])
-    f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
-    k = int(f1.argmax())
-    below = values[k + 1 :][values[k + 1 :] < values[k]]
-    return float((values[k] + below[0]) / 2) if len(below) else float(values[k] - 1)
+#: Bins of a logit, and the largest bin either way; texts are counted by bin.
+BINS = 64
+_MOST_BIN = 64 * BINS
+
+
+def _bins(logits: np.ndarray) -> np.ndarray:
+    return np.clip(np.floor(logits * BINS), -_MOST_BIN, _MOST_BIN - 1).astype(np.int32)
+
 
+def _threshold(bins: np.ndarray, yes: np.ndarray, no: np.ndarray) -> float:
+    """The cut of the best F1 of counts by bin, in the middle of the gap where it lies."""
+    values, at = np.unique(-bins, return_inverse=True)
+    hits, others = (np.cumsum(np.bincount(at, n, len(values))) for n in (yes, no))
+    k = int((2 * hits / (hits + others + hits[-1])).argmax())
+    edge = -values[k] / BINS
+    if k + 1 == len(values):
+        return float(edge - 1)
+    return float((edge + (1 - values[k + 1]) / BINS) / 2)
 
-def _thresholds(logits, y, language, least: int) -> np.ndarray:
-    """A threshold for each language; the common one where a class has too few texts."""
-    common = _threshold(logits, y) if y.any() else float(logits.max(initial=0.0) + 1)
-    out = np.full(len(LANGUAGES), common)
+
+def _thresholds(bins, language, yes, no, pull: float) -> np.ndarray:
+    """A threshold for each language, drawn to the common one where a class has few texts.
+
+    ``yes`` and ``no`` count the toxic and other texts of a language and bin.
+    """
+    common = _threshold(bins, yes, no) if yes.any() else (bins.max(initial=0) + 1) / BINS + 1
+    out = np.full(len(LANGUAGES), float(common))
     for n in range(len(LANGUAGES)):
         own = language == n
-        if y[own].sum() >= least and (1 - y[own]).sum() >= least:
-            out[n] = _threshold(logits[own], y[own])
+        weight = min(yes[own].sum(), no[own].sum())
+        if weight:
+            cut = _threshold(bins[own], yes[own], no[own])
+            out[n] = (weight * cut + pull * common) / (weight + pull)
     return out
 
 
+def calibrate(model: Model, docs: DataFrame, given: DataFrame, pull: float) -> Model:
+    """``model`` with thresholds from all of ``docs`` (id, text) that ``given`` (id, y) labels.
+
+    Texts are never shuffled: documents are counted by id, language and bin before they meet
+    the labels, counted by id. The driver gets one row for each language and bin. Without
+    toxic or without other texts the thresholds stay.
+    """
+
+    def compute(texts: pa.Array) -> Result:
+        parts = []
+        for _, values, offsets in words.slices(texts):
+            features, of, language = _scan(values, offsets, model.embedding.shape[1])
+            parts.append((language.astype(np.int32), _bins(_logits(model, features, of))))
+        language, bins = zip(*parts) if parts else ([np.zeros(0, np.int32)],) * 2
+        return {"language": np.concatenate(language), "bin": np.concatenate(bins)}
+
+    found = add_columns(docs.where("id is not null"), ["text"], "language int, bin int", compute, ["id"])
+    found = found.groupBy("id", "language", "bin").agg(F.count("*").alias("n"))
+    labelled = given.groupBy("id").agg(
+        F.sum((F.col("y") > 0).cast("long")).alias("yes"),
+        F.sum((F.col("y") <= 0).cast("long")).alias("no"),
+    )
+    counts = found.join(labelled, "id").groupBy("language", "bin").agg(
+        F.sum(F.col("n") * F.col("yes")).cast("double").alias("yes"),
+        F.sum(F.col("n") * F.col("no")).cast("double").alias("no"),
+    ).toArrow()
+    language, bins, yes, no = (
+        counts.column(c).to_numpy() for c in ("language", "bin", "yes", "no")
+    )
+    if not yes.any() or not no.any():
+        return model
+    return replace(model, thresholds=_thresholds(bins, language, yes, no, pull))
+
+
 def fit_documents(
     docs: DataFrame,
     labels: DataFrame,
@@ -330,30 +385,45 @@ def fit_documents(
     label_col: str = "toxic",
     options: Fit = Fit(),
 ) -> Model:
-    """A model from about ``options.rows`` labelled documents, chosen by the hash of the id.
+    """A model fitted on about ``options.rows`` labelled documents, calibrated on the others.
 
-    ``use`` tells which labels may be learned, as a condition on the id.
+    The hash of the id tells which are fitted. ``use`` tells which labels may be learned,
+    as a condition on the id.
     """
     given = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
     given = given.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
     if use is not None:
         given = given.where(use)
+    read = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     n = given.count()
-    if n > options.rows:
-        share = F.pmod(F.xxhash64("id", F.lit(options.seed)), F.lit(1 << 30)) / float(1 << 30)
-        given = given.where(share < options.rows / n)
-    # at most about options.rows ids
-    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
-        F.broadcast(given), "id"
+    share = F.pmod(F.xxhash64("id", F.lit(options.seed)), F.lit(1 << 30)) / float(1 << 30)
+    limit = min(1 - options.calibration, options.rows / max(n, 1))
+    rows = _sample(read, given.where(share < limit))
+    if _one_class(rows) and n <= options.rows:  # too few texts to keep any from the fit
+        limit = 1.0
+        rows = _sample(read, given)
+    model = fit(
+        rows.column("text"), rows.column("y").to_numpy() > 0, replace(options, calibration=0.0)
     )
-    rows = sample.select("id", "text", "y").toArrow()
-    rows = rows.sort_by([("id", "ascending"), ("text", "ascending")])
-    model = fit(rows.column("text"), rows.column("y").to_numpy() > 0, options)
+    fitted = not _one_class(rows)
     del rows
     pa.default_memory_pool().release_unused()
+    if fitted and limit < 1:
+        model = calibrate(model, read, given.where(share >= limit), options.pull)
     return model
 
 
+def _sample(docs: DataFrame, given: DataFrame) -> pa.Table:
+    """The documents (id, text) of ``given``, which has at most about ``Fit.rows`` ids."""
+    rows = docs.join(F.broadcast(given), "id").select("id", "text", "y").toArrow()
+    return rows.sort_by([("id", "ascending"), ("text", "ascending")])
+
+
+def _one_class(rows: pa.Table) -> bool:
+    toxic = rows.column("y").to_numpy() > 0
+    return toxic.all() or not toxic.any()
+
+
 def score(
     docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None
 ) -> DataFrame:

@@ -163,6 +163,49 @@ def test_one_class_only():
         assert (model.offset > 0) == toxic.all()
 
 
+def test_thresholds_come_from_all_labels_outside_the_fit(spark, monkeypatch):
+    texts, toxic = labelled(900, 5)
+    spanish = np.arange(900) % 18 == 0
+    rows = [
+        (i, "los del las como más " * 5 * bool(es) + t, int(y))
+        for i, (t, y, es) in enumerate(zip(texts.to_pylist(), toxic, spanish))
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(4)
+    seen = {}
+    fit, thresholds = toxicity.fit, toxicity._thresholds
+
+    def spied_fit(texts, *args):
+        seen["fitted"] = texts.to_pylist()
+        return fit(texts, *args)
+
+    def spied_thresholds(bins, language, yes, no, pull):
+        seen["last"] = {n: (yes[language == n].sum(), no[language == n].sum()) for n in (0, 3)}
+        return thresholds(bins, language, yes, no, pull)
+
+    monkeypatch.setattr(toxicity, "fit", spied_fit)
+    monkeypatch.setattr(toxicity, "_thresholds", spied_thresholds)
+    use = toxicity.F.col("id") < 850
+    options = toxicity.Fit(rows=200)
+    model = toxicity.fit_documents(df, df.select("doc_id", "toxic"), use, options=options)
+    assert 120 < len(seen["fitted"]) < 280
+    rest = [r for r in rows[:850] if r[1] not in set(seen["fitted"])]
+    for n, es in ((0, False), (3, True)):
+        own = [r[2] for r in rest if bool(spanish[r[0]]) == es]
+        assert seen["last"][n] == (sum(own), len(own) - sum(own))
+    assert 0 < seen["last"][3][0] < 20 and model.thresholds[3] != model.thresholds[4]
+    assert model.thresholds[1] == model.thresholds[4]  # no German texts: the common one
+
+
+def test_few_texts_draw_a_threshold_a_little():
+    bins = np.array([64, 0, 640, 576, 320, 256])
+    language = np.array([0, 0, 1, 1, 1, 1])
+    yes, no = np.array([500, 0, 3, 0, 3, 0]), np.array([0, 500, 0, 3, 0, 3])
+    out = toxicity._thresholds(bins, language, yes, no, 20.0)
+    common = toxicity._threshold(bins, yes, no)
+    alone = toxicity._threshold(bins[2:], yes[2:], no[2:])
+    assert out[1] == pytest.approx((6 * alone + 20 * common) / 26) and out[2] == common
+
+
 def test_held_out_by_crc32(spark):
     import zlib
 
