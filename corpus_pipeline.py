@@ -47,7 +47,9 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids in sequences of 2048."""
     ship(spark)
-    return packing.pack(docs, public("byte_bpe_50k.json"), end_id=1, sequence=2048)
+    return packing.pack(
+        docs, public("byte_bpe_50k.json"), end_id=1, sequence=2048, added=True
+    )
 
 
 STAGES: list[tuple[str, Stage]] = [

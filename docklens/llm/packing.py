@@ -41,16 +41,16 @@ SCHEMA = (
 )
 
 
-def _pieces(path: str, end_id: int, most: int):
+def _pieces(path: str, end_id: int, most: int, added: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = vocab.byte_encoder(path)
+        encode = vocab.byte_ids(path, added)
         for batch in batches:
             names = batch.column(0).to_pylist()
             for row, values, offsets in words.slices(batch.column(1)):
                 doc_id, start, size, data = [], [], [], []
                 for k in range(len(offsets) - 1):
                     text = values[offsets[k] : offsets[k + 1]].tobytes().decode("utf-8")
-                    ids = np.array(encoder.encode_ordinary(text) + [end_id], "<u4")
+                    ids = np.array(encode(text) + [end_id], "<u4")
                     for first in range(0, len(ids), most):
                         doc_id.append(names[row + k])
                         start.append(first)
@@ -139,15 +139,19 @@ def pack(
     block_docs: int = BLOCK_DOCS,
     linear: float = LINEAR,
     quadratic: float = QUADRATIC,
+    added: bool = False,
 ) -> DataFrame:
-    """One row for each piece of a document in a sequence, with its ids (little-endian)."""
+    """One row for each piece of a document in a sequence, with its ids (little-endian).
+
+    With ``added``, strings of the file's added tokens in a text get their ids.
+    """
     read = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
     )
     blocks = max(1, -(-docs.count() // block_docs))
     block = F.pmod(F.xxhash64("doc_id", "start"), F.lit(blocks)).alias("block")
     return (
-        read.mapInArrow(_pieces(path, end_id, sequence), _PIECE)
+        read.mapInArrow(_pieces(path, end_id, sequence, added), _PIECE)
         .select("*", block)
         .groupBy("block")
         .applyInPandas(_pack(sequence, linear, quadratic), SCHEMA)

@@ -65,7 +65,9 @@ def op2_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 2048 ids."""
     docs = _read(spark, sf_dir, "documents")
-    pieces = packing.pack(docs, public("byte_bpe_50k.json"), end_id=1, sequence=2048)
+    pieces = packing.pack(
+        docs, public("byte_bpe_50k.json"), end_id=1, sequence=2048, added=True
+    )
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
         "sequence_id", "offset",
@@ -102,7 +104,7 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written as token files and read back."""
     target = new_path(spark, "tokens")
     docs = _read(spark, sf_dir, "documents")
-    tokenfiles.write_tokens(docs, target, public("word_bpe_49k.json"), end_id=1)
+    tokenfiles.write_tokens(docs, target, public("word_bpe_49k.json"), end_id=1, added=True)
     return tokenfiles.read_tokens(spark, target, "ids_crc32", "long", tokenfiles.crc32)
 
 

@@ -106,9 +106,9 @@ def read_blocks(starts: np.ndarray, data: bytes) -> np.ndarray:
     return (rest + least.astype(np.uint32)).reshape(-1)
 
 
-def _segments(path: str, end_id: int, most: int):
+def _segments(path: str, end_id: int, most: int, added: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = vocab.word_encoder(path)
+        encoder = vocab.word_encoder(path, added)
         part, first = TaskContext.get().partitionId(), 0
         names: list[int | None] = []
         sizes: list[int] = []
@@ -173,15 +173,17 @@ def write_tokens(
     id_col: str = "doc_id",
     text_col: str = "text",
     segment_ids: int = SEGMENT_IDS,
+    added: bool = False,
 ) -> None:
     """Write the token files of ``docs`` to the folder ``target``.
 
-    ``path`` is a tokenizer file whose tokens never span white space.
+    ``path`` is a tokenizer file whose tokens never span white space. With ``added``,
+    strings of the file's added tokens in a text get their ids.
     """
     docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
     ).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(
-        _segments(path, end_id, segment_ids), _SEGMENT
+        _segments(path, end_id, segment_ids, added), _SEGMENT
     ).write.parquet(target)
 
 

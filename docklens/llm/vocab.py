@@ -10,6 +10,7 @@ import base64
 import json
 import os
 import re
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -90,6 +91,44 @@ def byte_encoder(path: str):
     return tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks(path), special_tokens={})
 
 
+@lru_cache(maxsize=4)
+def added_tokens(path: str) -> dict[str, int]:
+    """The strings that the library cuts out of a text before anything else, with their ids."""
+    if not path.endswith(".json"):
+        return {}
+    with open(path, encoding="utf-8") as file:
+        tokens = json.load(file).get("added_tokens") or []
+    for token in tokens:
+        if any(token.get(k) for k in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError(f"{path}: {token['content']} is not matched as it stands")
+        if not token["content"] or any(c.isspace() for c in token["content"]):
+            raise ValueError(f"{path}: an added token holds white space or nothing")
+    return {token["content"]: token["id"] for token in tokens}
+
+
+@lru_cache(maxsize=4)
+def byte_ids(path: str, added: bool = False) -> Callable[[str], list[int]]:
+    """A function from a text to its byte-level ids.
+
+    With ``added``, strings of added tokens get their ids, as from the library itself;
+    otherwise they are ordinary text.
+    """
+    plain = byte_encoder(path).encode_ordinary
+    tokens = added_tokens(path) if added else {}
+    if not tokens:
+        return plain
+    cut = re.compile("|".join(map(re.escape, sorted(tokens, key=len, reverse=True))))
+
+    def ids(text: str) -> list[int]:
+        out, at = [], 0
+        for found in cut.finditer(text):
+            out += [*plain(text[at : found.start()]), tokens[found.group()]]
+            at = found.end()
+        return out + plain(text[at:]) if at else plain(text)
+
+    return ids
+
+
 @lru_cache(maxsize=4)
 def token_bytes(path: str) -> pa.Array:
     """The bytes of each id, in order."""
@@ -98,13 +137,13 @@ def token_bytes(path: str) -> pa.Array:
 
 
 @lru_cache(maxsize=4)
-def library_encoder(path: str):
-    """The tokenizer of a JSON file; strings of special tokens are ordinary text."""
+def library_encoder(path: str, added: bool = False):
+    """The tokenizer of a JSON file; strings of special tokens are ordinary text without ``added``."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    tokenizer.encode_special_tokens = not added
     return tokenizer
 
 
@@ -121,10 +160,11 @@ class WordEncoder:
     Texts are cut at ASCII white space. Each different word of a slice is looked up by its
     64-bit hash and encoded once; ids of up to ``most`` words are kept. Plain words are cut
     by the file's own pattern and encoded by ranks, all in one call; the others are given
-    to the library.
+    to the library. With ``added``, words that hold a string of an added token are given to
+    it too, and get that token's id.
     """
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str, most: int = 1_000_000, added: bool = False):
         import regex
         import tiktoken
 
@@ -149,7 +189,8 @@ class WordEncoder:
         )
         self._last = np.zeros(top + 1, bool)
         self._last[[n for b, n in by_rank.items() if len(b) > 1 and b.endswith(_END.encode())]] = True
-        self._library = library_encoder(path)
+        self._library = library_encoder(path, added)
+        self._added = tuple(added_tokens(path)) if added else ()
         self._most = most
         self._clear()
 
@@ -170,7 +211,12 @@ class WordEncoder:
         return ids, np.diff(edge[last], prepend=0)
 
     def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
-        plain = np.array([_PLAIN.fullmatch(t) is not None for t in texts])
+        plain = np.array(
+            [
+                _PLAIN.fullmatch(t) is not None and not any(a in t for a in self._added)
+                for t in texts
+            ]
+        )
         own = np.flatnonzero(plain)
         rest = np.flatnonzero(~plain)
         ids, count = self._plain([texts[k] for k in own])
@@ -223,5 +269,5 @@ class WordEncoder:
 
 
 @lru_cache(maxsize=2)
-def word_encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+def word_encoder(path: str, added: bool = False) -> WordEncoder:
+    return WordEncoder(path, added=added)

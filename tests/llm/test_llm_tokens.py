@@ -67,6 +67,52 @@ def test_word_encoder(texts):
         assert got == [want(t) for t in texts]
 
 
+ADDED = [
+    "a<|endoftext|>b", "a <|endoftext|> b<|startoftext|>C", "<|ENDOFTEXT|>", "<|endoftext|",
+    "É<|endoftext|><|endoftext|>\n\n <|startoftext|>e\u0301", "  <|endoftext|>  ", "<<|endoftext|>>",
+]
+
+
+def as_it_is(path):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    return lambda t: tokenizer.encode(t or "", add_special_tokens=False).ids
+
+
+def test_added_tokens(texts):
+    import pyarrow as pa
+
+    from docklens.llm import words
+
+    own = texts + ADDED
+    ids, want = vocab.byte_ids(BYTES, True), as_it_is(BYTES)
+    assert ids("a<|endoftext|>b") == [64, 50256, 65]
+    assert all(ids(t) == want(t) for t in own)
+    want, got = as_it_is(WORDS), []
+    encoder = vocab.WordEncoder(WORDS, added=True)
+    for _, values, offsets in words.slices(pa.array(own), 50_000):
+        found, edge = encoder.encode(values, offsets)
+        got += [found[a:b].tolist() for a, b in zip(edge[:-1], edge[1:])]
+    assert got == [want(t) for t in own]
+
+
+def test_queries_give_ids_of_added_tokens(spark, tmp_path):
+    import corpus_pipeline
+    from docklens.llm import queries
+
+    df = spark.createDataFrame(list(enumerate(ADDED)), "doc_id long, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    want = [as_it_is(path) for path in (BYTES, WORDS)]
+    packed = by_id(queries.QUERIES["op3_packing"](spark, str(tmp_path)))
+    stage = by_id(corpus_pipeline.packing_stage(spark, df, str(tmp_path)))
+    files = by_id(queries.QUERIES["op7_token_files"](spark, str(tmp_path)))
+    for n, text in enumerate(ADDED):
+        ids = [np.array(w(text) + [1], "<u4").tobytes() for w in want]
+        assert stage[n].ids == ids[0]
+        assert (packed[n].ids_crc32, files[n].ids_crc32) == tuple(map(zlib.crc32, ids))
+
+
 # ---- packing
 
 
