@@ -7,9 +7,11 @@ need; a piece that fits nowhere whole is cut over the cheapest sequences with ro
 block has less than one sequence of padding.
 
 Documents longer than a sequence are first cut into full pieces and a rest. Pieces are
-dealt to blocks by the hash of document and start, about ``block_docs`` documents a block,
-so blocks are even, none holds more than one long document's share by chance, and each is
-packed in one task.
+dealt to blocks by the hash of document, start, content, task and a running number among
+equal pieces of the task, about ``block_docs`` documents a block, so blocks are even, also
+where many rows share an id, none holds more than one long document's share by chance, and
+each is packed in one task. Equal pieces are alike, so a task that runs again with its rows
+in another order deals the same pieces to the same blocks.
 
 Cases: a null or empty text is its end id alone; repeated rows are packed each; rows with
 a null id keep it; an empty table gives an empty result; other columns are not read.
@@ -17,11 +19,14 @@ a null id keep it; an empty table gives an empty result; other columns are not r
 
 from __future__ import annotations
 
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +39,7 @@ BLOCK_DOCS = 1024
 LINEAR = 6 * 1024.0
 QUADRATIC = 1.0
 
-_PIECE = "doc_id long, start long, doc_tokens long, ids binary"
+_PIECE = "doc_id long, start long, doc_tokens long, ids binary, salt long"
 SCHEMA = (
     "doc_id long, start long, length long, ids binary, doc_tokens long, "
     "sequence_id long, offset long"
@@ -44,10 +49,12 @@ SCHEMA = (
 def _pieces(path: str, end_id: int, most: int, added: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = vocab.byte_ids(path, added)
+        part = TaskContext.get().partitionId()
+        equal: Counter[int] = Counter()
         for batch in batches:
             names = batch.column(0).to_pylist()
             for row, values, offsets in words.slices(batch.column(1)):
-                doc_id, start, size, data = [], [], [], []
+                doc_id, start, size, data, salt = [], [], [], [], []
                 for k in range(len(offsets) - 1):
                     text = values[offsets[k] : offsets[k + 1]].tobytes().decode("utf-8")
                     ids = np.array(encode(text) + [end_id], "<u4")
@@ -55,15 +62,20 @@ def _pieces(path: str, end_id: int, most: int, added: bool):
                         doc_id.append(names[row + k])
                         start.append(first)
                         size.append(len(ids))
-                        data.append(ids[first : first + most].tobytes())
+                        piece = ids[first : first + most].tobytes()
+                        data.append(piece)
+                        key = hash((names[row + k], first, piece))
+                        salt.append(zlib.crc32(b"%d %d" % (part, equal[key]), zlib.crc32(piece)))
+                        equal[key] += 1
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(doc_id, pa.int64()),
                         pa.array(start, pa.int64()),
                         pa.array(size, pa.int64()),
                         pa.array(data, pa.binary()),
+                        pa.array(salt, pa.int64()),
                     ],
-                    ["doc_id", "start", "doc_tokens", "ids"],
+                    ["doc_id", "start", "doc_tokens", "ids", "salt"],
                 )
 
     return run
@@ -149,10 +161,10 @@ def pack(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
     )
     blocks = max(1, -(-docs.count() // block_docs))
-    block = F.pmod(F.xxhash64("doc_id", "start"), F.lit(blocks)).alias("block")
+    block = F.pmod(F.xxhash64("doc_id", "start", "salt"), F.lit(blocks)).alias("block")
     return (
         read.mapInArrow(_pieces(path, end_id, sequence, added), _PIECE)
-        .select("*", block)
+        .select("doc_id", "start", "doc_tokens", "ids", block)
         .groupBy("block")
         .applyInPandas(_pack(sequence, linear, quadratic), SCHEMA)
     )

@@ -158,6 +158,18 @@ def test_packing_of_odd_texts(odd_docs, no_docs):
     assert packing.pack(no_docs, BYTES).count() == 0
 
 
+def test_packing_spreads_rows_of_one_id(spark):
+    rows = [(7 if n % 3 else None, "same text" if n % 2 else f"text {n}") for n in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    packed = packing.pack(df, BYTES, block_docs=100)
+    got = packed.collect()
+    blocks = np.unique([r.sequence_id >> 32 for r in got], return_counts=True)[1]
+    assert len(blocks) == 30 and blocks.max() < 200
+    want = library(BYTES)
+    assert sum(r.length for r in got) == sum(len(want(t)) + 1 for _, t in rows)
+    assert sorted(map(str, got)) == sorted(map(str, packed.collect()))
+
+
 def test_assignment_takes_the_cheapest_with_room():
     placed = packing.assign(np.array([60, 50, 40, 30, 20]), 100)
     assert {p[0]: p[3] for p in placed} == {0: 0, 1: 1, 2: 1, 3: 0} | {4: placed[-1][3]}
