@@ -378,15 +378,17 @@ _FAR = 400
 
 def _stretches(text: str) -> Iterator[list[re.Match]]:
     """Token runs around the hints of a text."""
-    end, run = -1, []
+    end, word, run = -1, -1, []
     for hint in _HINT.finditer(text):
-        if hint.start() < end:
+        if hint.start() < word:  # in the word of the hint before
             continue
         start = max(_left(text, hint.start()), end, 0)
         if run and start > end + 1:
             yield run
             run = []
-        end = _right(text, hint.end())
+        space = _SPACE.search(text, hint.end())
+        word = space.start() if space else len(text)
+        end = max(end, _right(text, word))
         run += _TOKEN.finditer(text, start, end)
     if run:
         yield run

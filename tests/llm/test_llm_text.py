@@ -215,6 +215,18 @@ def test_held_out_by_crc32(spark):
 
 # ---- personal data
 
+
+def test_a_hint_inside_a_stretch_extends_it():
+    text = "7 bob at mail dot org"
+    run, = pii._stretches(text)
+    assert [m.group() for m in run] == text.split()
+    text = "x " * 9 + "1 " + "a b c 2 " * 3 + "d e f g h i j"
+    run, = pii._stretches(text)
+    assert [m.group() for m in run] == (["x"] * 4 + ["1"] + ["a", "b", "c", "2"] * 3 + list("defg"))
+    digits = "12345678 " * 50
+    run, = pii._stretches(digits)
+    assert [m.group() for m in run] == digits.split()
+
 SAMPLES = [
     "mail a.b+c@x-y.example.com, a@b a@b@c.org, @x.y x@.y %@1.2",
     "ip 1.2.3.4 256.1.1.1 1.2.3.4.5 0001.2.3.4 1.2.3 99999999999.1.1.1 1.2.3.400",
