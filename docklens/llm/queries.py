@@ -13,13 +13,16 @@ from docklens.llm import (
     bpe,
     chat,
     embeddings_lsh,
+    merkle,
     packing,
     pii,
     quality,
+    reputation,
     sharding,
     superminhash,
     tokenfiles,
     toxicity,
+    variants,
 )
 from docklens.llm.shipping import ship
 from docklens.llm.storage import new_path
@@ -151,6 +154,52 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with the more frequent words that they are variants of."""
+    return variants.group_variants(_read(spark, sf_dir, "documents"))
+
+
+RULES = [
+    reputation.Rule("allow", "com/"),
+    reputation.Rule("block", "example.com/en/"),
+    reputation.Rule("allow", "www.example.com/en/"),
+    reputation.Rule("block", "net/es/"),
+    reputation.Rule("block", "net/fr/"),
+]
+
+
+@_query
+def op12_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages judged by rules and by the reputation of their hosts.
+
+    The tables have no labels of pages; the row of ``labels`` with a page's number stands for
+    one: bad if of low quality or toxic.
+    """
+    labels = _read(spark, sf_dir, "labels")
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    outcomes = labels.select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
+    return reputation.judge(_read(spark, sf_dir, "pages"), outcomes, RULES)
+
+
+@_query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A Merkle tree of all documents, and the proofs of documents that lost line feeds."""
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    odd = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.lit(False))
+    changed = F.when(odd, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    found = merkle.leaf_digest(*(changed if c == "text" else F.col(c) for c in fields))
+    docs = _read(spark, sf_dir, "documents")
+    folded = merkle.manifest(docs, fields, keep={"found": found}).withColumn(
+        "folded_root", merkle.fold(F.col("found"), F.col("path"))
+    )
+    return folded.select(
+        "doc_id", "leaf", "subroot", "root",
+        merkle.proof_digest(F.col("path")).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 @_query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of ``corpus_pipeline`` over all documents."""

@@ -11,7 +11,7 @@ from docklens.llm import oracle, queries
 
 def test_all_are_registered():
     names = [n.split("_")[0] for n in queries.QUERIES]
-    assert sorted(names) == sorted(["pipeline", *(f"op{n}" for n in range(1, 11))])
+    assert sorted(names) == sorted(["pipeline", *(f"op{n}" for n in range(1, 14))])
     assert queries.QUERIES.items() <= registered.queries().items()
     assert oracle.SQL.items() <= registered.oracle_sql().items()
 
