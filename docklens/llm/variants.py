@@ -355,10 +355,12 @@ def forms(vocab: DataFrame) -> DataFrame:
     of code points), if it has at least twice those of the word.
     """
     pairs = near_pairs(vocab)
-    sides = pairs.union(pairs.select("b", "n_b", "a", "n_a"))
-    best = sides.groupBy(F.col("a").alias("word")).agg(
-        F.count("*").alias("n_near"),
-        F.min(F.struct((-F.col("n_b")).alias("less"), F.col("b").alias("form"))).alias("best"),
+    side = lambda w, x, n: F.struct(
+        F.col(w).alias("word"), (-F.col(n)).alias("less"), F.col(x).alias("form")
+    )
+    sides = pairs.select(F.inline(F.array(side("a", "b", "n_b"), side("b", "a", "n_a"))))
+    best = sides.groupBy("word").agg(
+        F.count("*").alias("n_near"), F.min(F.struct("less", "form")).alias("best")
     )
     enough = -F.col("best.less") >= 2 * F.col("n")
     return vocab.join(best, "word", "left").select(

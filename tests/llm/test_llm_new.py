@@ -405,5 +405,5 @@ def test_windows_of_a_manifest_share_one_shuffle_and_hold_no_group(spark):
         F.lit("h").alias("hash"),
     )
     plan = merkle._levels(rows)._jdf.queryExecution().executedPlan().toString()
-    assert len(re.findall(r"Exchange hashpartitioning\(key#\d+, span#", plan)) == 1
+    assert len(re.findall(r"Exchange hashpartitioning\(key#\d+L?, span#", plan)) == 1
     assert plan.count("Exchange") == 1 and "SinglePartition" not in plan
