@@ -180,9 +180,13 @@ def write_tokens(
     ``path`` is a tokenizer file whose tokens never span white space. With ``added``,
     strings of the file's added tokens in a text get their ids.
     """
-    docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
-    ).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(
+    rows = docs.select(
+        F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+        F.col(f"`{text_col}`").cast("string").alias("text"),
+    ).withColumn("spread", F.xxhash64("text"))  # rows of one id lie in several tasks
+    rows.repartitionByRange("doc_id", "spread").sortWithinPartitions(
+        "doc_id", "spread", "text"
+    ).select("doc_id", "text").mapInArrow(
         _segments(path, end_id, segment_ids, added), _SEGMENT
     ).write.parquet(target)
 

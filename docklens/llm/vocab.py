@@ -203,11 +203,13 @@ class WordEncoder:
 
     def _plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words, number of ids of each)."""
+        if not texts:  # a slice may have no new plain word
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         pieces = [self._pieces(t.lower()) for t in texts]
         joined = "".join(p + _END for own in pieces for p in own)
         ids = self._ranks.encode_to_numpy(joined, disallowed_special=())
         edge = np.concatenate([[0], np.flatnonzero(self._last[ids]) + 1])
-        last = np.cumsum([len(own) for own in pieces])
+        last = np.cumsum([len(own) for own in pieces], dtype=np.int64)
         return ids, np.diff(edge[last], prepend=0)
 
     def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
@@ -226,7 +228,7 @@ class WordEncoder:
             )
             more = [e.ids for e in made]
             ids = np.concatenate([ids, np.array([n for e in more for n in e], np.uint32)])
-            count = np.concatenate([count, [len(e) for e in more]])
+            count = np.concatenate([count, np.array([len(e) for e in more], np.int64)])
         while self._used + len(ids) > len(self._ids):
             self._ids = np.concatenate([self._ids, np.zeros_like(self._ids)])
         self._ids[self._used : self._used + len(ids)] = ids

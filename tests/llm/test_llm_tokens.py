@@ -67,6 +67,67 @@ def test_word_encoder(texts):
         assert got == [want(t) for t in texts]
 
 
+def encoded(encoder, texts):
+    import pyarrow as pa
+
+    from docklens.llm import words
+
+    got = []
+    for _, values, offsets in words.slices(pa.array(texts)):
+        ids, edge = encoder.encode(values, offsets)
+        got += [ids[a:b].tolist() for a, b in zip(edge[:-1], edge[1:])]
+    return got
+
+
+def test_slices_whose_new_words_are_none_of_them_plain():
+    want = library(WORDS)
+    for texts in (["漢字"], ["漢字 テキスト", "", "한국어"], ["İ"], ["e\u0301 \u0300"], ["\x7f"], ["\u200b"]):
+        assert encoded(vocab.WordEncoder(WORDS), texts) == [want(t) for t in texts]
+    encoder = vocab.WordEncoder(WORDS)
+    for text in ("plain words", "plain words 漢字", "plain words", "漢字 plain", "\u2028", "Words PLAIN"):
+        assert encoded(encoder, [text]) == [want(text)]
+    encoder = vocab.WordEncoder(WORDS, added=True)
+    assert encoded(encoder, ["<|endoftext|>"]) == [[49407]]
+    assert encoded(encoder, ["a", "a <|startoftext|>"]) == [want("a"), want("a") + [49406]]
+
+
+def fuzzed(seed, n=1500):
+    """Texts of characters from many blocks, some without a single plain word."""
+    random = np.random.default_rng(seed)
+    blocks = ["abcdefgh XYZ'1 ", "éàüßñ çÉ", "漢字 テ한", "\u0301\u0300e\u200b \u2028\ufeff", "\t\n  .,!?", "😀👍🏽 👩‍👩‍👧"]
+    for _ in range(n):
+        chosen = random.choice(len(blocks), random.integers(1, 3))
+        letters = "".join(blocks[k] for k in chosen)
+        yield "".join(random.choice(list(letters), random.integers(0, 30)))
+
+
+def test_encoders_by_fuzz():
+    texts = list(fuzzed(7))
+    want = library(WORDS)
+    encoder = vocab.WordEncoder(WORDS, most=200)
+    for first in range(0, len(texts), 3):  # small slices: few new words in each
+        part = texts[first : first + 3]
+        assert encoded(encoder, part) == [want(t) for t in part]
+    of_bytes, want = vocab.byte_encoder(BYTES), library(BYTES)
+    assert all(of_bytes.encode_ordinary(t) == want(t) for t in texts)
+
+
+def test_token_files_without_a_plain_word_and_with_a_hot_id(spark):
+    texts = [(n % 2 or None, "漢字" * (n % 7) + " 한국어") for n in range(60)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    target = new_path(spark, "tokens")
+    tokenfiles.write_tokens(docs, target, WORDS)
+    rows = tokenfiles.read_tokens(spark, target).collect()
+    rows.sort(key=lambda r: r.start)
+    want, at = library(WORDS), 0
+    for r in rows:
+        assert r.start == at
+        at += r.n_tokens
+    found = sorted((r.doc_id or 0, np.frombuffer(bytes(r.ids), "<u4").tolist()) for r in rows)
+    assert found == sorted((i or 0, want(t) + [1]) for i, t in texts)
+    assert [r.doc_id or 0 for r in rows] == sorted(i or 0 for i, _ in texts)
+
+
 ADDED = [
     "a<|endoftext|>b", "a <|endoftext|> b<|startoftext|>C", "<|ENDOFTEXT|>", "<|endoftext|",
     "É<|endoftext|><|endoftext|>\n\n <|startoftext|>e\u0301", "  <|endoftext|>  ", "<<|endoftext|>>",
