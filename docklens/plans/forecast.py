@@ -1,16 +1,30 @@
-"""Short-horizon availability forecasts with gradient-boosted trees."""
+"""Short-horizon availability forecasts with gradient-boosted trees.
+
+The trees minimise the logistic loss of a label between 0 and 1. Such a label counts as two
+weighted rows: bikes there with the weight of the label, none there with the rest of it.
+
+Trees only ask on which side of a threshold a feature lies, and they try as many thresholds as
+they have bins. So the grid is never handed to them: each feature is cut into its bins, and rows
+that share all bins are one *cell* with their number and the sum of their labels, which is all
+that the loss needs. The number of cells is bounded by the bins, not by the readings; a fit over
+more readings takes longer only in the one aggregation that counts the cells.
+"""
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 from typing import NamedTuple
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+from pyspark.ml.feature import Bucketizer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from docklens.config import as_datetime
 from docklens.functions.timecols import calendar, interval, step_seconds
@@ -27,7 +41,12 @@ TEST_PERIODS = 2
 FEATURES = ("station_id", "nb_bikes", "nb_stands", "day", "hour", "minute")
 STATION_NUMBER = "station_number"
 STATION_NUMBERS = 2**31
-ROWS_PER_PLACE = 100_000
+#: bins of a feature, the trees' own default; a station's number is a code, whose order
+#: says little, and gets fewer
+BINS = 32
+QUANTILES = {STATION_NUMBER: 8, "nb_bikes": BINS, "nb_stands": BINS}
+CALENDAR = {"day": range(1, 7), "hour": range(1, 24), "minute": range(2, 60, 2)}
+CELLS_PER_PLACE = 100_000
 
 
 def features(rows: DataFrame, step: str = GRID) -> DataFrame:
@@ -97,60 +116,152 @@ def _numbered_stations(df: DataFrame) -> DataFrame:
     return df.withColumn(STATION_NUMBER, number)
 
 
-def _pipeline(seed: int) -> Pipeline:
+def bin_edges(rows: DataFrame) -> dict[str, list[float]]:
+    """Lower edges of the bins of each feature, the first bin's left out.
+
+    A feature of few values has a bin for each; else the edges are quantiles over all rows.
+    Equal values are counted before the quantiles, which then run over stations and dock
+    counts. Days, hours and minutes are known beforehand.
+    """
+    values = cut_lineage(
+        rows.groupBy(*QUANTILES)
+        .agg(F.count("*").alias("n"))
+        .select(
+            "n",
+            F.explode(
+                F.create_map(*(p for c in QUANTILES for p in (F.lit(c), F.col(c).cast("double"))))
+            ).alias("feature", "value"),
+        )
+        .groupBy("feature", "value")
+        .agg(F.sum("n").alias("n"))
+    )
+    steps = [k / BINS for k in range(1, BINS)]
+    found = (
+        values.groupBy("feature")
+        .agg(
+            F.count("*").alias("different"),
+            F.min("value").alias("low"),
+            F.percentile("value", steps, F.col("n")).alias("edges"),
+        )
+        .collect()
+    )
+    cuts, few = {}, []
+    for r in found:
+        bins = QUANTILES[r["feature"]]
+        if r["different"] > bins:
+            apart = BINS // bins
+            cuts[r["feature"]] = r["edges"][apart - 1 :: apart]
+        else:
+            few.append(r["feature"])
+    for r in values.where(F.col("feature").isin(few)).collect():
+        cuts.setdefault(r["feature"], []).append(r["value"])
+    low = {r["feature"]: r["low"] for r in found}
+    edges = {c: sorted({v for v in cuts.get(c, []) if v > low[c]}) for c in QUANTILES}
+    return edges | {c: [float(v) for v in at] for c, at in CALENDAR.items()}
+
+
+def binning(rows: DataFrame) -> PipelineModel:
+    """From the features to their bins in one vector."""
     columns = [STATION_NUMBER if c == "station_id" else c for c in FEATURES]
-    trees = GBTRegressor(
-        featuresCol="features",
-        labelCol="future",
-        predictionCol="raw_prediction",
-        maxIter=ROUNDS,
-        maxDepth=DEPTH,
-        stepSize=RATE,
-        seed=seed,
+    edges = bin_edges(rows)
+    cut = Bucketizer(
+        inputCols=columns,
+        outputCols=[f"{c}_bin" for c in columns],
+        splitsArray=[[-math.inf, *(edges[c] or [0.0]), math.inf] for c in columns],
     )
-    return Pipeline(stages=[VectorAssembler(inputCols=columns, outputCol="features"), trees])
+    return PipelineModel([cut, VectorAssembler(inputCols=cut.getOutputCols(), outputCol="features")])
+
+
+def cells(rows: DataFrame, bins: PipelineModel, keys: list[str]) -> DataFrame:
+    """Rows of one bin vector as one: their number ``n`` and the sum of their labels ``yes``.
+
+    Labels are summed as decimals, so the order in which rows arrive does not matter.
+    """
+    columns = bins.stages[0].getOutputCols()
+    binned = bins.stages[0].transform(rows.where("future IS NOT NULL"))
+    return binned.groupBy(*keys, *columns).agg(
+        F.count("*").cast("double").alias("n"),
+        F.sum(F.col("future").cast("decimal(18,12)")).cast("double").alias("yes"),
+    )
+
+
+def weighted(counted: DataFrame) -> DataFrame:
+    """Two rows of each cell: label 1 with the sum of its labels as weight, 0 with the rest."""
+    sides = F.array(
+        F.struct(F.lit(1.0).alias("label"), F.col("yes").alias("weight")),
+        F.struct(F.lit(0.0).alias("label"), (F.col("n") - F.col("yes")).alias("weight")),
+    )
+    others = [c for c in counted.columns if c not in ("n", "yes")]
+    return counted.select(*others, F.inline(sides)).where("weight > 0")
 
 
 class Trained(NamedTuple):
     model: PipelineModel
-    # root mean squared error after each round, on the training and the test rows
-    train_error: list[float]
-    test_error: list[float]
+    # mean logistic loss after each round, on the training and the test rows
+    train_loss: list[float]
+    test_loss: list[float]
 
 
 def fit(
     train: DataFrame, test: DataFrame, seed: int = 0, places: int | None = None
 ) -> Trained:
-    """Boosted trees on the label ``future``, with the error after each round."""
-    train, test = _placed(_numbered_stations(train), places), _numbered_stations(test)
-    model = _pipeline(seed).fit(train)
-    assembler, trees = model.stages
-    return Trained(model, *[_progress(assembler.transform(df), trees) for df in (train, test)])
-
-
-def _progress(ready: DataFrame, model: GBTRegressionModel) -> list[float]:
-    """Error after each round; empty without rows."""
+    """Boosted trees on the label ``future`` in [0, 1], with the loss after each round."""
+    both = train.withColumn(PART, F.lit("train")).unionByName(test.withColumn(PART, F.lit("test")))
+    return _fit_parts(both, seed, places)
+
+
+def _fit_parts(both: DataFrame, seed: int, places: int | None) -> Trained:
+    both = _numbered_stations(both)
+    bins = binning(both.where(F.col(PART) == "train"))
+    counted = cut_lineage(cells(both, bins, [PART]))  # read by the fit and by both losses
+    cut, assemble = bins.stages
+    ready, check = (
+        _placed(
+            assemble.transform(weighted(counted.where(F.col(PART) == name))),
+            cut.getOutputCols(),
+            places,
+        )
+        for name in ("train", "test")
+    )
+    ready, check = ready.persist(), check.persist()
+    try:
+        if ready.isEmpty():
+            raise ValueError("no readings to train on, check the dates")
+        trees = GBTClassifier(
+            featuresCol="features",
+            labelCol="label",
+            weightCol="weight",
+            maxIter=ROUNDS,
+            maxDepth=DEPTH,
+            stepSize=RATE,
+            maxBins=BINS,
+            seed=seed,
+        ).fit(ready)
+        losses = [_progress(df, trees) for df in (ready, check)]
+    finally:
+        ready.unpersist()
+        check.unpersist()
+    return Trained(PipelineModel([*bins.stages, trees]), *losses)
+
+
+def _progress(ready: DataFrame, model: GBTClassificationModel) -> list[float]:
+    """Loss after each round; empty without rows. (The trees' own loss is twice as large.)"""
     if ready.isEmpty():
         return []
-    return [math.sqrt(e) for e in model.evaluateEachIteration(ready, "squared")]
+    return [e / 2 for e in model.evaluateEachIteration(ready)]
 
 
-def _placed(train: DataFrame, places: int | None) -> DataFrame:
-    """Training rows placed by their hash, sorted inside their partitions.
+def _placed(rows: DataFrame, key: list[str], places: int | None) -> DataFrame:
+    """Weighted rows placed by their hash, sorted inside their partitions.
 
     The trees' split candidates are sampled in each partition, so the number of
-    partitions is ``places`` or follows from the number of rows, never from the
+    partitions is ``places`` or follows from the number of cells, never from the
     cluster: the same rows give the same model on any number of cores.
     """
+    key = [*key, "label"]
     if places is None:
-        places = max(1, -(-train.count() // ROWS_PER_PLACE))
-    key = ["city_key", "station_id", "ts"]
-    return train.repartition(places, *key).sortWithinPartitions(*key)
-
-
-def _bounded(score: Column) -> Column:
-    """The trees minimise a squared error, so their result is held to [0, 1]."""
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), score))
+        places = max(1, -(-rows.count() // CELLS_PER_PLACE))
+    return rows.repartition(places, *key).sortWithinPartitions(*key)
 
 
 def train_prediction_model(
@@ -161,11 +272,10 @@ def train_prediction_model(
     places: int | None = None,
 ) -> Trained:
     """Resample, add calendar and label, split at ``validation`` and fit."""
-    table = cut_lineage(labelled(rows, frequency))
-    if table.isEmpty():
-        raise ValueError("no readings to train on, check the dates")
-    split = prepare_data_for_training(table, validation, frequency, periods=TEST_PERIODS)
-    return fit(*split, seed=seed, places=places)
+    table = labelled(rows, frequency)
+    return _fit_parts(
+        with_part(table, validation, frequency, periods=TEST_PERIODS), seed, places
+    )
 
 
 def train(
@@ -182,6 +292,28 @@ def train(
     return train_prediction_model(rows, validation, frequency, seed)
 
 
+def train_cities(
+    readings: DataFrame,
+    cities: Iterable[str],
+    start: Time,
+    stop: Time,
+    validation: Time,
+    frequency: str = "30T",
+    seed: int = 0,
+) -> dict[str, Trained]:
+    """A model for each city, trained side by side.
+
+    The jobs of a fit are short and wait for the driver between levels of a tree; those of
+    another city fill the gaps.
+    """
+    cities = list(cities)
+    one = inheritable_thread_target(readings.sparkSession)(
+        lambda city: train(readings, start, stop, validation, frequency, city, seed)
+    )
+    with ThreadPoolExecutor(max(1, len(cities))) as pool:
+        return dict(zip(cities, pool.map(one, cities)))
+
+
 def predict_bike_availability(
     rows: DataFrame, model: PipelineModel, frequency: str = "30T"
 ) -> DataFrame:
@@ -189,9 +321,7 @@ def predict_bike_availability(
 
     Bikes and stands are cut to whole numbers.
     """
-    ready = _numbered_stations(features(rows))
-    p = _bounded(F.col("raw_prediction"))
-    return split_docks(model.transform(ready).withColumn("availability", p)).select(
+    return split_docks(probabilities(features(rows), model)).select(
         "city_key",
         (F.col("ts") + interval(step_seconds(frequency))).alias("timestamp"),
         "station_id",
@@ -201,6 +331,13 @@ def predict_bike_availability(
     )
 
 
+def probabilities(rows: DataFrame, model: PipelineModel) -> DataFrame:
+    """Rows of features with ``availability``, the model's probability of a bike."""
+    ready = _numbered_stations(rows).drop("probability")  # the model adds its own
+    p = vector_to_array("probability").getItem(1)
+    return model.transform(ready).withColumn("availability", p)
+
+
 def split_docks(df: DataFrame, probability: str = "availability") -> DataFrame:
     """Whole bikes and stands of a probability: bikes first, the rest is stands."""
     total = F.col("nb_bikes") + F.col("nb_stands")

@@ -641,6 +641,14 @@ _oracle("forecast_check", "open_rows", """
   SELECT city_key, count(DISTINCT station_id) AS stations, 0::BIGINT AS bad, TRUE AS beaten
   FROM open_rows GROUP BY city_key""")
 
+_oracle("forecast_loss", "dense", f"""
+  SELECT city_key, part, count(*) AS n, TRUE AS agrees, TRUE AS falls
+  FROM (
+    SELECT 'train' AS part, * FROM ({_LABELLED}) WHERE ts <= TIMESTAMP '2024-01-24 23:30:00'
+    UNION ALL SELECT 'test' AS part, * FROM ({_LABELLED})
+    WHERE ts BETWEEN TIMESTAMP '2024-01-25' AND TIMESTAMP '2024-01-25 01:00:00')
+  GROUP BY city_key, part""")
+
 # Rebase ----------------------------------------------------------------------
 
 _oracle("rebase_readings", "readings", """

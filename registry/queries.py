@@ -616,42 +616,54 @@ def kmeans_geo_centroids(spark, folder):
     return _each_city(lambda city: clusters.compute_geo_clusters(points, city).centroids)
 
 
+def _trained(spark, readings):
+    """The models of the cities, trained, saved and loaded again."""
+    lake = scratch_path(spark, "forecast")
+    found = forecast.train_cities(readings, CITIES, FIRST, LAST, CUT, HORIZON)
+    for city, trained in found.items():
+        path = models.model_path(lake, city, FIRST, LAST, CUT, HORIZON)
+        models.save_model(trained.model, path)
+        found[city] = trained._replace(model=models.load_model(path))
+    return found
+
+
+def _log_loss(label: Column, p: Column) -> Column:
+    return -(label * F.ln(p) + (1 - label) * F.ln(1 - p))
+
+
 @query
 def forecast_availability(spark, folder):
-    """Train, save, load and forecast from each station's newest reading."""
+    """Train a model of each city and forecast from its stations' newest readings."""
     readings = _readings(spark, folder)
-    trained = forecast.train(readings, FIRST, LAST, CUT, HORIZON)
-    path = models.model_path(
-        scratch_path(spark, "forecast"), "lyon", FIRST, LAST, CUT, HORIZON
-    )
-    models.save_model(trained.model, path)
-    return forecast.predict(readings, models.load_model(path), FIRST, LAST, HORIZON)
+    found = _trained(spark, readings)
+
+    def of_city(city):
+        return forecast.predict(readings, found[city].model, FIRST, LAST, HORIZON, city)
+
+    return _each_city(of_city)
 
 
 @query
 def forecast_check(spark, folder):
     """Per city: stations forecast, forecasts out of bounds, and whether the mean is beaten.
 
-    The model of each city is trained, saved and loaded on its own.  (Few of the test
-    stations' readings change within the horizon, so "no change" is nearly exact.)
+    A forecast lies between 0 and 1, and neither is reached. (Few of the test stations'
+    readings change within the horizon, so "no change" is nearly exact.)
     """
     readings = _readings(spark, folder)
+    found = _trained(spark, readings)
 
     def of_city(city):
-        trained = forecast.train(readings, FIRST, LAST, CUT, HORIZON, city)
-        path = models.model_path(
-            scratch_path(spark, "forecast"), city, FIRST, LAST, CUT, HORIZON
-        )
-        models.save_model(trained.model, path)
-        rows = forecast.predict(readings, models.load_model(path), FIRST, LAST, HORIZON, city)
+        trained = found[city]
+        rows = forecast.predict(readings, trained.model, FIRST, LAST, HORIZON, city)
         table = forecast.labelled(timeseries.open_readings(readings, FIRST, LAST, city), HORIZON)
         parts = forecast.with_part(table, CUT, HORIZON, periods=2)
         mean = parts.where("part = 'train'").agg(F.avg("future")).scalar()
-        error = F.sqrt(F.avg(F.pow(F.col("future") - mean, F.lit(2))))
-        constant = parts.where("part = 'test'").agg(error).scalar()
-        beaten = F.lit(trained.test_error[-1]) < constant
+        constant = parts.where("part = 'test'").agg(F.avg(_log_loss(F.col("future"), mean)))
+        beaten = F.lit(trained.test_loss[-1]) < constant.scalar()
         bad = (
-            ~F.col("availability").between(0, 1)
+            (F.col("availability") <= 0)
+            | (F.col("availability") >= 1)
             | (F.col("nb_bikes") + F.col("nb_stands") != 40)
             | (F.col("nb_bikes") < 0)
         )
@@ -663,6 +675,40 @@ def forecast_check(spark, folder):
     return _each_city(of_city)
 
 
+@query
+def forecast_loss(spark, folder):
+    """Per city and part: rows, and whether the loss of the fit is that of its forecasts.
+
+    The fit reports its loss from cells of rows that share all bins; here it is taken again
+    from each row of the grid and the model's probability for it.
+    """
+    readings = _readings(spark, folder)
+    found = _trained(spark, readings)
+
+    def of_city(city):
+        trained = found[city]
+        table = forecast.labelled(timeseries.open_readings(readings, FIRST, LAST, city), HORIZON)
+        scored = forecast.probabilities(
+            forecast.with_part(table, CUT, HORIZON, periods=2), trained.model
+        )
+        train, test = trained.train_loss, trained.test_loss
+        reported = F.when(F.col("part") == "train", train[-1]).otherwise(test[-1])
+        falls = F.when(F.col("part") == "train", train[-1] < train[0]).otherwise(True)
+        return (
+            scored.groupBy("city_key", "part")
+            .agg(
+                F.count("*").alias("n"),
+                F.avg(_log_loss(F.col("future"), F.col("availability"))).alias("loss"),
+            )
+            .select(
+                "city_key", "part", "n",
+                (F.abs(F.col("loss") - reported) < 1e-6).alias("agrees"), falls.alias("falls"),
+            )
+        )
+
+    return _each_city(of_city)
+
+
 @query
 def dock_rounding(spark, folder):
     """Whole bikes and stands from a probability (here: a third of the fill)."""

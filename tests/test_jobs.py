@@ -58,7 +58,7 @@ def test_the_jobs_build_a_lake(spark, tmp_path):
 
     cut = "2024-01-03T12:00:00"
     trained = jobs.train_forecast(spark, lake, *run, cut)
-    assert trained.train_error[-1] < trained.train_error[0]
+    assert trained.train_loss[-1] < trained.train_loss[0]
     for _ in range(2):
         jobs.predict(spark, lake, *run, cut, "2024-01-03T20:05:00")
     stored = read_table(spark, lake, "prediction")
