@@ -34,16 +34,19 @@ def load_stations(raw: DataFrame, city: str, lake: str) -> None:
 
 def read_feed(spark: SparkSession, path: str, city: str) -> feeds.FilledReadings:
     """Canonical readings of a city's landed snapshots, missing counts filled."""
-    raw = feeds.READERS[check_city(city)](spark, path)
-    return feeds.fill_counts(feeds.canonical_readings(raw, CITIES[city]))
+    return feeds.read_feed(spark, path, CITIES[check_city(city)])
 
 
 def load_readings(
     spark: SparkSession, path: str, city: str, lake: str, load: str
 ) -> DataFrame:
-    """Add a city's landed snapshots as ``load``; returns the rows that were rejected."""
+    """Add a city's landed snapshots as ``load``; returns the rows that were rejected.
+
+    What could not be read of the snapshots goes to the table ``feed_reject``.
+    """
     found = read_feed(spark, path, city)
     sink.append_readings(found.readings, lake, f"{city}-{load}")
+    sink.write_rejects(found.damaged, lake, "feed_reject", city_key=city, load=load)
     return found.rejects
 
 
@@ -144,8 +147,11 @@ def load_weather(
 ) -> None:
     """Store landed weather documents of a city, ``current`` or ``forecast``.
 
-    The documents of one poll replace what was stored of that poll.
+    The documents of one poll replace what was stored of that poll. Those that could not
+    be read go to the table ``weather_reject``.
     """
-    reader = {"current": weather.read_current, "forecast": weather.read_forecast}[kind]
-    rows = reader(spark, path, polled_at).withColumn("city_key", F.lit(check_city(city)))
-    sink.write_weather(rows, lake, kind)
+    parse = {"current": weather.parse_current, "forecast": weather.parse_forecast}[kind]
+    rows, damaged = parse(spark, path, polled_at)
+    sink.write_weather(rows.withColumn("city_key", F.lit(check_city(city))), lake, kind)
+    run = {"city_key": city, "kind": kind, "polled": polled_at.strftime("%Y%m%dT%H%M%S")}
+    sink.write_rejects(damaged, lake, "weather_reject", **run)

@@ -44,6 +44,12 @@ GEO_CLUSTERING = table("city_key string, station_id string, cluster_id int")
 # Ours: stations that a run could not place.
 CLUSTERING_REJECT = table("city_key string, station_id string, start date, stop date")
 GEO_CLUSTERING_REJECT = table("city_key string, station_id string")
+# Ours: what could not be read of a feed, and why: a cut ``document``, a malformed ``record``
+# or an unreadable ``field``.
+FEED_REJECT = table("city_key string, load string, snapshot string, reason string, text string")
+WEATHER_REJECT = table(
+    "city_key string, kind string, polled string, snapshot string, reason string, text string"
+)
 GEO_CENTROID = table("city_key string, cluster_id int, lat double, lon double")
 PREDICTION = table(
     "city_key string, timestamp timestamp_ntz, frequency string, station_id string, "
@@ -75,11 +81,11 @@ WRITE_NAMES = ("load", "polled")
 
 # The names that the feeds publish.
 # Nested ones stay DDL text, which the readers take as it is.
+# Numbers are read as text: a blank or damaged one must not take the good fields with it.
 GML_MEMBER = (
-    "CI_VCUB_P struct<GID: int, IDENT: int, TYPE: string, NOM: string, ETAT: string, "
-    "NBPLACES: int, NBVELOS: int, MDATE: string>"
+    "CI_VCUB_P struct<GID: string, IDENT: string, TYPE: string, NOM: string, ETAT: string, "
+    "NBPLACES: string, NBVELOS: string, MDATE: string>"
 )
-# Counts may be blank text, so they are read as text.
 GEOJSON_READINGS = (
     "features array<struct<properties: struct<number: string, last_update: string, "
     "available_bike_stands: string, available_bikes: string, status: string>>>"

@@ -175,7 +175,9 @@ def write_geo_clusters(labels: DataFrame, centroids: DataFrame, lake: str) -> No
 
 
 def write_rejects(rejects: DataFrame, lake: str, name: str, **run) -> None:
-    """Replace the stations that a run (given as the values of its folders) left out."""
+    """Replace what a run (given as the values of its folders) left out."""
+    missing = {k: F.lit(v) for k, v in run.items() if k not in rejects.columns}
+    rejects = rejects.withColumns(missing) if missing else rejects
     folder = "/".join(f"{key}={value}" for key, value in run.items())
     delete_folder(rejects.sparkSession, f"{_target(lake, name)}/{folder}")
     _write(_canonical(rejects, name), _target(lake, name), list(run))

@@ -19,47 +19,144 @@ COUNTS = ("available_stands", "available_bikes")
 _PLACE = ("snapshot", "id", "timestamp", "status", *COUNTS)
 
 
-def read_gml(
-    spark: SparkSession, path: str, encoding: str = "ISO-8859-1", streaming: bool = False
-) -> DataFrame:
-    """One row per station member of the GML snapshots, with the feed's names."""
-    reader = spark.readStream if streaming else spark.read
+class Parsed(NamedTuple):
+    """Rows of feed documents, and what could not be read: (snapshot, reason, text)."""
+
+    rows: DataFrame
+    damaged: DataFrame
+
+
+_CORRUPT = "_corrupt_record"
+_TIMES = ("MDATE", "last_update")
+
+
+def _snapshot() -> Column:
+    return F.col("_metadata.file_path").alias("snapshot")
+
+
+def _readable(name: str, value: Column) -> Column:
+    """The value of a text field, or null; blank text is a missing value."""
+    kind = "timestamp_ntz" if name in _TIMES else "double"
+    return blank_to_null(value).try_cast(kind)
+
+
+def _damaged_fields(records: DataFrame, record: str, names: Sequence[str]) -> DataFrame:
+    """Records with a field that is neither blank nor readable."""
+    at = lambda name: F.col(f"{record}.{name}")
+    bad = reduce(
+        Column.__or__,
+        [blank_to_null(at(n)).isNotNull() & _readable(n, at(n)).isNull() for n in names],
+    )
+    return records.where(bad).select(
+        "snapshot", F.lit("field").alias("reason"), F.to_json(record).alias("text")
+    )
+
+
+def parse_gml(
+    spark: SparkSession, path: str | Sequence[str], encoding: str = "ISO-8859-1"
+) -> Parsed:
+    """The station members of GML snapshots, with the feed's names.
+
+    A document whose root is not closed was cut: its whole members count, and what follows
+    the last of them is damaged.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
     members = (
-        reader.format("xml")
-        .schema(schemas.GML_MEMBER)
+        spark.read.format("xml")
+        .schema(f"{schemas.GML_MEMBER}, {_CORRUPT} string")
         .option("rowTag", "member")
         .option("ignoreNamespace", "true")
         .option("encoding", encoding)
-        .load(path)
+        .option("columnNameOfCorruptRecord", _CORRUPT)
+        .load(paths)
+        .select("CI_VCUB_P", _CORRUPT, _snapshot())
+    )
+    # a member without an end is the one where its document was cut, see below
+    ended = F.col(_CORRUPT).rlike(r"member>\s*$")
+    malformed = members.where(ended).select(
+        "snapshot",
+        F.when(F.col("CI_VCUB_P").isNull(), "record").otherwise("field").alias("reason"),
+        F.col(_CORRUPT).alias("text"),
+    )
+    fields = _damaged_fields(
+        members, "CI_VCUB_P", ["GID", "IDENT", "NBPLACES", "NBVELOS", "MDATE"]
+    )
+    document = spark.read.format("binaryFile").load(paths).select(
+        _snapshot(), F.rtrim(F.decode("content", encoding), F.lit(" \t\r\n")).alias("text")
+    )
+    root = F.regexp_extract("text", r"<([A-Za-z_][^\s/>]*)", 1)
+    closed = F.endswith("text", F.concat(F.lit("</"), root, F.lit(">")))
+    empty = F.endswith("text", F.lit("/>")) & ~F.contains("text", F.lit("member>"))
+    cut = document.where(~(closed | empty)).select(
+        "snapshot",
+        F.lit("document").alias("reason"),
+        F.trim(F.substring_index("text", "member>", -1)).alias("text"),
+    )
+    whole = members.where(F.col("CI_VCUB_P").isNotNull())
+    return Parsed(
+        member_rows(whole.select("CI_VCUB_P", "snapshot")), malformed.union(fields).union(cut)
     )
-    return member_rows(members.select("CI_VCUB_P", F.col("_metadata.file_path").alias("snapshot")))
+
+
+def read_gml(
+    spark: SparkSession, path: str | Sequence[str], encoding: str = "ISO-8859-1"
+) -> DataFrame:
+    """One row per station member of the GML snapshots, with the feed's names."""
+    return parse_gml(spark, path, encoding).rows
 
 
 def member_rows(members: DataFrame) -> DataFrame:
     """Parsed station members under the feed's lower-case names."""
+    number = lambda name: _readable(name, F.col(f"CI_VCUB_P.{name}")).cast("int")
     return members.select(
-        F.col("CI_VCUB_P.GID").alias("gid"),
-        F.col("CI_VCUB_P.IDENT").alias("ident"),
+        number("GID").alias("gid"),
+        number("IDENT").alias("ident"),
         F.col("CI_VCUB_P.TYPE").alias("type"),
         F.col("CI_VCUB_P.NOM").alias("nom"),
         F.col("CI_VCUB_P.ETAT").alias("etat"),
-        F.col("CI_VCUB_P.NBPLACES").alias("nbplaces"),
-        F.col("CI_VCUB_P.NBVELOS").alias("nbvelos"),
+        number("NBPLACES").alias("nbplaces"),
+        number("NBVELOS").alias("nbvelos"),
         F.col("CI_VCUB_P.MDATE").try_cast("timestamp_ntz").alias("heure"),
         "snapshot",
     )
 
 
-def read_geojson(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
-    """One row per feature of the GeoJSON snapshots, properties as columns."""
-    reader = spark.readStream if streaming else spark.read
-    documents = (
-        reader.schema(schemas.GEOJSON_READINGS)
+def json_documents(
+    spark: SparkSession, path: str | Sequence[str], schema: str
+) -> tuple[DataFrame, DataFrame]:
+    """(parsed documents with ``snapshot``, those that were damaged).
+
+    Of a damaged document the parts that could be read stay.
+    """
+    read = (
+        spark.read.schema(f"{schema}, {_CORRUPT} string")
         .option("multiLine", "true")
-        .json(path)
-        .select("features", F.col("_metadata.file_path").alias("snapshot"))
+        .option("columnNameOfCorruptRecord", _CORRUPT)
+        .json([path] if isinstance(path, str) else list(path))
     )
-    return feature_rows(documents)
+    parts = [c for c in read.columns if c != _CORRUPT]
+    some = reduce(Column.__or__, [F.col(c).isNotNull() for c in parts])
+    damaged = read.where(F.col(_CORRUPT).isNotNull()).select(
+        _snapshot(),
+        F.when(some, "record").otherwise("document").alias("reason"),
+        F.col(_CORRUPT).alias("text"),
+    )
+    return read.where(some).select(*parts, _snapshot()), damaged
+
+
+def parse_geojson(spark: SparkSession, path: str | Sequence[str]) -> Parsed:
+    """The features of GeoJSON snapshots, properties as columns."""
+    documents, damaged = json_documents(spark, path, schemas.GEOJSON_READINGS)
+    features = documents.select("snapshot", F.inline("features"))
+    fields = _damaged_fields(
+        features, "properties", ["last_update", "available_bike_stands", "available_bikes"]
+    )
+    return Parsed(feature_rows(documents), damaged.union(fields))
+
+
+def read_geojson(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """One row per feature of the GeoJSON snapshots, properties as columns."""
+    return parse_geojson(spark, path).rows
 
 
 def feature_rows(documents: DataFrame) -> DataFrame:
@@ -67,17 +164,11 @@ def feature_rows(documents: DataFrame) -> DataFrame:
     rows = documents.select("snapshot", F.inline("features")).select(
         "snapshot", "properties.*"
     )
-    number = lambda name: blank_to_null(F.col(name)).try_cast("double")
-    return rows.withColumns(
-        {
-            "last_update": F.col("last_update").try_cast("timestamp_ntz"),
-            "available_bike_stands": number("available_bike_stands"),
-            "available_bikes": number("available_bikes"),
-        }
-    )
+    names = ("last_update", "available_bike_stands", "available_bikes")
+    return rows.withColumns({n: _readable(n, F.col(n)) for n in names})
 
 
-READERS = {"bordeaux": read_gml, "lyon": read_geojson}
+PARSERS = {"bordeaux": parse_gml, "lyon": parse_geojson}
 
 
 def read_snapshot_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -114,8 +205,17 @@ def drop_unloadable(readings: DataFrame) -> DataFrame:
 
 
 class FilledReadings(NamedTuple):
+    """Readings with both counts, those after which no count is known, and unread parts."""
+
     readings: DataFrame
     rejects: DataFrame
+    damaged: DataFrame | None = None
+
+
+def read_feed(spark: SparkSession, path: str | Sequence[str], city: CityConfig) -> FilledReadings:
+    """Canonical readings of a city's snapshots, missing counts filled."""
+    rows, damaged = PARSERS[city.city_key](spark, path)
+    return fill_counts(canonical_readings(rows, city))._replace(damaged=damaged)
 
 
 def fill_counts(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from docklens import schemas
 from docklens.functions.timecols import epoch_to_local
+from docklens.sources.feeds import Parsed, json_documents
 
 # The names in the weather documents (also in ``_measures`` and below).
 _MAIN = ("temp", "temp_min", "temp_max", "pressure", "humidity")
@@ -55,18 +57,36 @@ def _poll_time(value: datetime) -> Column:
     return F.lit(value.isoformat()).cast("timestamp_ntz")
 
 
-def read_current(spark: SparkSession, path: str, polled_at: datetime) -> DataFrame:
-    documents = (
-        spark.read.schema(schemas.CURRENT_JSON).option("multiLine", "true").json(path)
-    )
-    return current_rows(documents.withColumn("date", _poll_time(polled_at)))
+def parse_current(
+    spark: SparkSession, path: str | Sequence[str], polled_at: datetime
+) -> Parsed:
+    """Current weather of each document that could be read; the others are damaged."""
+    documents, damaged = json_documents(spark, path, schemas.CURRENT_JSON)
+    return Parsed(current_rows(documents.withColumn("date", _poll_time(polled_at))), damaged)
+
+
+def parse_forecast(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    polled_at: datetime,
+    zone: str = "Europe/Paris",
+) -> Parsed:
+    """Forecast steps, by time, of each document that could be read; the others are damaged."""
+    documents, damaged = json_documents(spark, path, schemas.FORECAST_JSON)
+    rows = forecast_rows(documents.withColumn("forecast_at", _poll_time(polled_at)), zone)
+    return Parsed(rows.orderBy("ts"), damaged)
+
+
+def read_current(
+    spark: SparkSession, path: str | Sequence[str], polled_at: datetime
+) -> DataFrame:
+    return parse_current(spark, path, polled_at).rows
 
 
 def read_forecast(
-    spark: SparkSession, path: str, polled_at: datetime, zone: str = "Europe/Paris"
+    spark: SparkSession,
+    path: str | Sequence[str],
+    polled_at: datetime,
+    zone: str = "Europe/Paris",
 ) -> DataFrame:
-    documents = (
-        spark.read.schema(schemas.FORECAST_JSON).option("multiLine", "true").json(path)
-    )
-    rows = forecast_rows(documents.withColumn("forecast_at", _poll_time(polled_at)), zone)
-    return rows.orderBy("ts")
+    return parse_forecast(spark, path, polled_at, zone).rows

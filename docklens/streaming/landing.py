@@ -10,30 +10,44 @@ from docklens.schemas import TIMESERIES
 from docklens.sources import feeds
 from docklens.streaming.ingest import read_stream
 
+_FILE = "path string, modificationTime timestamp, length long, content binary"
+
 
 def land_feed(
-    spark: SparkSession, path: str, city: str, landed: str, checkpoint: str
+    spark: SparkSession,
+    path: str,
+    city: str,
+    landed: str,
+    checkpoint: str,
+    files_per_batch: int = 1000,
 ) -> StreamingQuery:
     """Turn new snapshot files of a city into filled readings; ends when caught up.
 
-    Missing counts are looked up inside their snapshot, and a snapshot arrives
-    whole, so each batch is filled by the batch function.  A batch owns its
-    folders and replaces them.  Rows without a count go to ``rejects``.
+    The stream is one of file names; each batch reads its files like any other, so a
+    damaged document is the same in both. Missing counts are looked up inside their
+    snapshot, and a snapshot arrives whole. A batch owns its folders and replaces them.
+    Rows without a count go to ``rejects``, what could not be read to ``damaged``.
     """
-    raw = feeds.READERS[check_city(city)](spark, path, streaming=True)
-    readings = feeds.canonical_readings(raw, CITIES[city])
+    config = CITIES[check_city(city)]
+    names = (
+        spark.readStream.format("binaryFile")
+        .schema(_FILE)
+        .option("maxFilesPerTrigger", files_per_batch)
+        .load(path)
+        .select("path")
+    )
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()  # both outputs start from the parsed documents
-        try:
-            for name, rows in feeds.fill_counts(batch)._asdict().items():
-                folder = f"{landed}/{name}/batch_id={batch_id}"
-                rows.select(*TIMESERIES.names).write.mode("overwrite").parquet(folder)
-        finally:
-            batch.unpersist()
+        paths = [row["path"] for row in batch.collect()]
+        if not paths:
+            return
+        for name, rows in feeds.read_feed(spark, paths, config)._asdict().items():
+            folder = f"{landed}/{name}/batch_id={batch_id}"
+            kept = rows if name == "damaged" else rows.select(*TIMESERIES.names)
+            kept.write.mode("overwrite").parquet(folder)
 
     return (
-        readings.writeStream.option("checkpointLocation", checkpoint)
+        names.writeStream.option("checkpointLocation", checkpoint)
         .foreachBatch(store)
         .trigger(availableNow=True)
         .start()

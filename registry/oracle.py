@@ -588,6 +588,25 @@ _oracle("geojson_files", "sourced", """
     CASE WHEN event_type <> 'click' THEN bikes END AS available_bikes,
     CASE WHEN event_type = 'error' THEN 'closed' ELSE 'open' END AS status
   FROM sourced""")
+_table("documents_of_days", "sourced", """
+  SELECT CAST(ts AS DATE) AS "day", user_id % 4 AS quarter, bikes, event_type = 'signup' AS damaged,
+    day(ts) % 5 = 0 AS cut,
+    event_id = max(event_id) OVER (PARTITION BY CAST(ts AS DATE), user_id % 4) AS is_last
+  FROM sourced""")
+_DAMAGE = """
+  SELECT 'bordeaux' AS city_key, "day", count(*) FILTER (kept) AS readings,
+    CAST(coalesce(sum(bikes) FILTER (kept AND NOT damaged), 0) AS BIGINT) AS bikes,
+    count(*) FILTER (cut AND is_last) AS cut, count(*) FILTER (kept AND damaged) AS fields,
+    0::BIGINT AS records
+  FROM (SELECT *, NOT (cut AND is_last) AS kept FROM documents_of_days) GROUP BY "day"
+  UNION ALL
+  SELECT 'lyon' AS city_key, "day", count(*) FILTER (NOT cut),
+    CAST(coalesce(sum(bikes) FILTER (NOT cut AND NOT damaged), 0) AS BIGINT),
+    count(*) FILTER (cut AND is_last), count(*) FILTER (NOT cut AND damaged), 0::BIGINT
+  FROM documents_of_days GROUP BY "day\""""
+_oracle("feed_rejects", "documents_of_days", _DAMAGE)
+_oracle("feed_rejects_stream", "documents_of_days",
+        f"SELECT * EXCLUDE (bikes) FROM ({_DAMAGE})")
 _oracle("weather_files", "sourced", f"""
   SELECT TIMESTAMP '2024-01-31' AS "date", {_WEATHER}, 'lyon' AS city_key FROM sourced""")
 _oracle("weather_forecast_files", "sourced", f"""

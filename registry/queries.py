@@ -37,7 +37,7 @@ from docklens.sinks import export, models, tables as sink
 from docklens.sources import adapters, feeds, legacy, weather
 from docklens.sources.stations import coordinates, normalise_stations
 from docklens.sources.tables import read_predictions_csv, read_table, read_transactions_csv
-from docklens.streaming import ingest, latest as live, rolling
+from docklens.streaming import ingest, landing, latest as live, rolling
 from docklens.streaming import transactions as running
 from docklens.streaming.versions import read_changes, store_changes
 
@@ -1057,6 +1057,102 @@ def geojson_files(spark, folder):
     return found.withColumns({c: F.col(c).cast("int") for c in feeds.COUNTS})
 
 
+def _damaged_feeds(spark, folder) -> dict[str, str]:
+    """Snapshot documents of both cities by day and quarter of the stations, some damaged.
+
+    Those of every fifth day are cut before their end, and a signup's bikes are no number.
+    """
+    root = scratch_path(spark, "damaged")
+    bikes = F.when(F.col("event_type") == "signup", "n/a").otherwise(F.col("bikes").cast("string"))
+    fields = {
+        "GID": F.col("event_id"), "IDENT": F.col("user_id"), "NBPLACES": F.col("stands"),
+        "NBVELOS": bikes, "MDATE": _iso("ts"), "ETAT": F.lit("CONNECTEE"),
+    }
+    tags = [
+        F.concat(F.lit(f"<bm:{name}>"), value.cast("string"), F.lit(f"</bm:{name}>"))
+        for name, value in fields.items()
+    ]
+    member = F.concat(
+        F.lit("<wfs:member><bm:CI_VCUB_P>"), *tags, F.lit("</bm:CI_VCUB_P></wfs:member>")
+    )
+    properties = F.struct(
+        F.col("user_id").cast("string").alias("number"), _iso("ts").alias("last_update"),
+        F.col("stands").cast("string").alias("available_bike_stands"),
+        bikes.alias("available_bikes"), F.lit("OPEN").alias("status"),
+    )
+    feature = F.to_json(F.struct(F.lit("Feature").alias("type"), properties.alias("properties")))
+    events = _feed_events(spark, folder).withColumns(
+        {"day": F.to_date("ts"), "quarter": F.col("user_id") % 4}
+    )
+    paths = {}
+    for city, text, head, between, foot in (
+        ("bordeaux", member, f"<{_GML_ROOT}>", "", "</wfs:FeatureCollection>"),
+        ("lyon", feature, '{"type":"FeatureCollection","features":[', ",", "]}"),
+    ):
+        parts = F.array_sort(F.collect_list(F.struct(F.col("event_id"), text.alias("text"))))
+        body = F.array_join(F.transform(parts, lambda p: p["text"]), between)
+        whole = F.concat(F.lit(head), body, F.lit(foot))
+        # the cut takes the foot and a part of the last record
+        kept = F.when(F.dayofmonth("day") % 5 == 0, F.length(whole) - len(foot) - 20).otherwise(
+            F.length(whole)
+        )
+        documents = events.groupBy("day", "quarter").agg(F.substr(whole, F.lit(1), kept).alias("text"))
+        paths[city] = f"{root}/{city}"
+        documents.write.partitionBy("day", "quarter").text(paths[city])
+    return paths
+
+
+def _damage_by_day(readings: DataFrame, damaged: DataFrame) -> DataFrame:
+    """Readings, those with bikes, cut documents and damaged fields of each city and day."""
+    day = F.to_date(F.regexp_extract("snapshot", "day=([0-9-]+)", 1))
+    counted = damaged.groupBy("city_key", day.alias("day")).agg(
+        F.count(F.when(F.col("reason") == "document", 1)).alias("cut"),
+        F.count(F.when(F.col("reason") == "field", 1)).alias("fields"),
+        F.count(F.when(F.col("reason") == "record", 1)).alias("records"),
+    )
+    return (
+        readings.groupBy("city_key", F.to_date("timestamp").alias("day"))
+        .agg(F.count("*").alias("readings"), F.sum("available_bikes").alias("bikes"))
+        .join(counted, ["city_key", "day"], "full")
+        .select(
+            "city_key", "day", F.coalesce("readings", F.lit(0)).cast("long").alias("readings"),
+            F.coalesce("bikes", F.lit(0)).cast("long").alias("bikes"),
+            *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("cut", "fields", "records")],
+        )
+    )
+
+
+@query
+def feed_rejects(spark, folder):
+    """Damaged snapshots: their good rows are readings, the rest is kept with its text."""
+    paths = _damaged_feeds(spark, folder)
+
+    def of_city(city):
+        rows, damaged = feeds.PARSERS[city.city_key](spark, f"{paths[city.city_key]}/*/*")
+        readings = feeds.canonical_readings(rows, city)
+        return _damage_by_day(readings, damaged.withColumn("city_key", F.lit(city.city_key)))
+
+    return of_city(BORDEAUX).unionByName(of_city(LYON))
+
+
+@query
+def feed_rejects_stream(spark, folder):
+    """The same snapshots through the stream; what has no count is a reject, too."""
+    paths = _damaged_feeds(spark, folder)
+
+    def of_city(city):
+        root = scratch_path(spark, "landed")
+        landing.land_feed(
+            spark, f"{paths[city]}/*/*", city, root, f"{root}-checkpoint", files_per_batch=50
+        ).awaitTermination()
+        read = lambda name: spark.read.parquet(f"{root}/{name}")
+        readings = read("readings").unionByName(read("rejects"))
+        return _damage_by_day(readings, read("damaged").withColumn("city_key", F.lit(city)))
+
+    # a missing count is filled from another station's, so the sums differ from the batch's
+    return _each_city(of_city).drop("bikes")
+
+
 @query
 def weather_files(spark, folder):
     """Events written as current-weather documents, read and stored twice."""

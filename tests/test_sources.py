@@ -46,6 +46,71 @@ def test_gml_snapshots(spark, tmp_path):
     ]
 
 
+def damaged_of(parsed):
+    rows = parsed.damaged.withColumn("file", F.regexp_extract("snapshot", "([^/]*)$", 1))
+    return sorted((r.file, r.reason, r.text) for r in rows.collect())
+
+
+def test_damaged_gml_goes_to_rejects_and_the_rest_stays(spark, tmp_path):
+    member = lambda gid, places=5, mdate="2024-01-02T10:00:00": MEMBER.format(
+        gid=gid, ident=gid, nom="Méri", etat="CONNECTEE", places=places, velos=7, mdate=mdate
+    )
+    whole = GML.format(members=member(1) + member(2, "x5") + member(3, ""))
+    cut = GML.format(members=member(4) + member(5))
+    cut = cut[: cut.index("<bm:NBVELOS>", cut.index("<bm:GID>5"))]
+    files = {
+        "a.xml": whole, "b.xml": cut, "c.xml": GML.format(members=member(6, mdate="noon")),
+        "d.xml": GML.format(members=""), "e.xml": "<a:FeatureCollection/>\n",
+    }
+    for name, text in files.items():
+        (tmp_path / name).write_bytes(text.encode("ISO-8859-1"))
+    parsed = feeds.parse_gml(spark, str(tmp_path))
+    assert rows_of(parsed.rows, "gid", "nbplaces", "nbvelos", "heure") == [
+        (1, 5, 7, at("2024-01-02T10:00:00")), (2, None, 7, at("2024-01-02T10:00:00")),
+        (3, None, 7, at("2024-01-02T10:00:00")), (4, 5, 7, at("2024-01-02T10:00:00")),
+        (6, 5, 7, None),
+    ]
+    found = damaged_of(parsed)
+    assert [(name, reason) for name, reason, _ in found] == [
+        ("a.xml", "field"), ("b.xml", "document"), ("c.xml", "field")
+    ]
+    assert '"NBPLACES":"x5"' in found[0][2] and "<bm:GID>5" in found[1][2]
+    assert "Méri" in found[1][2] and "<bm:GID>4" not in found[1][2]
+
+
+def test_damaged_geojson_goes_to_rejects_and_the_rest_stays(spark, tmp_path):
+    geojson(tmp_path, "a.json", feature("1", 2, 3), feature("2", "many", 4), feature("3", "", 5))
+    geojson(tmp_path, "b.json", feature("4", 2, 3))
+    text = (tmp_path / "b.json").read_text()
+    (tmp_path / "b.json").write_text(text[: len(text) // 2])
+    (tmp_path / "c.json").write_text("<html>503</html>")
+    geojson(tmp_path, "d.json")
+    parsed = feeds.parse_geojson(spark, str(tmp_path))
+    assert rows_of(parsed.rows, "number", "available_bike_stands", "available_bikes") == [
+        ("1", 2, 3), ("2", None, 4), ("3", None, 5)
+    ]
+    found = damaged_of(parsed)
+    assert [(name, reason) for name, reason, _ in found] == [
+        ("a.json", "field"), ("b.json", "document"), ("c.json", "document")
+    ]
+    assert '"many"' in found[0][2] and found[2][2] == "<html>503</html>"
+
+
+def test_damaged_weather_is_not_stored(spark, tmp_path):
+    good = {"weather": [{"id": 1, "main": "Rain"}], "main": {"temp": 3.5}, "clouds": {"all": 7}}
+    (tmp_path / "a.json").write_text(json.dumps(good))
+    (tmp_path / "b.json").write_text(json.dumps(good)[:40])
+    (tmp_path / "c.json").write_text(json.dumps(good | {"wind": {"speed": "calm"}}))
+    parsed = weather.parse_current(spark, str(tmp_path), datetime(2024, 1, 2))
+    assert rows_of(parsed.rows, "weather_id", "temp", "wind_speed") == [(1, 3.5, None)] * 2
+    assert [(n, r) for n, r, _ in damaged_of(parsed)] == [("b.json", "document"), ("c.json", "record")]
+    (tmp_path / "steps").mkdir()
+    (tmp_path / "steps" / "a.json").write_text(json.dumps({"list": [good | {"dt": 0}] * 2}))
+    (tmp_path / "steps" / "b.json").write_text('{"list": [')
+    parsed = weather.parse_forecast(spark, str(tmp_path / "steps"), datetime(2024, 1, 2))
+    assert parsed.rows.count() == 2 and [r for _, r, _ in damaged_of(parsed)] == ["document"]
+
+
 def feature(number, stands, bikes, status="OPEN"):
     return {
         "type": "Feature",

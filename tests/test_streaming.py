@@ -191,3 +191,42 @@ def test_gml_feed_as_a_stream(spark, tmp_path):
     assert rows_of(found, "city_key", "id", "available_stands", "available_bikes") == [
         ("bordeaux", "12", 5, 7)
     ]
+
+
+def test_a_damaged_snapshot_is_the_same_in_the_stream_and_in_batch(spark, tmp_path):
+    (tmp_path / "feed").mkdir()
+    for n in range(5):
+        members = [
+            MEMBER.format(gid=10 * n + k, ident=k, nom="M\u00e9ri", etat="CONNECTEE",
+                          places="?" if k == n else k, velos=7, mdate=f"2024-01-02T10:0{n}:00")
+            for k in range(4)
+        ]
+        text = GML.format(members="".join(members))
+        data = text[: -60 if n == 1 else None].encode("ISO-8859-1")
+        (tmp_path / "feed" / f"{n}.xml").write_bytes(data)
+    batch = jobs.read_feed(spark, str(tmp_path / "feed"), "bordeaux")
+    landed, checkpoint = str(tmp_path / "landed"), str(tmp_path / "cp")
+    for _ in range(2):  # the second run finds nothing new
+        landing.land_feed(
+            spark, str(tmp_path / "feed"), "bordeaux", landed, checkpoint, files_per_batch=2
+        ).awaitTermination()
+    assert len(list((tmp_path / "landed" / "damaged").iterdir())) == 3
+    for name, rows in batch._asdict().items():
+        found = spark.read.parquet(f"{landed}/{name}").drop("batch_id")
+        columns = [c for c in found.columns if c in rows.columns]
+        assert len(columns) >= 3 and rows_of(found, *columns) == rows_of(rows, *columns)
+    assert batch.damaged.count() == 5 and batch.readings.count() + batch.rejects.count() == 19
+
+
+def test_what_could_not_be_read_is_stored(spark, tmp_path):
+    (tmp_path / "feed").mkdir()
+    (tmp_path / "feed" / "a.json").write_text('{"features": [')
+    (tmp_path / "weather").mkdir()
+    (tmp_path / "weather" / "a.json").write_text("{")
+    lake = str(tmp_path / "lake")
+    for _ in range(2):
+        jobs.load_readings(spark, str(tmp_path / "feed"), "lyon", lake, "one")
+        jobs.load_weather(spark, str(tmp_path / "weather"), "current", at("2024-01-02"), "lyon", lake)
+    for name in ("feed_reject", "weather_reject"):
+        [row] = spark.read.parquet(f"{lake}/{name}").collect()
+        assert row.reason == "document" and row.city_key == "lyon" and row.text.startswith("{")
