@@ -30,6 +30,11 @@ _CORRUPT = "_corrupt_record"
 _TIMES = ("MDATE", "last_update")
 
 
+def _known_or_not(column: str) -> Column:
+    """Always true, and reads the column: Spark parses no document for its damaged text alone."""
+    return F.col(column).isNull() | F.col(column).isNotNull()
+
+
 def _snapshot() -> Column:
     return F.col("_metadata.file_path").alias("snapshot")
 
@@ -73,7 +78,7 @@ def parse_gml(
     )
     # a member without an end is the one where its document was cut, see below
     ended = F.col(_CORRUPT).rlike(r"member>\s*$")
-    malformed = members.where(ended).select(
+    malformed = members.where(ended & _known_or_not("CI_VCUB_P")).select(
         "snapshot",
         F.when(F.col("CI_VCUB_P").isNull(), "record").otherwise("field").alias("reason"),
         F.col(_CORRUPT).alias("text"),
@@ -136,7 +141,7 @@ def json_documents(
     )
     parts = [c for c in read.columns if c != _CORRUPT]
     some = reduce(Column.__or__, [F.col(c).isNotNull() for c in parts])
-    damaged = read.where(F.col(_CORRUPT).isNotNull()).select(
+    damaged = read.where(F.col(_CORRUPT).isNotNull() & _known_or_not(parts[0])).select(
         _snapshot(),
         F.when(some, "record").otherwise("document").alias("reason"),
         F.col(_CORRUPT).alias("text"),
