@@ -109,16 +109,31 @@ WITH
                translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low
         FROM lines WHERE len(w) > 0
     ),
+    runs AS (
+        SELECT *, n >= {rules.min_sentence_words} AND NOT marked
+                  AND strlen(l) >= {rules.min_wrapped_bytes} AS goes_on,
+               k - row_number() OVER (PARTITION BY doc_id ORDER BY k) AS paragraph
+        FROM facts
+    ),
+    stops AS (
+        SELECT *, min(CASE WHEN NOT goes_on THEN k END) OVER (
+            PARTITION BY doc_id ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING
+        ) AS stop FROM runs
+    ),
     verdicts AS (
         SELECT doc_id, n, copy, (
             copy
             OR n >= {rules.min_sentence_words} AND NOT marked
+               AND NOT (goes_on AND coalesce(last_marked AND last_paragraph = paragraph, false))
             OR symbols > {rules.max_symbols} * n
             OR menu >= {rules.min_separators} AND menu > {rules.max_separators} * n
             OR letters >= {rules.min_letters} AND capitals > {rules.max_capitals} * letters
             OR n >= {rules.min_stutter_words} AND stutter > {rules.max_stutter} * n
             OR n <= {rules.max_boilerplate_words} AND ({phrases})
-        ) AS bad FROM facts
+        ) AS bad
+        FROM stops LEFT JOIN (
+            SELECT doc_id, k AS stop, marked AS last_marked, paragraph AS last_paragraph FROM runs
+        ) USING (doc_id, stop)
     ),
     sums AS (
         SELECT doc_id, count(*) FILTER (copy) AS n_dup_lines, count(*) FILTER (bad) AS removed,

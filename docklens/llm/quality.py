@@ -1,7 +1,8 @@
 """Quality rules, line first.
 
-Every line is judged alone (punctuation, symbols, shouting, repetition, navigation,
-boilerplate); failing lines go; a document that loses too many of its words goes.
+Every line is judged (punctuation, symbols, shouting, repetition, navigation, boilerplate);
+failing lines go; a document that loses too many of its words goes. The punctuation rule looks
+at the paragraph: prose that was wrapped has its sentence marks on some of its lines only.
 Before that, base rules judge the whole document: too few words, or too many words in
 repeated eight-word windows.
 
@@ -64,8 +65,10 @@ class Rules:
     #: share of words equal to the word before, in lines of at least so many words
     max_stutter: float = 0.5
     min_stutter_words: int = 8
-    #: lines of at least so many words need a sentence mark
+    #: lines of at least so many words need a sentence mark, or must be wrapped: followed by
+    #: lines of their paragraph up to one with a mark, and at least so many bytes long
     min_sentence_words: int = 3
+    min_wrapped_bytes: int = 40
     #: phrases of page furniture count in lines of at most so many words
     max_boilerplate_words: int = 12
     #: share of words that a document may lose with its lines
@@ -165,8 +168,9 @@ def _judge(values: np.ndarray, offsets: np.ndarray, rules: Rules, text: bool) ->
     # the first word of a line does not count
     after = first_word + line_words
     stutter = total[after] - total[np.minimum(first_word + 1, after)]
+    unmarked = with_word & (line_words >= rules.min_sentence_words) & (_within(marks, line) == 0)
     bad = copy.copy()
-    bad |= with_word & (line_words >= rules.min_sentence_words) & (_within(marks, line) == 0)
+    bad |= unmarked & ~_wrapped(line, with_word, unmarked, _within(marks, line) > 0, rules)
     bad |= with_word & (_within(symbols, line) > rules.max_symbols * line_words)
     bad |= with_word & (menu >= rules.min_separators) & (menu > rules.max_separators * line_words)
     bad |= with_word & (letters >= rules.min_letters) & (capitals > rules.max_capitals * letters)
@@ -192,6 +196,26 @@ def _judge(values: np.ndarray, offsets: np.ndarray, rules: Rules, text: bool) ->
     return out
 
 
+def _wrapped(
+    line: Spans, with_word: np.ndarray, unmarked: np.ndarray, marked: np.ndarray, rules: Rules
+) -> np.ndarray:
+    """Which lines go on: wide lines without a mark, one below the other, above one with a mark."""
+    out = np.zeros(len(line.start), bool)
+    at = np.flatnonzero(with_word)
+    if not len(at):
+        return out
+    goes_on = (unmarked & (line.end - line.start >= rules.min_wrapped_bytes))[at]
+    n = len(at)
+    place = np.where(goes_on, n, np.arange(n))  # the next line that does not go on
+    stop = np.minimum.accumulate(place[::-1])[::-1]
+    found = stop < n
+    last = at[np.minimum(stop, n - 1)]
+    # no line without words lies between, and none of another text
+    near = last - at == stop - np.arange(n)
+    out[at] = goes_on & found & near & (line.row[last] == line.row[at]) & marked[last]
+    return out
+
+
 def _without(values: np.ndarray, offsets: np.ndarray, line: Spans, bad: np.ndarray) -> pa.Array:
     """The texts without their bad lines; a line feed stands between the lines left."""
     good = np.flatnonzero(~bad)

@@ -25,8 +25,8 @@ Cases:
 * a null, empty or blank text has no shingles: size 0, linked with nothing;
 * fewer words than a shingle: the whole word sequence is its one shingle;
 * equal texts are linked with each other; the smallest id names the component;
-* rows that repeat an id count once, with one of their texts; rows with a null id are left
-  out, as a link cannot name them;
+* every row counts: rows that repeat an id, or have none, are rows of their own, with their
+  own text; null ids are larger than others, and a component of such rows alone has none;
 * an empty table gives an empty result; other columns are not read.
 """
 
@@ -38,7 +38,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docklens.llm import words
@@ -146,33 +146,40 @@ def _bands(signature: np.ndarray, near: Near) -> np.ndarray:
     return key.view(np.int64)
 
 
-_SIGNED = "doc_id long, n_shingles long, digest binary, bands array<long>, brief binary"
+_SIGNED = (
+    "own_id long, mark binary, n_shingles long, digest binary, bands array<long>, brief binary"
+)
 
 
-def signed(docs: DataFrame, id_col: str, text_col: str, near: Near) -> DataFrame:
-    """Size, digest of the whole set, band keys and a 16-bit-a-place signature of each text."""
+def signed(docs: DataFrame, near: Near) -> DataFrame:
+    """Size, digest of the whole set, band keys and a 16-bit-a-place signature of each row.
+
+    ``docs`` has (doc_id, mark, text).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0)
-            for first, sets in _groups(shingle_sets(batch.column(1), near.shingle)):
+            for first, sets in _groups(shingle_sets(batch.column(2), near.shingle)):
                 signature = signatures(sets, near.places)
                 keys = _bands(signature, near)
                 brief = mix(signature).astype(np.uint16)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        ids.slice(first, len(sets)),
+                        batch.column(0).slice(first, len(sets)),
+                        batch.column(1).slice(first, len(sets)),
                         pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([blake2b(s, digest_size=16).digest() for s in sets]),
+                        pa.array([_digest(s) for s in sets]),
                         pa.array(list(keys), pa.list_(pa.int64())),
                         pa.array([b.tobytes() for b in brief]),
                     ],
-                    ["doc_id", "n_shingles", "digest", "bands", "brief"],
+                    ["own_id", "mark", "n_shingles", "digest", "bands", "brief"],
                 )
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_col).mapInArrow(
-        run, _SIGNED
-    )
+    return docs.mapInArrow(run, _SIGNED)
+
+
+def _digest(shingles: np.ndarray) -> bytes:
+    return blake2b(shingles, digest_size=16).digest()
 
 
 def _groups(
@@ -190,21 +197,21 @@ def _groups(
         yield first, held
 
 
-def _sets(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, shingles): the full set of each text as little-endian 64-bit hashes."""
+def _sets(texts: DataFrame, size: int) -> DataFrame:
+    """(digest, shingles): the full set of each text as little-endian 64-bit hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, sets in _groups(shingle_sets(batch.column(1), size)):
+            for _, sets in _groups(shingle_sets(batch.column(0), size)):
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(first, len(sets)),
+                        pa.array([_digest(s) for s in sets], pa.binary()),
                         pa.array([s.tobytes() for s in sets], pa.binary()),
                     ],
-                    ["doc_id", "shingles"],
+                    ["digest", "shingles"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, shingles binary")
+    return texts.mapInArrow(run, "digest binary, shingles binary")
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:
@@ -446,26 +453,53 @@ def _placed(rows: DataFrame, parts: DataFrame) -> DataFrame:
     )
 
 
+def _signed_rows(docs: DataFrame, id_col: str, text_col: str, near: Near) -> tuple:
+    """(rows (own_id, mark, text), stored signed rows): ``mark`` is the digest of a text,
+    ``row`` names a signed row."""
+    texts = docs.select(
+        F.col(f"`{id_col}`").cast("long").alias("own_id"),
+        _mark(text_col).alias("mark"),
+        F.col(f"`{text_col}`").cast("string").alias("text"),
+    )
+    marks = signed(texts, near).withColumn("row", F.monotonically_increasing_id())
+    return texts, stored(marks, "signed")
+
+
+def _mark(text_col: str) -> Column:
+    return F.unhex(F.md5(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).cast("binary")))
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", near: Near = Near()
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every document.
+    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``.
 
     Documents are linked when 100 * |intersection| >= percent * |union| of their shingle
-    sets. ``component_id`` is the smallest id reachable by links, ``kept`` marks it.
+    sets. ``component_id`` is the smallest id reachable by links; ``kept`` marks one row of
+    each component, which has that id.
     """
-    texts = docs.where(F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")
+    texts, marks = _signed_rows(docs, id_col, text_col, near)
+    return _grouped(texts, marks, near).select(
+        F.col("own_id").alias("doc_id"), "n_shingles", "component_id", "kept"
     )
-    marks = stored(signed(texts, "doc_id", "text", near), "signed")
+
+
+def _grouped(texts: DataFrame, marks: DataFrame, near: Near) -> DataFrame:
+    """Signed rows with ``component_id`` and ``kept``. Within, ``doc_id`` names a class of
+    rows with equal sets, by one of its rows."""
     full = marks.where("n_shingles > 0")
+    # the class is named by the row that would be kept of it: the smallest id, null ones last
+    first_row = F.struct(F.col("own_id").isNull().alias("none"), "own_id", "row")
     classes = stored(
-        full.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes"
+        full.groupBy("digest")
+        .agg(F.min(first_row).alias("least"))
+        .select("digest", "least", F.col("least.row").alias("rep")),
+        "classes",
     )
     reps = stored(
-        full.join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-        .dropDuplicates(["doc_id"])
-        .select("doc_id", "n_shingles", "bands", "brief"),
+        full.join(classes.select(F.col("rep").alias("row")), "row", "left_semi").select(
+            F.col("row").alias("doc_id"), "n_shingles", "bands", "brief", "digest", "mark"
+        ),
         "reps",
     )
     members = reps.select("doc_id", F.posexplode("bands").alias("band", "key"))
@@ -478,8 +512,15 @@ def near_duplicates(
     ).where("n > 1").select("band", "key", "n", F.col("p.doc_id").alias("b"))
     members = stored(members.join(buckets, ["band", "key"]), "members")
     some = members.select("doc_id").distinct()
-    once = texts.join(some, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    sets = stored(_sets(once, near.shingle), "sets")
+    wanted = reps.join(some, "doc_id").select("doc_id", "digest", "mark")
+    # equal texts once, then one text of each class: the one that its name stands for
+    once = texts.join(wanted.select("mark").distinct(), "mark", "left_semi").dropDuplicates(["mark"])
+    sets = stored(
+        _sets(once.select("text"), near.shingle)
+        .join(wanted.select("doc_id", "digest"), "digest")
+        .select("doc_id", "shingles"),
+        "sets",
+    )
     first = stored(
         members.where("doc_id != b").select(F.col("doc_id").alias("a"), "b").distinct(), "pairs"
     )
@@ -545,21 +586,18 @@ def near_duplicates(
     dropped(sets)
     parts = stored(connected(links.union(third)), "parts")
 
-    of_class = (
-        classes.join(parts.withColumnRenamed("id", "rep"), "rep", "left")
-        .select("digest", F.coalesce("component_id", "rep").alias("component_id"))
+    parts = parts.withColumnRenamed("id", "rep").withColumnRenamed("component_id", "part")
+    of_class = classes.join(parts, "rep", "left").select(
+        "digest", "least", F.coalesce("part", "rep").alias("part")
     )
-    out = marks.select("doc_id", "n_shingles", "digest").dropDuplicates(["doc_id"])
+    keeper = of_class.groupBy("part").agg(F.min("least").alias("keeper"))
+    of_class = of_class.join(keeper, "part").select("digest", "keeper")
+    alone = F.col("n_shingles") == 0
     return (
-        out.join(of_class, "digest", "left")
-        .select(
-            "doc_id",
-            "n_shingles",
-            F.when(F.col("n_shingles") > 0, F.col("component_id"))
-            .otherwise(F.col("doc_id"))
-            .alias("component_id"),
-        )
-        .withColumn("kept", F.col("component_id") == F.col("doc_id"))
+        marks.select("own_id", "mark", "row", "n_shingles", "digest")
+        .join(of_class, "digest", "left")
+        .withColumn("component_id", F.when(alone, F.col("own_id")).otherwise(F.col("keeper.own_id")))
+        .withColumn("kept", alone | (F.col("keeper.row") == F.col("row")))
     )
 
 
@@ -568,12 +606,27 @@ def deduplicate(
 ) -> DataFrame:
     """One document of each component, in the columns of ``docs``.
 
-    Of rows that repeat an id one stays; rows with a null id stay all.
+    Of rows with the same id and text one stays, whatever else they hold; rows without words
+    stay all.
     """
-    kept = near_duplicates(docs, id_col, text_col, near).where("kept")
-    named = docs.join(kept.select(F.col("doc_id").alias(id_col)), id_col, "left_semi")
-    return (
-        named.dropDuplicates([id_col])
-        .select(*(f"`{c}`" for c in docs.columns))
-        .union(docs.where(F.col(id_col).isNull()))
+    texts, marks = _signed_rows(docs, id_col, text_col, near)
+    kept = _grouped(texts, marks, near).where("kept AND n_shingles > 0")
+    kept = kept.select(
+        F.coalesce("own_id", F.lit(0)).alias("_i"), F.col("own_id").isNull().alias("_n"),
+        F.col("mark").alias("_m"),
+    )
+    plain = {c: f"_c{n}" for n, c in enumerate(docs.columns)}
+    renamed = docs.toDF(*plain.values())
+    own, text = plain[id_col], plain[text_col]
+    with_word = F.coalesce(F.col(text).cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    number = F.col(own).cast("long")
+    named = renamed.where(with_word).withColumns(
+        {
+            "_i": F.coalesce(number, F.lit(0)),
+            "_n": number.isNull(),
+            "_m": _mark(text),
+        }
     )
+    keys = ["_i", "_n", "_m"]
+    once = named.join(kept, keys, "left_semi").dropDuplicates(keys).drop(*keys)
+    return once.union(renamed.where(~with_word)).toDF(*docs.columns)

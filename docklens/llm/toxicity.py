@@ -49,7 +49,8 @@ LANGUAGES = (*FUNCTION_WORDS, "other")
 
 @dataclass(frozen=True)
 class Fit:
-    """Size of the model and its training. ``rows`` bounds the labelled sample.
+    """Size of the model and its training. ``rows`` bounds the labelled sample, ``longest`` the
+    bytes of a text in it.
 
     ``calibration`` is the least share of the labelled texts that is kept from the fit for
     the thresholds. A language's own threshold weighs as many texts as its smaller class
@@ -57,6 +58,7 @@ class Fit:
     """
 
     rows: int = 8000
+    longest: int = 1 << 16
     buckets: int = 1 << 16
     size: int = 8
     filters: int = 8
@@ -387,7 +389,8 @@ def fit_documents(
 ) -> Model:
     """A model fitted on about ``options.rows`` labelled documents, calibrated on the others.
 
-    The hash of the id tells which are fitted. ``use`` tells which labels may be learned,
+    Each class gives up to half of them, so a rare class is there whenever it has a label. The
+    hash of the id tells which are fitted. ``use`` tells which labels may be learned,
     as a condition on the id.
     """
     given = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
@@ -395,27 +398,30 @@ def fit_documents(
     if use is not None:
         given = given.where(use)
     read = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    n = given.count()
     share = F.pmod(F.xxhash64("id", F.lit(options.seed)), F.lit(1 << 30)) / float(1 << 30)
-    limit = min(1 - options.calibration, options.rows / max(n, 1))
-    rows = _sample(read, given.where(share < limit))
-    if _one_class(rows) and n <= options.rows:  # too few texts to keep any from the fit
-        limit = 1.0
-        rows = _sample(read, given)
+    given = given.withColumns({"y": (F.col("y") > 0).cast("int"), "share": share})
+    # half of the sample from each class, and the first text of each, however rare it is
+    limits = {
+        r["y"]: max(r["least"], min(1 - options.calibration, options.rows / 2 / r["n"]))
+        for r in given.groupBy("y").agg(F.count("*").alias("n"), F.min("share").alias("least")).collect()
+    }
+    limit = F.when(F.col("y") == 1, limits.get(1, 1.0)).otherwise(limits.get(0, 1.0))
+    chosen = F.col("share") <= limit
+    rows = _sample(read.where(F.octet_length("text") <= options.longest), given.where(chosen))
     model = fit(
         rows.column("text"), rows.column("y").to_numpy() > 0, replace(options, calibration=0.0)
     )
     fitted = not _one_class(rows)
     del rows
     pa.default_memory_pool().release_unused()
-    if fitted and limit < 1:
-        model = calibrate(model, read, given.where(share >= limit), options.pull)
+    if fitted:
+        model = calibrate(model, read, given.where(~chosen), options.pull)
     return model
 
 
 def _sample(docs: DataFrame, given: DataFrame) -> pa.Table:
     """The documents (id, text) of ``given``, which has at most about ``Fit.rows`` ids."""
-    rows = docs.join(F.broadcast(given), "id").select("id", "text", "y").toArrow()
+    rows = docs.join(F.broadcast(given.select("id", "y")), "id").select("id", "text", "y").toArrow()
     return rows.sort_by([("id", "ascending"), ("text", "ascending")])
 
 

@@ -84,17 +84,60 @@ def test_near_duplicates_by_brute_force(spark, size, block):
     assert all(r.kept == (r.doc_id == r.component_id) for r in rows)
 
 
+def brute_rows(rows, size):
+    """(id, shingles, component id) of (id, text) rows that may repeat ids or have none."""
+    found = brute({n: text for n, (_, text) in enumerate(rows)}, size)
+    least = {}
+    for n, (id_, _) in enumerate(rows):
+        least.setdefault(found[n][1], set()).add((id_ is None, id_ or 0))
+    out = []
+    for n, (id_, _) in enumerate(rows):
+        none, component = min(least[found[n][1]])
+        out.append((id_, found[n][0], None if none else component))
+    return sorted(out, key=str), len({part for _, part in found.values()})
+
+
 def test_near_duplicates_of_odd_texts(spark, odd_docs, no_docs):
     rows = superminhash.near_duplicates(odd_docs).collect()
-    texts = {r.doc_id: r.text for r in odd_docs.collect() if r.doc_id is not None}
-    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute(texts, 5)
-    assert len(rows) == len(texts)
+    texts = [(r.doc_id, r.text) for r in odd_docs.collect()]
+    want, kept = brute_rows(texts, 5)
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in rows), key=str) == want
+    assert sum(r.kept for r in rows) == kept
     assert superminhash.near_duplicates(no_docs).count() == 0
     kept = superminhash.deduplicate(odd_docs)
     assert kept.columns == odd_docs.columns
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 6, 7, 8]
 
 
+def test_rows_that_repeat_an_id_or_have_none_are_rows_of_their_own(spark):
+    a, b, c = ("".join(f"{w}{n} " for n in range(30)) for w in "abc")
+    rows = [
+        (1, a), (1, b), (1, a), (2, c), (None, a), (None, a), (None, c + "more"), (3, b + "x"),
+        (None, "alone " * 9), (None, "alone " * 9), (4, ""), (4, ""), (4, None), (None, " "),
+    ]
+    docs = spark.createDataFrame([(*r, n) for n, r in enumerate(rows)], "`doc.id` long, text string, n int")
+    found = superminhash.near_duplicates(docs, "doc.id").collect()
+    want, kept = brute_rows(rows, 5)
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found), key=str) == want
+    assert sum(r.kept for r in found) == kept == 8
+    left = superminhash.deduplicate(docs, "doc.id")
+    assert left.columns == docs.columns
+    left = [tuple(r)[:2] for r in left.collect()]
+    assert sorted(left, key=str) == sorted(
+        [(1, a), (1, b), (2, c), (None, "alone " * 9), *rows[10:]], key=str
+    )
+
+
+def test_no_document_is_lost_to_a_hot_id(spark):
+    texts = near_texts(4)
+    rows = [(n % 3 or None, t) for n, t in texts.items()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = superminhash.near_duplicates(docs, near=Near(block=16)).collect()
+    want, kept = brute_rows(rows, 5)
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found), key=str) == want
+    assert sum(r.kept for r in found) == superminhash.deduplicate(docs, near=Near(block=16)).count() == kept
+
+
 def test_signatures_estimate_without_bias():
     random = np.random.default_rng(0)
     for n in (5, 50, 2000):

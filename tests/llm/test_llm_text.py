@@ -315,3 +315,74 @@ def test_find_and_redact(spark, odd_docs):
     rows = pii.redact(odd_docs).collect()
     assert len(rows) == odd_docs.count()
     assert [r.text for r in rows if r.doc_id == 2] == [None]
+
+
+def sentences(n, words=24, seed=0):
+    random = np.random.default_rng(seed)
+    for k in range(n):
+        yield " ".join(f"word{w}" for w in random.integers(0, 3000, words)).capitalize() + "."
+
+
+def test_wrapped_prose_is_kept_as_one_line_is(spark):
+    import textwrap
+
+    prose = " ".join(sentences(12))
+    wrapped = "\n".join(textwrap.wrap(prose, 70))
+    two = wrapped + "\n\n" + "\n".join(textwrap.wrap(" ".join(sentences(5, seed=1)), 90))
+    menu = "\n".join(f"Home page of the department number {n} in the old town" for n in range(9))
+    after = wrapped + "\nAbout this site and the people who wrote all of it together"
+    docs = spark.createDataFrame(
+        [(1, prose), (2, wrapped), (3, two), (4, menu), (5, after), (6, menu + "\n\n" + wrapped),
+         (7, wrapped.replace("\n", "\r\n"))],
+        "doc_id long, text string",
+    )
+    found = {r.doc_id: (r.kept, r.words_removed) for r in quality.judge(docs).collect()}
+    assert found[1] == found[2] == found[3] == found[7] == (True, 0)
+    assert found[4] == (False, 99) and found[5] == (True, 12) and found[6] == (True, 99)
+
+
+def test_a_rare_class_is_learned(spark):
+    """Two toxic texts among many, and a sample that by chance would hold neither."""
+    rows = [(n, " ".join(sentences(2, seed=n))) for n in range(900)]
+    toxic = {17, 401}
+    rows = [(n, t + " you vile worthless idiot" * 3 if n in toxic else t) for n, t in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(n, int(n in toxic)) for n, _ in rows], "doc_id long, toxic int")
+    for seed in (1, 2, 3):
+        options = toxicity.Fit(rows=40, seed=seed)
+        model = toxicity.fit_documents(docs, labels, options=options)
+        scored = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+        others = sorted(v for n, v in scored.items() if n not in toxic)
+        assert min(scored[n] for n in toxic) > others[-len(others) // 20]
+    long = docs.withColumn("text", F.repeat("text", 20))
+    model = toxicity.fit_documents(long, labels, options=toxicity.Fit(rows=40, longest=100))
+    assert max(r.score for r in toxicity.score(long, model).collect()) < 1e-9  # no text to learn
+
+
+def test_responses_are_those_of_a_plain_convolution():
+    """Largest response of each filter over all places of a text, counted one by one."""
+    texts = ["some words of a text about rivers", "one", "", "two words"]
+    random = np.random.default_rng(0)
+    options = toxicity.Fit(buckets=64)
+    tables = 1 + len(toxicity.HEADS)
+    model = toxicity.Model(
+        random.normal(size=(tables, 64, options.size)).astype(np.float32),
+        [random.normal(size=(w * options.size, 5)).astype(np.float32) for w in toxicity.WIDTHS],
+        random.normal(size=5 * len(toxicity.WIDTHS)).astype(np.float32),
+        random.normal(size=5 * len(toxicity.WIDTHS)).astype(np.float32),
+        0.3, np.zeros(len(toxicity.LANGUAGES)),
+    )
+    [(_, values, offsets)] = words.slices(pa.array(texts))
+    features, of, _ = toxicity._scan(values, offsets, 64)
+    found = toxicity._logits(model, features, of)
+    for n in range(len(texts)):
+        own = features[of[n] : of[n + 1]]
+        vectors = [sum(model.embedding[k][f[k]] for k in range(tables)) for f in own]
+        pooled, column = [], 0
+        for width, filters in zip(toxicity.WIDTHS, model.filters):
+            for c in range(filters.shape[1]):
+                at = range(len(vectors) - width + 1)
+                responses = [np.concatenate(vectors[p : p + width]) @ filters[:, c] for p in at]
+                pooled.append(max([0.0, *(r + model.bias[column + c] for r in responses)]))
+            column += filters.shape[1]
+        assert np.isclose(found[n], np.array(pooled) @ model.dense + model.offset, rtol=1e-4, atol=1e-4)
