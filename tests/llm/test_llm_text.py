@@ -8,6 +8,8 @@ import pyarrow as pa
 import pytest
 from llm_cases import by_id, folder, no_docs, odd_docs, shipped  # noqa: F401
 
+from pyspark.sql import functions as F
+
 from docklens.llm import pii, quality, toxicity, words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -354,7 +356,7 @@ def test_a_rare_class_is_learned(spark):
         scored = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
         others = sorted(v for n, v in scored.items() if n not in toxic)
         assert min(scored[n] for n in toxic) > others[-len(others) // 20]
-    long = docs.withColumn("text", F.repeat("text", 20))
+    long = docs.withColumn("text", F.repeat("text", F.lit(20)))
     model = toxicity.fit_documents(long, labels, options=toxicity.Fit(rows=40, longest=100))
     assert max(r.score for r in toxicity.score(long, model).collect()) < 1e-9  # no text to learn
 
