@@ -8,9 +8,9 @@ table by gradient ascent on the conditional log-likelihood, and decoded by Viter
 numpy batches. Its spans that touch a span of a pattern are dropped.
 
 A tag is decoded only in stretches around tokens that could belong to a span (a digit, an
-at sign, an equals sign, a word that names a kind of data, capitals mixed with others);
-``REACH`` tokens of context on either side are decoded with them. Tokens outside any
-stretch have no feature that speaks for a span and count as plain.
+at sign, an equals sign, 16 capitals, a word that spells out a point in any case and in each of
+four languages); ``REACH`` tokens of context on either side are decoded with them. Tokens
+outside any stretch have no feature that speaks for a span and count as plain.
 
 Training takes the same steps on every machine, and its result is a few thousand numbers
 that travel with the tasks. Rows never meet: there is no shuffle.
@@ -124,7 +124,7 @@ _WORDS = {
     "ip": "ip host server address adresse addr",
     "card": "card visa mastercard credit karte carte tarjeta",
     "key": "key token secret password passwd pwd api_key apikey bearer passwort",
-    "at": "at [at] (at) arobase",
+    "at": "at [at] (at) arobase arroba",
     "dot": "dot [dot] (dot) punkt punto point",
 }
 _NAMED = {w: k for k, words in _WORDS.items() for w in words.split()}
@@ -207,6 +207,21 @@ class Field:
 LABELLED = (
     "Write to {email:jane.doe (at) example (dot) org} for details.",
     "Reach me: {email:bob at mail dot example dot com} or by post.",
+    "Schreiben an {email:karl punkt mai at post punkt beispiel punkt de} genügt.",
+    "Contact : {email:luc point petit arobase courrier point fr} pour toute question.",
+    "Escriba a {email:ana punto ruiz arroba correo punto es} hoy mismo.",
+    "Merci d'écrire à {email:paul point roux arobase poste point fr} avant lundi.",
+    "La adresse {email:zoe arobase maison point com} marche aussi.",
+    "Gracias, {email:eva punto gil arroba tienda punto es} es mi correo.",
+    "El correo de {email:leo arroba casa punto com} no cambia.",
+    "Die Adresse {email:uta punkt kern at firma punkt de} gilt noch.",
+    "Le point est clair et le point final aussi, un point de vue.",
+    "Der Punkt ist klar, und ein Punkt folgt auf den anderen Punkt.",
+    "El punto final y el punto de partida son el mismo punto.",
+    "At this point the dot com boom ended.",
+    "It came up at one point or another, at some point it was over.",
+    "Please contact {email:joe AT shop DOT org} later.",
+    "contact {email:amy at corp dot com} now",
     "My mail is {email:kim_lee [at] uni [dot] edu} since May.",
     "Contact {email:s.holm@example.com} today.",
     "Kontakt {email:info@beispiel.de}, danke.",
@@ -370,8 +385,21 @@ def viterbi(model: Field, sequences: list[np.ndarray]) -> list[np.ndarray]:
     return out
 
 
+def _spelled(kind: str) -> str:
+    """A pattern of the plain words that stand for a sign, in any case."""
+    return f"(?i:{'|'.join(w for w in _WORDS[kind].split() if w.isalpha())})"
+
+
 #: Characters that a span of any kind may need, and a spelled-out point.
-_HINT = re.compile(r"[0-9@=]|[A-Z]{16}|(?<![^\s(\[])dot(?![^\s)\]])")
+_HINT = re.compile(rf"[0-9@=]|[A-Z]{{16}}|(?<![^\s(\[]){_spelled('dot')}(?![^\s)\]])")
+#: At, a word, and a point and a word once or more, to the end. ("At one point or" is no
+#: address: the French point goes with the French sign.)
+_SPELLED = re.compile(
+    "|".join(
+        rf"\b(?i:{at})\W+\w[\w.-]*(?:\W+(?i:{dot})\W+\w[\w-]*)+\W*$"
+        for at, dot in (("at|arroba", "dot|punkt|punto"), ("arobase", "dot|point"))
+    )
+)
 _SPACE = re.compile(r"\s")
 _FAR = 400
 
@@ -421,7 +449,7 @@ def _right(text: str, at: int) -> int:
 def _sound(kind: str, text: str) -> bool:
     digits = len(_digits(text))
     if kind == "email":
-        return "@" in text or bool(re.search(r"(?i)\bat\b.*\bdot\b", text))
+        return "@" in text or bool(_SPELLED.search(text))
     if kind == "phone":
         return 7 <= digits <= 15 and not re.search("[A-Za-z]", text) and digits * 2 >= len(text)
     if kind == "card":

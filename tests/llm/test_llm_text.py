@@ -319,6 +319,31 @@ def test_find_and_redact(spark, odd_docs):
     assert [r.text for r in rows if r.doc_id == 2] == [None]
 
 
+@pytest.mark.parametrize(
+    "text, address",
+    [
+        ("contact bob AT example DOT com now", "bob AT example DOT com"),
+        ("Bitte an anna punkt weber at beispiel punkt de schreiben", "anna punkt weber at beispiel punkt de"),
+        ("merci de noter jean point dupont arobase exemple point fr ici", "jean point dupont arobase exemple point fr"),
+        ("para juan punto perez arroba ejemplo punto es gracias", "juan punto perez arroba ejemplo punto es"),
+    ],
+)
+def test_spelled_out_addresses_of_each_language(text, address):
+    [[(kind, a, b)]] = pii.crf_spans(pii.train(), [text])
+    # a word beside it may be masked with it
+    assert kind == "email" and address in text[a:b]
+    assert len(text[a:b].split()) <= len(address.split()) + 1
+
+
+def test_words_for_a_point_in_prose_are_no_address():
+    texts = [
+        "Le point est clair; le point final aussi.", "At this point the dot com boom ended.",
+        "Der Punkt ist klar, ein Punkt folgt.", "El punto de vista cambia en este punto.",
+        "Look at the red dot on the map at noon.",
+    ]
+    assert pii.crf_spans(pii.train(), texts) == [[]] * len(texts)
+
+
 def sentences(n, words=24, seed=0):
     random = np.random.default_rng(seed)
     for k in range(n):
