@@ -14,9 +14,10 @@ tasks. A task returns one row for each vector: its links and the smallest vector
 reaches there; no pair leaves it.
 
 Cases: vectors that are null, empty or zero, that hold null or non-finite components, or
-that have no label link with nothing; vectors of different lengths are not compared; a
-repeated id keeps the first of its rows by hash order; rows with a null id are left out;
-an empty table gives an empty result; other columns are not read.
+that have no label link with nothing; vectors of different lengths are not compared; rows
+that repeat an id, or have none, are rows of their own, with their own vector; null ids are
+larger than others, and a component of such rows alone has none; an empty table gives an
+empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -201,31 +202,34 @@ def near_vectors(
     label_col: str = "label",
     search: Search = Search(),
 ) -> DataFrame:
-    """(vec_id, n_links, component_id, kept) for every vector.
+    """(vec_id, n_links, component_id, kept) for every row of ``vectors``.
 
-    Vectors are compared only within equal labels. ``n_links`` counts the other vectors
-    linked directly, copies included; ``component_id`` is the smallest id reachable.
+    Vectors are compared only within equal labels. ``n_links`` counts the other rows
+    linked directly, copies included; ``component_id`` is the smallest id reachable;
+    ``kept`` marks one row of each component, one with that id.
     """
-    read = (
-        vectors.where(F.col(id_col).isNotNull())
-        .select(
-            F.col(id_col).cast("long").alias("id"),
-            F.col(label_col).cast("string").alias("label"),
-            F.col(vector_col).cast("array<double>").alias("vector"),
-        )
+    read = vectors.select(
+        F.col(id_col).cast("long").alias("id"),
+        F.col(label_col).cast("string").alias("label"),
+        F.col(vector_col).cast("array<double>").alias("vector"),
     )
     hashed = read.mapInArrow(
         _hashed(search), "id long, label string, size int, unit binary, cells binary"
-    ).dropDuplicates(["id"])
-    hashed = stored(hashed.withColumn("digest", F.sha2("unit", 256)), "hashed")
+    ).withColumnRenamed("id", "own_id")
+    hashed = hashed.withColumns(
+        {"digest": F.sha2("unit", 256), "row": F.monotonically_increasing_id()}
+    )
+    hashed = stored(hashed, "hashed")  # from here on ``row`` names a row, and is fixed
     able = hashed.where("unit is not null and label is not null")
+    # a class is named by the row that would be kept of it: the smallest id, null ones last
+    first_row = F.struct(F.col("own_id").isNull().alias("none"), "own_id", "row")
     classes = stored(
-        able.groupBy("label", "size", "digest").agg(
-            F.min("id").alias("rep"), F.count("*").alias("copies")
-        ),
+        able.groupBy("label", "size", "digest")
+        .agg(F.min(first_row).alias("least"), F.count("*").alias("copies"))
+        .withColumn("rep", F.col("least.row")),
         "vector-classes",
     )
-    reps = able.select("id", "label", "size", "unit", "cells").join(
+    reps = able.select(F.col("row").alias("id"), "label", "size", "unit", "cells").join(
         classes.select(F.col("rep").alias("id"), "copies"), "id"
     )
     reps = stored(reps, "vector-reps")
@@ -260,22 +264,28 @@ def near_vectors(
     )
     parts = stored(connected(found, "id", "root"), "vector-parts")
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
-    of_class = (
+    of_class = stored(
         classes.join(links.withColumnRenamed("id", "rep"), "rep", "left")
         .join(parts.withColumnRenamed("id", "rep"), "rep", "left")
         .select(
-            "label", "size", "digest",
+            "label", "size", "digest", "least",
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("component_id", "rep").alias("component_id"),
-        )
+            F.coalesce("component_id", "rep").alias("part"),
+        ),
+        "vector-of-class",
     )
+    keeper = of_class.groupBy("part").agg(F.min("least").alias("keeper"))
+    of_class = of_class.join(keeper, "part").select(
+        "label", "size", "digest", "n_links", "keeper"
+    )
+    alone = F.col("keeper").isNull()
     return (
-        hashed.select("id", "label", "size", "digest")
+        hashed.select("own_id", "row", "label", "size", "digest")
         .join(of_class, ["label", "size", "digest"], "left")
         .select(
-            F.col("id").alias("vec_id"),
+            F.col("own_id").alias("vec_id"),
             F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-            F.coalesce("component_id", "id").alias("component_id"),
+            F.when(alone, F.col("own_id")).otherwise(F.col("keeper.own_id")).alias("component_id"),
+            (alone | (F.col("keeper.row") == F.col("row"))).alias("kept"),
         )
-        .withColumn("kept", F.col("component_id") == F.col("vec_id"))
     )

@@ -242,6 +242,27 @@ def test_recall_by_brute_force(spark):
     assert pairs >= 0.99 * 400
 
 
+def test_rows_that_share_an_id_or_have_none(spark):
+    a, b, c = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0]
+    near_a = [1.0, 0.01, 0.0]
+    rows = [
+        (1, a, 0), (1, a, 0), (1, b, 0),  # one id: a copy, and another vector
+        (None, near_a, 0), (None, a, 0),  # linked with 1's
+        (None, c, 0), (None, c, 0),  # linked with each other only
+        (2, b, 0), (None, None, 0), (3, a, None),
+    ]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = embeddings_lsh.near_vectors(df.repartition(4)).collect()
+    assert sorted((r.vec_id or -1, r.n_links, r.component_id or -1) for r in got) == sorted(
+        [(1, 3, 1), (1, 3, 1), (-1, 3, 1), (-1, 3, 1)]
+        + [(1, 1, 1), (2, 1, 1)]
+        + [(-1, 1, -1), (-1, 1, -1), (-1, 0, -1), (3, 0, 3)]
+    )
+    # one row of each of the components {a}, {b}, {c}; rows that link with nothing stay
+    assert sum(r.kept for r in got) == 3 + 2
+    assert all(r.kept for r in got if r.n_links == 0)
+
+
 def test_no_vectors(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert embeddings_lsh.near_vectors(df).count() == 0
