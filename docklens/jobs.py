@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docklens.config import CITIES, as_date, as_datetime, check_city
-from docklens.plans import clusters, forecast, transactions
+from docklens.plans import clusters, forecast, hours as hourly, transactions
 from docklens.plans.timeseries import Time, latest_open_rows
+from docklens.sinks import hours as hour_sink
 from docklens.sinks import models
 from docklens.sinks import tables as sink
 from docklens.sources import feeds, weather
@@ -38,34 +39,44 @@ def read_feed(spark: SparkSession, path: str, city: str) -> feeds.FilledReadings
 
 
 def load_readings(
-    spark: SparkSession, path: str, city: str, lake: str, load: str
+    spark: SparkSession, path: str, city: str, lake: str, load: str, hours: bool = False
 ) -> DataFrame:
     """Add a city's landed snapshots as ``load``; returns the rows that were rejected.
 
-    What could not be read of the snapshots goes to the table ``feed_reject``.
+    What could not be read of the snapshots goes to the table ``feed_reject``. With
+    ``hours`` the hours of the load are stored, too (``sinks.hours``).
     """
     found = read_feed(spark, path, city)
     sink.append_readings(found.readings, lake, f"{city}-{load}")
+    if hours:
+        hour_sink.refresh_hours(spark, lake, f"{city}-{load}")
     sink.write_rejects(found.damaged, lake, "feed_reject", city_key=city, load=load)
     return found.rejects
 
 
 def poll_readings(
-    spark: SparkSession, path: str, city: str, lake: str, checkpoint: str
+    spark: SparkSession, path: str, city: str, lake: str, checkpoint: str, hours: bool = False
 ) -> None:
-    """Append what is new in ``path`` since the last call, without copies."""
+    """Append what is new in ``path`` since the last call, without copies.
+
+    With ``hours`` the hours that the new readings touch are stored, too.
+    """
     landed = f"{lake.rstrip('/')}/landed/{check_city(city)}"
     land_feed(spark, path, city, landed, f"{checkpoint}/land").awaitTermination()
     ingest(
-        read_landed(spark, landed), lake, f"{checkpoint}/ingest", name=f"poll-{city}"
+        read_landed(spark, landed), lake, f"{checkpoint}/ingest", name=f"poll-{city}", hours=hours
     ).awaitTermination()
 
 
 def compact_readings(
     spark: SparkSession, lake: str, city: str, start: date | str, stop: date | str
 ) -> None:
-    """Join the loads of each day into one without copies, once the polls are over."""
+    """Join the loads of each day into one without copies, once the polls are over.
+
+    The stored hours of these days, if there are any, become one load as well.
+    """
     sink.compact_readings(spark, lake, check_city(city), start, stop)
+    hour_sink.compact_hours(spark, lake, city, start, stop)
 
 
 def roll_up_day(spark: SparkSession, lake: str, city: str, day: date | str) -> None:
@@ -75,6 +86,13 @@ def roll_up_day(spark: SparkSession, lake: str, city: str, day: date | str) -> N
     sink.write_daily(transactions.aggregate_transactions(readings, day, city), lake)
 
 
+def roll_up_hours(spark: SparkSession, lake: str, city: str, day: date | str) -> None:
+    """The same from the stored hours; no reading is read."""
+    check_city(city)
+    hours = hour_sink.read_hours(spark, lake)
+    sink.write_daily(hourly.aggregate_hours(hours, day, city), lake)
+
+
 def cluster_patterns(
     spark: SparkSession, lake: str, city: str, start: date | str, stop: date | str
 ) -> None:

@@ -47,6 +47,7 @@ def hourly_changes(
     ``bucket`` is the stretch of one station that a task orders; a finer one
     spreads very dense stations further.  ``unique`` promises that there are no
     copies (as in a table filled by the ingest stream) and saves their shuffle.
+    ``readings`` counts the different rows of a bucket.
     """
     order = Window.partitionBy(*keys, "bucket").orderBy(ts, *TIES)
     if unique:
@@ -70,6 +71,7 @@ def hourly_changes(
     return marked.groupBy(*keys, "bucket").agg(
         F.coalesce(F.sum("change"), F.lit(0)).alias("total"),
         (F.count("change") + F.sum("repeats")).alias("changes"),
+        F.count(F.lit(1)).alias("readings"),
         F.max(F.when(F.col("is_first"), F.col("value"))).alias("first_value"),
         F.max(F.when(~F.col("has_next"), F.col("value"))).alias("last_value"),
     )

@@ -31,8 +31,12 @@ def hourly_totals(
     """
     if HOUR % step_seconds(bucket):
         raise ValueError(f"{bucket!r} does not divide an hour")
-    buckets = join_hours(hourly_changes(readings, KEYS, bucket=bucket, unique=unique), KEYS)
-    hours = buckets.where(F.col("changes") > 0)
+    return totals_of(hourly_changes(readings, KEYS, bucket=bucket, unique=unique), bucket)
+
+
+def totals_of(buckets: DataFrame, bucket: str = BUCKET) -> DataFrame:
+    """``hourly_totals`` from buckets in the form of ``hourly_changes``."""
+    hours = join_hours(buckets, KEYS).where(F.col("changes") > 0)
     if step_seconds(bucket) < HOUR:
         hours = hours.groupBy(*KEYS, hour_start(F.col("bucket")).alias("bucket")).agg(
             F.sum("total").alias("total")
@@ -64,9 +68,13 @@ def hourly_profile(
     rows = time_slice(readings, day - timedelta(days=window), day, city)
     if ids is not None:
         rows = only_ids(rows, as_ids(ids))
+    return profile_of(hourly_totals(rows), station)
+
+
+def profile_of(totals: DataFrame, station: DataFrame) -> DataFrame:
+    """Sum and mean per hour of day, from ``hourly_totals``."""
     profile = (
-        hourly_totals(rows)
-        .groupBy(*KEYS, F.hour("ts").alias("hour"))
+        totals.groupBy(*KEYS, F.hour("ts").alias("hour"))
         .agg(
             F.sum("total").cast("double").alias("sum"),
             F.avg("total").alias("mean"),

@@ -33,6 +33,11 @@ TIMESERIES = table(
     "available_stands int, available_bikes int, status string"
 )
 DAILY_TRANSACTION = table("city_key string, id string, number double, date date")
+# Ours: a station's differences within one hour, of all readings or of the open ones.
+HOUR_CHANGE = table(
+    "city_key string, id string, scope string, bucket timestamp_ntz, total bigint, changes bigint, "
+    "first_value int, last_value int, readings bigint"
+)
 CLUSTERING = table(
     "city_key string, station_id string, start date, stop date, cluster_id string"
 )
@@ -70,6 +75,7 @@ WEATHER_FORECAST = table(
 # ``polled`` tell the writes apart and are not part of what a reader gets.
 PARTITIONS = {
     "timeseries": table("date date, load string"),
+    "hour_change": table("date date, load string"),
     "snapshot": table("date date, load string"),
     "prediction": table("date date"),
     "weather_current": table("city_key string, polled string"),

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from docklens import schemas
 from docklens.functions.timecols import event_time
+from docklens.sinks.hours import refresh_hours
 from docklens.sinks.tables import LOAD, WRITERS, append_readings, stored_readings
 
 DELAY = "1 hour"
@@ -72,6 +73,7 @@ def ingest(
     checkpoint: str,
     name: str = "stream",
     writers: int = WRITERS,
+    hours: bool = False,
 ) -> StreamingQuery:
     """Append every new reading to the stored table; ends when caught up.
 
@@ -80,6 +82,10 @@ def ingest(
     failure replaces itself, and batch jobs may write to the same table.
     ``name`` tells the streams into one table apart; ``writers`` is the number
     of tasks for each city and day of a batch.
+
+    With ``hours`` each batch also stores the hours it touches anew (``sinks.hours``).
+    Daily transactions and profiles of the stored hours are then those of all
+    readings so far, late ones included, without state and without a watermark.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
@@ -87,6 +93,8 @@ def ingest(
         batch.persist()
         try:
             append_readings(new_rows(batch, lake, load), lake, load, writers)
+            if hours:
+                refresh_hours(batch.sparkSession, lake, load, writers)
         finally:
             batch.unpersist()
 

@@ -60,15 +60,16 @@ _table("readings", "sourced", """
     CASE WHEN event_type = 'error' THEN 'closed' ELSE 'open' END AS status
   FROM sourced""")
 
-_table("daily", "readings", """
+_DAILY = """
   SELECT city_key, id, CAST(coalesce(sum(d), 0) AS DOUBLE) AS number, "date"
   FROM (
     SELECT city_key, id, CAST("timestamp" AS DATE) AS "date",
       abs(available_bikes - lag(available_bikes) OVER (
         PARTITION BY city_key, id, CAST("timestamp" AS DATE)
         ORDER BY "timestamp", available_bikes, available_stands)) AS d
-    FROM (SELECT DISTINCT * FROM readings) WHERE status = 'open')
-  GROUP BY city_key, id, "date" """)
+    FROM (SELECT DISTINCT * FROM {}) WHERE status = 'open')
+  GROUP BY city_key, id, "date" """
+_table("daily", "readings", _DAILY.format("readings"))
 
 _table("prediction", "readings", """
   SELECT city_key, "timestamp" + INTERVAL 1 HOUR AS "timestamp", '1H' AS frequency,
@@ -705,9 +706,32 @@ _oracle("stream_window_means", "readings", """
 _oracle("stream_latest", "readings", """
   SELECT * FROM readings
   QUALIFY rank() OVER (PARTITION BY city_key, id ORDER BY "timestamp" DESC) = 1""")
-_oracle("stream_ingest_batches", "readings", """
+_table("landed", "readings", """
   SELECT * FROM readings
   UNION SELECT * REPLACE (available_bikes + 1 AS available_bikes) FROM readings
   UNION SELECT * REPLACE ("timestamp" + INTERVAL 3 DAY AS "timestamp") FROM readings
   UNION SELECT * REPLACE ("timestamp" - INTERVAL 3 DAY AS "timestamp") FROM readings""")
+_oracle("stream_ingest_batches", "landed", "SELECT * FROM landed")
 _oracle("readings_compacted", "readings", "SELECT DISTINCT * FROM readings")
+
+# Stored hours ----------------------------------------------------------------
+
+_table("scoped", "readings", """
+  SELECT DISTINCT city_key, id, 'all' AS scope, "timestamp", available_bikes, available_stands
+  FROM readings
+  UNION ALL SELECT DISTINCT city_key, id, 'open', "timestamp", available_bikes, available_stands
+  FROM readings WHERE status = 'open'""")
+_oracle("hours_store", "scoped", """
+  SELECT city_key, id, scope, slot AS bucket, CAST(coalesce(sum(d), 0) AS BIGINT) AS total,
+    arg_min(available_bikes, place) AS first_value,
+    arg_max(available_bikes, place) AS last_value, count(*) AS readings
+  FROM (
+    SELECT *, row_number() OVER hour AS place,
+      abs(available_bikes - lag(available_bikes) OVER hour) AS d
+    FROM (SELECT *, date_trunc('hour', "timestamp") AS slot FROM scoped)
+    WINDOW hour AS (PARTITION BY city_key, id, scope, slot
+      ORDER BY "timestamp", available_bikes, available_stands))
+  GROUP BY city_key, id, scope, slot""")
+_oracle("daily_of_hours", "daily", "SELECT * FROM daily")
+_oracle("hourly_profile_of_hours", "hourly", _HOURLY)
+_oracle("stream_late_transactions", "landed", _DAILY.format("landed"))

@@ -25,6 +25,7 @@ from docklens.operators.latest import latest_date
 from docklens.plans import (
     clusters,
     forecast,
+    hours as hourly,
     predictions,
     profiles,
     rebase,
@@ -33,7 +34,7 @@ from docklens.plans import (
     transactions,
 )
 from docklens.session import scratch_path
-from docklens.sinks import export, models, tables as sink
+from docklens.sinks import export, hours as hour_sink, models, tables as sink
 from docklens.sources import adapters, feeds, legacy, weather
 from docklens.sources.stations import coordinates, normalise_stations
 from docklens.sources.tables import read_predictions_csv, read_table, read_transactions_csv
@@ -1388,3 +1389,62 @@ def readings_compacted(spark, folder):
         for city in CITIES:
             sink.compact_readings(spark, lake, city, FIRST, LAST)
     return read_table(spark, lake, "timeseries").drop("date")
+
+
+# Stored hours ----------------------------------------------------------------
+
+
+def _hours_of_loads(spark, folder) -> DataFrame:
+    """Readings stored in three loads, of which every hour has a part, and their hours.
+
+    The second load is stored twice, and the last one holds copies of the first.
+    """
+    lake = scratch_path(spark, "hours")
+    rows = _readings(spark, folder)
+    part = F.pmod(F.xxhash64("id", "timestamp", "available_bikes"), F.lit(3))
+    loads = {"later": rows.where(part == 2), "one": rows.where(part == 0)}
+    loads["again"] = loads["one"]
+    loads["rest"] = rows.where(part <= 1)
+    for load, of_load in loads.items():
+        load = "one" if load == "again" else load
+        sink.append_readings(of_load, lake, load)
+        hour_sink.refresh_hours(spark, lake, load)
+    return hour_sink.read_hours(spark, lake)
+
+
+@query
+def hours_store(spark, folder):
+    """Of the stored hours: different readings, differences and the values at both ends."""
+    hours = _hours_of_loads(spark, folder)
+    return hours.select(
+        "city_key", "id", "scope", "bucket", "total", "first_value", "last_value", "readings"
+    )
+
+
+@query
+def daily_of_hours(spark, folder):
+    """Daily transactions from the stored hours."""
+    return hourly.daily_of_hours(_hours_of_loads(spark, folder))
+
+
+@query
+def hourly_profile_of_hours(spark, folder):
+    """The hourly profile from the hours of a table without copies."""
+    lake = scratch_path(spark, "profile-hours")
+    sink.append_readings(_readings(spark, folder), lake, "all")
+    hour_sink.refresh_hours(spark, lake, "all")
+    profile = hourly.hourly_profile_of_hours(
+        hour_sink.read_hours(spark, lake), _station(spark, folder), None, LAST, 30
+    )
+    return _round(profile, "mean")
+
+
+@query
+def stream_late_transactions(spark, folder):
+    """Daily transactions of a stream in which readings are up to six days late."""
+    path = scratch_path(spark, "stream-late")
+    stream = _landed(spark, folder, f"{path}/landed")
+    ingest.ingest(
+        stream, f"{path}/lake", f"{path}/checkpoint", hours=True
+    ).awaitTermination()
+    return hourly.daily_of_hours(hour_sink.read_hours(spark, f"{path}/lake"))
