@@ -20,7 +20,7 @@ from docklens.sinks import hours as hour_sink
 from docklens.sinks import models
 from docklens.sinks import tables as sink
 from docklens.sources import feeds, weather
-from docklens.sources.stations import coordinates, normalise_stations
+from docklens.sources.stations import coordinates, normalise_stations, read_stations
 from docklens.sources.tables import read_table
 from docklens.streaming.ingest import ingest
 from docklens.streaming.landing import land_feed, read_landed
@@ -33,6 +33,19 @@ def load_stations(raw: DataFrame, city: str, lake: str) -> None:
     sink.write_stations(normalise_stations(raw, CITIES[check_city(city)]), lake)
 
 
+def load_station_files(
+    spark: SparkSession, path: str, city: str, lake: str, kind: str = "geojson"
+) -> None:
+    """Replace a city's stations by those of extract files (``read_stations``).
+
+    What could not be read goes to the table ``station_reject``.
+    """
+    rows, damaged = read_stations(spark, path, CITIES[check_city(city)], kind)
+    sink.write_stations(rows, lake)
+    rejects = damaged.withColumn("city_key", F.lit(city))
+    sink.write_rejects(rejects, lake, "station_reject", city_key=city)
+
+
 def read_feed(spark: SparkSession, path: str, city: str) -> feeds.FilledReadings:
     """Canonical readings of a city's landed snapshots, missing counts filled."""
     return feeds.read_feed(spark, path, CITIES[check_city(city)])

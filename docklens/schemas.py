@@ -52,6 +52,7 @@ GEO_CLUSTERING_REJECT = table("city_key string, station_id string")
 # Ours: what could not be read of a feed, and why: a cut ``document``, a malformed ``record``
 # or an unreadable ``field``.
 FEED_REJECT = table("city_key string, load string, snapshot string, reason string, text string")
+STATION_REJECT = table("city_key string, snapshot string, reason string, text string")
 WEATHER_REJECT = table(
     "city_key string, kind string, polled string, snapshot string, reason string, text string"
 )

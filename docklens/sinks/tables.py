@@ -194,9 +194,8 @@ PREDICTION_PARTITION = ("city_key", "frequency", "date")
 def write_predictions(prediction: DataFrame, lake: str, frequency: str | None = None) -> None:
     """Insert predictions; a row with the same key replaces the stored one.
 
-    Copies are one row; two different rows for one key are refused.  Only the
-    days between the first and the last one touched are read, as literals in the
-    partition filter, and only touched days are rewritten.  What is kept of them
+    Copies are one row; two different rows for one key are refused.  Only touched
+    days are read, as literals in the partition filter, and rewritten.  What is kept of them
     is written to the shared folder before the table is replaced.
     """
     if frequency is not None:
@@ -214,15 +213,12 @@ def write_predictions(prediction: DataFrame, lake: str, frequency: str | None =
 def kept_predictions(old: DataFrame, rows: DataFrame) -> DataFrame:
     """Stored rows of the touched days whose key is not in ``rows``."""
     touched = rows.agg(
-        F.min("date").alias("first"),
-        F.max("date").alias("last"),
+        F.collect_set("date").alias("days"),  # days, not rows: as many as folders
         F.collect_set("city_key").alias("cities"),
         F.collect_set("frequency").alias("frequencies"),
     ).first()
-    if touched.first is None:
-        return old.limit(0)
     near = old.where(
-        F.col("date").between(F.lit(touched["first"]), F.lit(touched["last"]))
+        F.col("date").isin(sorted(touched.days))
         & F.col("city_key").isin(touched.cities)
         & F.col("frequency").isin(touched.frequencies)
     )

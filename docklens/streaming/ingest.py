@@ -46,18 +46,19 @@ def new_rows(batch: DataFrame, lake: str, load: str) -> DataFrame:
     """The different readings of ``batch`` that no other load holds.
 
     Rows are compared whole, nulls included, so two different readings of a
-    station at one time both stay.  Only the days of the batch are looked up.
+    station at one time both stay.  Only the batch's own cities and days are looked up,
+    as literals of the scan: one reading with a wrong clock adds one day, not a span.
     """
     columns = schemas.TIMESERIES.names
     rows = batch.select(*columns).distinct()
-    first, last = batch.agg(
-        F.min(F.to_date("timestamp")), F.max(F.to_date("timestamp"))
-    ).first()
     held = stored_readings(batch.sparkSession, lake)
     if held is None:
         return rows
-    day = F.col("date")
-    of_batch = day.isNull() if first is None else day.between(first, last) | day.isNull()
+    # a row for each city and day of the batch
+    found = batch.select("city_key", F.to_date("timestamp").alias("date")).distinct().collect()
+    of_batch = _is_in("city_key", {r.city_key for r in found}) & _is_in(
+        "date", {r.date for r in found}
+    )
     held = held.where(of_batch & (F.col(LOAD) != load)).select(
         *[F.col(c).alias(f"_{c}") for c in columns]
     ).distinct()
@@ -67,6 +68,12 @@ def new_rows(batch: DataFrame, lake: str, load: str) -> DataFrame:
     return rows.join(held, same, "left_anti")
 
 
+def _is_in(column: str, values: set) -> Column:
+    """Whether the column holds one of the values, null among them."""
+    known = F.col(column).isin(sorted(values - {None}))
+    return known | F.col(column).isNull() if None in values else known
+
+
 def ingest(
     stream: DataFrame,
     lake: str,

@@ -534,6 +534,29 @@ _oracle("reproject", "station", f"""
     round(degrees(p5), 6) AS y
   FROM ({_latitude()})""")
 
+_POINT = "c_custkey % 30 <> 3"
+_WHOLE = "c_custkey // 200 <> 2"  # the extract that was cut is lost
+_oracle("station_files", "station", f'''
+  SELECT city_key, CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_mktsegment AS address,
+    city_key AS city, CASE WHEN c_custkey % 30 <> 2 THEN CAST(40 AS INTEGER) END AS nb_stations,
+    CASE WHEN {_POINT} THEN round(x, 6) END AS x, CASE WHEN {_POINT} THEN round(y, 6) END AS y
+  FROM (
+    SELECT 'bordeaux' AS city_key, c_custkey, c_name, c_mktsegment,
+      degrees(atan2(dx, dy) / 0.7256077650532695::DOUBLE) + 3 AS x, degrees(p5) AS y
+    FROM ({_latitude()})
+    UNION ALL SELECT 'lyon', c_custkey, c_name, c_mktsegment,
+      4.7::DOUBLE + 0.005::DOUBLE * (c_custkey % 40),
+      45.7::DOUBLE + 0.005::DOUBLE * (c_custkey // 40)
+    FROM customer)
+  WHERE {_WHOLE} AND c_custkey % 30 <> 1''')
+_oracle("station_file_rejects", "station", f'''
+  SELECT city_key, reason, n FROM (
+    SELECT 'record' AS reason, count(*) AS n FROM customer WHERE {_WHOLE} AND c_custkey % 30 = 1
+    UNION ALL SELECT 'field', count(*) FROM customer WHERE {_WHOLE} AND c_custkey % 30 IN (2, 3)
+    UNION ALL SELECT 'document', count(DISTINCT c_custkey // 200) FROM customer
+    WHERE NOT ({_WHOLE})) CROSS JOIN (VALUES ('lyon'), ('bordeaux')) AS c(city_key)
+  WHERE n > 0''')
+
 _WEATHER = """CAST(event_id AS INTEGER) AS weather_id, event_type AS weather_desc,
     round(value, 6) AS temp, round(value - 1, 6) AS temp_min, round(value + 1, 6) AS temp_max,
     round(value + 1000, 6) AS pressure, CAST(50 AS DOUBLE) AS humidity,

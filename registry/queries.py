@@ -36,7 +36,8 @@ from docklens.plans import (
 from docklens.session import scratch_path
 from docklens.sinks import export, hours as hour_sink, models, tables as sink
 from docklens.sources import adapters, feeds, legacy, weather
-from docklens.sources.stations import coordinates, normalise_stations
+from docklens.sources.feeds import Parsed
+from docklens.sources.stations import coordinates, normalise_stations, read_stations
 from docklens.sources.tables import read_predictions_csv, read_table, read_transactions_csv
 from docklens.streaming import ingest, landing, latest as live, rolling
 from docklens.streaming import transactions as running
@@ -860,6 +861,65 @@ def reproject(spark, folder):
     return _round(normalise_stations(_lambert_stations(spark, folder), BORDEAUX), "x", "y")
 
 
+def _station_documents(spark, folder) -> dict[str, Parsed]:
+    """Stations of both cities in GeoJSON extracts of 200 each, read with their rejects.
+
+    Every other point has a height; of every 30 stations one has no id, one unreadable docks
+    and one a broken point; one extract of each city is cut before its end.
+    """
+    key = F.col("c_custkey")
+    customers = spark.read.parquet(f"{folder}/customer.parquet")
+    place = {
+        "bordeaux": (410000.0 + 25.0 * (key % 1000), 6415000.0 + 25.0 * F.floor(key / 1000)),
+        "lyon": (4.7 + 0.005 * (key % 40), 45.7 + 0.005 * F.floor(key / 40)),
+    }
+    head, foot = '{"type":"FeatureCollection","features":[', "]}"
+    parsed = {}
+    for name, city in CITIES.items():
+        id_, title, address, town, docks = city.station_columns
+        properties = F.struct(
+            F.when(key % 30 != 1, key.cast("string")).alias(id_),
+            F.col("c_name").alias(title), F.col("c_mktsegment").alias(address),
+            F.lit(name).alias(town),
+            F.when(key % 30 == 2, "many").otherwise("40").alias(docks),
+        )
+        x, y = [v.cast("string") for v in place[name]]
+        x = F.when(key % 30 == 3, "east").otherwise(x)
+        at = F.when(key % 2 == 0, F.array(x, y, F.lit("9.5"))).otherwise(F.array(x, y))
+        feature = F.struct(
+            F.lit("Feature").alias("type"), properties.alias("properties"),
+            F.struct(F.lit("Point").alias("type"), at.alias("coordinates")).alias("geometry"),
+        )
+        items = F.array_sort(F.collect_list(F.struct(key, F.to_json(feature).alias("text"))))
+        body = F.array_join(F.transform(items, lambda item: item["text"]), ",")
+        whole = F.concat(F.lit(head), body, F.lit(foot))
+        kept = F.when(F.col("part") == 2, F.length(whole) - 30).otherwise(F.length(whole))
+        path = scratch_path(spark, f"extract-{name}")
+        customers.groupBy(F.floor(key / 200).alias("part")).agg(
+            F.substr(whole, F.lit(1), kept).alias("text")
+        ).write.partitionBy("part").text(path)
+        parsed[name] = read_stations(spark, f"{path}/*", city)
+    return parsed
+
+
+@query
+def station_files(spark, folder):
+    """Stations out of GeoJSON extracts, with what could be read of them."""
+    parsed = _station_documents(spark, folder)
+    rows = reduce(DataFrame.unionByName, [p.rows for p in parsed.values()])
+    return _round(rows, "x", "y")
+
+
+@query
+def station_file_rejects(spark, folder):
+    """Per city and reason: what could not be read of the extracts."""
+    parsed = _station_documents(spark, folder)
+    rejects = [p.damaged.withColumn("city_key", F.lit(c)) for c, p in parsed.items()]
+    return reduce(DataFrame.unionByName, rejects).groupBy("city_key", "reason").agg(
+        F.count("*").alias("n")
+    )
+
+
 def _weather_parts():
     t = F.col("value")
     return [

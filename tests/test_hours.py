@@ -12,7 +12,7 @@ from docklens.plans import hours, profiles, transactions
 from docklens.sinks import hours as sink
 from docklens.sinks.tables import append_readings, compact_readings
 from docklens.sources.tables import read_table
-from docklens.streaming.ingest import ingest, read_stream
+from docklens.streaming.ingest import ingest, new_rows, read_stream
 
 START = datetime(2024, 1, 1)
 
@@ -149,3 +149,21 @@ def test_readings_are_different_rows(spark, make_readings):
     rows = [("a", "2024-01-01T08:00:00", 5)] * 3 + [("a", "2024-01-01T08:30:00", 7)]
     found = hourly_changes(make_readings(rows), ["city_key", "id"]).first()
     assert (found.readings, found.changes, found.total) == (2, 3, 2)
+
+
+def test_a_wrong_clock_does_not_widen_the_look_up(spark, make_readings, tmp_path, capsys):
+    lake = str(tmp_path)
+    held = [("a", f"2024-01-{d:02d}T08:00:00", d) for d in range(1, 10)]
+    append_readings(make_readings(held), lake, "one")
+    batch = make_readings([held[0], ("a", "2024-01-02T09:00:00", 3), ("a", "2031-05-05T09:00:00", 3)])
+    capsys.readouterr()
+    rows = new_rows(batch, lake, "two")
+    rows.explain("formatted")
+    plan = capsys.readouterr().out.splitlines()
+    folders = next(p for p in plan if p.startswith("PartitionFilters"))
+    assert "2024-01-01,2024-01-02,2031-05-05" in folders and "<=" not in folders
+    assert rows_of(rows, "available_bikes") == [(3,), (3,)]
+    timeless = spark.createDataFrame([("lyon", "a", None, 1, 1, "open")], schemas.TIMESERIES)
+    append_readings(timeless, lake, "three")
+    assert new_rows(timeless.union(timeless), lake, "four").count() == 0
+    assert new_rows(batch.limit(0), lake, "four").count() == 0

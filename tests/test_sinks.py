@@ -64,7 +64,14 @@ def test_predictions_read_only_the_days_they_touch(spark, tmp_path, capsys):
     capsys.readouterr()
     sink.kept_predictions(old, rows).explain("formatted")
     filters = capsys.readouterr().out.split("PartitionFilters: ")[1].splitlines()[0]
-    assert "(date#" in filters and "2024-01-02" in filters and "lyon" in filters
+    assert "date#" in filters and "2024-01-02" in filters and "lyon" in filters
+    # two days far apart are two days, not all between them
+    capsys.readouterr()
+    apart = make(row(1, "b"), row(9, "b")).selectExpr("*", "to_date(timestamp) as date")
+    sink.kept_predictions(old, apart).explain("formatted")
+    filters = capsys.readouterr().out.split("PartitionFilters: ")[1].splitlines()[0]
+    assert "2024-01-01,2024-01-09" in filters and "<=" not in filters
+    assert sink.kept_predictions(old, rows.limit(0)).count() == 0
     assert rows_of(sink.kept_predictions(old, rows), "station_id", "date") == [
         ("a", date(2024, 1, 2))
     ]

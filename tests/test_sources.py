@@ -7,11 +7,11 @@ import pytest
 from conftest import at, rows_of
 from pyspark.sql import functions as F
 
-from docklens import schemas
+from docklens import jobs, schemas
 from docklens.config import BORDEAUX, LYON
 from docklens.sources import feeds, legacy, weather
-from docklens.sources.stations import normalise_stations
-from docklens.sources.tables import read_predictions_csv, read_transactions_csv
+from docklens.sources.stations import normalise_stations, read_stations
+from docklens.sources.tables import read_predictions_csv, read_table, read_transactions_csv
 
 GML = """<?xml version="1.0" encoding="ISO-8859-1"?>
 <wfs:FeatureCollection xmlns:wfs="http://www.opengis.net/wfs/2.0"
@@ -335,3 +335,69 @@ def test_legacy_centroids(spark):
     found = legacy.upgrade_centroids(wide)
     assert found.columns == ["cluster_id", *schemas.HOUR_COLUMNS]
     assert found.collect()[0].cluster_id == "1"
+
+
+def station_feature(id_, docks="20", point=(4.85, 45.75), kind="Point", **more):
+    names = dict(zip(LYON.station_columns, (id_, "Gare", "1 rue", "ville", docks)))
+    geometry = None if point is None else {"type": kind, "coordinates": list(point)}
+    return {"type": "Feature", "properties": names | more, "geometry": geometry}
+
+
+def test_station_extract_in_geojson(spark, tmp_path):
+    nan = float("nan")
+    geojson(
+        tmp_path, "a.json",
+        station_feature("1", 20, (4.85, 45.75, 170.5), x="clash", snapshot="clash", placed=1),
+        station_feature("2", "20.0"),
+        station_feature("2"),  # repeated: two rows
+        station_feature("3", "", None),  # blank docks and no geometry are no damage
+        station_feature("4", "many"),
+        station_feature("5", point=(4.85,)),
+        station_feature("6", point=((4.85, 45.75), (4.9, 45.8)), kind="LineString"),
+        station_feature("7", point=("east", 45.75)),
+        station_feature("8", point=(nan, 45.75)),
+        station_feature(None), station_feature(" "),
+    )
+    (tmp_path / "b.json").write_text('{"type": "FeatureCollection", "features": [{"type": "Fea')
+    geojson(tmp_path, "c.json")
+    parsed = read_stations(spark, str(tmp_path), LYON)
+    assert parsed.rows.columns == schemas.STATION.names
+    at = (4.85, 45.75)
+    found = sorted((r.id, r.nb_stations, r.x, r.y) for r in parsed.rows.collect() if r.id < "3")
+    assert found == [("1", 20, *at), ("2", 20, *at), ("2", 20, *at)]
+    rest = {r.id: (r.nb_stations, r.x, r.y) for r in parsed.rows.collect() if r.id >= "3"}
+    none = (20, None, None)
+    assert rest == {"3": (None,) * 3, "4": (None, *at), "5": none, "6": none, "7": none, "8": none}
+    reasons = [(n, r) for n, r, _ in damaged_of(parsed)]
+    assert sorted(reasons) == sorted(
+        [("a.json", "field")] * 5 + [("a.json", "record")] * 2 + [("b.json", "document")]
+    )
+    assert all(text for _, _, text in damaged_of(parsed))
+
+
+def test_station_extract_in_tables(spark, tmp_path):
+    raw = station_extract(spark, BORDEAUX.station_columns, 417241.54, 6421813.35)
+    bad = raw.withColumns({"numstat": F.lit("8"), "nbsuppor": F.lit("x"), "y": F.lit(None)})
+    both = raw.unionByName(bad)
+    both.write.parquet(str(tmp_path / "parquet"))
+    both.write.csv(str(tmp_path / "csv"), header=True)
+    for kind in ("parquet", "csv"):
+        parsed = read_stations(spark, str(tmp_path / kind), BORDEAUX, kind)
+        rows = {r.id: r for r in parsed.rows.collect()}
+        assert (rows["7"].nb_stations, round(rows["7"].x, 4)) == (20, -0.5792)
+        assert (rows["8"].nb_stations, rows["8"].x, rows["8"].y) == (None, None, None)
+        assert [r for _, r, _ in damaged_of(parsed)] == ["field"]  # one reject a record
+    with pytest.raises(ValueError):
+        read_stations(spark, str(tmp_path), BORDEAUX, "shapefile")
+
+
+def test_the_job_stores_stations_and_rejects(spark, tmp_path):
+    lake, files = str(tmp_path / "lake"), tmp_path / "files"
+    files.mkdir()
+    geojson(files, "a.json", station_feature("1"), station_feature("2", "many"))
+    for _ in range(2):
+        jobs.load_station_files(spark, str(files), "lyon", lake)
+    assert rows_of(read_table(spark, lake, "station"), "id") == [("1",), ("2",)]
+    assert rows_of(read_table(spark, lake, "station_reject"), "city_key", "reason") == [
+        ("lyon", "field")
+    ]
