@@ -123,6 +123,45 @@ def add_future(
     )
 
 
+def resample_future(
+    df: DataFrame,
+    frequency: str,
+    keys: Sequence[str] = ("city_key", "station_id"),
+    values: Sequence[str] = ("nb_bikes", "nb_stands", "probability"),
+    value: str = "probability",
+    step: str = "10T",
+    ts: str = "ts",
+) -> DataFrame:
+    """``add_future`` of ``resample_mean``, with the label found before the grid is built.
+
+    A bin's stretch of the grid is cut where its partners pass to another bin, and each
+    piece takes that bin's value. Only bins are sorted, the grid itself never is. The
+    partners of a bin's points lie in it or in one of the next ``frequency / step`` bins.
+    """
+    spans = known_spans(bin_means(df, keys, values, step, ts), keys, values, step, ts)
+    rows, rest = divmod(step_seconds(frequency), grid_seconds(step))
+    every, ahead = interval(grid_seconds(step)), interval(step_seconds(frequency))
+    # the order of known_spans, so that one sort serves both
+    next_bins = Window.partitionBy(*keys).orderBy(F.col(ts).desc()).rowsBetween(-rows, 0)
+    partner = F.struct("span_start", F.col(ts).alias("last"), F.col(value).alias("future"))
+    pieces = (
+        spans.withColumn("partners", F.collect_list(partner).over(next_bins))
+        .where(F.col(ts).isNotNull() & F.lit(rest == 0))  # between two points: no partner
+        .select(*keys, ts, "span_start", *values, F.explode("partners").alias("partner"))
+        .select(
+            *keys,
+            *values,
+            F.col("partner.future").alias("future"),
+            F.greatest("span_start", F.col("partner.span_start") - ahead).alias("low"),
+            F.least(F.col(ts), F.col("partner.last") - ahead).alias("high"),
+        )
+        .where("low <= high")
+    )
+    return pieces.select(
+        *keys, F.explode(F.sequence("low", "high", every)).alias(ts), *values, "future"
+    )
+
+
 def weekday_hour_means(
     bins: DataFrame, keys: Sequence[str], value: str, step: str, ts: str = "ts"
 ) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.util import inheritable_thread_target
 
 from docklens.config import as_datetime
 from docklens.functions.timecols import calendar, interval, step_seconds
-from docklens.operators.grid import add_future, resample_mean
+from docklens.operators.grid import resample_future, resample_mean
 from docklens.plans.timeseries import Time, latest_open_rows, open_readings
 from docklens.session import cut_lineage
 
@@ -56,7 +56,7 @@ def features(rows: DataFrame, step: str = GRID) -> DataFrame:
 
 def labelled(rows: DataFrame, frequency: str, step: str = GRID) -> DataFrame:
     """Features with the probability of the same station ``frequency`` later."""
-    return add_future(features(rows, step), frequency, step)
+    return calendar(resample_future(rows, frequency, step=step))
 
 
 class Split(NamedTuple):

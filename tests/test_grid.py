@@ -1,3 +1,6 @@
+import random
+from datetime import timedelta
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -7,8 +10,10 @@ from pyspark.sql import functions as F
 from docklens.functions.timecols import calendar
 from docklens.operators import grid
 from docklens.plans import clusters, forecast
+from docklens.plans.timeseries import open_readings
 
 KEY = ["station_id"]
+VALUES = ["nb_bikes", "nb_stands", "probability"]
 
 
 def frame_of(spark, rows, values=("nb_bikes",)):
@@ -146,6 +151,33 @@ def test_future_between_grid_points_has_no_partner(steps, step):
     assert grid.add_future(steps, "15T", step, KEY).count() == 0
 
 
+@pytest.mark.parametrize("frequency", ["10T", "30T", "2H", "15T"])
+def test_label_found_before_the_grid_is_that_of_the_grid(spark, frequency):
+    rng = random.Random(frequency)
+    first = at("2024-01-01T00:00:00")
+    rows = [("lyon", s, first + timedelta(minutes=rng.randrange(700)),
+             *[rng.choice([None, rng.random()]) for _ in VALUES])
+            for s in ("a", "b", None) for _ in range(40)]
+    rows += [("lyon", "a", None, 1.0, 1.0, 1.0), ("lyon", "c", None, 1.0, 1.0, 1.0),
+             ("lyon", "d", first, 1.0, None, 0.5)]
+    ddl = "city_key string, station_id string, ts timestamp_ntz, " + ", ".join(
+        f"{v} double" for v in VALUES
+    )
+    df = spark.createDataFrame(rows, ddl)
+    want = grid.add_future(grid.resample_mean(df), frequency, "10T")
+    got = grid.resample_future(df, frequency)
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_no_grid_is_sorted_for_its_label(make_readings):
+    rows = open_readings(make_readings([("a", "2024-01-01T00:00:00", 4)]), "2024-01-01", "2024-02-01")
+    plan = forecast.labelled(rows, "30T")._jdf.queryExecution().executedPlan().toString()
+    above_the_grid, *below = plan.split("Generate explode")
+    assert below
+    assert "Sort" not in above_the_grid and "Window" not in above_the_grid
+
+
 def test_calendar(steps):
     row = calendar(steps).orderBy("ts").collect()[1]
     assert (row.day, row.hour, row.minute) == (0, 0, 10)
