@@ -37,3 +37,16 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - {"forecast_availability", "forecast_check"}))
 def test_query(spark, connection, name):
     assert check_queries.compare(spark, connection, FOLDER, name) == ""
+
+
+def test_stations_are_dealt_out_before_they_become_hours(spark, tmp_path):
+    for name, ddl, rows in (
+        ("customer", "c_custkey long, c_nationkey long, c_name string, c_mktsegment string",
+         [(i, i % 2, "n", "m") for i in range(60)]),
+        ("nation", "n_nationkey long, n_name string", [(0, "a"), (1, "b")]),
+    ):  # one file each, so that one task reads it
+        spark.createDataFrame(rows, ddl).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    readings = queries._shaped_readings(spark, str(tmp_path))
+    sizes = readings.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert sum(sizes) == 60 * 48
+    assert max(sizes) < 60 * 48 / 2
