@@ -10,6 +10,7 @@ from docklens.sources.tables import read_table
 from docklens.streaming import ingest, landing, latest, rolling
 from docklens.streaming import transactions as running
 from docklens.streaming.versions import compact_changes, read_changes, store_changes
+from registry import queries
 
 # Arrival by file: out of order inside the hour, with a copy across files.
 FILES = [
@@ -230,3 +231,30 @@ def test_what_could_not_be_read_is_stored(spark, tmp_path):
     for name in ("feed_reject", "weather_reject"):
         [row] = spark.read.parquet(f"{lake}/{name}").collect()
         assert row.reason == "document" and row.city_key == "lyon" and row.text.startswith("{")
+
+
+def test_documents_are_parsed_once_for_their_readings(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "feed"
+    folder.mkdir()
+    (folder / "one.json").write_text('{"features":[{"properties":{"number":"1",'
+        '"last_update":"2024-01-01T00:00:00","available_bike_stands":"1","available_bikes":"",'
+        '"status":"OPEN"}}]}')
+    kept, fill = [], landing.feeds.fill_counts
+
+    def filled(readings):
+        kept.append(readings.storageLevel.useMemory)
+        return fill(readings)
+
+    monkeypatch.setattr(landing.feeds, "fill_counts", filled)
+    landing.land_feed(
+        spark, str(folder), "lyon", str(tmp_path / "landed"), str(tmp_path / "checkpoint")
+    ).awaitTermination()
+    assert kept == [True]
+    assert spark.read.parquet(str(tmp_path / "landed" / "rejects")).count() == 1
+
+
+def test_landings_of_the_registered_streams_are_written_by_several_tasks(spark, tmp_path, monkeypatch, make_readings):
+    rows = make_readings([("a", f"2024-01-{d:02d}T{h:02d}:00:00", h) for d in (1, 2) for h in range(24)])
+    monkeypatch.setattr(queries, "_readings", lambda *_: rows.coalesce(1))
+    queries._landed(spark, "", str(tmp_path / "landed"))
+    assert len(list((tmp_path / "landed").glob("*.parquet"))) == 5 * queries.LANDED_FILES
