@@ -167,3 +167,21 @@ def test_a_wrong_clock_does_not_widen_the_look_up(spark, make_readings, tmp_path
     append_readings(timeless, lake, "three")
     assert new_rows(timeless.union(timeless), lake, "four").count() == 0
     assert new_rows(batch.limit(0), lake, "four").count() == 0
+
+
+def test_stored_and_new_readings_meet_in_one_shuffle(spark, tmp_path, make_readings):
+    lake = str(tmp_path / "lake")
+    rows = make_readings([("a", "2024-01-01T00:00:00", 1), ("a", "2024-01-01T00:00:00", None)])
+    append_readings(rows, lake, "one")
+    more = make_readings([("a", "2024-01-01T00:00:00", 2)])
+    found = new_rows(rows.union(more).union(more), lake, "two")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1
+    assert [r.available_bikes for r in found.collect()] == [2]
+
+
+def test_hours_shuffle_each_reading_once_for_both_scopes(make_readings):
+    rows = make_readings([("a", "2024-01-01T00:00:00", 1)])
+    plan = hours.hour_changes(rows)._jdf.queryExecution().executedPlan().toString()
+    *above, source = plan.split("Exchange")
+    assert len(above) == 2 and "Generate" not in above[1] + source
