@@ -47,6 +47,8 @@ BINS = 32
 QUANTILES = {STATION_NUMBER: 8, "nb_bikes": BINS, "nb_stands": BINS}
 CALENDAR = {"day": range(1, 7), "hour": range(1, 24), "minute": range(2, 60, 2)}
 CELLS_PER_PLACE = 100_000
+#: bin vectors whose probabilities are sent to every task
+LOOKED_UP = 2_000_000
 
 
 def features(rows: DataFrame, step: str = GRID) -> DataFrame:
@@ -338,6 +340,33 @@ def probabilities(rows: DataFrame, model: PipelineModel) -> DataFrame:
     return model.transform(ready).withColumn("availability", p)
 
 
+def shared_probabilities(
+    rows: DataFrame, model: PipelineModel, most: int = LOOKED_UP
+) -> DataFrame:
+    """``probabilities`` of many rows: the trees score each bin vector once.
+
+    The trees see nothing of a row but its bins, whose vectors are far fewer than the rows
+    of a grid. Each row looks its vector up in a broadcast; if there are more than ``most``
+    of them, the rows are scored one by one.
+    """
+    cut, assemble, trees = model.stages
+    columns = cut.getOutputCols()
+    key = F.lit(0).cast("long")
+    for column, splits in zip(columns, cut.getSplitsArray(), strict=True):
+        key = key * len(splits) + F.col(column).cast("long")
+    binned = cut.transform(_numbered_stations(rows).drop("probability"))
+    vectors = cut_lineage(binned.select(*columns).distinct())
+    if vectors.count() > most:
+        return probabilities(rows, model)
+    p = vector_to_array("probability").getItem(1)
+    scored = trees.transform(assemble.transform(vectors)).select(
+        key.alias("_vector"), p.alias("availability")
+    )
+    return (
+        binned.withColumn("_vector", key).join(F.broadcast(scored), "_vector").drop("_vector")
+    )
+
+
 def split_docks(df: DataFrame, probability: str = "availability") -> DataFrame:
     """Whole bikes and stands of a probability: bikes first, the rest is stands."""
     total = F.col("nb_bikes") + F.col("nb_stands")

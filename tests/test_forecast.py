@@ -173,3 +173,17 @@ def test_bins_of_few_and_of_many_values(spark):
     assert edges["hour"] == [float(h) for h in range(1, 24)]
     same = forecast.bin_edges(many.where("station_number = 7"))
     assert same["nb_bikes"] == same["nb_stands"] == []
+
+
+@pytest.mark.parametrize("most", [10**6, 0])
+def test_shared_probabilities_are_those_of_each_row(spark, monkeypatch, most):
+    rows = grid_rows(spark, 300)
+    model = forecast.fit(rows, grid_rows(spark, 100, 5)).model
+    key = [*forecast.FEATURES, "future"]
+    plain = forecast.probabilities(rows, model).select(*key, "availability").collect()
+    calls = []
+    direct = forecast.probabilities
+    monkeypatch.setattr(forecast, "probabilities", lambda *a: calls.append(1) or direct(*a))
+    shared = forecast.shared_probabilities(rows, model, most).select(*key, "availability").collect()
+    assert sorted(map(str, shared)) == sorted(map(str, plain))
+    assert len(calls) == (0 if most else 1)
