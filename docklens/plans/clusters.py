@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from typing import NamedTuple
 
@@ -10,6 +11,7 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from docklens.config import as_date, as_ids, city_list
 from docklens.functions.geo import CLUSTER_PROPERTIES, point_features
@@ -114,13 +116,15 @@ def _fit(
     )
     vectors = cut_lineage(vectors.select(*STATION, "features"))
     placed = vectors.repartition(places, *STATION).sortWithinPartitions(*STATION)
-    fits = [
-        KMeans(
+    # the rounds are short and wait for the driver; those of another start fill the gaps
+    one = inheritable_thread_target(features.sparkSession)(
+        lambda start: KMeans(
             k=k, seed=seed + start, initSteps=INIT_STEPS, maxIter=ROUNDS, tol=TOLERANCE,
             featuresCol="features", predictionCol="label",
         ).fit(placed)
-        for start in range(STARTS)
-    ]
+    )
+    with ThreadPoolExecutor(STARTS) as pool:
+        fits = list(pool.map(one, range(STARTS)))
     return min(fits, key=lambda fit: fit.summary.trainingCost), vectors
 
 

@@ -1,3 +1,4 @@
+import threading
 from datetime import date
 
 import pytest
@@ -137,3 +138,20 @@ def test_geo_clusters(make_station):
     assert {r.cluster_id for r in labels} == set(range(12))
     centres = found.centroids.orderBy("cluster_id").collect()
     assert len(centres) == 12 and all(45 < c.lat < 80 and 4 < c.lon < 40 for c in centres)
+
+
+def test_starts_of_a_fit_run_side_by_side(spark, monkeypatch):
+    together = threading.Barrier(clusters.STARTS)
+
+    class Fit(clusters.KMeans):
+        def _fit(self, dataset):
+            together.wait(60)  # breaks if another start has not begun
+            return super()._fit(dataset)
+
+    monkeypatch.setattr(clusters, "KMeans", Fit)
+    rows = [("lyon", str(i), float(i % 2), float(i % 2)) for i in range(20)]
+    points = spark.createDataFrame(rows, "city_key string, station_id string, lat double, lon double")
+    found = clusters.compute_geo_clusters(points, "lyon", k=2)
+    assert {r.station_id: r.cluster_id for r in found.labels.collect()} == {
+        str(i): i % 2 for i in range(20)
+    }
